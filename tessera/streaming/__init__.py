@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workloads this library covers are batch jobs only: no source is a
+stream, no operator keeps state across micro-batches, and no result
+depends on event time. The package holds no operators; every batch
+operator is an ordinary DataFrame function and can be applied to each
+micro-batch of a ``writeStream.foreachBatch`` sink if needed.
+"""
