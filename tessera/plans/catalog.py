@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
-from tessera.operators import survey
+from tessera.operators import itemsets, survey
 from tessera.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,71 @@ def q_country_salary_summary_safe(spark, sf_dir):
 @register("partition_skew")
 def q_partition_skew(spark, sf_dir):
     return survey.partition_skew(_clean(spark, sf_dir), n=2, key="Country")
+
+
+# ---------------------------------------------------------------- itemsets
+
+def _basket_items(spark, sf_dir):
+    return itemsets.clean_basket_items(fixtures.basket_items(spark, sf_dir))
+
+
+def _support(bi):
+    n = itemsets.basket_count(bi)
+    return n, itemsets.default_support(n)
+
+
+@register("baskets")
+def q_baskets(spark, sf_dir):
+    return itemsets.baskets(_basket_items(spark, sf_dir))
+
+
+def _level(spark, sf_dir, k):
+    bi = _basket_items(spark, sf_dir)
+    _, s = _support(bi)
+    return itemsets.level_wise_itemsets(bi, s, max_size=k).filter(F.col("size") == k)
+
+
+@register("frequent_items")
+def q_frequent_items(spark, sf_dir):
+    return _level(spark, sf_dir, 1)
+
+
+@register("frequent_pairs")
+def q_frequent_pairs(spark, sf_dir):
+    return _level(spark, sf_dir, 2)
+
+
+@register("frequent_triples")
+def q_frequent_triples(spark, sf_dir):
+    return _level(spark, sf_dir, 3)
+
+
+@register("frequent_itemsets")
+def q_frequent_itemsets(spark, sf_dir):
+    bi = _basket_items(spark, sf_dir)
+    n, s = _support(bi)
+    return itemsets.fpgrowth_itemsets(bi, s, n)
+
+
+@register("frequent_itemsets_levelwise")
+def q_frequent_itemsets_levelwise(spark, sf_dir):
+    bi = _basket_items(spark, sf_dir)
+    _, s = _support(bi)
+    return itemsets.level_wise_itemsets(bi, s)
+
+
+@register("candidate_support")
+def q_candidate_support(spark, sf_dir):
+    # SON pass 2: candidates found at half the support are recounted
+    # exactly over every basket.
+    bi = _basket_items(spark, sf_dir)
+    _, s = _support(bi)
+    cands = itemsets.level_wise_itemsets(bi, s // 2).select("items")
+    return itemsets.candidate_support(bi, cands)
+
+
+@register("itemset_report_lines")
+def q_itemset_report_lines(spark, sf_dir):
+    bi = _basket_items(spark, sf_dir)
+    _, s = _support(bi)
+    return itemsets.itemset_report_lines(itemsets.level_wise_itemsets(bi, s))

@@ -101,3 +101,52 @@ SELECT Country, count(*) AS n,
        min(salary_int) AS min_salary, max(salary_int) AS max_salary,
        {round_half_up('avg(salary_double)', 2)} AS avg_salary
 FROM annual2 GROUP BY Country"""
+
+
+# ---------------------------------------------------------------- itemsets
+
+BASKET_ITEMS = """bi AS (
+  SELECT DISTINCT l_orderkey AS basket_id, trim(p_type) AS item
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE trim(p_type) <> '')"""
+
+SUPPORT = """sup AS (SELECT count(DISTINCT basket_id) * 11 // 100 AS s FROM bi)"""
+
+
+def _itemsets_sql(support_expr: str) -> str:
+    """All itemsets with support >= support_expr: every subset of a
+    basket's frequent items is enumerated recursively and counted."""
+    return f"""WITH RECURSIVE {BASKET_ITEMS},
+{SUPPORT},
+e1 AS (
+  SELECT basket_id, item FROM bi
+  WHERE item IN (SELECT item FROM bi GROUP BY item
+                 HAVING count(*) >= ({support_expr}))),
+ext(basket_id, items, last) AS (
+  SELECT basket_id, [item], item FROM e1
+  UNION ALL
+  SELECT x.basket_id, list_append(x.items, e.item), e.item
+  FROM ext x JOIN e1 e ON x.basket_id = e.basket_id AND e.item > x.last),
+fi AS (
+  SELECT CAST(len(items) AS INTEGER) AS size, array_to_string(items, ',') AS items,
+         count(*) AS support, items AS key
+  FROM ext GROUP BY items HAVING count(*) >= ({support_expr}))
+"""
+
+
+_FI = _itemsets_sql("SELECT s FROM sup")
+
+ORACLE["baskets"] = f"""WITH {BASKET_ITEMS}
+SELECT b.basket_id, b.item, c.basket_size
+FROM bi b JOIN (SELECT basket_id, count(*) AS basket_size FROM bi GROUP BY basket_id) c
+  ON b.basket_id = c.basket_id"""
+ORACLE["frequent_items"] = _FI + "SELECT size, items, support FROM fi WHERE size = 1"
+ORACLE["frequent_pairs"] = _FI + "SELECT size, items, support FROM fi WHERE size = 2"
+ORACLE["frequent_triples"] = _FI + "SELECT size, items, support FROM fi WHERE size = 3"
+ORACLE["frequent_itemsets"] = _FI + "SELECT size, items, support FROM fi"
+ORACLE["frequent_itemsets_levelwise"] = ORACLE["frequent_itemsets"]
+ORACLE["candidate_support"] = (_itemsets_sql("SELECT s // 2 FROM sup")
+                               + "SELECT size, items, support FROM fi")
+ORACLE["itemset_report_lines"] = _FI + """
+SELECT size, string_agg('(' || items || ')', ', ' ORDER BY key) AS line
+FROM fi GROUP BY size"""

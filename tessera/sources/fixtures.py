@@ -53,13 +53,15 @@ def salary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def basket_items(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> DataFrame:
-    """Distinct ``(basket_id, item)``: an order is a basket of part types."""
+    """``(basket_id, item)`` lines: an order is a basket of part types.
+
+    Lines may repeat; :func:`tessera.operators.itemsets.clean_basket_items`
+    trims and de-duplicates them."""
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col(item_col).alias("item"))
     return (
         lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(F.col("l_orderkey").alias("basket_id"), "item")
-        .distinct()
     )
 
 
