@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
-from tessera.operators import itemsets, survey
+from tessera.operators import evaluate, itemsets, recommend, survey
+from tessera.operators.dictionary import dense_ids
 from tessera.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +151,179 @@ def q_itemset_report_lines(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
     _, s = _support(bi)
     return itemsets.itemset_report_lines(itemsets.level_wise_itemsets(bi, s))
+
+
+# ---------------------------------------------------------------- ratings
+
+TRAIN_CAP = 10_000
+
+
+def _split(spark, sf_dir):
+    return fixtures.ratings_split(spark, sf_dir)
+
+
+@register("ratings_split")
+def q_ratings_split(spark, sf_dir):
+    r = fixtures.ratings(spark, sf_dir)
+    return r.withColumn("is_test", fixtures.is_test_rating(F.col("user"), F.col("item")))
+
+
+@register("user_ids")
+def q_user_ids(spark, sf_dir):
+    return dense_ids(fixtures.ratings(spark, sf_dir), "user", "user_id")
+
+
+@register("item_ids")
+def q_item_ids(spark, sf_dir):
+    return dense_ids(fixtures.ratings(spark, sf_dir), "item", "item_id")
+
+
+def _encoded(spark, sf_dir):
+    r = fixtures.ratings(spark, sf_dir)
+    users = dense_ids(r, "user", "user_id")
+    items = dense_ids(r, "item", "item_id")
+    return r.join(users, "user").join(items, "item")
+
+
+@register("encoded_ratings")
+def q_encoded_ratings(spark, sf_dir):
+    e = _encoded(spark, sf_dir)
+    return e.select("user_id", "item_id", "rating",
+                    fixtures.is_test_rating(F.col("user"), F.col("item")).alias("is_test"))
+
+
+@register("train_cap")
+def q_train_cap(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    return recommend.train_cap(train, TRAIN_CAP)
+
+
+@register("user_rating_stats")
+def q_user_rating_stats(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    return recommend.user_rating_stats(train)
+
+
+# ---------------------------------------------------------------- user CF
+
+def _r6(c):
+    return round_half_up(c, 6)
+
+
+def _pairs(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    return recommend.pair_stats(recommend.corated_sums(train, test))
+
+
+@register("corated_pairs")
+def q_corated_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("u", "v", "n")
+
+
+@register("pair_means")
+def q_pair_means(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("u", "v", "n", _r6("mean1").alias("mean1"),
+                                        _r6("mean2").alias("mean2"))
+
+
+@register("pearson_weights")
+def q_pearson_weights(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("u", "v", _r6("w").alias("w"))
+
+
+@register("cf_neighbours")
+def q_cf_neighbours(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    return recommend.neighbours(train, test)
+
+
+def _offsets(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    stats = recommend.pair_stats(recommend.corated_sums(train, test))
+    return recommend.cf_offsets(recommend.neighbours(train, test), stats)
+
+
+@register("cf_offsets")
+def q_cf_offsets(spark, sf_dir):
+    o = _offsets(spark, sf_dir)
+    return o.select("user", "item", _r6("num").alias("num"), _r6("den").alias("den"))
+
+
+def _cf(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    stats = recommend.pair_stats(recommend.corated_sums(train, test))
+    offsets = recommend.cf_offsets(recommend.neighbours(train, test), stats)
+    ustats = recommend.user_rating_stats(train)
+    return train, test, ustats, recommend.cf_predictions(offsets, ustats)
+
+
+@register("cf_predictions")
+def q_cf_predictions(spark, sf_dir):
+    _, _, _, preds = _cf(spark, sf_dir)
+    return preds.select("user", "item", _r6("prediction").alias("prediction"))
+
+
+@register("cf_unpredicted")
+def q_cf_unpredicted(spark, sf_dir):
+    _, test, _, preds = _cf(spark, sf_dir)
+    return test.join(preds, ["user", "item"], "left_anti")
+
+
+def _cf_scored(spark, sf_dir):
+    _, test, ustats, preds = _cf(spark, sf_dir)
+    return recommend.cf_complete(test, preds, ustats, clamp="reference")
+
+
+@register("cf_predictions_clamped")
+def q_cf_predictions_clamped(spark, sf_dir):
+    return _cf_scored(spark, sf_dir).select("user", "item", "rating",
+                                            _r6("prediction").alias("prediction"))
+
+
+@register("cf_rmse")
+def q_cf_rmse(spark, sf_dir):
+    return evaluate.rmse(_cf_scored(spark, sf_dir)).select("n", _r6("rmse").alias("rmse"))
+
+
+@register("cf_error_histogram")
+def q_cf_error_histogram(spark, sf_dir):
+    return evaluate.error_histogram(_cf_scored(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- ALS
+
+def _als(spark, sf_dir):
+    r = fixtures.ratings(spark, sf_dir)
+    users = dense_ids(r, "user", "user_id")
+    items = dense_ids(r, "item", "item_id")
+    enc = r.join(users, "user").join(items, "item").withColumn(
+        "is_test", fixtures.is_test_rating(F.col("user"), F.col("item")))
+    train = enc.filter(~F.col("is_test")).select("user_id", "item_id", "rating").persist()
+    test = enc.filter(F.col("is_test")).select("user", "item", "user_id", "item_id", "rating")
+    model = recommend.als_fit(train)
+    preds = model.transform(test).select("user", "item", "rating", F.col("prediction").cast("double"))
+    return test, preds
+
+
+@register("als_predictions")
+def q_als_predictions(spark, sf_dir):
+    _, preds = _als(spark, sf_dir)
+    return preds
+
+
+@register("als_unpredicted")
+def q_als_unpredicted(spark, sf_dir):
+    test, preds = _als(spark, sf_dir)
+    return test.select("user", "item", "rating").join(preds, ["user", "item"], "left_anti")
+
+
+@register("als_rmse")
+def q_als_rmse(spark, sf_dir):
+    _, preds = _als(spark, sf_dir)
+    return evaluate.rmse(preds)
+
+
+@register("als_error_histogram")
+def q_als_error_histogram(spark, sf_dir):
+    _, preds = _als(spark, sf_dir)
+    return evaluate.error_histogram(preds)

@@ -150,3 +150,104 @@ ORACLE["candidate_support"] = (_itemsets_sql("SELECT s // 2 FROM sup")
 ORACLE["itemset_report_lines"] = _FI + """
 SELECT size, string_agg('(' || items || ')', ', ' ORDER BY key) AS line
 FROM fi GROUP BY size"""
+
+
+# ---------------------------------------------------------------- ratings
+
+RATINGS = """ratings AS (
+  SELECT o_custkey AS "user", l_partkey AS item,
+         max(1 + CAST(floor((l_quantity - 1) / 10) AS INTEGER)) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY o_custkey, l_partkey),
+train AS (SELECT * FROM ratings WHERE NOT (("user" * 31 + item) % 5 = 0)),
+test AS (SELECT * FROM ratings WHERE ("user" * 31 + item) % 5 = 0)"""
+
+R = _with(RATINGS)
+
+ORACLE["ratings_split"] = R + """
+SELECT "user", item, rating, ("user" * 31 + item) % 5 = 0 AS is_test FROM ratings"""
+
+ORACLE["user_ids"] = R + """
+SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id
+FROM (SELECT DISTINCT "user" FROM ratings) d"""
+
+ORACLE["item_ids"] = R + """
+SELECT item, CAST(row_number() OVER (ORDER BY item) - 1 AS INTEGER) AS item_id
+FROM (SELECT DISTINCT item FROM ratings) d"""
+
+ORACLE["encoded_ratings"] = R + """
+SELECT CAST(dense_rank() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id,
+       CAST(dense_rank() OVER (ORDER BY item) - 1 AS INTEGER) AS item_id,
+       rating, ("user" * 31 + item) % 5 = 0 AS is_test
+FROM ratings"""
+
+ORACLE["train_cap"] = R + """
+SELECT "user", item, rating FROM train ORDER BY "user", item LIMIT 10000"""
+
+ORACLE["user_rating_stats"] = R + """
+SELECT "user", count(*) AS n, CAST(sum(rating) AS BIGINT) AS total, avg(rating) AS mean
+FROM train GROUP BY 1"""
+
+# Pearson weights in the two-pass form of the definition: centre each
+# user's ratings on the mean over the common items, then correlate.
+CF = _with(RATINGS, """co AS (
+  SELECT a."user" AS u, b."user" AS v, a.item, a.rating AS r1, b.rating AS r2
+  FROM train a JOIN train b ON a.item = b.item AND a."user" <> b."user"
+  WHERE a."user" IN (SELECT "user" FROM test)),
+means AS (
+  SELECT u, v, count(*) AS n, avg(r1) AS mean1, avg(r2) AS mean2 FROM co GROUP BY u, v),
+weights AS (
+  SELECT c.u, c.v,
+    CASE WHEN sum((r1 - mean1) * (r1 - mean1)) = 0 OR sum((r2 - mean2) * (r2 - mean2)) = 0
+         THEN 0.0
+         ELSE sum((r1 - mean1) * (r2 - mean2))
+              / (sqrt(sum((r1 - mean1) * (r1 - mean1))) * sqrt(sum((r2 - mean2) * (r2 - mean2))))
+    END AS w
+  FROM co c JOIN means m ON c.u = m.u AND c.v = m.v GROUP BY c.u, c.v),
+nbrs AS (
+  SELECT t."user" AS u, t.item, tr."user" AS v, tr.rating AS r
+  FROM test t JOIN train tr ON t.item = tr.item AND t."user" <> tr."user"),
+offs AS (
+  SELECT n.u AS "user", n.item,
+         sum(w.w * (n.r - m.mean2)) AS num, sum(abs(w.w)) AS den
+  FROM nbrs n JOIN means m ON n.u = m.u AND n.v = m.v
+              JOIN weights w ON n.u = w.u AND n.v = w.v
+  GROUP BY n.u, n.item),
+umean AS (SELECT "user", avg(rating) AS mean FROM train GROUP BY "user"),
+preds AS (
+  SELECT o."user", o.item,
+         um.mean + CASE WHEN o.den <> 0 THEN o.num / o.den ELSE 0.01 END AS prediction
+  FROM offs o JOIN umean um ON o."user" = um."user"),
+scored AS (
+  SELECT t."user", t.item, t.rating,
+    CASE WHEN raw <= 0 THEN 0.2 WHEN raw >= 5 THEN 4.0 ELSE raw - 0.79 END AS prediction
+  FROM (SELECT t."user", t.item, t.rating,
+               CAST(CAST(coalesce(p.prediction, um.mean,
+                        (SELECT sum(rating) / count(*) FROM train)) AS DECIMAL(38,9)) AS DOUBLE) AS raw
+        FROM test t LEFT JOIN preds p ON t."user" = p."user" AND t.item = p.item
+                    LEFT JOIN umean um ON t."user" = um."user") t)""")
+
+ORACLE["corated_pairs"] = CF + "SELECT u, v, n FROM means"
+ORACLE["pair_means"] = CF + f"""
+SELECT u, v, n, {round_half_up('mean1', 6)} AS mean1, {round_half_up('mean2', 6)} AS mean2 FROM means"""
+ORACLE["pearson_weights"] = CF + f"SELECT u, v, {round_half_up('w', 6)} AS w FROM weights"
+ORACLE["cf_neighbours"] = CF + "SELECT u, item, v, r FROM nbrs"
+ORACLE["cf_offsets"] = CF + f"""
+SELECT "user", item, {round_half_up('num', 6)} AS num, {round_half_up('den', 6)} AS den FROM offs"""
+ORACLE["cf_predictions"] = CF + f"""
+SELECT "user", item, {round_half_up('prediction', 6)} AS prediction FROM preds"""
+ORACLE["cf_unpredicted"] = CF + """
+SELECT t."user", t.item, t.rating FROM test t
+WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p."user" = t."user" AND p.item = t.item)"""
+ORACLE["cf_predictions_clamped"] = CF + f"""
+SELECT "user", item, rating, {round_half_up('prediction', 6)} AS prediction FROM scored"""
+ORACLE["cf_rmse"] = CF + f"""
+SELECT count(*) AS n, {round_half_up('sqrt(avg((rating - prediction) * (rating - prediction)))', 6)} AS rmse
+FROM scored"""
+ORACLE["cf_error_histogram"] = CF + """
+SELECT b.bucket, b.label, coalesce(c.n, 0) AS n
+FROM (VALUES (0, '>=0 and <1'), (1, '>=1 and <2'), (2, '>=2 and <3'),
+             (3, '>=3 and <4'), (4, '>=4')) AS b(bucket, label)
+LEFT JOIN (SELECT CAST(least(floor(abs(rating - prediction)), 4) AS INTEGER) AS bucket,
+                  count(*) AS n
+           FROM scored GROUP BY 1) c ON b.bucket = c.bucket"""
