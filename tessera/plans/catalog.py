@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
-from tessera.operators import evaluate, itemsets, recommend, survey
+from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
 from tessera.operators.dictionary import dense_ids
 from tessera.sources import fixtures
 
@@ -301,6 +301,7 @@ def _als(spark, sf_dir):
     train = enc.filter(~F.col("is_test")).select("user_id", "item_id", "rating").persist()
     test = enc.filter(F.col("is_test")).select("user", "item", "user_id", "item_id", "rating")
     model = recommend.als_fit(train)
+    train.unpersist()
     preds = model.transform(test).select("user", "item", "rating", F.col("prediction").cast("double"))
     return test, preds
 
@@ -327,3 +328,159 @@ def q_als_rmse(spark, sf_dir):
 def q_als_error_histogram(spark, sf_dir):
     _, preds = _als(spark, sf_dir)
     return evaluate.error_histogram(preds)
+
+
+# ---------------------------------------------------------------- text
+
+def _docs(spark, sf_dir):
+    return fixtures.documents(spark, sf_dir)
+
+
+@register("doc_tokens")
+def q_doc_tokens(spark, sf_dir):
+    return text.doc_tokens(_docs(spark, sf_dir))
+
+
+@register("term_idf")
+def q_term_idf(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    idf = text.term_idf(text.doc_tokens(d), text.doc_count(d))
+    return idf.select("token", "df", _r6("idf").alias("idf"))
+
+
+@register("term_tfidf")
+def q_term_tfidf(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    t = text.term_tfidf(text.doc_tokens(d), text.doc_count(d))
+    return t.select("doc_id", "token", "n", _r6("tfidf").alias("tfidf"))
+
+
+@register("term_tfidf_mindf2")
+def q_term_tfidf_mindf2(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    t = text.term_tfidf(text.doc_tokens(d), text.doc_count(d), min_doc_freq=2)
+    return t.select("doc_id", "token", "n", _r6("tfidf").alias("tfidf"))
+
+
+@register("hashed_tf")
+def q_hashed_tf(spark, sf_dir):
+    from tessera.functions.vectors import sparse_entries
+
+    tf = text.hashed_features(_docs(spark, sf_dir), tfidf=False).select("doc_id", "tf")
+    e = sparse_entries(tf, "tf")
+    return e.groupBy("doc_id").agg(F.sum("val").alias("n_terms"),
+                                   F.count(F.lit(1)).alias("n_features"))
+
+
+# ---------------------------------------------------------------- clustering
+
+SEED_IDS = (0, 1, 2, 3, 4)
+LLOYD_STEPS = 3
+ML_K, ML_ITER = 8, 20
+# Hash buckets of the library-model queries. Bisecting K-means keeps
+# dense K x buckets summaries on the driver; 2^18 keeps that within a
+# default 1 GB local driver heap (the operators default to 2^20).
+ML_FEATURES = 1 << 18
+
+
+def _points(spark, sf_dir):
+    return fixtures.points(spark, sf_dir)
+
+
+@register("seed_points")
+def q_seed_points(spark, sf_dir):
+    return cluster.seed_points(_points(spark, sf_dir), SEED_IDS).select("cluster_id", "id")
+
+
+def _nearest_seed(spark, sf_dir):
+    pts = _points(spark, sf_dir)
+    seeds = cluster.seed_points(pts, SEED_IDS).collect()
+    return cluster.assign_nearest(pts, [(r["cluster_id"], r["v"]) for r in seeds])
+
+
+@register("nearest_seed_assign")
+def q_nearest_seed_assign(spark, sf_dir):
+    a = _nearest_seed(spark, sf_dir)
+    return a.select("id", "cluster_id", _r6("dist2").alias("dist2"))
+
+
+@register("centroid_update")
+def q_centroid_update(spark, sf_dir):
+    m = cluster.centroid_means(_nearest_seed(spark, sf_dir))
+    return m.select("cluster_id", "dim", _r6("value").alias("value"))
+
+
+def _lloyd(spark, sf_dir):
+    assigned, _ = cluster.lloyd_kmeans(_points(spark, sf_dir), SEED_IDS, LLOYD_STEPS)
+    return assigned
+
+
+@register("lloyd_kmeans_3iter")
+def q_lloyd_kmeans_3iter(spark, sf_dir):
+    return _lloyd(spark, sf_dir).select("id", "cluster_id", _r6("dist2").alias("dist2"))
+
+
+@register("cluster_sizes")
+def q_cluster_sizes(spark, sf_dir):
+    return cluster.cluster_sizes(_lloyd(spark, sf_dir), len(SEED_IDS))
+
+
+@register("cluster_errors")
+def q_cluster_errors(spark, sf_dir):
+    e = cluster.cluster_errors(_lloyd(spark, sf_dir), len(SEED_IDS))
+    return e.select("cluster_id", _r6("error").alias("error"))
+
+
+@register("cluster_wsse")
+def q_cluster_wsse(spark, sf_dir):
+    return cluster.wsse(_lloyd(spark, sf_dir)).select(_r6("wsse").alias("wsse"))
+
+
+@register("cluster_report")
+def q_cluster_report(spark, sf_dir):
+    e = cluster.cluster_errors(_lloyd(spark, sf_dir), len(SEED_IDS))
+    return e.select("cluster_id", "size", _r6("error").alias("error"))
+
+
+def _stand_in_clusters(spark, sf_dir):
+    # A fixed document -> cluster map (doc_id mod 5, 1-based) feeds the
+    # same per-cluster term ranking as the fitted models, so it can be
+    # checked against SQL.
+    d = _docs(spark, sf_dir)
+    return d.select("doc_id", (F.col("doc_id") % 5 + 1).cast("int").alias("cluster_id")), d
+
+
+@register("cluster_top_terms")
+def q_cluster_top_terms(spark, sf_dir):
+    dc, d = _stand_in_clusters(spark, sf_dir)
+    return cluster.cluster_terms(dc, text.doc_tokens(d), 10, descending=True)
+
+
+@register("cluster_rare_terms")
+def q_cluster_rare_terms(spark, sf_dir):
+    dc, d = _stand_in_clusters(spark, sf_dir)
+    return cluster.cluster_terms(dc, text.doc_tokens(d), 10, descending=False)
+
+
+def _library(spark, sf_dir, algorithm):
+    d = _docs(spark, sf_dir)
+    feats = text.hashed_features(d, num_features=ML_FEATURES, tfidf=True).select(
+        "doc_id", "features").persist()
+    model, pred = cluster.library_clusters(feats, algorithm, ML_K, ML_ITER, seed=42)
+    # the reference's library report lists the least frequent terms (Q7)
+    rep = cluster.library_report(pred, model.clusterCenters(), text.doc_tokens(d), ML_K,
+                                 descending=False)
+    out = rep.select("cluster_id", "size", "error", F.array_join("terms", ",").alias("terms"))
+    out = out.checkpoint()
+    feats.unpersist()
+    return out
+
+
+@register("kmeans_ml")
+def q_kmeans_ml(spark, sf_dir):
+    return _library(spark, sf_dir, "kmeans")
+
+
+@register("bisecting_kmeans_ml")
+def q_bisecting_kmeans_ml(spark, sf_dir):
+    return _library(spark, sf_dir, "bisecting")

@@ -251,3 +251,115 @@ FROM (VALUES (0, '>=0 and <1'), (1, '>=1 and <2'), (2, '>=2 and <3'),
 LEFT JOIN (SELECT CAST(least(floor(abs(rating - prediction)), 4) AS INTEGER) AS bucket,
                   count(*) AS n
            FROM scored GROUP BY 1) c ON b.bucket = c.bucket"""
+
+
+# ---------------------------------------------------------------- text
+
+TOKENS = """tokens AS (
+  SELECT doc_id, token, count(*) AS n
+  FROM (SELECT doc_id, unnest(string_split(rtrim(text), ' ')) AS token FROM documents) t
+  WHERE token <> '' GROUP BY doc_id, token),
+m AS (SELECT count(*) AS m FROM documents),
+dfs AS (SELECT token, count(*) AS df FROM tokens GROUP BY token)"""
+
+T = _with(TOKENS)
+ORACLE["doc_tokens"] = T + "SELECT doc_id, token, n FROM tokens"
+ORACLE["term_idf"] = T + f"""
+SELECT token, df, {round_half_up('ln((m.m + 1.0) / (df + 1.0))', 6)} AS idf FROM dfs, m"""
+ORACLE["term_tfidf"] = T + f"""
+SELECT t.doc_id, t.token, t.n, {round_half_up('t.n * ln((m.m + 1.0) / (d.df + 1.0))', 6)} AS tfidf
+FROM tokens t JOIN dfs d ON t.token = d.token, m"""
+ORACLE["term_tfidf_mindf2"] = T + f"""
+SELECT t.doc_id, t.token, t.n,
+  {round_half_up('CASE WHEN d.df >= 2 THEN t.n * ln((m.m + 1.0) / (d.df + 1.0)) ELSE 0.0 END', 6)} AS tfidf
+FROM tokens t JOIN dfs d ON t.token = d.token, m"""
+
+_TERMS = T + """, clusters AS (SELECT doc_id, CAST(doc_id % 5 + 1 AS INTEGER) AS cluster_id FROM documents),
+counts AS (SELECT c.cluster_id, t.token AS term, sum(t.n) AS cnt
+           FROM tokens t JOIN clusters c ON t.doc_id = c.doc_id GROUP BY 1, 2)
+"""
+ORACLE["cluster_top_terms"] = _TERMS + """
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt DESC, term) AS rank FROM counts)
+WHERE rank <= 10"""
+ORACLE["cluster_rare_terms"] = _TERMS + """
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt ASC, term) AS rank FROM counts)
+WHERE rank <= 10"""
+
+
+# ---------------------------------------------------------------- clustering
+
+def _sqdist(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(range(1, len({a}) + 1), "
+            f"lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])), lambda x, y: x + y)")
+
+
+POINTS = """pts AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings),
+c0 AS (
+  SELECT CAST(array_position([0, 1, 2, 3, 4], id) AS INTEGER) AS cluster_id, v
+  FROM pts WHERE id IN (0, 1, 2, 3, 4))"""
+
+
+def _assign(step: int, cents: str) -> str:
+    return f"""a{step} AS (
+  SELECT id, cluster_id, dist2 FROM (
+    SELECT p.id, c.cluster_id, {_sqdist('p.v', 'c.v')} AS dist2,
+           row_number() OVER (PARTITION BY p.id
+                              ORDER BY {_sqdist('p.v', 'c.v')}, c.cluster_id) AS rn
+    FROM pts p, {cents} c) s
+  WHERE rn = 1)"""
+
+
+def _update(step: int, assign: str, prev: str) -> str:
+    return f"""c{step} AS (
+  SELECT cluster_id, list(value ORDER BY dim) AS v FROM (
+    SELECT a.cluster_id, u.dim, avg(u.x) AS value
+    FROM {assign} a JOIN (SELECT id, unnest(v) AS x, unnest(range(len(v))) AS dim FROM pts) u
+      ON a.id = u.id
+    GROUP BY a.cluster_id, u.dim) s
+  GROUP BY cluster_id
+  UNION ALL
+  SELECT cluster_id, v FROM {prev} WHERE cluster_id NOT IN (SELECT cluster_id FROM {assign}))"""
+
+
+def _lloyd_sql(steps: int) -> str:
+    ctes = [POINTS]
+    for t in range(1, steps + 1):
+        ctes.append(_assign(t, f"c{t - 1}"))
+        ctes.append(_update(t, f"a{t}", f"c{t - 1}"))
+    ctes.append(_assign(steps + 1, f"c{steps}").replace(f"a{steps + 1} AS", "final AS"))
+    return _with(*ctes)
+
+
+_SEED = _with(POINTS, _assign(1, "c0"), _update(1, "a1", "c0"))
+ORACLE["seed_points"] = _with(POINTS) + "SELECT cluster_id, 0 AS x FROM c0"
+ORACLE["seed_points"] = _with(POINTS) + """
+SELECT CAST(array_position([0, 1, 2, 3, 4], id) AS INTEGER) AS cluster_id, id
+FROM pts WHERE id IN (0, 1, 2, 3, 4)"""
+ORACLE["nearest_seed_assign"] = _SEED + f"""
+SELECT id, cluster_id, {round_half_up('dist2', 6)} AS dist2 FROM a1"""
+ORACLE["centroid_update"] = _SEED + f"""
+SELECT a.cluster_id, CAST(u.dim AS INTEGER) AS dim, {round_half_up('avg(u.x)', 6)} AS value
+FROM a1 a JOIN (SELECT id, unnest(v) AS x, unnest(range(len(v))) AS dim FROM pts) u ON a.id = u.id
+GROUP BY a.cluster_id, u.dim"""
+
+_L3 = _lloyd_sql(3)
+_K = "(SELECT CAST(range + 1 AS INTEGER) AS cluster_id FROM range(5))"
+ORACLE["lloyd_kmeans_3iter"] = _L3 + f"""
+SELECT id, cluster_id, {round_half_up('dist2', 6)} AS dist2 FROM final"""
+ORACLE["cluster_sizes"] = _L3 + f"""
+SELECT k.cluster_id, coalesce(s.size, 0) AS size
+FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size FROM final GROUP BY 1) s
+  ON k.cluster_id = s.cluster_id"""
+ORACLE["cluster_errors"] = _L3 + f"""
+SELECT k.cluster_id, {round_half_up('sqrt(coalesce(s.sse, 0.0))', 6)} AS error
+FROM {_K} k LEFT JOIN (SELECT cluster_id, sum(dist2) AS sse FROM final GROUP BY 1) s
+  ON k.cluster_id = s.cluster_id"""
+ORACLE["cluster_wsse"] = _L3 + f"SELECT {round_half_up('sum(dist2)', 6)} AS wsse FROM final"
+ORACLE["cluster_report"] = _L3 + f"""
+SELECT k.cluster_id, coalesce(s.size, 0) AS size, {round_half_up('sqrt(coalesce(s.sse, 0.0))', 6)} AS error
+FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size, sum(dist2) AS sse FROM final GROUP BY 1) s
+  ON k.cluster_id = s.cluster_id"""
