@@ -20,11 +20,14 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, app: str = "tessera",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
     """Return the active session, or build a local one for tests."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.ui.enabled", "false")
