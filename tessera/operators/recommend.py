@@ -16,7 +16,8 @@ neighbour fall back to the user's mean.
 Scale notes: pair statistics come from one item self-join restricted
 on the left to users that occur in the test set, aggregated straight
 into six sums per pair (count, sums, sums of squares, cross sum), so
-each pair is one row after a single shuffle. The correlation is taken
+each pair is one row after a single shuffle. For predictions only the
+pairs that meet as neighbours are kept before aggregating. The correlation is taken
 from those integer sums, which makes zero variance an exact test. A hot
 item multiplies its raters; adaptive execution splits such skewed join
 partitions across tasks.
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up, safe_div
+from tessera.operators.skew import hot_keys, salted_join
 
 ZERO_WEIGHT_OFFSET = 0.01
 
@@ -52,13 +54,24 @@ def train_cap(train: DataFrame, n: int) -> DataFrame:
     return train.orderBy("user", "item").limit(n)
 
 
-def corated_sums(train: DataFrame, test: DataFrame) -> DataFrame:
+def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame:
+    """Items with so many raters that their joins must be spread out."""
+    return hot_keys(train, "item") if threshold is None else hot_keys(train, "item", threshold)
+
+
+def corated_sums(train: DataFrame, test: DataFrame, hot: DataFrame | None = None,
+                 pairs: DataFrame | None = None) -> DataFrame:
     """Per pair (u, v), u a test user and v != u: the sums over the
     items both rated.
 
     ``(u, v, n, s1, s2, s11, s22, s12)`` with 1 = u's ratings and
-    2 = v's ratings on the common items.
+    2 = v's ratings on the common items. Raters of a hot item are
+    spread over several tasks (:mod:`tessera.operators.skew`).
+    ``pairs`` (``u, v``), when given, keeps only those pairs: a
+    prediction needs weights only for pairs that meet as neighbours.
     """
+    if hot is None:
+        hot = hot_items(train)
     test_users = test.select(F.col("user").alias("u")).distinct()
     left = (
         train.select(F.col("user").alias("u"), "item", F.col("rating").alias("r1"))
@@ -66,10 +79,11 @@ def corated_sums(train: DataFrame, test: DataFrame) -> DataFrame:
     )
     right = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r2"))
     r1, r2 = F.col("r1").cast("bigint"), F.col("r2").cast("bigint")
+    co = salted_join(left, right, "item", hot).filter(F.col("u") != F.col("v"))
+    if pairs is not None:
+        co = co.join(pairs.select("u", "v"), ["u", "v"], "left_semi")
     return (
-        left.join(right, "item")
-        .filter(F.col("u") != F.col("v"))
-        .groupBy("u", "v")
+        co.groupBy("u", "v")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(r1).alias("s1"),
@@ -100,12 +114,15 @@ def pair_stats(sums: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(train: DataFrame, test: DataFrame) -> DataFrame:
+def neighbours(train: DataFrame, test: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """For every test pair (u, i): each other user v who rated i.
-    ``(u, item, v, r)``."""
+    ``(u, item, v, r)``; raters of hot items are spread over tasks."""
+    if hot is None:
+        hot = hot_items(train)
     t = test.select(F.col("user").alias("u"), "item")
     tr = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r"))
-    return t.join(tr, "item").filter(F.col("u") != F.col("v"))
+    return salted_join(t, tr, "item", hot).filter(F.col("u") != F.col("v")).select(
+        "u", "item", "v", "r")
 
 
 def cf_offsets(nbrs: DataFrame, stats: DataFrame) -> DataFrame:

@@ -210,9 +210,19 @@ def _r6(c):
     return round_half_up(c, 6)
 
 
+def _cf_inputs(spark, sf_dir):
+    """Ratings materialised once in the checkpoint folder (every CF stage
+    reads them several times), split into train and test, plus the hot
+    items whose joins are salted."""
+    r = fixtures.ratings(spark, sf_dir).checkpoint()
+    flag = fixtures.is_test_rating(F.col("user"), F.col("item"))
+    train, test = r.filter(~flag), r.filter(flag)
+    return train, test, recommend.hot_items(train)
+
+
 def _pairs(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    return recommend.pair_stats(recommend.corated_sums(train, test))
+    train, test, hot = _cf_inputs(spark, sf_dir)
+    return recommend.pair_stats(recommend.corated_sums(train, test, hot))
 
 
 @register("corated_pairs")
@@ -233,44 +243,40 @@ def q_pearson_weights(spark, sf_dir):
 
 @register("cf_neighbours")
 def q_cf_neighbours(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    return recommend.neighbours(train, test)
+    train, test, hot = _cf_inputs(spark, sf_dir)
+    return recommend.neighbours(train, test, hot)
 
 
-def _offsets(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    stats = recommend.pair_stats(recommend.corated_sums(train, test))
-    return recommend.cf_offsets(recommend.neighbours(train, test), stats)
+def _cf(spark, sf_dir):
+    train, test, hot = _cf_inputs(spark, sf_dir)
+    nbrs = recommend.neighbours(train, test, hot)
+    pairs = nbrs.select("u", "v").distinct()
+    stats = recommend.pair_stats(recommend.corated_sums(train, test, hot, pairs))
+    offsets = recommend.cf_offsets(nbrs, stats)
+    ustats = recommend.user_rating_stats(train)
+    return train, test, ustats, offsets, recommend.cf_predictions(offsets, ustats)
 
 
 @register("cf_offsets")
 def q_cf_offsets(spark, sf_dir):
-    o = _offsets(spark, sf_dir)
+    o = _cf(spark, sf_dir)[3]
     return o.select("user", "item", _r6("num").alias("num"), _r6("den").alias("den"))
 
 
-def _cf(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    stats = recommend.pair_stats(recommend.corated_sums(train, test))
-    offsets = recommend.cf_offsets(recommend.neighbours(train, test), stats)
-    ustats = recommend.user_rating_stats(train)
-    return train, test, ustats, recommend.cf_predictions(offsets, ustats)
-
-
 @register("cf_predictions")
 def q_cf_predictions(spark, sf_dir):
-    _, _, _, preds = _cf(spark, sf_dir)
+    preds = _cf(spark, sf_dir)[4]
     return preds.select("user", "item", _r6("prediction").alias("prediction"))
 
 
 @register("cf_unpredicted")
 def q_cf_unpredicted(spark, sf_dir):
-    _, test, _, preds = _cf(spark, sf_dir)
+    _, test, _, _, preds = _cf(spark, sf_dir)
     return test.join(preds, ["user", "item"], "left_anti")
 
 
 def _cf_scored(spark, sf_dir):
-    _, test, ustats, preds = _cf(spark, sf_dir)
+    _, test, ustats, _, preds = _cf(spark, sf_dir)
     return recommend.cf_complete(test, preds, ustats, clamp="reference")
 
 
@@ -293,7 +299,7 @@ def q_cf_error_histogram(spark, sf_dir):
 # ---------------------------------------------------------------- ALS
 
 def _als(spark, sf_dir):
-    r = fixtures.ratings(spark, sf_dir)
+    r = fixtures.ratings(spark, sf_dir).checkpoint()
     users = dense_ids(r, "user", "user_id")
     items = dense_ids(r, "item", "item_id")
     enc = r.join(users, "user").join(items, "item").withColumn(

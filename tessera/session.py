@@ -31,6 +31,8 @@ def get_session(master: str | None = None, app: str = "tessera",
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.ui.enabled", "false")
+    # remove checkpoint files once their DataFrame is garbage-collected
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = builder.getOrCreate()
     configure(spark)
     return spark
