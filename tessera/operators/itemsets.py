@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import broadcast_if_small
+
 
 def clean_basket_items(df: DataFrame) -> DataFrame:
     """Trim items, drop empty ones and duplicates within a basket."""
@@ -64,16 +66,18 @@ def _as_itemsets(df: DataFrame, items_col: str = "items") -> DataFrame:
 
 
 def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | None = None,
-                        checkpoint_every: int = 1) -> DataFrame:
+                        checkpoint_every: int = 3) -> DataFrame:
     """All itemsets with support >= ``support``.
 
     Returns ``(size, items, support)``; ``items`` are sorted and joined
     with ``,``. Iterates until a level finds nothing (or ``max_size``):
     the driver loop runs once per itemset size.
     """
-    f1 = frequent_singles(basket_items, support)
+    f1 = frequent_singles(basket_items, support).persist()
     # Frequent items of each basket, the only ones that can extend a set.
-    e1 = basket_items.join(f1.select("item"), "item", "left_semi").persist()
+    # At most (rows / support) items are frequent; the table is broadcast
+    # after a size check, so the baskets are not shuffled by item.
+    e1 = basket_items.join(broadcast_if_small(f1.select("item")), "item", "left_semi").persist()
     levels = [f1.select(F.array("item").alias("items"), "support")]
     prev = e1.select("basket_id", F.array("item").alias("items"), F.col("item").alias("last"))
     k = 1
@@ -94,11 +98,12 @@ def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | N
             break
         levels.append(fk)
         # Sets of this level present in each basket: the next level's
-        # input, written to the checkpoint folder to cut the lineage.
+        # input. Kept (memory and disk), and every few levels written to
+        # the checkpoint folder so the lineage stays short.
         prev = ext.join(fk.select("items"), "items", "left_semi")
         if k % checkpoint_every == 0:
             prev = prev.checkpoint()
-        ext.unpersist()
+            ext.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
@@ -115,9 +120,9 @@ def fpgrowth_itemsets(basket_items: DataFrame, support: int, n_baskets: int) ->
     """
     from pyspark.ml.fpm import FPGrowth
 
-    f1 = frequent_singles(basket_items, support).select("item")
+    f1 = frequent_singles(basket_items, support).select("item").persist()
     tx = (
-        basket_items.join(f1, "item", "left_semi")
+        basket_items.join(broadcast_if_small(f1), "item", "left_semi")
         .groupBy("basket_id").agg(F.collect_set("item").alias("items"))
     )
     model = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / n_baskets,

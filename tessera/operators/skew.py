@@ -60,3 +60,14 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) ->
         .drop("_buckets")
     )
     return l.join(r, [key, "_salt"]).drop("_salt")
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting it: at most
+    ``max_rows`` rows are shipped to every task; a larger table is left
+    to a shuffle join. ``df`` should be persisted or checkpointed, as
+    the count runs it once."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -88,7 +88,10 @@ def q_partition_skew(spark, sf_dir):
 # ---------------------------------------------------------------- itemsets
 
 def _basket_items(spark, sf_dir):
-    return itemsets.clean_basket_items(fixtures.basket_items(spark, sf_dir))
+    # Kept once (memory and disk): the count, the frequent singles and
+    # every level read it again; its lineage is one scan, join and
+    # distinct, so a lost block is cheap to recompute.
+    return itemsets.clean_basket_items(fixtures.basket_items(spark, sf_dir)).persist()
 
 
 def _support(bi):
