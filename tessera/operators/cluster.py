@@ -143,7 +143,7 @@ def library_clusters(features: DataFrame, algorithm: str, k: int, max_iter: int,
     from pyspark.ml.clustering import BisectingKMeans, KMeans
 
     if algorithm == "kmeans":
-        est = KMeans(k=k, maxIter=max_iter, seed=seed, tol=0.0, initMode="k-means||",
+        est = KMeans(k=k, maxIter=max_iter, seed=seed, initMode="k-means||",
                      featuresCol="features", predictionCol="pred")
     elif algorithm == "bisecting":
         est = BisectingKMeans(k=k, maxIter=max_iter, seed=seed,

@@ -473,15 +473,16 @@ def q_cluster_rare_terms(spark, sf_dir):
 
 def _library(spark, sf_dir, algorithm):
     d = _docs(spark, sf_dir)
-    feats = text.hashed_features(d, num_features=ML_FEATURES, tfidf=True).select(
-        "doc_id", "features").persist()
-    model, pred = cluster.library_clusters(feats, algorithm, ML_K, ML_ITER, seed=42)
+    tf = text.hashed_tf(d, ML_FEATURES).persist()  # read by the IDF fit and transform
+    feats = text.idf_transform(tf).select("doc_id", "words", "features")
+    model, pred = cluster.library_clusters(feats.select("doc_id", "features"), algorithm,
+                                           ML_K, ML_ITER, seed=42)
     # the reference's library report lists the least frequent terms (Q7)
-    rep = cluster.library_report(pred, model.clusterCenters(), text.doc_tokens(d), ML_K,
-                                 descending=False)
+    rep = cluster.library_report(pred, model.clusterCenters(), text.tokens_from_words(feats),
+                                 ML_K, descending=False)
     out = rep.select("cluster_id", "size", "error", F.array_join("terms", ",").alias("terms"))
     out = out.checkpoint()
-    feats.unpersist()
+    tf.unpersist()
     return out
 
 
