@@ -178,11 +178,18 @@ def cf_complete(test: DataFrame, preds: DataFrame, user_stats: DataFrame,
 # ---------------------------------------------------------------- ALS
 
 def als_fit(train_ids: DataFrame, rank: int = 20, max_iter: int = 20, reg: float = 0.3,
-            seed: int = 42):
-    """Explicit ALS on ``(user_id, item_id, rating)`` with int ids."""
+            seed: int = 42, blocks: int | None = None):
+    """Explicit ALS on ``(user_id, item_id, rating)`` with int ids.
+
+    Factor blocks default to the cluster's parallelism (one block per
+    core); factors are checkpointed every 10 iterations.
+    """
     from pyspark.ml.recommendation import ALS
 
+    if blocks is None:
+        blocks = train_ids.sparkSession.sparkContext.defaultParallelism
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
               userCol="user_id", itemCol="item_id", ratingCol="rating",
-              coldStartStrategy="drop", checkpointInterval=5)
+              coldStartStrategy="drop", checkpointInterval=10,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(train_ids)
