@@ -224,3 +224,84 @@ def report_json(report: DataFrame, algorithm: str) -> DataFrame:
         F.sum(F.col("error") * F.col("error")).alias("WSSE"),
         clusters.alias("Clusters"),
     ).select(F.to_json(F.struct("algorithm", "WSSE", "Clusters")).alias("json"))
+
+
+# ------------------------------------------------- sparse term vectors
+#
+# Documents as long-form vectors ``(doc_id, term, val)`` over the exact
+# vocabulary. Centers are long-form too ``(cluster_id, term, c)``: the
+# vocabulary grows with the data, so centers stay distributed; they are
+# broadcast only after a row-count check, otherwise joined with hot terms
+# salted.
+
+def _join_centers(entries: DataFrame, centers: DataFrame, dim: str) -> DataFrame:
+    from tessera.operators.skew import BROADCAST_MAX_ROWS, hot_keys, salted_join
+
+    if centers.count() <= BROADCAST_MAX_ROWS:
+        return entries.join(F.broadcast(centers), dim)
+    return salted_join(centers, entries, dim, hot_keys(entries, dim))
+
+
+def sparse_assign(docs: DataFrame, entries: DataFrame, centers: DataFrame, k: int,
+                  dim: str = "term") -> DataFrame:
+    """``(doc_id, cluster_id, dist2)``: nearest center by
+    ||x||^2 + ||c||^2 - 2 x.c, lowest cluster id on ties. ``docs`` lists
+    every document (``doc_id``), so documents without terms are placed
+    too. ``centers`` must be persisted or checkpointed."""
+    norms = dict(centers.groupBy("cluster_id").agg(F.sum(F.col("c") * F.col("c"))).collect())
+    cnorm = F.array(*[F.lit(float(norms.get(cid, 0.0))) for cid in range(1, k + 1)])
+    dots = (
+        _join_centers(entries, centers, dim)
+        .groupBy("doc_id", "cluster_id").agg(F.sum(F.col("val") * F.col("c")).alias("xc"))
+        .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cluster_id", "xc"))).alias("xc"))
+    )
+    xx = entries.groupBy("doc_id").agg(F.sum(F.col("val") * F.col("val")).alias("xx"))
+    cand = F.transform(
+        F.sequence(F.lit(1), F.lit(k)),
+        lambda cid: F.struct(
+            (F.col("xx") + F.element_at(cnorm, cid)
+             - 2 * F.coalesce(F.element_at(F.col("xc"), cid), F.lit(0.0))).alias("d"),
+            cid.alias("cid")))
+    return (
+        docs.select("doc_id").join(xx, "doc_id", "left").join(dots, "doc_id", "left")
+        .withColumn("xx", F.coalesce("xx", F.lit(0.0)))
+        .withColumn("xc", F.coalesce("xc", F.create_map().cast("map<int,double>")))
+        .select("doc_id", F.array_min(cand).alias("_b"))
+        .select("doc_id", F.col("_b.cid").alias("cluster_id"),
+                F.greatest(F.col("_b.d"), F.lit(0.0)).alias("dist2"))
+    )
+
+
+def sparse_means(entries: DataFrame, assigned: DataFrame, previous: DataFrame,
+                 dim: str = "term") -> DataFrame:
+    """New centers: the mean vector of each cluster's documents; a
+    cluster that lost all documents keeps its previous center."""
+    sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    sums = (
+        entries.join(assigned.select("doc_id", "cluster_id"), "doc_id")
+        .groupBy("cluster_id", dim).agg(F.sum("val").alias("s"))
+    )
+    moved = sums.join(sizes, "cluster_id").select("cluster_id", dim, (F.col("s") / F.col("size")).alias("c"))
+    kept = previous.join(sizes, "cluster_id", "left_anti")
+    return moved.unionByName(kept)
+
+
+def sparse_seed_centers(entries: DataFrame, seed_ids: Sequence[int], dim: str = "term") -> DataFrame:
+    pos = F.array_position(F.array(*[F.lit(i) for i in seed_ids]), F.col("doc_id")).cast("int")
+    return entries.filter(F.col("doc_id").isin(list(seed_ids))).select(
+        pos.alias("cluster_id"), dim, F.col("val").alias("c"))
+
+
+def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], iterations: int,
+                 dim: str = "term"):
+    """Lloyd's algorithm on long-form sparse vectors from explicit seed
+    documents. ``iterations=0`` gives the nearest-seed assignment.
+    Centers are checkpointed every step (short lineage, survives
+    executor loss). Returns ``(assignment, centers)``."""
+    k = len(seed_ids)
+    centers = sparse_seed_centers(entries, seed_ids, dim).checkpoint()
+    for _ in range(iterations):
+        assigned = sparse_assign(docs, entries, centers, k, dim).persist()
+        centers = sparse_means(entries, assigned, centers, dim).checkpoint()
+        assigned.unpersist()
+    return sparse_assign(docs, entries, centers, k, dim), centers

@@ -494,3 +494,53 @@ def q_kmeans_ml(spark, sf_dir):
 @register("bisecting_kmeans_ml")
 def q_bisecting_kmeans_ml(spark, sf_dir):
     return _library(spark, sf_dir, "bisecting")
+
+
+# ------------------------------------------------ text K-means (sparse)
+
+TEXT_SEEDS = (0, 1, 2, 3, 4)
+TEXT_STEPS = 3
+
+
+def _r3(c):
+    return round_half_up(c, 3)
+
+
+def _text_entries(spark, sf_dir, weighting):
+    d = _docs(spark, sf_dir)
+    toks = text.doc_tokens(d).persist()
+    ent = text.term_vectors(toks, text.doc_count(d), weighting).persist()
+    return d, toks, ent
+
+
+@register("text_seed_assign_tf")
+def q_text_seed_assign_tf(spark, sf_dir):
+    # The hand-written job's observable result: every document on its
+    # nearest seed document, word-count vectors (exact integers).
+    d, _, ent = _text_entries(spark, sf_dir, "tf")
+    assigned, _ = cluster.sparse_lloyd(d, ent, TEXT_SEEDS, 0)
+    return assigned
+
+
+def _text_kmeans(spark, sf_dir):
+    d, toks, ent = _text_entries(spark, sf_dir, "tfidf")
+    assigned, _ = cluster.sparse_lloyd(d, ent, TEXT_SEEDS, TEXT_STEPS)
+    return assigned.persist(), toks
+
+
+@register("text_kmeans_tfidf")
+def q_text_kmeans_tfidf(spark, sf_dir):
+    assigned, _ = _text_kmeans(spark, sf_dir)
+    return assigned.select("doc_id", "cluster_id", _r3("dist2").alias("dist2"))
+
+
+@register("text_cluster_report")
+def q_text_cluster_report(spark, sf_dir):
+    assigned, toks = _text_kmeans(spark, sf_dir)
+    k = len(TEXT_SEEDS)
+    errs = cluster.cluster_errors(assigned, k)
+    terms = cluster.cluster_terms(assigned, toks, 10, descending=True).groupBy("cluster_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
+                                 lambda s: s["term"]), ",").alias("terms"))
+    return errs.join(terms, "cluster_id", "left").select(
+        "cluster_id", "size", _r3("error").alias("error"), "terms")

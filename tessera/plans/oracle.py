@@ -363,3 +363,71 @@ ORACLE["cluster_report"] = _L3 + f"""
 SELECT k.cluster_id, coalesce(s.size, 0) AS size, {round_half_up('sqrt(coalesce(s.sse, 0.0))', 6)} AS error
 FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size, sum(dist2) AS sse FROM final GROUP BY 1) s
   ON k.cluster_id = s.cluster_id"""
+
+
+# ------------------------------------------------ text K-means (sparse)
+
+def _text_entries_sql(weighting: str) -> str:
+    if weighting == "tf":
+        return "ent AS (SELECT doc_id, token AS term, CAST(n AS DOUBLE) AS val FROM tokens)"
+    return """ent AS (SELECT t.doc_id, t.token AS term, t.n * ln((m.m + 1.0) / (d.df + 1.0)) AS val
+           FROM tokens t JOIN dfs d ON t.token = d.token, m)"""
+
+
+def _sparse_assign_sql(step: int, cents: str) -> str:
+    return f"""a{step} AS (
+  SELECT doc_id, cluster_id, greatest(raw, 0.0) AS dist2 FROM (
+    SELECT d.doc_id, k.cluster_id,
+           coalesce(x.xx, 0.0) + coalesce(cn.cn, 0.0) - 2 * coalesce(dt.xc, 0.0) AS raw,
+           row_number() OVER (PARTITION BY d.doc_id
+             ORDER BY coalesce(x.xx, 0.0) + coalesce(cn.cn, 0.0) - 2 * coalesce(dt.xc, 0.0),
+                      k.cluster_id) AS rn
+    FROM (SELECT doc_id FROM documents) d
+    CROSS JOIN (SELECT CAST(range AS INTEGER) AS cluster_id FROM range(1, 6)) k
+    LEFT JOIN xx x ON x.doc_id = d.doc_id
+    LEFT JOIN (SELECT cluster_id, sum(c * c) AS cn FROM {cents} GROUP BY 1) cn
+      ON cn.cluster_id = k.cluster_id
+    LEFT JOIN (SELECT e.doc_id, c.cluster_id, sum(e.val * c.c) AS xc
+               FROM ent e JOIN {cents} c ON e.term = c.term GROUP BY 1, 2) dt
+      ON dt.doc_id = d.doc_id AND dt.cluster_id = k.cluster_id) s
+  WHERE rn = 1)"""
+
+
+def _sparse_update_sql(step: int, assign: str, prev: str) -> str:
+    return f"""c{step} AS (
+  SELECT s.cluster_id, s.term, s.s / z.size AS c
+  FROM (SELECT a.cluster_id, e.term, sum(e.val) AS s
+        FROM ent e JOIN {assign} a ON e.doc_id = a.doc_id GROUP BY 1, 2) s
+  JOIN (SELECT cluster_id, count(*) AS size FROM {assign} GROUP BY 1) z ON s.cluster_id = z.cluster_id
+  UNION ALL
+  SELECT cluster_id, term, c FROM {prev} WHERE cluster_id NOT IN (SELECT cluster_id FROM {assign}))"""
+
+
+def _sparse_lloyd_sql(weighting: str, steps: int) -> str:
+    ctes = [TOKENS, _text_entries_sql(weighting),
+            "xx AS (SELECT doc_id, sum(val * val) AS xx FROM ent GROUP BY 1)",
+            """c0 AS (SELECT CAST(array_position([0, 1, 2, 3, 4], doc_id) AS INTEGER) AS cluster_id,
+                  term, val AS c FROM ent WHERE doc_id IN (0, 1, 2, 3, 4))"""]
+    for t in range(1, steps + 1):
+        ctes.append(_sparse_assign_sql(t, f"c{t - 1}"))
+        ctes.append(_sparse_update_sql(t, f"a{t}", f"c{t - 1}"))
+    ctes.append(_sparse_assign_sql(steps + 1, f"c{steps}").replace(f"a{steps + 1} AS", "final AS", 1))
+    return _with(*ctes)
+
+
+ORACLE["text_seed_assign_tf"] = _sparse_lloyd_sql("tf", 0) + "SELECT doc_id, cluster_id, dist2 FROM final"
+
+_TK = _sparse_lloyd_sql("tfidf", 3)
+ORACLE["text_kmeans_tfidf"] = _TK + f"""
+SELECT doc_id, cluster_id, {round_half_up('dist2', 3)} AS dist2 FROM final"""
+ORACLE["text_cluster_report"] = _TK + f""",
+agg AS (SELECT cluster_id, count(*) AS size, sum(dist2) AS sse FROM final GROUP BY 1),
+cnt AS (SELECT f.cluster_id, t.token AS term, sum(t.n) AS cnt
+        FROM tokens t JOIN final f ON t.doc_id = f.doc_id GROUP BY 1, 2),
+top AS (SELECT cluster_id, term, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt DESC, term) AS rank
+        FROM cnt)
+SELECT k.cluster_id, coalesce(a.size, 0) AS size,
+       {round_half_up('sqrt(coalesce(a.sse, 0.0))', 3)} AS error,
+       (SELECT string_agg(term, ',' ORDER BY rank) FROM top WHERE top.cluster_id = k.cluster_id AND rank <= 10) AS terms
+FROM (SELECT CAST(range AS INTEGER) AS cluster_id FROM range(1, 6)) k
+LEFT JOIN agg a ON a.cluster_id = k.cluster_id"""
