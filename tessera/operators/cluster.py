@@ -234,38 +234,51 @@ def report_json(report: DataFrame, algorithm: str) -> DataFrame:
 # broadcast only after a row-count check, otherwise joined with hot terms
 # salted.
 
-def _join_centers(entries: DataFrame, centers: DataFrame, dim: str) -> DataFrame:
+def _center_stats(centers: DataFrame) -> tuple[dict[int, float], int]:
+    """Squared norm of each center and the total number of center rows
+    (one small aggregate, K rows to the driver)."""
+    rows = centers.groupBy("cluster_id").agg(
+        F.sum(F.col("c") * F.col("c")).alias("cn"), F.count(F.lit(1)).alias("m")).collect()
+    return {r["cluster_id"]: float(r["cn"]) for r in rows}, sum(r["m"] for r in rows)
+
+
+def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, n_center_rows: int) -> DataFrame:
     from tessera.operators.skew import BROADCAST_MAX_ROWS, hot_keys, salted_join
 
-    if centers.count() <= BROADCAST_MAX_ROWS:
+    if n_center_rows <= BROADCAST_MAX_ROWS:
         return entries.join(F.broadcast(centers), dim)
     return salted_join(centers, entries, dim, hot_keys(entries, dim))
 
 
+def doc_norms(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """``(doc_id, xx)``: squared norm of every document (0 without terms)."""
+    xx = entries.groupBy("doc_id").agg(F.sum(F.col("val") * F.col("val")).alias("xx"))
+    return docs.select("doc_id").join(xx, "doc_id", "left").select(
+        "doc_id", F.coalesce("xx", F.lit(0.0)).alias("xx"))
+
+
 def sparse_assign(docs: DataFrame, entries: DataFrame, centers: DataFrame, k: int,
-                  dim: str = "term") -> DataFrame:
+                  dim: str = "term", norms: DataFrame | None = None) -> DataFrame:
     """``(doc_id, cluster_id, dist2)``: nearest center by
     ||x||^2 + ||c||^2 - 2 x.c, lowest cluster id on ties. ``docs`` lists
     every document (``doc_id``), so documents without terms are placed
-    too. ``centers`` must be persisted or checkpointed."""
-    norms = dict(centers.groupBy("cluster_id").agg(F.sum(F.col("c") * F.col("c"))).collect())
-    cnorm = F.array(*[F.lit(float(norms.get(cid, 0.0))) for cid in range(1, k + 1)])
-    dots = (
-        _join_centers(entries, centers, dim)
-        .groupBy("doc_id", "cluster_id").agg(F.sum(F.col("val") * F.col("c")).alias("xc"))
-        .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cluster_id", "xc"))).alias("xc"))
-    )
-    xx = entries.groupBy("doc_id").agg(F.sum(F.col("val") * F.col("val")).alias("xx"))
-    cand = F.transform(
-        F.sequence(F.lit(1), F.lit(k)),
-        lambda cid: F.struct(
-            (F.col("xx") + F.element_at(cnorm, cid)
-             - 2 * F.coalesce(F.element_at(F.col("xc"), cid), F.lit(0.0))).alias("d"),
-            cid.alias("cid")))
+    too; ``norms`` (:func:`doc_norms`) may be passed in when reused.
+    ``centers`` must be persisted or checkpointed."""
+    cn, n_rows = _center_stats(centers)
+    cnorm = [float(cn.get(cid, 0.0)) for cid in range(1, k + 1)]
+    if norms is None:
+        norms = doc_norms(docs, entries)
+    # the K dot products of a document in one aggregation (K is a parameter)
+    prod = F.col("val") * F.col("c")
+    dots = _join_centers(entries, centers, dim, n_rows).groupBy("doc_id").agg(
+        *[F.sum(F.when(F.col("cluster_id") == cid, prod)).alias(f"_xc{cid}") for cid in range(1, k + 1)])
+    cand = F.array(*[
+        F.struct((F.col("xx") + F.lit(cnorm[cid - 1])
+                  - 2 * F.coalesce(F.col(f"_xc{cid}"), F.lit(0.0))).alias("d"),
+                 F.lit(cid).alias("cid"))
+        for cid in range(1, k + 1)])
     return (
-        docs.select("doc_id").join(xx, "doc_id", "left").join(dots, "doc_id", "left")
-        .withColumn("xx", F.coalesce("xx", F.lit(0.0)))
-        .withColumn("xc", F.coalesce("xc", F.create_map().cast("map<int,double>")))
+        norms.join(dots, "doc_id", "left")
         .select("doc_id", F.array_min(cand).alias("_b"))
         .select("doc_id", F.col("_b.cid").alias("cluster_id"),
                 F.greatest(F.col("_b.d"), F.lit(0.0)).alias("dist2"))
@@ -299,9 +312,10 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
     Centers are checkpointed every step (short lineage, survives
     executor loss). Returns ``(assignment, centers)``."""
     k = len(seed_ids)
+    norms = doc_norms(docs, entries).persist()
     centers = sparse_seed_centers(entries, seed_ids, dim).checkpoint()
     for _ in range(iterations):
-        assigned = sparse_assign(docs, entries, centers, k, dim).persist()
+        assigned = sparse_assign(docs, entries, centers, k, dim, norms).persist()
         centers = sparse_means(entries, assigned, centers, dim).checkpoint()
         assigned.unpersist()
-    return sparse_assign(docs, entries, centers, k, dim), centers
+    return sparse_assign(docs, entries, centers, k, dim, norms), centers

@@ -54,12 +54,13 @@ def train_cap(train: DataFrame, n: int) -> DataFrame:
     return train.orderBy("user", "item").limit(n)
 
 
-def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame:
-    """Items with so many raters that their joins must be spread out."""
+def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame | None:
+    """Items with so many raters that their joins must be spread out
+    (``None`` when there are none)."""
     return hot_keys(train, "item") if threshold is None else hot_keys(train, "item", threshold)
 
 
-def corated_sums(train: DataFrame, test: DataFrame, hot: DataFrame | None = None,
+def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
                  pairs: DataFrame | None = None) -> DataFrame:
     """Per pair (u, v), u a test user and v != u: the sums over the
     items both rated.
@@ -70,7 +71,7 @@ def corated_sums(train: DataFrame, test: DataFrame, hot: DataFrame | None = None
     ``pairs`` (``u, v``), when given, keeps only those pairs: a
     prediction needs weights only for pairs that meet as neighbours.
     """
-    if hot is None:
+    if isinstance(hot, str):
         hot = hot_items(train)
     test_users = test.select(F.col("user").alias("u")).distinct()
     left = (
@@ -114,10 +115,11 @@ def pair_stats(sums: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(train: DataFrame, test: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def neighbours(train: DataFrame, test: DataFrame, hot="auto") -> DataFrame:
     """For every test pair (u, i): each other user v who rated i.
-    ``(u, item, v, r)``; raters of hot items are spread over tasks."""
-    if hot is None:
+    ``(u, item, v, r)``; raters of hot items are spread over tasks
+    (``hot``: from :func:`hot_items`, ``None`` for none, ``"auto"``)."""
+    if isinstance(hot, str):
         hot = hot_items(train)
     t = test.select(F.col("user").alias("u"), "item")
     tr = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r"))

@@ -4,7 +4,8 @@ A key holding a large share of the rows would put all of its join
 output on one task. :func:`hot_keys` finds such keys with one
 pre-aggregated count (map-side combine, so the hot key itself is never
 shuffled row by row) and keeps at most ``limit`` of them, which bounds
-the broadcast of the hot-key table. :func:`salted_join` then spreads
+the broadcast of the hot-key table; when no key is hot the join stays a
+plain one. :func:`salted_join` then spreads
 each hot key over ``buckets`` tasks: the right side's rows of that key
 are dealt to buckets by a deterministic hash of their columns, the left
 side's rows are replicated to every bucket, so each (left, right) pair
@@ -16,39 +17,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_THRESHOLD = 50_000   # rows per key a single task should take
 DEFAULT_LIMIT = 10_000       # most hot keys kept (bounds the broadcast)
 MAX_BUCKETS = 256
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_THRESHOLD,
-             limit: int = DEFAULT_LIMIT, max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """``(key, _buckets)`` for the at most ``limit`` keys with more than
-    ``threshold`` rows; ``_buckets`` = ceil(rows / threshold), capped."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.filter(F.col("_rows") > threshold)
-        .orderBy(F.col("_rows").desc(), F.col(key))
+def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str,
+                         threshold: int = DEFAULT_THRESHOLD, limit: int = DEFAULT_LIMIT,
+                         max_buckets: int = MAX_BUCKETS) -> DataFrame | None:
+    """``(key, _buckets)`` for the at most ``limit`` keys whose count
+    exceeds ``threshold`` (``_buckets`` = ceil(count / threshold),
+    capped), or ``None`` when no key is hot. At most ``limit`` rows
+    reach the driver."""
+    top = (
+        counts.filter(F.col(count_col) > threshold)
+        .orderBy(F.col(count_col).desc(), F.col(key))
         .limit(limit)
-        .select(key, F.least(F.ceil(F.col("_rows") / threshold), F.lit(max_buckets))
-                .cast("int").alias("_buckets"))
+        .collect()
     )
+    if not top:
+        return None
+    spark = counts.sparkSession
+    key_type = counts.schema[key].dataType
+    schema = T.StructType([T.StructField(key, key_type), T.StructField("_buckets", T.IntegerType())])
+    rows = [(r[key], int(min(max_buckets, -(-r[count_col] // threshold)))) for r in top]
+    return spark.createDataFrame(rows, schema)
+
+
+def hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_THRESHOLD,
+             limit: int = DEFAULT_LIMIT, max_buckets: int = MAX_BUCKETS) -> DataFrame | None:
+    """Hot keys of ``df`` by row count (one pre-aggregated count)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return hot_keys_from_counts(counts, key, "_rows", threshold, limit, max_buckets)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Inner equi-join on ``key`` with hot keys spread over buckets.
 
     ``hot`` comes from :func:`hot_keys` and is broadcast: its row count
-    is bounded by the ``limit`` it was built with.
+    is bounded by the ``limit`` it was built with. Without hot keys this
+    is a plain join, planned as the optimizer sees fit.
     """
+    if hot is None:
+        return left.join(right, key)
     h = F.broadcast(hot)
-    r_cols = [c for c in right.columns]
     r = (
         right.join(h, key, "left")
         .withColumn("_salt", F.when(
             F.col("_buckets").isNotNull(),
-            F.pmod(F.xxhash64(*[F.col(c) for c in r_cols]), F.col("_buckets"))).otherwise(F.lit(0)))
+            F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col("_buckets")))
+            .otherwise(F.lit(0).cast("bigint")))
         .drop("_buckets")
     )
     l = (

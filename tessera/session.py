@@ -38,12 +38,30 @@ def get_session(master: str | None = None, app: str = "tessera",
     return spark
 
 
+# On a cluster: start shuffles with many partitions and let adaptive
+# execution coalesce them to ~128 MB by measured size, so large inputs
+# never produce oversized partitions (applied only when unset).
+_CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Fill in defaults that are unset; never overwrite cluster settings."""
     conf = spark.conf
     for key, value in _DEFAULTS.items():
         if conf.get(key, None) is None:
             conf.set(key, value)
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        explicit = dict(sc.getConf().getAll())
+        for key, value in _CLUSTER_DEFAULTS.items():
+            if key not in explicit:
+                conf.set(key, value)
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        if key not in explicit:
+            conf.set(key, str(max(int(conf.get("spark.sql.shuffle.partitions")),
+                                  4 * sc.defaultParallelism)))
     ensure_checkpoint_dir(spark)
     return spark
 
