@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
+from tessera.operators import cluster, itemsets, recommend, survey, text
 from tessera.operators.dictionary import dense_ids
 from tessera.sources import files, sinks
 from tessera.session import configure
