@@ -56,3 +56,17 @@ def test_partition_skew_sizes_agree(spark):
         by.setdefault(r["strategy"], []).append(r["rows"])
     assert sum(by["standard"]) == sum(by["partition"]) == 200
     assert len(by["standard"]) == len(by["partition"]) == 2
+
+
+def test_hash_sizes_equal_physical_repartition(spark):
+    df = spark.createDataFrame([(i, f"c{i % 7}") for i in range(500)] + [(0, "hot")] * 300,
+                               "resp_id long, Country string")
+    computed = {r["partition"]: r["rows"] for r in survey.hash_partition_sizes(df, 3, "Country").collect()}
+    physical = {r["partition"]: r["rows"] for r in survey.partition_sizes(df.repartition(3, "Country"), "x", 3).collect()}
+    assert computed == physical
+
+
+def test_round_robin_sizes_balanced(spark):
+    df = spark.createDataFrame([(i,) for i in range(1003)], "resp_id long").repartition(5)
+    sizes = [r["rows"] for r in survey.round_robin_sizes(df, 4).collect()]
+    assert sum(sizes) == 1003 and max(sizes) - min(sizes) <= 5
