@@ -45,9 +45,17 @@ def default_support(n_baskets: int, percent: int = 11) -> int:
 
 
 def baskets(basket_items: DataFrame) -> DataFrame:
-    """Distinct ``(basket_id, item)`` with each basket's size."""
-    sizes = basket_items.groupBy("basket_id").agg(F.count(F.lit(1)).alias("basket_size"))
-    return basket_items.join(sizes, "basket_id")
+    """Distinct ``(basket_id, item)`` with each basket's size.
+
+    The size table is the row count per basket, so very large baskets
+    are known from it without another pass and their rows are spread
+    over several tasks in the join back.
+    """
+    from tessera.operators.skew import hot_keys_from_counts, salted_join
+
+    sizes = basket_items.groupBy("basket_id").agg(F.count(F.lit(1)).alias("basket_size")).persist()
+    hot = hot_keys_from_counts(sizes, "basket_id", "basket_size")
+    return salted_join(sizes, basket_items, "basket_id", hot).select("basket_id", "item", "basket_size")
 
 
 def frequent_singles(basket_items: DataFrame, support: int) -> DataFrame:

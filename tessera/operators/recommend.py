@@ -57,7 +57,7 @@ def train_cap(train: DataFrame, n: int) -> DataFrame:
 def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame | None:
     """Items with so many raters that their joins must be spread out
     (``None`` when there are none)."""
-    return hot_keys(train, "item") if threshold is None else hot_keys(train, "item", threshold)
+    return hot_keys(train, "item", threshold)
 
 
 def corated_sums(train: DataFrame, test: DataFrame, hot="auto",

@@ -25,12 +25,15 @@ MAX_BUCKETS = 256
 
 
 def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str,
-                         threshold: int = DEFAULT_THRESHOLD, limit: int = DEFAULT_LIMIT,
-                         max_buckets: int = MAX_BUCKETS) -> DataFrame | None:
+                         threshold: int | None = None, limit: int | None = None,
+                         max_buckets: int | None = None) -> DataFrame | None:
     """``(key, _buckets)`` for the at most ``limit`` keys whose count
     exceeds ``threshold`` (``_buckets`` = ceil(count / threshold),
     capped), or ``None`` when no key is hot. At most ``limit`` rows
-    reach the driver."""
+    reach the driver. Unset limits take the module defaults."""
+    threshold = DEFAULT_THRESHOLD if threshold is None else threshold
+    limit = DEFAULT_LIMIT if limit is None else limit
+    max_buckets = MAX_BUCKETS if max_buckets is None else max_buckets
     top = (
         counts.filter(F.col(count_col) > threshold)
         .orderBy(F.col(count_col).desc(), F.col(key))
@@ -46,8 +49,8 @@ def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str,
     return spark.createDataFrame(rows, schema)
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_THRESHOLD,
-             limit: int = DEFAULT_LIMIT, max_buckets: int = MAX_BUCKETS) -> DataFrame | None:
+def hot_keys(df: DataFrame, key: str, threshold: int | None = None,
+             limit: int | None = None, max_buckets: int | None = None) -> DataFrame | None:
     """Hot keys of ``df`` by row count (one pre-aggregated count)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     return hot_keys_from_counts(counts, key, "_rows", threshold, limit, max_buckets)

@@ -60,3 +60,20 @@ def test_hot_keys_bounded_and_none_when_cold(spark):
     assert hot_keys(df, "k", threshold=10_000) is None
     small = spark.range(10)
     assert broadcast_if_small(small, max_rows=5) is small
+
+
+def test_baskets_with_hot_basket(spark):
+    from tessera.operators import itemsets, skew
+
+    rows = [(0, f"i{j}") for j in range(120)] + [(b, f"i{b % 5}") for b in range(1, 200)]
+    bi = spark.createDataFrame(rows, "basket_id long, item string")
+    old = skew.DEFAULT_THRESHOLD
+    try:
+        skew.DEFAULT_THRESHOLD = 50
+        out = itemsets.baskets(bi)
+        assert "_salt" in out._jdf.queryExecution().analyzed().toString()   # salted path taken
+        salted = sorted(map(tuple, out.collect()))
+    finally:
+        skew.DEFAULT_THRESHOLD = old
+    plain = sorted(map(tuple, itemsets.baskets(bi).collect()))
+    assert salted == plain and sum(1 for r in plain if r[0] == 0) == 120
