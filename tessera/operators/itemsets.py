@@ -84,8 +84,17 @@ def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | N
     f1 = frequent_singles(basket_items, support).persist()
     # Frequent items of each basket, the only ones that can extend a set.
     # At most (rows / support) items are frequent; the table is broadcast
-    # after a size check, so the baskets are not shuffled by item.
-    e1 = basket_items.join(broadcast_if_small(f1.select("item")), "item", "left_semi").persist()
+    # after a size check, so the baskets are not shuffled by item. The
+    # result is hash-partitioned by basket once: every level's per-basket
+    # sets derive from it and keep that layout, so the level joins on
+    # basket_id need no further shuffle. (A basket holds at most one row
+    # per frequent item here, so no partition can be swamped by one.)
+    n_parts = int(basket_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e1 = (
+        basket_items.join(broadcast_if_small(f1.select("item")), "item", "left_semi")
+        .repartition(n_parts, "basket_id")
+        .persist()
+    )
     levels = [f1.select(F.array("item").alias("items"), "support")]
     prev = e1.select("basket_id", F.array("item").alias("items"), F.col("item").alias("last"))
     k = 1
