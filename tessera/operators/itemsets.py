@@ -89,6 +89,8 @@ def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | N
     # sets derive from it and keep that layout, so the level joins on
     # basket_id need no further shuffle. (A basket holds at most one row
     # per frequent item here, so no partition can be swamped by one.)
+    # An explicit partition count (the cluster's shuffle partitions) keeps
+    # the layout exact, so both sides of a level join stay co-partitioned.
     n_parts = int(basket_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     e1 = (
         basket_items.join(broadcast_if_small(f1.select("item")), "item", "left_semi")
