@@ -1,11 +1,13 @@
-"""Clustering: nearest-centroid assignment, Lloyd K-means on dense
-points, ``pyspark.ml`` K-means / bisecting K-means on hashed text
-features, and the per-cluster report (size, error, WSSE, terms).
+"""Clustering: nearest-centroid assignment and Lloyd K-means on dense
+points and on sparse term vectors, ``pyspark.ml`` K-means / bisecting
+K-means on hashed text features, and the per-cluster report (size,
+error, WSSE, terms).
 
-Cluster ids are 1-based as in the reports. Centroids are K x dim
+Cluster ids are 1-based as in the reports. Dense centroids are K x dim
 numbers set by the parameters, not by the data; they travel inside the
 plan as a literal (as MLlib broadcasts its centers), so assigning a
-point is a projection with no join.
+point is a projection with no join. Sparse centers over an exact
+vocabulary grow with the data and stay distributed (see below).
 """
 
 from __future__ import annotations

@@ -11,16 +11,17 @@ pair (u, i) is predicted as
 
 over the raters v of i that share at least one item with u, with
 ``+0.01`` when the weights sum to zero; test pairs without any such
-neighbour fall back to the user's mean.
+neighbour fall back to the user's mean, users without training ratings
+to the global training mean.
 
 Scale notes: pair statistics come from one item self-join restricted
 on the left to users that occur in the test set, aggregated straight
 into six sums per pair (count, sums, sums of squares, cross sum), so
 each pair is one row after a single shuffle. For predictions only the
-pairs that meet as neighbours are kept before aggregating. The correlation is taken
-from those integer sums, which makes zero variance an exact test. A hot
-item multiplies its raters; adaptive execution splits such skewed join
-partitions across tasks.
+pairs that meet as neighbours are kept before aggregating. The
+correlation is taken from those integer sums, which makes zero variance
+an exact test. A hot item multiplies its raters: both item-keyed joins
+spread hot items over several tasks (:mod:`tessera.operators.skew`).
 """
 
 from __future__ import annotations
@@ -153,6 +154,7 @@ def clamp_reference(x) -> F.Column:
 
 
 def clamp_bounds(x, lo: float = 1.0, hi: float = 5.0) -> F.Column:
+    """Clip to the rating scale [lo, hi]."""
     x = F.col(x) if isinstance(x, str) else x
     return F.greatest(F.lit(lo), F.least(F.lit(hi), x))
 
