@@ -157,14 +157,19 @@ def candidate_support(basket_items: DataFrame, candidates: DataFrame) -> DataFra
     ``candidates``: ``(items)`` with ``items`` a ``,``-joined string.
     A candidate's items are exploded and joined to the baskets on
     ``item``; a basket holds the candidate when all of its items match.
-    Candidates held by no basket get support 0.
+    Candidates held by no basket get support 0. An item found in very
+    many baskets is spread over several tasks in that join.
     """
+    from tessera.operators.skew import hot_keys_from_counts, salted_join
+
     cand = candidates.select("items").distinct().select(
         "items", F.size(F.split("items", ",")).alias("size"),
         F.explode(F.split("items", ",")).alias("item"),
     )
+    item_counts = basket_items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys_from_counts(item_counts, "item", "n")
     hits = (
-        cand.join(basket_items, "item")
+        salted_join(cand, basket_items, "item", hot)
         .groupBy("items", "size", "basket_id").agg(F.count(F.lit(1)).alias("m"))
         .filter(F.col("m") == F.col("size"))
         .groupBy("items", "size").agg(F.count(F.lit(1)).alias("support"))
