@@ -39,6 +39,10 @@ def main():
     names = sys.argv[2:] or sorted(QUERIES)
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("NO_AUTO_BROADCAST"):
+        # plan as for large tables: only explicit (size-checked) broadcasts remain
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     for name in names:
         df = QUERIES[name](spark, sf_dir)
         df.collect()  # run it, so the final adaptive plan (with reuse) is shown
