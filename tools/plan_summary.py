@@ -23,9 +23,26 @@ NODES = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Ro
          "MapInPandas", "FlatMapGroupsInPandas", "Subquery"]
 
 
+def final_only(plan: str) -> str:
+    """The final adaptive plans only (every '== Initial Plan ==' block is
+    dropped) and without the text of cached sub-plans."""
+    out, skip_indent = [], None
+    for line in plan.splitlines():
+        indent = len(line) - len(line.lstrip(" :+-|"))
+        if skip_indent is not None:
+            if indent > skip_indent:
+                continue
+            skip_indent = None
+        if "== Initial Plan ==" in line or "InMemoryRelation" in line:
+            skip_indent = indent
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def summarise(plan: str) -> dict:
     c = collections.Counter()
-    for line in plan.splitlines():
+    for line in final_only(plan).splitlines():
         s = line.strip(" +-:*")
         for n in NODES:
             if s.startswith(n):
@@ -46,7 +63,12 @@ def main():
     for name in names:
         df = QUERIES[name](spark, sf_dir)
         df.collect()  # run it, so the final adaptive plan (with reuse) is shown
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        root = df._jdf.queryExecution().executedPlan()
+        try:  # adaptive plans: the final tree only
+            root = root.executedPlan()
+        except Exception:
+            pass
+        plan = root.toString()
         if os.environ.get("SHOW_PLAN"):
             print(plan)
         print(f"{name:30s}", summarise(plan), flush=True)
