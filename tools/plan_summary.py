@@ -51,6 +51,25 @@ def summarise(plan: str) -> dict:
     return dict(c)
 
 
+def walk(node, counts=None):
+    """Count the operators of the executed plan tree itself: query stages
+    are entered, cached-table scans are counted but not entered (their
+    data was built by an earlier job)."""
+    counts = collections.Counter() if counts is None else counts
+    name = node.nodeName()
+    counts[name] += 1
+    if name.startswith("InMemoryTableScan"):
+        return counts
+    if "QueryStage" in name:
+        return walk(node.plan(), counts)
+    if name == "AdaptiveSparkPlan":
+        return walk(node.executedPlan(), counts)
+    kids = node.children()
+    for i in range(kids.size()):
+        walk(kids.apply(i), counts)
+    return counts
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or sorted(QUERIES)
@@ -71,7 +90,11 @@ def main():
         plan = root.toString()
         if os.environ.get("SHOW_PLAN"):
             print(plan)
-        print(f"{name:30s}", summarise(plan), flush=True)
+        tree = walk(df._jdf.queryExecution().executedPlan())
+        keep = {k: v for k, v in sorted(tree.items())
+                if any(t in k for t in ("Exchange", "Join", "Window", "InMemory", "Scan", "Aggregate",
+                                        "Generate", "Expand", "Cartesian", "NestedLoop", "Python"))}
+        print(f"{name:30s}", keep, flush=True)
 
 
 if __name__ == "__main__":
