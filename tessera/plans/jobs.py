@@ -55,14 +55,16 @@ def frequent_itemsets(spark: SparkSession, lines_path: str, support: int, out_pa
 
 def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: int,
                       iterations: int, out_path: str, seed_ids=None,
-                      num_features: int = 1 << 20) -> None:
+                      num_features: int = 1 << 20, hashed_features: int | None = None) -> None:
     """Cluster one-document-per-line text and write the JSON report.
 
     ``algorithm``: ``"K"`` library K-means and ``"B"`` bisecting K-means
     on hashed TF-IDF (least frequent terms listed, as the reference's
     library job does); ``"T"`` / ``"W"`` Lloyd's K-means on TF-IDF / word
     counts from ``seed_ids`` (default the first k documents), most
-    frequent terms listed.
+    frequent terms listed. ``hashed_features`` (e.g. 15000) makes ``T``
+    / ``W`` cluster hashed vectors of that many buckets instead of the
+    exact vocabulary.
     """
     configure(spark)
     docs = files.read_document_lines(spark, text_path).persist()
@@ -77,9 +79,16 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
         name = "K-Means" if algorithm == "K" else "Bisecting K-Means"
     else:
         toks = text.doc_tokens(docs).persist()
-        ent = text.term_vectors(toks, text.doc_count(docs), "tfidf" if algorithm == "T" else "tf")
         seeds = list(seed_ids) if seed_ids is not None else list(range(k))
-        assigned, _ = cluster.sparse_lloyd(docs, ent.persist(), seeds, iterations)
+        if hashed_features:
+            from tessera.functions.vectors import sparse_entries
+
+            feats = text.hashed_features(docs, hashed_features, tfidf=algorithm == "T")
+            ent = sparse_entries(feats.select("doc_id", "features"), "features")
+            assigned, _ = cluster.sparse_lloyd(docs, ent.persist(), seeds, iterations, dim="idx")
+        else:
+            ent = text.term_vectors(toks, text.doc_count(docs), "tfidf" if algorithm == "T" else "tf")
+            assigned, _ = cluster.sparse_lloyd(docs, ent.persist(), seeds, iterations)
         assigned = assigned.persist()
         errs = cluster.cluster_errors(assigned, k)
         terms = cluster.cluster_terms(assigned, toks, 10, descending=True).groupBy("cluster_id").agg(

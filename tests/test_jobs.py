@@ -73,6 +73,11 @@ def test_cluster_job_reports(spark, tmp_path):
         sizes = [c["size"] for c in rep["Clusters"]]
         assert sum(sizes) == 5 and [c["id"] for c in rep["Clusters"]] == [1, 2]
         assert abs(sum(c["error"] ** 2 for c in rep["Clusters"]) - rep["WSSE"]) < 1e-6
+    out = str(tmp_path / "rep_W_hashed")
+    jobs.cluster_documents(spark, path, "W", 2, 0, out, seed_ids=[0, 2], hashed_features=15000)
+    rep = json.loads(_read_parts(out))
+    # word counts against seed documents: integer squared distances
+    assert rep["WSSE"] == int(rep["WSSE"]) and sum(c["size"] for c in rep["Clusters"]) == 5
 
 
 RATINGS_TRAIN = "user_id,business_id,stars\n" + "".join(
