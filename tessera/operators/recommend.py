@@ -179,6 +179,25 @@ def cf_complete(test: DataFrame, preds: DataFrame, user_stats: DataFrame,
     )
 
 
+def cf_complete_from_offsets(test: DataFrame, offsets: DataFrame, user_stats: DataFrame,
+                             clamp: str = "reference") -> DataFrame:
+    """:func:`cf_complete` straight from the offsets.
+
+    Offsets exist only for users with training ratings, so
+    ``mean + offset`` (neighbour prediction) or ``mean`` (fallback) needs
+    the user means joined once, not once per step.
+    """
+    global_mean = user_stats.agg(F.sum("total") / F.sum("n")).scalar()
+    pred = F.col("mean") + safe_div("num", "den", ZERO_WEIGHT_OFFSET)
+    raw = F.when(F.col("num").isNotNull(), pred).otherwise(F.coalesce(F.col("mean"), global_mean))
+    adjust = clamp_reference if clamp == "reference" else clamp_bounds
+    return (
+        test.join(offsets, ["user", "item"], "left")
+        .join(user_stats.select("user", "mean"), "user", "left")
+        .select("user", "item", "rating", adjust(round_half_up(raw, 9)).alias("prediction"))
+    )
+
+
 # ---------------------------------------------------------------- ALS
 
 def als_fit(train_ids: DataFrame, rank: int = 20, max_iter: int = 20, reg: float = 0.3,

@@ -279,8 +279,8 @@ def q_cf_unpredicted(spark, sf_dir):
 
 
 def _cf_scored(spark, sf_dir):
-    _, test, ustats, _, preds = _cf(spark, sf_dir)
-    return recommend.cf_complete(test, preds, ustats, clamp="reference")
+    _, test, ustats, offsets, _ = _cf(spark, sf_dir)
+    return recommend.cf_complete_from_offsets(test, offsets, ustats, clamp="reference")
 
 
 @register("cf_predictions_clamped")

@@ -120,8 +120,8 @@ def user_based_cf(spark: SparkSession, train_path: str, test_path: str, out_path
     nbrs = recommend.neighbours(train, test, hot)
     stats = recommend.pair_stats(recommend.corated_sums(train, test, hot, nbrs.select("u", "v").distinct()))
     ustats = recommend.user_rating_stats(train)
-    preds = recommend.cf_predictions(recommend.cf_offsets(nbrs, stats), ustats)
-    scored = recommend.cf_complete(test, preds, ustats, clamp).persist()
+    scored = recommend.cf_complete_from_offsets(test, recommend.cf_offsets(nbrs, stats), ustats,
+                                                clamp).persist()
     decoded = (
         scored.join(users.withColumnRenamed("user", "user_name"), scored.user == users.user_id)
         .join(items.withColumnRenamed("item", "item_name"), scored.item == items.item_id)

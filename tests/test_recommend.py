@@ -112,3 +112,18 @@ def test_salted_join_equals_plain_join(spark):
     got = sorted(tuple(r) for r in salted_join(left, right, "k", hot).select("k", "u", "v", "x").collect())
     want = sorted(tuple(r) for r in left.join(right, "k").select("k", "u", "v", "x").collect())
     assert got == want
+
+
+def test_complete_from_offsets_equals_two_step(spark):
+    rnd = random.Random(8)
+    rows = {(u, i): rnd.randint(1, 5) for u in range(20) for i in range(25) if rnd.random() < 0.3}
+    data = [(u, i, r) for (u, i), r in rows.items()] + [(99, 3, 4)]   # 99: cold test user
+    r = spark.createDataFrame(data, SCHEMA)
+    flag = ((F.col("user") * 31 + F.col("item")) % 5 == 0) | (F.col("user") == 99)
+    train, test = r.filter(~flag), r.filter(flag)
+    stats = recommend.pair_stats(recommend.corated_sums(train, test, None))
+    offs = recommend.cf_offsets(recommend.neighbours(train, test, None), stats)
+    us = recommend.user_rating_stats(train)
+    a = sorted(map(tuple, recommend.cf_complete(test, recommend.cf_predictions(offs, us), us).collect()))
+    b = sorted(map(tuple, recommend.cf_complete_from_offsets(test, offs, us).collect()))
+    assert a == b and len(a) == test.count()
