@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tessera.functions.vectors import sparse_entries, sqdist
+from tessera.functions.vectors import sqdist
 
 
 def seed_points(points: DataFrame, seed_ids: Sequence[int]) -> DataFrame:
@@ -169,44 +169,31 @@ def library_report(pred: DataFrame, centers, tokens: DataFrame, k: int,
     """Per-cluster ``(cluster_id, size, error, terms)`` of a fitted model.
 
     ``pred``: ``(doc_id, features, cluster_id)``; ``centers``: the
-    model's K centers (K x numFeatures numbers, a model parameter).
-    The error uses sum ||x - c||^2 = sum ||x||^2 - 2 c . sum x + n ||c||^2:
-    member vectors are summed per cluster in long form and only those
-    K sums meet the centers, so no document is paired with a center.
+    model's K centers. The error uses
+    sum ||x - c||^2 = sum ||x||^2 - 2 c . sum x + n ||c||^2: the built-in
+    ``Summarizer`` aggregates each cluster's vector sum and column norms
+    on the executors (map-side combined), and only those K summaries,
+    the size of the model itself, meet the centers on the driver.
     """
     import numpy as np
+    from pyspark.ml.stat import Summarizer
 
     spark = pred.sparkSession
-    entries = sparse_entries(pred.select("doc_id", "cluster_id", "features"), "features")
-    sums = entries.groupBy("cluster_id", "idx").agg(F.sum("val").alias("s"))
-    xx = entries.groupBy("cluster_id").agg(F.sum(F.col("val") * F.col("val")).alias("xx"))
-    rows, norms = [], []
-    for cid, c in enumerate(centers, start=1):
+    summ = pred.groupBy("cluster_id").agg(
+        Summarizer.metrics("sum", "normL2").summary(F.col("features")).alias("s"),
+        F.count(F.lit(1)).alias("size"),
+    ).collect()
+    rows = []
+    for r in summ:
+        c = centers[r["cluster_id"] - 1]
         c = np.asarray(c.toArray() if hasattr(c, "toArray") else c, dtype=float)
-        nz = np.nonzero(c)[0]
-        rows.append((np.full(len(nz), cid, dtype=np.int32), nz.astype(np.int32), c[nz]))
-        norms.append(float(c @ c))
-    import pandas as pd
-
-    cdf = pd.DataFrame({
-        "cluster_id": np.concatenate([r[0] for r in rows]) if rows else np.array([], np.int32),
-        "idx": np.concatenate([r[1] for r in rows]) if rows else np.array([], np.int32),
-        "c": np.concatenate([r[2] for r in rows]) if rows else np.array([], float),
-    })
-    centers_long = spark.createDataFrame(cdf, "cluster_id int, idx int, c double")
-    dot = sums.join(centers_long, ["cluster_id", "idx"]).groupBy("cluster_id").agg(
-        F.sum(F.col("s") * F.col("c")).alias("sc"))
-    cnorm = F.element_at(F.array(*[F.lit(v) for v in norms]), F.col("cluster_id"))
-    sizes = cluster_sizes(pred, k)
-    stats = (
-        sizes.join(xx, "cluster_id", "left").join(dot, "cluster_id", "left")
-        .select(
-            "cluster_id", "size",
-            F.sqrt(F.greatest(
-                F.coalesce("xx", F.lit(0.0)) - 2 * F.coalesce("sc", F.lit(0.0))
-                + F.col("size") * cnorm, F.lit(0.0))).alias("error"),
-        )
-    )
+        total = r["s"]["sum"].toArray()
+        xx = float(np.square(r["s"]["normL2"].toArray()).sum())
+        sse = xx - 2.0 * float(c @ total) + r["size"] * float(c @ c)
+        rows.append((int(r["cluster_id"]), float(np.sqrt(max(sse, 0.0)))))
+    errors = spark.createDataFrame(rows, "cluster_id int, error double")
+    stats = cluster_sizes(pred, k).join(errors, "cluster_id", "left").select(
+        "cluster_id", "size", F.coalesce("error", F.lit(0.0)).alias("error"))
     terms = cluster_terms(pred.select("doc_id", "cluster_id"), tokens, n_terms, descending)
     term_lists = terms.groupBy("cluster_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
