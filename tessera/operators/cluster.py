@@ -21,6 +21,14 @@ from pyspark.sql import Window
 from tessera.functions.vectors import sqdist
 
 
+def pick_seeds(df: DataFrame, id_col: str, k: int, seed: int = 42) -> list:
+    """``k`` distinct ids in a pseudo-random order fixed by ``seed``
+    (the ids ordered by ``xxhash64(id, seed)``): a top-k, so only k ids
+    reach the driver."""
+    order = F.xxhash64(F.col(id_col), F.lit(seed))
+    return [r[0] for r in df.select(id_col).distinct().orderBy(order, F.col(id_col)).limit(k).collect()]
+
+
 def seed_points(points: DataFrame, seed_ids: Sequence[int]) -> DataFrame:
     """``(cluster_id, id, v)``: the seed points, cluster id = position of
     the seed in ``seed_ids`` + 1."""

@@ -55,14 +55,15 @@ def frequent_itemsets(spark: SparkSession, lines_path: str, support: int, out_pa
 
 def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: int,
                       iterations: int, out_path: str, seed_ids=None,
-                      num_features: int = 1 << 20, hashed_features: int | None = None) -> None:
+                      num_features: int = 1 << 20, hashed_features: int | None = None,
+                      seed: int = 42) -> None:
     """Cluster one-document-per-line text and write the JSON report.
 
     ``algorithm``: ``"K"`` library K-means and ``"B"`` bisecting K-means
     on hashed TF-IDF (least frequent terms listed, as the reference's
     library job does); ``"T"`` / ``"W"`` Lloyd's K-means on TF-IDF / word
-    counts from ``seed_ids`` (default the first k documents), most
-    frequent terms listed. ``hashed_features`` (e.g. 15000) makes ``T``
+    counts from ``seed_ids`` (default: k distinct documents drawn
+    pseudo-randomly with ``seed``), most frequent terms listed. ``hashed_features`` (e.g. 15000) makes ``T``
     / ``W`` cluster hashed vectors of that many buckets instead of the
     exact vocabulary.
     """
@@ -79,7 +80,7 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
         name = "K-Means" if algorithm == "K" else "Bisecting K-Means"
     else:
         toks = text.doc_tokens(docs).persist()
-        seeds = list(seed_ids) if seed_ids is not None else list(range(k))
+        seeds = list(seed_ids) if seed_ids is not None else cluster.pick_seeds(docs, "doc_id", k, seed)
         if hashed_features:
             from tessera.functions.vectors import sparse_entries
 

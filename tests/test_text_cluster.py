@@ -75,3 +75,10 @@ def test_library_report_error_matches_model_cost(spark):
     rep = cluster.library_report(pred, model.clusterCenters(), text.doc_tokens(docs), 2)
     total = sum(r["error"] ** 2 for r in rep.collect())
     assert abs(total - model.summary.trainingCost) < 1e-6
+
+
+def test_pick_seeds_distinct_and_stable(spark):
+    df = spark.createDataFrame([(i % 40,) for i in range(200)], "doc_id long").repartition(7)
+    a = cluster.pick_seeds(df, "doc_id", 5, seed=1)
+    b = cluster.pick_seeds(df.repartition(3), "doc_id", 5, seed=1)
+    assert a == b and len(set(a)) == 5 and cluster.pick_seeds(df, "doc_id", 5, seed=2) != a
