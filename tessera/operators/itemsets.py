@@ -155,28 +155,32 @@ def candidate_support(basket_items: DataFrame, candidates: DataFrame) -> DataFra
     """Exact support of every candidate itemset.
 
     ``candidates``: ``(items)`` with ``items`` a ``,``-joined string.
-    A candidate's items are exploded and joined to the baskets on
-    ``item``; a basket holds the candidate when all of its items match.
-    Candidates held by no basket get support 0. An item found in very
-    many baskets is spread over several tasks in that join.
+    Each basket keeps only the items that occur in some candidate (a set
+    bounded by the candidate table, however large the basket). A
+    candidate meets the baskets holding its smallest item through an
+    equi-join on that item, and counts those whose item set contains all
+    of its items. Candidates held by no basket get support 0. An item
+    found in very many baskets is spread over several tasks in the join.
     """
     from tessera.operators.skew import hot_keys_from_counts, salted_join
 
     cand = candidates.select("items").distinct().select(
-        "items", F.size(F.split("items", ",")).alias("size"),
-        F.explode(F.split("items", ",")).alias("item"),
-    )
-    item_counts = basket_items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+        "items", F.array_sort(F.split("items", ",")).alias("arr"))
+    cand = cand.select("items", F.size("arr").alias("size"), "arr", F.col("arr")[0].alias("item"))
+    relevant = cand.select(F.explode("arr").alias("item")).distinct()
+    kept = basket_items.join(broadcast_if_small(relevant.persist()), "item", "left_semi")
+    sets = kept.groupBy("basket_id").agg(F.collect_set("item").alias("have"))
+    firsts = sets.select("basket_id", "have", F.explode("have").alias("item"))
+    item_counts = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys_from_counts(item_counts, "item", "n")
     hits = (
-        salted_join(cand, basket_items, "item", hot)
-        .groupBy("items", "size", "basket_id").agg(F.count(F.lit(1)).alias("m"))
-        .filter(F.col("m") == F.col("size"))
-        .groupBy("items", "size").agg(F.count(F.lit(1)).alias("support"))
+        salted_join(cand, firsts, "item", hot)
+        .filter(F.forall("arr", lambda x: F.array_contains(F.col("have"), x)))
+        .groupBy("items").agg(F.count(F.lit(1)).alias("support"))
     )
     return (
-        cand.select("items", "size").distinct()
-        .join(hits, ["items", "size"], "left")
+        cand.select("items", "size")
+        .join(hits, "items", "left")
         .select("size", "items", F.coalesce("support", F.lit(0)).cast("bigint").alias("support"))
     )
 
