@@ -69,3 +69,16 @@ def test_report_lines_format(spark):
                                "size int, items string, support long")
     lines = {r["size"]: r["line"] for r in itemsets.itemset_report_lines(fi).collect()}
     assert lines == {1: "(a), (b)", 2: "(a,b), (a,c)"}
+
+
+def test_downward_closure(spark):
+    for seed in (11, 12):
+        rows = _random_baskets(seed=seed, n=120)
+        bi = itemsets.clean_basket_items(spark.createDataFrame(rows, "basket_id long, item string"))
+        found = _as_dict(itemsets.level_wise_itemsets(bi, 30))
+        for items, sup in found.items():
+            parts = items.split(",")
+            for sub in itertools.combinations(parts, len(parts) - 1):
+                if sub:
+                    key = ",".join(sub)
+                    assert key in found and found[key] >= sup

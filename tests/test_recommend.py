@@ -127,3 +127,15 @@ def test_complete_from_offsets_equals_two_step(spark):
     a = sorted(map(tuple, recommend.cf_complete(test, recommend.cf_predictions(offs, us), us).collect()))
     b = sorted(map(tuple, recommend.cf_complete_from_offsets(test, offs, us).collect()))
     assert a == b and len(a) == test.count()
+
+
+def test_pearson_bounded_and_symmetric(spark):
+    for seed in range(3):
+        rnd = random.Random(100 + seed)
+        data = [(u, i, rnd.randint(1, 5)) for u in range(15) for i in range(12) if rnd.random() < 0.5]
+        r = spark.createDataFrame(data, SCHEMA)
+        # every user is a test user, so both (u, v) and (v, u) are computed
+        w = {(x["u"], x["v"]): x["w"]
+             for x in recommend.pair_stats(recommend.corated_sums(r, r, None)).collect()}
+        assert w and all(-1 - 1e-9 <= v <= 1 + 1e-9 for v in w.values())
+        assert all(abs(w[(u, v)] - w[(v, u)]) < 1e-12 for (u, v) in w)
