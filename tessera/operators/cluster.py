@@ -260,20 +260,27 @@ def sparse_assign(docs: DataFrame, entries: DataFrame, centers: DataFrame, k: in
     ||x||^2 + ||c||^2 - 2 x.c, lowest cluster id on ties. ``docs`` lists
     every document (``doc_id``), so documents without terms are placed
     too; ``norms`` (:func:`doc_norms`) may be passed in when reused.
-    ``centers`` must be persisted or checkpointed."""
+    ``centers`` must be persisted or checkpointed.
+
+    The K centers are pivoted to one row per dimension (K is a
+    parameter), so each document entry meets one center row and yields
+    all K products at once.
+    """
     cn, n_rows = _center_stats(centers)
     cnorm = [float(cn.get(cid, 0.0)) for cid in range(1, k + 1)]
     if norms is None:
         norms = doc_norms(docs, entries)
-    # the K dot products of a document in one aggregation (K is a parameter)
-    prod = F.col("val") * F.col("c")
-    dots = _join_centers(entries, centers, dim, n_rows).groupBy("doc_id").agg(
-        *[F.sum(F.when(F.col("cluster_id") == cid, prod)).alias(f"_xc{cid}") for cid in range(1, k + 1)])
+    ids = list(range(1, k + 1))
+    wide = centers.groupBy(dim).pivot("cluster_id", ids).agg(F.first("c"))
+    wide = wide.select(dim, *[F.col(str(cid)).alias(f"_c{cid}") for cid in ids])
+    dots = _join_centers(entries, wide, dim, n_rows).groupBy("doc_id").agg(
+        *[F.sum(F.col("val") * F.coalesce(F.col(f"_c{cid}"), F.lit(0.0))).alias(f"_xc{cid}")
+          for cid in ids])
     cand = F.array(*[
         F.struct((F.col("xx") + F.lit(cnorm[cid - 1])
                   - 2 * F.coalesce(F.col(f"_xc{cid}"), F.lit(0.0))).alias("d"),
                  F.lit(cid).alias("cid"))
-        for cid in range(1, k + 1)])
+        for cid in ids])
     return (
         norms.join(dots, "doc_id", "left")
         .select("doc_id", F.array_min(cand).alias("_b"))
