@@ -5,12 +5,12 @@ output on one task. :func:`hot_keys` finds such keys with one
 pre-aggregated count (map-side combine, so the hot key itself is never
 shuffled row by row) and keeps at most ``limit`` of them, which bounds
 the broadcast of the hot-key table; when no key is hot the join stays a
-plain one. :func:`salted_join` then spreads
-each hot key over ``buckets`` tasks: the right side's rows of that key
-are dealt to buckets by a deterministic hash of their columns, the left
-side's rows are replicated to every bucket, so each (left, right) pair
-is produced exactly once. Other keys join as usual (salt 0). Adaptive
-execution's skew-join splitting remains on for anything not listed.
+plain one. :func:`salted_join` then spreads each hot key over
+``buckets`` tasks: the right side's rows of that key are dealt to
+buckets by a deterministic hash of their columns, the left side's rows
+are replicated to every bucket, so each (left, right) pair is produced
+exactly once. Other keys join as usual (salt 0). Adaptive execution's
+skew-join splitting remains on for anything not listed.
 """
 
 from __future__ import annotations
