@@ -451,24 +451,24 @@ def q_cluster_report(spark, sf_dir):
     return e.select("cluster_id", "size", _r6("error").alias("error"))
 
 
-def _stand_in_clusters(spark, sf_dir):
-    # A fixed document -> cluster map (doc_id mod 5, 1-based) feeds the
-    # same per-cluster term ranking as the fitted models, so it can be
-    # checked against SQL.
-    d = _docs(spark, sf_dir)
-    return d.select("doc_id", (F.col("doc_id") % 5 + 1).cast("int").alias("cluster_id")), d
+def _seed_clusters(spark, sf_dir):
+    # Documents on their nearest seed document (word-count vectors): the
+    # clustering the hand-written job reports terms for.
+    d, toks, ent = _text_entries(spark, sf_dir, "tf")
+    assigned, _ = cluster.sparse_lloyd(d, ent, TEXT_SEEDS, 0)
+    return assigned.persist(), toks
 
 
 @register("cluster_top_terms")
 def q_cluster_top_terms(spark, sf_dir):
-    dc, d = _stand_in_clusters(spark, sf_dir)
-    return cluster.cluster_terms(dc, text.doc_tokens(d), 10, descending=True)
+    assigned, toks = _seed_clusters(spark, sf_dir)
+    return cluster.cluster_terms(assigned, toks, 10, descending=True)
 
 
 @register("cluster_rare_terms")
 def q_cluster_rare_terms(spark, sf_dir):
-    dc, d = _stand_in_clusters(spark, sf_dir)
-    return cluster.cluster_terms(dc, text.doc_tokens(d), 10, descending=False)
+    assigned, toks = _seed_clusters(spark, sf_dir)
+    return cluster.cluster_terms(assigned, toks, 10, descending=False)
 
 
 def _library(spark, sf_dir, algorithm):

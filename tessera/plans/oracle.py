@@ -274,20 +274,6 @@ SELECT t.doc_id, t.token, t.n,
   {round_half_up('CASE WHEN d.df >= 2 THEN t.n * ln((m.m + 1.0) / (d.df + 1.0)) ELSE 0.0 END', 6)} AS tfidf
 FROM tokens t JOIN dfs d ON t.token = d.token, m"""
 
-_TERMS = T + """, clusters AS (SELECT doc_id, CAST(doc_id % 5 + 1 AS INTEGER) AS cluster_id FROM documents),
-counts AS (SELECT c.cluster_id, t.token AS term, sum(t.n) AS cnt
-           FROM tokens t JOIN clusters c ON t.doc_id = c.doc_id GROUP BY 1, 2)
-"""
-ORACLE["cluster_top_terms"] = _TERMS + """
-SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
-  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt DESC, term) AS rank FROM counts)
-WHERE rank <= 10"""
-ORACLE["cluster_rare_terms"] = _TERMS + """
-SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
-  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt ASC, term) AS rank FROM counts)
-WHERE rank <= 10"""
-
-
 # ---------------------------------------------------------------- clustering
 
 def _sqdist(a: str, b: str) -> str:
@@ -431,3 +417,16 @@ SELECT k.cluster_id, coalesce(a.size, 0) AS size,
        (SELECT string_agg(term, ',' ORDER BY rank) FROM top WHERE top.cluster_id = k.cluster_id AND rank <= 10) AS terms
 FROM (SELECT CAST(range AS INTEGER) AS cluster_id FROM range(1, 6)) k
 LEFT JOIN agg a ON a.cluster_id = k.cluster_id"""
+
+_SEED_TERMS = _sparse_lloyd_sql("tf", 0) + """,
+counts AS (SELECT f.cluster_id, t.token AS term, sum(t.n) AS cnt
+           FROM tokens t JOIN final f ON t.doc_id = f.doc_id GROUP BY 1, 2)
+"""
+ORACLE["cluster_top_terms"] = _SEED_TERMS + """
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt DESC, term) AS rank FROM counts)
+WHERE rank <= 10"""
+ORACLE["cluster_rare_terms"] = _SEED_TERMS + """
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt ASC, term) AS rank FROM counts)
+WHERE rank <= 10"""
