@@ -144,8 +144,10 @@ def fpgrowth_itemsets(basket_items: DataFrame, support: int, n_baskets: int) ->
         basket_items.join(broadcast_if_small(f1), "item", "left_semi")
         .groupBy("basket_id").agg(F.collect_set("item").alias("items"))
     )
-    model = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / n_baskets,
-                     minConfidence=1.0).fit(tx)
+    # every itemset present in the data has support >= 1, so a support
+    # below 1 means the same as 1
+    min_support = (max(support, 1) - 0.5) / max(n_baskets, 1)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"),
                                    F.col("freq").alias("support"))
     return _as_itemsets(fi)
