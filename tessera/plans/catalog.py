@@ -2,6 +2,14 @@
 
 Every query reads the scale-factor tables (through the fixtures of
 ``tessera.sources.fixtures``) and runs over all of their rows.
+
+Groups: survey (salary rows), itemsets (order baskets of part types),
+ratings / user CF / ALS (customer-part ratings), text (document tokens),
+clustering (embedding points; library models and sparse K-means on
+documents). Most queries are lazy plans. Iterative or model-based ones
+(itemset levels, K-means, ALS, id dictionaries, CF inputs) do their
+iterations, checkpoints and fits while the DataFrame is built, and
+return the final result lazily; a bench times both together.
 """
 
 from __future__ import annotations
