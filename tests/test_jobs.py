@@ -98,3 +98,15 @@ def test_recommender_jobs(spark, tmp_path):
     assert sum(int(m.split(": ")[1]) for m in metrics[:5]) == n_test
     jobs.als_cf(spark, tr, te, str(tmp_path / "als"), str(tmp_path / "als_metrics"), rank=3, iterations=5)
     assert len(_read_parts(str(tmp_path / "als")).splitlines()) == n_test
+
+
+def test_reader_edge_cases(spark, tmp_path):
+    baskets = _write(tmp_path, "b.txt", "1,apple\n1,pear,extra,fields\nshortline\n2, pear \n")
+    rows = sorted(tuple(r) for r in files.read_basket_lines(spark, baskets).collect())
+    assert rows == [("1", "apple"), ("1", "pear"), ("2", " pear ")]   # trimmed later, short line dropped
+    ratings = _write(tmp_path, "r.csv", "user_id,business_id,stars,text\nu1,b1,4.0,good\nu2,b2,abc,bad\nu3,b3,2,x\n")
+    got = sorted(tuple(r) for r in files.read_ratings_csv(spark, ratings).collect())
+    assert got == [("u1", "b1", 4.0), ("u3", "b3", 2.0)]              # unparseable rating dropped
+    survey_csv = _write(tmp_path, "s.csv", 'Country,Salary,SalaryType\n"Korea, South","1,000",Monthly\n')
+    r = files.read_survey_csv(spark, survey_csv).first()
+    assert (r["Country"], r["Salary"], r["SalaryType"]) == ("Korea, South", "1,000", "Monthly")
