@@ -90,7 +90,14 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
-_powers: dict[str, np.ndarray] = {}
+class _Cache(dict):
+    """Travels empty when a task's code is pickled."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_powers = _Cache()
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
