@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, mixing, quality, sharding, simhash_dedup, toxicity, url_filter
+from tessera.llm import (decontamination, fm_index, mixing, quality, sharding, simhash_dedup, suffix_array,
+                         toxicity, url_filter)
 from tessera.llm.common import table
 
 
@@ -18,6 +19,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of smaller documents."""
+    return suffix_array.dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word passages of smaller documents."""
+    return fm_index.dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -50,6 +61,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op5_decontamination, op6_simhash_dedup, op7_url_filter, op8_mixing,
+    f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_passage_dedup, op5_decontamination, op6_simhash_dedup, op7_url_filter, op8_mixing,
                              op9_quality, op10_toxicity)
 }
