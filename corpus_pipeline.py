@@ -1,19 +1,63 @@
-"""The corpus pipeline (stages are added as their operators are)."""
+"""The corpus pipeline: from raw documents to sharded training data.
+
+``STAGES`` lists ``(name, function)``; each function takes
+``(spark, docs, sf_dir)`` and returns a DataFrame, which is written and read
+again as the next stage's ``docs``. All but the last return the columns of
+``documents``. Every stage looks at all rows its predecessor kept; how null
+and empty texts, ties, repeated rows and empty tables are treated stands with
+each operator.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import decontamination, mixing, quality, sharding, simhash_dedup
+from tessera.llm.common import checkpointed, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash_dedup.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated, or left out, for their source's target."""
+    return mixing.mix_rows(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row of the mix gets its shard and its place in it."""
+    return sharding.assign_shards(docs, 16).withColumn("law", F.lit("bytes"))
 
-from tessera.llm import sharding
-from tessera.llm.common import table
 
-STAGES = []
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
+#: A trained classifier and fingerprints are beyond SQL; tests compare the
+#: stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

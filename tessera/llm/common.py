@@ -6,6 +6,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -45,6 +46,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a table of a few short columns that may go to every task.
+BROADCAST_ROWS = 500_000
+
+
+def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (already written, a few short columns) for broadcast if it has at
+    most ``limit`` rows; a larger one is joined by shuffling."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

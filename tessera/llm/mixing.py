@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, checkpointed
+from tessera.llm.common import WORD, checkpointed, maybe_broadcast
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5       # of all sizes
@@ -62,18 +62,24 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
                   max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, copies)``: how often, and
     with how many words, every document enters the mix."""
-    slim = checkpointed(docs.select(
-        "doc_id", source_key(F.col("source")).alias("_src"), word_count(F.col("text")).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-              .cast("binary")).alias("_key"))
-        .withColumn("_range", F.substring("_key", 1, RANGE_DIGITS)))
-    return copies_of(slim, weights, budget, max_epochs).select(
+    return copies_of(checkpointed(mix_keys(docs, seed)), weights, budget, max_epochs).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def order_key(doc_id: Column, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+
+
+def mix_keys(docs: DataFrame, seed: int) -> DataFrame:
+    """``(doc_id, _src, size, _key, _range)``: what the mix is planned from."""
+    return docs.select(
+        "doc_id", source_key(F.col("source")).alias("_src"), word_count(F.col("text")).alias("size"),
+        order_key(F.col("doc_id"), seed).alias("_key")).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
+
+
 def copies_of(slim: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Adds ``source_size``, ``target`` and ``copies`` to rows
-    ``(_src, size, _key, _range, doc_id, ...)``."""
+    """Adds ``source_size``, ``target``, ``_whole`` (repetitions of the whole
+    source) and ``copies`` to the rows of :func:`mix_keys`."""
     sums = checkpointed(slim.groupBy("_src", "_range").agg(F.sum("size").alias("_sum")))
     targets = water_fill(sums.groupBy("_src").agg(F.sum("_sum").alias("source_size")), weights, budget, max_epochs)
     before = F.sum("_sum").over(Window.partitionBy("_src").orderBy("_range")) - F.col("_sum")
@@ -87,4 +93,22 @@ def copies_of(slim: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epoc
     return (slim.withColumn("_run", F.sum("size").over(inner)).join(starts, ["_src", "_range"])
             .withColumn("_whole", whole)
             .withColumn("copies", (F.col("_whole") + (at < 2 * rest).cast("int")).cast("int"))
-            .drop("_run", "_before", "_whole"))
+            .drop("_run", "_before"))
+
+
+def mix_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
+             max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it. The rows
+    that get the fractional repetition are the first of their source, so the
+    last key among them is all that has to be joined to the texts; rows with
+    equal ``doc_id`` share a key and get it together."""
+    slim = checkpointed(mix_keys(docs, seed))
+    last = copies_of(slim, weights, budget, max_epochs).groupBy("_src").agg(
+        F.max("_whole").alias("_whole"),
+        F.max(F.when(F.col("copies") > F.col("_whole"), F.col("_key"))).alias("_last"))
+    key = order_key(F.col("doc_id"), seed)
+    times = F.col("_whole") + F.coalesce((key <= F.col("_last")).cast("int"), F.lit(0))
+    rows = docs.withColumn("_src", source_key(F.col("source"))).join(maybe_broadcast(checkpointed(last)), "_src")
+    return (rows.withColumn("_times", times.cast("int")).filter(F.col("_times") > 0)
+            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontamination, fm_index, mixing, quality, sharding, simhash_dedup, suffix_array,
-                         toxicity, url_filter)
+from tessera.llm import (ann, decontamination, fm_index, mixing, quality, sharding, simhash_dedup,
+                         suffix_array, toxicity, url_filter)
 from tessera.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.dedup(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -61,6 +66,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_passage_dedup, op5_decontamination, op6_simhash_dedup, op7_url_filter, op8_mixing,
+    f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_passage_dedup, op4_nearest_neighbours,
+                             op5_decontamination, op6_simhash_dedup, op7_url_filter, op8_mixing,
                              op9_quality, op10_toxicity)
 }
