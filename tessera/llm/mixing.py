@@ -106,9 +106,10 @@ def mix_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
     last = copies_of(slim, weights, budget, max_epochs).groupBy("_src").agg(
         F.max("_whole").alias("_whole"),
         F.max(F.when(F.col("copies") > F.col("_whole"), F.col("_key"))).alias("_last"))
-    key = order_key(F.col("doc_id"), seed)
-    times = F.col("_whole") + F.coalesce((key <= F.col("_last")).cast("int"), F.lit(0))
-    rows = docs.withColumn("_src", source_key(F.col("source"))).join(maybe_broadcast(checkpointed(last)), "_src")
-    return (rows.withColumn("_times", times.cast("int")).filter(F.col("_times") > 0)
-            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    # the whole row as one column: no name of it can clash with those used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       source_key(F.col("source")).alias("_src"), order_key(F.col("doc_id"), seed).alias("_key"))
+    times = F.col("_whole") + F.coalesce((F.col("_key") <= F.col("_last")).cast("int"), F.lit(0))
+    return (rows.join(maybe_broadcast(checkpointed(last)), "_src")
+            .select("_row", times.cast("int").alias("_times")).filter(F.col("_times") > 0)
+            .select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*"))

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import mix, small_batches
 from tessera.llm.features import tokens
@@ -141,21 +142,18 @@ def score_texts(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
 
 
-def with_scores(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score of its ``text``. A column of that
-    name is replaced."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(weights)   # about 1 MB, fixed
-    docs = docs.drop(name)
-    at = docs.columns.index("text")
+def with_scores(rows: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``rows`` with the score of their last column, a text, in its place."""
+    small_batches(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(weights)   # about 1 MB, fixed
 
     def run(batches):
         for b in batches:
-            s = pa.array(score_texts(b.column(at).cast(pa.string()), shared.value))
-            yield pa.RecordBatch.from_arrays([*b.columns, s], [*b.schema.names, name])
+            s = pa.array(score_texts(b.column(b.num_columns - 1), shared.value))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], s], [*b.schema.names[:-1], "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, `{name}` double")
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -171,4 +169,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = KEEP_SCORE)
     """``docs`` without the rows that score below ``threshold``; every label
     may be learned."""
     weights = train(docs, labels)
-    return with_scores(docs, weights, "_quality").filter(F.col("_quality") >= threshold).drop("_quality")
+    # the whole row as one column: no name of it can clash with those used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col("text").cast("string").alias("text"))
+    return with_scores(rows, weights).filter(F.col("score") >= threshold).select("_row.*")

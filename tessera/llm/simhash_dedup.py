@@ -206,12 +206,11 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component of near-duplicates: that with the
     smallest ``doc_id`` (of several with it, one text by hash order)."""
-    tie = F.xxhash64("text")
-    prints = checkpointed(add_fingerprints(docs.select("doc_id", tie.alias("_tie"), "text")))
+    keys = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("_k2")]
+    prints = checkpointed(add_fingerprints(docs.select("doc_id", *keys, "text")))
     members = fingerprint_components(prints, max_bits)
     kept = (prints.join(members, "fingerprint").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("_root").agg(F.min(F.struct(F.col("doc_id").alias("_id"), F.col("_tie"))).alias("_k"))
-            .select("_k.*"))
-    found = docs.withColumn("_hash", tie).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")))
-    return found.dropDuplicates(["doc_id", "_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+            .groupBy("_root").agg(F.min(F.struct("_k1", "_k2")).alias("_k")).select("_k.*"))
+    # the whole row as one column: no name of it can clash with those used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *keys)
+    return rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")
