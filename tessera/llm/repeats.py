@@ -10,7 +10,7 @@ falls into few runs of windows with one anchor each.
    document holds is sent once with that document, one that several hold once
    without; the documents of the latter know already that it is shared.
 2. :func:`shared_anchors` finds the anchors of several documents, one hash
-   range at a time, and tells their documents.
+   range at a time, and tells their documents which those are.
 3. :func:`run_rows` joins that to the texts, cuts out the runs with a shared
    anchor and sends each to the shard of its anchor. Runs equal to one of a
    smaller document in the same batch are covered and stay behind. An anchor
@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, mix, prefix_hash, small_batches, span_hash, text_slices, word_spans
+from tessera.llm.common import (checkpointed, maybe_broadcast, mix, prefix_hash, small_batches, span_hash,
+                                text_slices, word_spans)
 
 HOT = 20_000                # batches holding an anchor beyond which its runs are split up
 PIECE = 64                  # windows in a run at most
@@ -167,34 +168,42 @@ def _by_key(owner, anchor, chosen):
 
 
 def shared_anchors(found: DataFrame) -> DataFrame:
-    """``(_key, anchors, hot)``: for each document anchors that others hold
+    """``(_key, anchors, hot)``: for each document the anchors that others hold
     too; ``hot`` those of them that very many batches hold."""
-    out = "part long, _key long, anchors binary, owners binary, hot binary"
+    out = "_key long, anchors binary"
 
     def reduce(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:      # what documents know already
-            return table.append_column("hot", pa.nulls(len(table), pa.binary()))
+            return table.select(["_key", "anchors"])
         anchor = np.frombuffer(b"".join(table.column("anchors").to_pylist()), np.uint64)
         owner = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
         order = np.argsort(anchor, kind="stable")
         anchor, owner = anchor[order], owner[order]
         head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         size = np.diff(np.append(head, len(anchor)))
-        # several batches, or several documents of one; one document in
-        # several batches cannot be, its key stands for one text
-        shared = np.repeat((size > 1) & (np.maximum.reduceat(owner != 0, head)), size) & (owner != 0)
-        hot = np.repeat(size > HOT, size)
-        rows = [(k, a) for k, a in _by_key(owner, anchor, shared)]
-        hots = dict(_by_key(owner, anchor, shared & hot))
-        n = len(rows)
-        return pa.table({"part": pa.nulls(n, pa.int64()), "_key": pa.array([k for k, _ in rows], pa.int64()),
-                         "anchors": pa.array([a for _, a in rows], pa.binary()), "owners": pa.nulls(n, pa.binary()),
-                         "hot": pa.array([hots.get(k) for k, _ in rows], pa.binary())})
+        rows = [(None, _binary(anchor[head[size > HOT]]))]
+        rows += _by_key(owner, anchor, np.repeat(size > 1, size) & (owner != 0))
+        return pa.table({"_key": pa.array([k for k, _ in rows], pa.int64()),
+                         "anchors": pa.array([a for _, a in rows], pa.binary())})
+
+    def unpack_anchors(batches):
+        for b in batches:
+            packed = b.column(1).to_pylist()
+            key = np.repeat(np.arange(len(packed)), [len(a) // 8 for a in packed])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(key)), pa.array(
+                np.frombuffer(b"".join(packed), np.int64))], ["_key", "anchor"])
 
     spread = F.lit(-1) - F.pmod(F.col("_key"), F.lit(1021).cast("long"))
     keyed = found.withColumn("part", F.coalesce("part", spread))
-    told = keyed.groupBy("part").applyInArrow(reduce, out)
-    return told.groupBy("_key").agg(F.collect_list("anchors").alias("anchors"), F.collect_list("hot").alias("hot"))
+    told = checkpointed(keyed.groupBy("part").applyInArrow(reduce, out))
+    single = told.mapInArrow(unpack_anchors, "_key long, anchor long")
+    hot = checkpointed(single.filter(F.col("_key").isNull()).select("anchor"))
+    lists = told.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.collect_list("anchors").alias("anchors"))
+    if hot.isEmpty():
+        return lists.withColumn("hot", F.array().cast("array<long>"))
+    own = (single.filter(F.col("_key").isNotNull()).join(maybe_broadcast(hot), "anchor")
+           .groupBy("_key").agg(F.collect_set("anchor").alias("hot")))
+    return lists.join(own, "_key", "left")
 
 
 def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> DataFrame:
@@ -216,10 +225,9 @@ def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> Dat
             anchor, start, size, doc = anchor_runs(grain, s)
             chosen, single = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
             for d, lo, hi in _groups(doc):
-                for list_, flag in ((lists[i + d], chosen), (hots[i + d], single)):
-                    if list_:
-                        known = np.frombuffer(b"".join(list_), np.uint64)
-                        flag[lo:hi] = np.isin(anchor[lo:hi], known)
+                chosen[lo:hi] = np.isin(anchor[lo:hi], np.frombuffer(b"".join(lists[i + d]), np.uint64))
+                if hots[i + d]:
+                    single[lo:hi] = np.isin(anchor[lo:hi], np.array(hots[i + d], np.int64).view(np.uint64))
             single &= chosen
             take = np.flatnonzero(chosen)
             times = np.where(single[take], size[take], 1)
@@ -359,7 +367,7 @@ def find_cover(docs: DataFrame, grain: Grain, smallest_holder) -> DataFrame:
     rows = row_key(docs)
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     told = shared_anchors(anchor_rows(rows, grain, max(8, -(-total // PART_BYTES))))
-    runs = run_rows(rows, checkpointed(told), grain, max(8, -(-total // SHARD_BYTES)))
+    runs = run_rows(rows, told, grain, max(8, -(-total // SHARD_BYTES)))
     return checkpointed(covered_intervals(runs, grain, smallest_holder))
 
 
