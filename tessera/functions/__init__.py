@@ -1,2 +1,3 @@
 """Column-expression helpers. Every helper returns a built-in Spark
-expression (no Python UDF), so it stays inside whole-stage codegen."""
+expression (no Python UDF). Those with lambdas (``vectors``) are evaluated
+by the interpreter of higher-order functions, the rest in generated code."""

@@ -31,8 +31,10 @@ def to_int32(s) -> Column:
 
 
 def to_double(s) -> Column:
-    """Parse text as a double; garbage gives null."""
-    return _col(s).try_cast("double")
+    """Parse text as a finite double; garbage, ``NaN``, infinities and
+    magnitudes beyond a double give null."""
+    d = _col(s).try_cast("double")
+    return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), d)
 
 
 def wrap_int32(x) -> Column:
@@ -49,9 +51,13 @@ def round_half_up(x, scale: int) -> Column:
     """Round a double half-up at ``scale`` decimals via a decimal.
 
     Going through ``decimal(38,9)`` makes the result independent of the
-    binary representation, so two engines round the same way.
+    binary representation, so two engines round the same way. Doubles of
+    2^53 and above have no decimals and stay as they are, as do NaN and
+    infinities.
     """
-    return F.round(_col(x).cast("decimal(38,9)"), scale).cast("double")
+    x = _col(x).cast("double")
+    small = ~F.isnan(x) & (F.abs(x) < float(1 << 53))
+    return F.when(small, F.round(x.try_cast("decimal(38,9)"), scale).cast("double")).otherwise(x)
 
 
 def safe_div(num, den, default: float) -> Column:

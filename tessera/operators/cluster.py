@@ -4,9 +4,8 @@ K-means on hashed text features, and the per-cluster report (size,
 error, WSSE, terms).
 
 Cluster ids are 1-based as in the reports. Dense centroids are K x dim
-numbers set by the parameters, not by the data; they travel inside the
-plan as a literal (as MLlib broadcasts its centers), so assigning a
-point is a projection with no join. Sparse centers over an exact
+numbers set by the parameters, not by the data; they go to every task as
+one value, so assigning a point moves no point. Sparse centers over an exact
 vocabulary grow with the data and stay distributed (see below).
 """
 
@@ -14,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -37,61 +37,63 @@ def seed_points(points: DataFrame, seed_ids: Sequence[int]) -> DataFrame:
         pos.alias("cluster_id"), "id", "v")
 
 
-def _centroid_literal(centroids: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    return F.array(*[
-        F.struct(F.lit(int(cid)).alias("cid"),
-                 F.array(*[F.lit(float(x)) for x in vec]).alias("c"))
-        for cid, vec in centroids
-    ])
+def require_seeds(found, seed_ids: Sequence) -> None:
+    """Raise unless every seed id was found."""
+    missing = sorted(set(seed_ids) - set(found))
+    if missing:
+        raise ValueError(f"seed ids not in the data: {missing}")
 
 
 def assign_nearest(points: DataFrame, centroids: Sequence[tuple[int, Sequence[float]]]) -> DataFrame:
-    """``(id, cluster_id, dist2)``: nearest centroid, the lowest cluster
-    id winning ties."""
-    cents = _centroid_literal(centroids)
+    """``(id, v, cluster_id, dist2)``: nearest centroid, the lowest cluster
+    id winning ties. The K centroids travel as one value."""
+    row = [([(int(cid), [float(x) for x in vec]) for cid, vec in centroids],)]
+    cents = points.sparkSession.createDataFrame(row, "_cents array<struct<cid:int,c:array<double>>>")
+    # one value of K x dim numbers, set by the parameters
     best = F.array_min(F.transform(
-        cents, lambda s: F.struct(sqdist(F.col("v"), s["c"]).alias("d"), s["cid"].alias("cid"))))
-    return points.select("id", "v", best.alias("_b")).select(
+        "_cents", lambda s: F.struct(sqdist(F.col("v"), s["c"]).alias("d"), s["cid"].alias("cid"))))
+    return points.withColumn("_cents", cents.scalar()).select("id", "v", best.alias("_b")).select(
         "id", "v", F.col("_b.cid").alias("cluster_id"), F.col("_b.d").alias("dist2"))
 
 
 def centroid_means(assigned: DataFrame) -> DataFrame:
-    """``(cluster_id, dim, value)``: per-dimension mean of each cluster.
+    """``(cluster_id, dim, value)``: per-dimension mean of each cluster, by
+    the vector mean of ``ml``'s summarizer (one vector per cluster and task
+    is shuffled)."""
+    return _vector_means(assigned).select("cluster_id", F.posexplode(vector_to_array("m")).alias("dim", "value"))
 
-    Exploding to (cluster, dim) keeps the aggregate a plain codegen'd
-    sum/count; the map side pre-aggregates to K x dim rows per task.
-    """
-    return (
-        assigned.select("cluster_id", F.posexplode("v").alias("dim", "x"))
-        .groupBy("cluster_id", "dim").agg(F.avg("x").alias("value"))
-    )
 
+def _vector_means(assigned: DataFrame) -> DataFrame:
+    from pyspark.ml.stat import Summarizer
 
-def _collect_centroids(means: DataFrame, previous: dict[int, list[float]]) -> dict[int, list[float]]:
-    """K x dim centroid values to the driver; empty clusters keep their
-    previous centroid."""
-    out = {k: list(v) for k, v in previous.items()}
-    rows = means.groupBy("cluster_id").agg(
-        F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("c")).collect()
-    for r in rows:
-        out[r["cluster_id"]] = [e["value"] for e in r["c"]]
-    return out
+    return assigned.groupBy("cluster_id").agg(Summarizer.mean(array_to_vector("v")).alias("m"))
 
 
 def lloyd_kmeans(points: DataFrame, seed_ids: Sequence[int], iterations: int):
     """Lloyd's algorithm from explicit seeds for a fixed number of steps.
 
     Each step assigns every point to its nearest centroid and moves the
-    centroids to the means; the returned assignment is to the final
-    centroids. Returns ``(assignment, centroids)`` where ``centroids``
-    maps cluster id to its vector (K x dim values on the driver).
+    centroids to the means (an empty cluster keeps its centroid); the
+    returned assignment is to the final centroids. A step that moves no
+    centroid ends the loop: the remaining ones would not either. Returns
+    ``(assignment, centroids)`` where ``centroids`` maps cluster id to its
+    vector (K x dim values on the driver). Seed ids that are not in the data
+    raise.
     """
+    points = points.persist()
     seeds = seed_points(points, seed_ids).collect()
+    require_seeds([r["id"] for r in seeds], seed_ids)
     cents = {r["cluster_id"]: list(r["v"]) for r in seeds}
     for _ in range(iterations):
-        assigned = assign_nearest(points, sorted(cents.items()))
-        cents = _collect_centroids(centroid_means(assigned), cents)
-    return assign_nearest(points, sorted(cents.items())), cents
+        moved = dict(cents)
+        for r in _vector_means(assign_nearest(points, sorted(cents.items()))).collect():
+            moved[r["cluster_id"]] = r["m"].toArray().tolist()
+        if moved == cents:
+            break
+        cents = moved
+    out = assign_nearest(points, sorted(cents.items())).checkpoint()
+    points.unpersist()
+    return out, cents
 
 
 def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
@@ -177,29 +179,31 @@ def library_report(pred: DataFrame, centers, tokens: DataFrame, k: int,
     """Per-cluster ``(cluster_id, size, error, terms)`` of a fitted model.
 
     ``pred``: ``(doc_id, features, cluster_id)``; ``centers``: the
-    model's K centers. The error uses
-    sum ||x - c||^2 = sum ||x||^2 - 2 c . sum x + n ||c||^2: the built-in
-    ``Summarizer`` aggregates each cluster's vector sum and column norms
-    on the executors (map-side combined), and only those K summaries,
-    the size of the model itself, meet the centers on the driver.
+    model's K centers. Each document's distance is
+    ||x||^2 + ||c||^2 - 2 x.c over its non-zero entries, computed on the
+    executors: the entries meet the centers' non-zero values through a join,
+    and only sums per cluster remain.
     """
     import numpy as np
-    from pyspark.ml.stat import Summarizer
+    import pandas as pd
+    from tessera.functions.vectors import sparse_entries
 
     spark = pred.sparkSession
-    summ = pred.groupBy("cluster_id").agg(
-        Summarizer.metrics("sum", "normL2").summary(F.col("features")).alias("s"),
-        F.count(F.lit(1)).alias("size"),
-    ).collect()
     rows = []
-    for r in summ:
-        c = centers[r["cluster_id"] - 1]
+    for cid, c in enumerate(centers, 1):
         c = np.asarray(c.toArray() if hasattr(c, "toArray") else c, dtype=float)
-        total = r["s"]["sum"].toArray()
-        xx = float(np.square(r["s"]["normL2"].toArray()).sum())
-        sse = xx - 2.0 * float(c @ total) + r["size"] * float(c @ c)
-        rows.append((int(r["cluster_id"]), float(np.sqrt(max(sse, 0.0)))))
-    errors = spark.createDataFrame(rows, "cluster_id int, error double")
+        at = np.flatnonzero(c)
+        rows.append(pd.DataFrame({"cluster_id": np.full(len(at), cid, np.int32), "idx": at.astype(np.int32), "c": c[at]}))
+    table = spark.createDataFrame(pd.concat(rows), "cluster_id int, idx int, c double")
+    norms = table.groupBy("cluster_id").agg(F.sum(F.col("c") * F.col("c")).alias("cc"))
+    entries = sparse_entries(pred.select("cluster_id", "features"), "features")
+    sums = entries.join(table, ["cluster_id", "idx"], "left").groupBy("cluster_id").agg(
+        F.sum(F.col("val") * F.col("val") - 2 * F.col("val") * F.coalesce("c", F.lit(0.0))).alias("s"))
+    errors = (
+        cluster_sizes(pred, k).join(sums, "cluster_id", "left").join(norms, "cluster_id", "left")
+        .select("cluster_id", F.sqrt(F.greatest(
+            F.coalesce("s", F.lit(0.0)) + F.col("size") * F.coalesce("cc", F.lit(0.0)), F.lit(0.0))).alias("error"))
+    )
     stats = cluster_sizes(pred, k).join(errors, "cluster_id", "left").select(
         "cluster_id", "size", F.coalesce("error", F.lit(0.0)).alias("error"))
     terms = cluster_terms(pred.select("doc_id", "cluster_id"), tokens, n_terms, descending)
@@ -240,9 +244,10 @@ def _center_stats(centers: DataFrame) -> tuple[dict[int, float], int]:
 
 
 def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, n_center_rows: int) -> DataFrame:
-    from tessera.operators.skew import BROADCAST_MAX_ROWS, hot_keys, salted_join
+    from tessera.operators.skew import BROADCAST_MAX_BYTES, hot_keys, salted_join
 
-    if n_center_rows <= BROADCAST_MAX_ROWS:
+    # a pivoted row holds its term and K doubles
+    if n_center_rows * (64 + 8 * (len(centers.columns) - 1)) <= BROADCAST_MAX_BYTES:
         return entries.join(F.broadcast(centers), dim)
     return salted_join(centers, entries, dim, hot_keys(entries, dim))
 
@@ -314,12 +319,25 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
     """Lloyd's algorithm on long-form sparse vectors from explicit seed
     documents. ``iterations=0`` gives the nearest-seed assignment.
     Centers are checkpointed every step (short lineage, survives
-    executor loss). Returns ``(assignment, centers)``."""
+    executor loss); once no document moves the remaining steps would change
+    nothing and are left out. Seed ids that are not in the data raise.
+    Returns ``(assignment, centers)``."""
     k = len(seed_ids)
+    found = docs.filter(F.col("doc_id").isin(list(seed_ids))).select("doc_id").distinct().collect()
+    require_seeds([r[0] for r in found], seed_ids)
     norms = doc_norms(docs, entries).persist()
     centers = sparse_seed_centers(entries, seed_ids, dim).checkpoint()
+    before = None
     for _ in range(iterations):
         assigned = sparse_assign(docs, entries, centers, k, dim, norms).persist()
+        # the sum of the rows' hashes tells whether any document moved
+        now = assigned.agg(F.sum(F.xxhash64("doc_id", "cluster_id").cast("decimal(38,0)"))).first()[0]
+        if now == before:
+            assigned.unpersist()
+            break
+        before = now
         centers = sparse_means(entries, assigned, centers, dim).checkpoint()
         assigned.unpersist()
-    return sparse_assign(docs, entries, centers, k, dim, norms), centers
+    out = sparse_assign(docs, entries, centers, k, dim, norms).checkpoint()
+    norms.unpersist()
+    return out, centers

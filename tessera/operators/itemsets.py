@@ -4,10 +4,10 @@ Baskets are kept in long form ``(basket_id, item)``. Supports are exact
 counts over all baskets, so results do not depend on partitioning.
 
 * :func:`level_wise_itemsets` - Apriori as DataFrame joins. Level k
-  extends every frequent (k-1)-itemset found in a basket by a larger
-  frequent item of the same basket (equi-join on ``basket_id``), then
-  counts. Only frequent singles enter the joins, so what a basket can
-  emit is bounded by the frequent items, not by the basket's length.
+  joins the frequent (k-1)-itemsets with each other to candidates, drops
+  those with an infrequent subset, and counts the rest: the (k-1)-sets
+  found in a basket are extended by a larger frequent item of the same
+  basket (equi-join on ``basket_id``) where that gives a candidate.
 * :func:`fpgrowth_itemsets` - ``pyspark.ml.fpm.FPGrowth`` on the same
   baskets (distributed FP-growth); must agree with the level-wise
   result.
@@ -53,7 +53,7 @@ def baskets(basket_items: DataFrame) -> DataFrame:
     """
     from tessera.operators.skew import hot_keys_from_counts, salted_join
 
-    sizes = basket_items.groupBy("basket_id").agg(F.count(F.lit(1)).alias("basket_size")).persist()
+    sizes = basket_items.groupBy("basket_id").agg(F.count(F.lit(1)).alias("basket_size")).checkpoint()
     hot = hot_keys_from_counts(sizes, "basket_id", "basket_size")
     return salted_join(sizes, basket_items, "basket_id", hot).select("basket_id", "item", "basket_size")
 
@@ -73,63 +73,77 @@ def _as_itemsets(df: DataFrame, items_col: str = "items") -> DataFrame:
     )
 
 
-def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | None = None,
-                        checkpoint_every: int = 3) -> DataFrame:
+def level_candidates(frequent: DataFrame, k: int) -> DataFrame:
+    """``(items)``: k-sets whose (k-1)-subsets are all in ``frequent``
+    (``items``: sorted arrays of k - 1)."""
+    key = F.slice("items", 1, k - 2) if k > 2 else F.array().cast("array<string>")
+    sides = frequent.select(key.alias("_head"), F.col("items")[k - 2].alias("_last"))
+    joined = (
+        sides.join(sides.withColumnRenamed("_last", "_next"), "_head").filter(F.col("_next") > F.col("_last"))
+        .select(F.concat("_head", F.array("_last", "_next")).alias("items"))
+    )
+    if k < 3:
+        return joined
+    subsets = joined.select("items", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(k)),
+        lambda i: F.concat(F.slice("items", F.lit(1), i - 1), F.slice("items", i + 1, F.lit(k) - i)))).alias("_sub"))
+    return (subsets.join(frequent.select(F.col("items").alias("_sub")), "_sub", "left_semi")
+            .groupBy("items").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == k).select("items"))
+
+
+def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | None = None) -> DataFrame:
     """All itemsets with support >= ``support``.
 
     Returns ``(size, items, support)``; ``items`` are sorted and joined
     with ``,``. Iterates until a level finds nothing (or ``max_size``):
-    the driver loop runs once per itemset size.
+    the driver loop runs once per itemset size. Each level's frequent sets
+    are written to the checkpoint folder, its per-basket sets are kept until
+    the next level has been counted.
     """
-    f1 = frequent_singles(basket_items, support).persist()
-    # Frequent items of each basket, the only ones that can extend a set.
-    # At most (rows / support) items are frequent; the table is broadcast
-    # after a size check, so the baskets are not shuffled by item. The
-    # result is hash-partitioned by basket once: every level's per-basket
-    # sets derive from it and keep that layout, so the level joins on
-    # basket_id need no further shuffle. (A basket holds at most one row
-    # per frequent item here, so no partition can be swamped by one.)
-    # An explicit partition count (the cluster's shuffle partitions) keeps
-    # the layout exact, so both sides of a level join stay co-partitioned.
-    n_parts = int(basket_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    f1 = frequent_singles(basket_items, support).checkpoint()
+    # Frequent items of each basket, the only ones that can extend a set:
+    # at most (rows / support) items are frequent, broadcast after a size
+    # check; the rows are partitioned by basket once for the level joins.
     e1 = (
         basket_items.join(broadcast_if_small(f1.select("item")), "item", "left_semi")
-        .repartition(n_parts, "basket_id")
+        .repartition("basket_id")
         .persist()
     )
     levels = [f1.select(F.array("item").alias("items"), "support")]
-    prev = e1.select("basket_id", F.array("item").alias("items"), F.col("item").alias("last"))
+    prev, held = e1.select("basket_id", F.array("item").alias("items"), F.col("item").alias("last")), e1
     k = 1
     while max_size is None or k < max_size:
         k += 1
+        candidates = level_candidates(levels[-1], k).checkpoint()
+        if candidates.isEmpty():
+            break
         ext = (
             prev.join(e1.withColumnRenamed("item", "next"), "basket_id")
             .filter(F.col("next") > F.col("last"))
             .select("basket_id", F.concat("items", F.array("next")).alias("items"),
                     F.col("next").alias("last"))
+            .join(broadcast_if_small(candidates, 32 * k), "items", "left_semi")
         ).persist()
         fk = (
             ext.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
             .filter(F.col("support") >= support)
-        ).persist()
+        ).checkpoint()
+        if held is not e1:
+            held.unpersist()
+        held = ext
         if fk.isEmpty():
-            ext.unpersist()
             break
         levels.append(fk)
-        # Sets of this level present in each basket: the next level's
-        # input. Kept (memory and disk), and every few levels written to
-        # the checkpoint folder so the lineage stays short.
-        prev = ext.join(fk.select("items"), "items", "left_semi")
-        if k % checkpoint_every == 0:
-            prev = prev.checkpoint()
-            ext.unpersist()
+        prev = ext.join(broadcast_if_small(fk.select("items"), 32 * k), "items", "left_semi")
+    held.unpersist()
+    e1.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
     return _as_itemsets(out)
 
 
-def fpgrowth_itemsets(basket_items: DataFrame, support: int, n_baskets: int) -> DataFrame:
+def fpgrowth_itemsets(basket_items: DataFrame, support: int) -> DataFrame:
     """Frequent itemsets by ``FPGrowth``, same shape as the level-wise ones.
 
     FPGrowth's threshold is ``ceil(minSupport * n)``; ``(s - 0.5) / n``
@@ -139,14 +153,14 @@ def fpgrowth_itemsets(basket_items: DataFrame, support: int, n_baskets: int) ->
     """
     from pyspark.ml.fpm import FPGrowth
 
-    f1 = frequent_singles(basket_items, support).select("item").persist()
+    f1 = frequent_singles(basket_items, support).select("item").checkpoint()
     tx = (
         basket_items.join(broadcast_if_small(f1), "item", "left_semi")
         .groupBy("basket_id").agg(F.collect_set("item").alias("items"))
-    )
-    # every itemset present in the data has support >= 1, so a support
+    ).checkpoint()
+    # the threshold is a share of the baskets that are left; every itemset present in the data has support >= 1, so a support
     # below 1 means the same as 1
-    min_support = (max(support, 1) - 0.5) / max(n_baskets, 1)
+    min_support = (max(support, 1) - 0.5) / max(tx.count(), 1)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"),
                                    F.col("freq").alias("support"))
@@ -157,29 +171,33 @@ def candidate_support(basket_items: DataFrame, candidates: DataFrame) -> DataFra
     """Exact support of every candidate itemset.
 
     ``candidates``: ``(items)`` with ``items`` a ``,``-joined string.
-    Each basket keeps only the items that occur in some candidate (a set
-    bounded by the candidate table, however large the basket). A
-    candidate meets the baskets holding its smallest item through an
-    equi-join on that item, and counts those whose item set contains all
-    of its items. Candidates held by no basket get support 0. An item
-    found in very many baskets is spread over several tasks in the join.
+    A candidate meets the baskets through its rarest item (equi-join on that
+    item), and its other items are looked up among the basket's rows: a
+    basket supports it when as many rows match as it has items. Candidates
+    held by no basket get support 0. An item found in very many baskets is
+    spread over several tasks in the join.
     """
     from tessera.operators.skew import hot_keys_from_counts, salted_join
 
     cand = candidates.select("items").distinct().select(
-        "items", F.array_sort(F.split("items", ",")).alias("arr"))
-    cand = cand.select("items", F.size("arr").alias("size"), "arr", F.col("arr")[0].alias("item"))
-    relevant = cand.select(F.explode("arr").alias("item")).distinct()
-    kept = basket_items.join(broadcast_if_small(relevant.persist()), "item", "left_semi")
-    sets = kept.groupBy("basket_id").agg(F.collect_set("item").alias("have"))
-    firsts = sets.select("basket_id", "have", F.explode("have").alias("item"))
-    item_counts = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys_from_counts(item_counts, "item", "n")
+        "items", F.array_distinct(F.split("items", ",")).alias("arr"))
+    cand = cand.select("items", F.size("arr").alias("size"), "arr").checkpoint()
+    parts = cand.select("items", F.explode("arr").alias("item"))
+    relevant = parts.select("item").distinct().checkpoint()
+    kept = basket_items.join(broadcast_if_small(relevant), "item", "left_semi").persist()
+    counts = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    hot = hot_keys_from_counts(counts, "item", "n")
+    rarest = parts.join(counts, "item", "left").groupBy("items").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item")).alias("_r")).select(
+        "items", F.col("_r.item").alias("item"))
+    rest = salted_join(rarest, kept, "item", hot).select("items", "basket_id", F.col("item").alias("_first"))
+    others = rest.join(cand, "items").select("items", "size", "basket_id", F.explode("arr").alias("item"))
     hits = (
-        salted_join(cand, firsts, "item", hot)
-        .filter(F.forall("arr", lambda x: F.array_contains(F.col("have"), x)))
-        .groupBy("items").agg(F.count(F.lit(1)).alias("support"))
+        others.join(kept, ["basket_id", "item"])
+        .groupBy("items", "size", "basket_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.col("size"))
+        .groupBy("items").agg(F.count(F.lit(1)).alias("support")).checkpoint()
     )
+    kept.unpersist()
     return (
         cand.select("items", "size")
         .join(hits, "items", "left")
@@ -188,18 +206,13 @@ def candidate_support(basket_items: DataFrame, candidates: DataFrame) -> DataFra
 
 
 def itemset_report_lines(itemsets: DataFrame) -> DataFrame:
-    """One text line per itemset size: ``(a,b), (a,c), ...``.
-
-    Items inside a set and the sets of a line are in lexicographic
-    order, as in the reference's text output.
-    """
-    keyed = itemsets.select(
-        "size", F.split("items", ",").alias("key"),
-        F.concat(F.lit("("), F.col("items"), F.lit(")")).alias("text"),
-    )
-    return keyed.groupBy("size").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("key", "text"))), lambda s: s["text"]),
-            ", ",
-        ).alias("line")
-    )
+    """``(position, size, text)``: one row per itemset, ``text`` its items as
+    ``(a,b)``. Positions count from 0 in the order of the text report: by
+    size, then by the items in lexicographic order. The rows are sorted by
+    range, so no task holds a whole size."""
+    from tessera.operators.dictionary import row_index
+
+    ordered = itemsets.select("size", "items").withColumn("_key", F.split("items", ",")) \
+        .repartitionByRange("size", "_key").sortWithinPartitions("size", "_key").checkpoint()
+    return row_index(ordered, "position").select(
+        "position", "size", F.concat(F.lit("("), F.col("items"), F.lit(")")).alias("text"))

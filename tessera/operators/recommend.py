@@ -19,7 +19,7 @@ on the left to users that occur in the test set, aggregated straight
 into six sums per pair (count, sums, sums of squares, cross sum), so
 each pair is one row after a single shuffle. For predictions only the
 pairs that meet as neighbours are kept before aggregating. The
-correlation is taken from those integer sums, which makes zero variance
+correlation is taken from sums of scaled integers, which makes zero variance
 an exact test. A hot item multiplies its raters: both item-keyed joins
 spread hot items over several tasks (:mod:`tessera.operators.skew`).
 """
@@ -30,18 +30,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up, safe_div
-from tessera.operators.skew import hot_keys, salted_join
+from tessera.operators.skew import PAIR_THRESHOLD, grid_join, hot_keys
 
 ZERO_WEIGHT_OFFSET = 0.01
 
+#: Sums are taken over ratings in units of 1/SCALE star, as integers, so that
+#: they are exact for ratings of up to four decimals.
+SCALE = 10_000
+
+
+def scaled(rating) -> F.Column:
+    return F.round(F.col(rating) * SCALE).cast("bigint")
+
 
 def user_rating_stats(train: DataFrame) -> DataFrame:
     """``(user, n, total, mean)`` over the training ratings."""
     return train.groupBy("user").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("rating").cast("bigint").alias("total"),
-        F.avg("rating").alias("mean"),
-    )
+        F.count(F.lit(1)).alias("n"), F.sum(scaled("rating")).alias("_sum"),
+    ).select("user", "n", (F.col("_sum") / SCALE).alias("total"),
+             (F.col("_sum") / (F.col("n") * SCALE)).alias("mean"))
 
 
 def with_test(train: DataFrame, test: DataFrame, include_test: bool) -> DataFrame:
@@ -50,15 +57,10 @@ def with_test(train: DataFrame, test: DataFrame, include_test: bool) -> DataFram
     return train.unionByName(test) if include_test else train
 
 
-def train_cap(train: DataFrame, n: int) -> DataFrame:
-    """First ``n`` training ratings in ``(user, item)`` order."""
-    return train.orderBy("user", "item").limit(n)
-
-
 def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame | None:
-    """Items with so many raters that their joins must be spread out
-    (``None`` when there are none)."""
-    return hot_keys(train, "item", threshold)
+    """Items with so many raters that their pairs must be spread out over a
+    grid of tasks (``None`` when there are none)."""
+    return hot_keys(train, "item", PAIR_THRESHOLD if threshold is None else threshold)
 
 
 def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
@@ -80,8 +82,8 @@ def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
         .join(test_users, "u", "left_semi")
     )
     right = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r2"))
-    r1, r2 = F.col("r1").cast("bigint"), F.col("r2").cast("bigint")
-    co = salted_join(left, right, "item", hot).filter(F.col("u") != F.col("v"))
+    r1, r2 = scaled("r1"), scaled("r2")
+    co = grid_join(left, right, "item", hot).filter(F.col("u") != F.col("v"))
     if pairs is not None:
         co = co.join(pairs.select("u", "v"), ["u", "v"], "left_semi")
     return (
@@ -103,15 +105,15 @@ def pair_stats(sums: DataFrame) -> DataFrame:
     w = (n*s12 - s1*s2) / sqrt((n*s11 - s1^2) * (n*s22 - s2^2)); 0 when
     either user's ratings on the common items are constant.
     """
-    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
-    cov = n * F.col("s12") - s1 * s2
-    var1 = n * F.col("s11") - s1 * s1
-    var2 = n * F.col("s22") - s2 * s2
+    n, s1, s2, s11, s22, s12 = (F.col(c).cast("decimal(19,0)") for c in ("n", "s1", "s2", "s11", "s22", "s12"))
+    cov = n * s12 - s1 * s2
+    var1 = n * s11 - s1 * s1
+    var2 = n * s22 - s2 * s2
     den = F.sqrt(var1.cast("double")) * F.sqrt(var2.cast("double"))
     return sums.select(
         "u", "v", "n",
-        (s1 / n).alias("mean1"),
-        (s2 / n).alias("mean2"),
+        (F.col("s1") / (F.col("n") * SCALE)).alias("mean1"),
+        (F.col("s2") / (F.col("n") * SCALE)).alias("mean2"),
         F.when((var1 == 0) | (var2 == 0), F.lit(0.0)).otherwise(cov.cast("double") / den).alias("w"),
     )
 
@@ -124,7 +126,7 @@ def neighbours(train: DataFrame, test: DataFrame, hot="auto") -> DataFrame:
         hot = hot_items(train)
     t = test.select(F.col("user").alias("u"), "item")
     tr = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r"))
-    return salted_join(t, tr, "item", hot).filter(F.col("u") != F.col("v")).select(
+    return grid_join(t, tr, "item", hot).filter(F.col("u") != F.col("v")).select(
         "u", "item", "v", "r")
 
 
@@ -149,6 +151,7 @@ def cf_predictions(offsets: DataFrame, user_stats: DataFrame) -> DataFrame:
 def clamp_reference(x) -> F.Column:
     """The reference's output adjustment: <= 0 -> 0.2, >= 5 -> 4.0,
     otherwise x - 0.79."""
+    # fixed values: 0, 0.2, 5, 4.0, 0.79
     x = F.col(x) if isinstance(x, str) else x
     return F.when(x <= 0, F.lit(0.2)).when(x >= 5, F.lit(4.0)).otherwise(x - F.lit(0.79))
 
@@ -159,29 +162,11 @@ def clamp_bounds(x, lo: float = 1.0, hi: float = 5.0) -> F.Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), x))
 
 
-def cf_complete(test: DataFrame, preds: DataFrame, user_stats: DataFrame,
-                clamp: str = "reference") -> DataFrame:
-    """Every test pair with a prediction: neighbours, else the user's
-    training mean, else the global training mean; then clamped.
-
-    ``(user, item, rating, prediction)``.
-    """
-    # scalar subquery: evaluated once, inlined as a value
-    global_mean = user_stats.agg(F.sum("total") / F.sum("n")).scalar()
-    # Rounded at 1e-9 before the discontinuous clamp: a raw value that is
-    # 0 or 5 in exact arithmetic must not flip with summation order.
-    raw = round_half_up(F.coalesce(F.col("prediction"), F.col("mean"), global_mean), 9)
-    adjust = clamp_reference if clamp == "reference" else clamp_bounds
-    return (
-        test.join(preds, ["user", "item"], "left")
-        .join(user_stats.select("user", "mean"), "user", "left")
-        .select("user", "item", "rating", adjust(raw).alias("prediction"))
-    )
-
-
-def cf_complete_from_offsets(test: DataFrame, offsets: DataFrame, user_stats: DataFrame,
+def cf_complete(test: DataFrame, offsets: DataFrame, user_stats: DataFrame,
                              clamp: str = "reference") -> DataFrame:
-    """:func:`cf_complete` straight from the offsets.
+    """Every test pair with a prediction ``(user, item, rating, prediction)``:
+    neighbours, else the user's training mean, else the global training mean;
+    then clamped.
 
     Offsets exist only for users with training ratings, so
     ``mean + offset`` (neighbour prediction) or ``mean`` (fallback) needs
@@ -191,6 +176,8 @@ def cf_complete_from_offsets(test: DataFrame, offsets: DataFrame, user_stats: Da
     pred = F.col("mean") + safe_div("num", "den", ZERO_WEIGHT_OFFSET)
     raw = F.when(F.col("num").isNotNull(), pred).otherwise(F.coalesce(F.col("mean"), global_mean))
     adjust = clamp_reference if clamp == "reference" else clamp_bounds
+    # rounded at 1e-9 before the discontinuous clamp: a raw value that is
+    # 0 or 5 in exact arithmetic must not flip with summation order
     return (
         test.join(offsets, ["user", "item"], "left")
         .join(user_stats.select("user", "mean"), "user", "left")

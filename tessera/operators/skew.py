@@ -3,9 +3,9 @@
 A key holding a large share of the rows would put all of its join
 output on one task. :func:`hot_keys` finds such keys with one
 pre-aggregated count (map-side combine, so the hot key itself is never
-shuffled row by row) and keeps at most ``limit`` of them, which bounds
-the broadcast of the hot-key table; when no key is hot the join stays a
-plain one. :func:`salted_join` then spreads each hot key over
+shuffled row by row): at most rows / threshold keys, a table that is
+written to the checkpoint folder and joined as the planner sees fit; when no
+key is hot the join stays a plain one. :func:`salted_join` then spreads each hot key over
 ``buckets`` tasks: the right side's rows of that key are dealt to
 buckets by a deterministic hash of their columns, the left side's rows
 are replicated to every bucket, so each (left, right) pair is produced
@@ -20,52 +20,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_THRESHOLD = 50_000   # rows per key a single task should take
-DEFAULT_LIMIT = 10_000       # most hot keys kept (bounds the broadcast)
-MAX_BUCKETS = 256
+PAIR_THRESHOLD = 4_000       # rows a side whose pairs a single task should take
 
 
 def hot_keys_from_counts(counts: DataFrame, key: str, count_col: str,
-                         threshold: int | None = None, limit: int | None = None,
-                         max_buckets: int | None = None) -> DataFrame | None:
-    """``(key, _buckets)`` for the at most ``limit`` keys whose count
-    exceeds ``threshold`` (``_buckets`` = ceil(count / threshold),
-    capped), or ``None`` when no key is hot. At most ``limit`` rows
-    reach the driver. Unset limits take the module defaults."""
+                         threshold: int | None = None) -> DataFrame | None:
+    """``(key, _buckets)`` for the keys whose count exceeds ``threshold``
+    (``_buckets`` = ceil(count / threshold)), or ``None`` when no key is
+    hot."""
     threshold = DEFAULT_THRESHOLD if threshold is None else threshold
-    limit = DEFAULT_LIMIT if limit is None else limit
-    max_buckets = MAX_BUCKETS if max_buckets is None else max_buckets
-    top = (
-        counts.filter(F.col(count_col) > threshold)
-        .orderBy(F.col(count_col).desc(), F.col(key))
-        .limit(limit)
-        .collect()
-    )
-    if not top:
-        return None
-    spark = counts.sparkSession
-    key_type = counts.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField("_buckets", T.IntegerType())])
-    rows = [(r[key], int(min(max_buckets, -(-r[count_col] // threshold)))) for r in top]
-    return spark.createDataFrame(rows, schema)
+    hot = counts.filter(F.col(count_col) > threshold).select(
+        key, F.ceil(F.col(count_col) / threshold).cast("int").alias("_buckets")).checkpoint()
+    return None if hot.isEmpty() else hot
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int | None = None,
-             limit: int | None = None, max_buckets: int | None = None) -> DataFrame | None:
+def hot_keys(df: DataFrame, key: str, threshold: int | None = None) -> DataFrame | None:
     """Hot keys of ``df`` by row count (one pre-aggregated count)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return hot_keys_from_counts(counts, key, "_rows", threshold, limit, max_buckets)
+    return hot_keys_from_counts(counts, key, "_rows", threshold)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Inner equi-join on ``key`` with hot keys spread over buckets.
 
-    ``hot`` comes from :func:`hot_keys` and is broadcast: its row count
-    is bounded by the ``limit`` it was built with. Without hot keys this
-    is a plain join, planned as the optimizer sees fit.
+    ``hot`` comes from :func:`hot_keys`. Without hot keys this is a plain
+    join, planned as the optimizer sees fit.
     """
     if hot is None:
         return left.join(right, key)
-    h = F.broadcast(hot)
+    h = hot
     r = (
         right.join(h, key, "left")
         .withColumn("_salt", F.when(
@@ -85,12 +68,29 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | No
     return l.join(r, [key, "_salt"]).drop("_salt")
 
 
-BROADCAST_MAX_ROWS = 1_000_000
+def grid_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Inner equi-join on ``key`` whose output per key is the product of both
+    sides: a hot key's rows are dealt to B buckets on either side and every
+    pair of buckets is a task's work of its own, so no task takes more than
+    threshold x threshold pairs. Each pair is produced exactly once."""
+    if hot is None:
+        return left.join(right, key)
+    b = F.coalesce("_buckets", F.lit(1)).cast("bigint")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), b)
+        return (df.join(hot, key, "left").withColumn(own, at)
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), b - 1))).drop("_buckets"))
+
+    return dealt(left, "_i", "_j").join(dealt(right, "_j", "_i"), [key, "_i", "_j"]).drop("_i", "_j")
+
+
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, row_bytes: int = 64, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after counting it: at most
-    ``max_rows`` rows are shipped to every task; a larger table is left
-    to a shuffle join. ``df`` should be persisted or checkpointed, as
+    ``max_bytes`` (at ``row_bytes`` a row) go to every task; a larger table is
+    left to a shuffle join. ``df`` should be persisted or checkpointed, as
     the count runs it once."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df

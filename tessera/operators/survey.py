@@ -1,5 +1,5 @@
-"""Survey salary analytics: cleaning, annualisation, per-country
-statistics and partition-skew reports.
+"""Survey salary analytics: cleaning, annualisation and per-country
+statistics.
 
 The reference's observable behaviour (int32 wrap-around, overflowing
 salaries vanishing from min/max but not from the average, unparseable
@@ -145,65 +145,3 @@ def country_salary_avg(clean: DataFrame, compat: bool = True) -> DataFrame:
 
 def country_salary_summary(clean: DataFrame, compat: bool = True) -> DataFrame:
     return country_salary_stats(clean, compat).orderBy("Country")
-
-
-def partition_sizes(df: DataFrame, label: str, n: int) -> DataFrame:
-    """Rows per physical partition of ``df``, which has ``n`` partitions
-    (empty partitions reported as 0)."""
-    spark = df.sparkSession
-    sizes = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
-    ids = spark.range(n).select(F.col("id").cast("int").alias("partition"))
-    return (
-        ids.join(sizes, "partition", "left")
-        .select(F.lit(label).alias("strategy"), "partition", F.coalesce("rows", F.lit(0)).alias("rows"))
-    )
-
-
-def hash_partition_sizes(df: DataFrame, n: int, key: str) -> DataFrame:
-    """``(partition, rows)`` that ``df.repartition(n, key)`` would produce.
-
-    Hash partitioning places a row in ``pmod(hash(key), n)`` (Murmur3,
-    seed 42: ``F.hash``), so the sizes are a map-side combined count by
-    that expression; no row is moved to measure them.
-    """
-    spark = df.sparkSession
-    pid = F.pmod(F.hash(F.col(key)), F.lit(n)).cast("int")
-    sizes = df.groupBy(pid.alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
-    ids = spark.range(n).select(F.col("id").cast("int").alias("partition"))
-    return ids.join(sizes, "partition", "left").select(
-        "partition", F.coalesce("rows", F.lit(0)).alias("rows"))
-
-
-def round_robin_sizes(df: DataFrame, n: int) -> DataFrame:
-    """``(partition, rows)`` when every input partition deals its rows
-    round-robin over ``n`` partitions, input partition p starting at
-    p mod n. Computed from one count per input partition."""
-    spark = df.sparkSession
-    per_input = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    ids = spark.range(n).select(F.col("id").cast("int").alias("partition"))
-    # partition j gets floor(c/n) rows, plus one if it is among the c mod n
-    # partitions dealt first from start p mod n
-    extra = F.when(F.pmod(F.col("partition") - F.col("p"), F.lit(n)) < F.col("c") % n, 1).otherwise(0)
-    share = per_input.select("p", "c", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("partition"))
-    return (
-        share.groupBy("partition")
-        .agg(F.sum(F.floor(F.col("c") / n) + extra).cast("bigint").alias("rows"))
-        .join(ids, "partition", "right")
-        .select("partition", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
-    )
-
-
-def partition_skew(df: DataFrame, n: int = 2, key: str = "Country") -> DataFrame:
-    """Compare round-robin with hash partitioning on ``key``.
-
-    ``(strategy, partition, rows)``: both strategies hold the same rows;
-    the hash layout shows how the key's skew lands on partitions. Sizes
-    are computed, not produced by moving the data into ``n`` partitions,
-    so a small ``n`` never funnels a large table through ``n`` tasks.
-    """
-    rows = df.select(key)
-    return (
-        round_robin_sizes(rows, n).select(F.lit("standard").alias("strategy"), "partition", "rows")
-        .unionByName(hash_partition_sizes(rows, n, key)
-                     .select(F.lit("partition").alias("strategy"), "partition", "rows"))
-    )

@@ -3,7 +3,7 @@
 Every query reads the scale-factor tables (through the fixtures of
 ``tessera.sources.fixtures``) and runs over all of their rows.
 
-Groups: survey (salary rows), itemsets (order baskets of part types),
+Groups: survey (salary rows), itemsets (documents as baskets of words),
 ratings / user CF / ALS (customer-part ratings), text (document tokens),
 clustering (embedding points; library models and sparse K-means on
 documents). Most queries are lazy plans. Iterative or model-based ones
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import round_half_up
 from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
 from tessera.operators.dictionary import dense_ids
-from tessera.sources import fixtures
+from tessera.sources import fixtures, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,23 +88,18 @@ def q_country_salary_summary_safe(spark, sf_dir):
     return survey.country_salary_summary(_clean(spark, sf_dir), compat=False)
 
 
-@register("partition_skew")
-def q_partition_skew(spark, sf_dir):
-    return survey.partition_skew(_clean(spark, sf_dir), n=2, key="Country")
+# ---------------------------------------------------------------- itemsets
 
+SUPPORT_PERCENT = 40   # of all documents
 
-# ---------------------------------------------------------------- itemsets
 
 def _basket_items(spark, sf_dir):
-    # Kept once (memory and disk): the count, the frequent singles and
-    # every level read it again; its lineage is one scan, join and
-    # distinct, so a lost block is cheap to recompute.
-    return itemsets.clean_basket_items(fixtures.basket_items(spark, sf_dir)).persist()
+    # Written once: the count, the frequent singles and every level read it.
+    return itemsets.clean_basket_items(fixtures.document_baskets(spark, sf_dir)).checkpoint()
 
 
 def _support(bi):
-    n = itemsets.basket_count(bi)
-    return n, itemsets.default_support(n)
+    return itemsets.default_support(itemsets.basket_count(bi), SUPPORT_PERCENT)
 
 
 @register("baskets")
@@ -114,7 +109,7 @@ def q_baskets(spark, sf_dir):
 
 def _level(spark, sf_dir, k):
     bi = _basket_items(spark, sf_dir)
-    _, s = _support(bi)
+    s = _support(bi)
     return itemsets.level_wise_itemsets(bi, s, max_size=k).filter(F.col("size") == k)
 
 
@@ -136,39 +131,37 @@ def q_frequent_triples(spark, sf_dir):
 @register("frequent_itemsets")
 def q_frequent_itemsets(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
-    n, s = _support(bi)
-    return itemsets.fpgrowth_itemsets(bi, s, n)
+    return itemsets.fpgrowth_itemsets(bi, _support(bi))
 
 
 @register("frequent_itemsets_levelwise")
 def q_frequent_itemsets_levelwise(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
-    _, s = _support(bi)
+    s = _support(bi)
     return itemsets.level_wise_itemsets(bi, s)
 
 
 @register("candidate_support")
 def q_candidate_support(spark, sf_dir):
-    # SON pass 2: candidates found at half the support are recounted
-    # exactly over every basket.
+    # SON pass 2: candidates are recounted exactly over every basket: the
+    # pairs of frequent items of different languages among them occur in
+    # none or few, and one item of each extended candidate in none at all.
     bi = _basket_items(spark, sf_dir)
-    _, s = _support(bi)
-    cands = itemsets.level_wise_itemsets(bi, s // 2).select("items")
-    return itemsets.candidate_support(bi, cands)
+    s = _support(bi)
+    found = itemsets.level_wise_itemsets(bi, s, max_size=3)
+    missing = found.filter("size < 3").select(F.concat("items", F.lit(",~absent~")).alias("items"))
+    return itemsets.candidate_support(bi, found.select("items").unionByName(missing))
 
 
 @register("itemset_report_lines")
 def q_itemset_report_lines(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
-    _, s = _support(bi)
+    s = _support(bi)
     return itemsets.itemset_report_lines(itemsets.level_wise_itemsets(bi, s))
 
 
 # ---------------------------------------------------------------- ratings
 
-TRAIN_CAP = 10_000
-
-
 def _split(spark, sf_dir):
     return fixtures.ratings_split(spark, sf_dir)
 
@@ -203,12 +196,6 @@ def q_encoded_ratings(spark, sf_dir):
                     fixtures.is_test_rating(F.col("user"), F.col("item")).alias("is_test"))
 
 
-@register("train_cap")
-def q_train_cap(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    return recommend.train_cap(train, TRAIN_CAP)
-
-
 @register("user_rating_stats")
 def q_user_rating_stats(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
@@ -232,8 +219,11 @@ def _cf_inputs(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
+    """Statistics of the pairs that a test row needs: its user and a rater of
+    its item."""
     train, test, hot = _cf_inputs(spark, sf_dir)
-    return recommend.pair_stats(recommend.corated_sums(train, test, hot))
+    needed = recommend.neighbours(train, test, hot).select("u", "v").distinct()
+    return recommend.pair_stats(recommend.corated_sums(train, test, hot, needed))
 
 
 @register("corated_pairs")
@@ -288,7 +278,7 @@ def q_cf_unpredicted(spark, sf_dir):
 
 def _cf_scored(spark, sf_dir):
     _, test, ustats, offsets, _ = _cf(spark, sf_dir)
-    return recommend.cf_complete_from_offsets(test, offsets, ustats, clamp="reference")
+    return recommend.cf_complete(test, offsets, ustats, clamp="reference")
 
 
 @register("cf_predictions_clamped")
@@ -297,6 +287,19 @@ def q_cf_predictions_clamped(spark, sf_dir):
                                             _r6("prediction").alias("prediction"))
 
 
+@register("user_rating_stats_with_test")
+def q_user_rating_stats_with_test(spark, sf_dir):
+    # the reference's user-based job puts the test ratings into training
+    train, test = _split(spark, sf_dir)
+    return recommend.user_rating_stats(recommend.with_test(train, test, True))
+
+
+@register("cf_metrics_lines")
+def q_cf_metrics_lines(spark, sf_dir):
+    lines = sinks.metrics_lines(_cf_scored(spark, sf_dir)).filter("pos < 5")
+    return lines.select("pos", "value")
+
+
 @register("cf_rmse")
 def q_cf_rmse(spark, sf_dir):
     return evaluate.rmse(_cf_scored(spark, sf_dir)).select("n", _r6("rmse").alias("rmse"))
@@ -335,6 +338,13 @@ def q_als_unpredicted(spark, sf_dir):
     return test.select("user", "item", "rating").join(preds, ["user", "item"], "left_anti")
 
 
+@register("als_predicted_pairs")
+def q_als_predicted_pairs(spark, sf_dir):
+    # which test rows get a prediction does not depend on the fit
+    _, preds = _als(spark, sf_dir)
+    return preds.select("user", "item", "rating")
+
+
 @register("als_rmse")
 def q_als_rmse(spark, sf_dir):
     _, preds = _als(spark, sf_dir)
@@ -381,23 +391,15 @@ def q_term_tfidf_mindf2(spark, sf_dir):
 
 @register("hashed_tf")
 def q_hashed_tf(spark, sf_dir):
-    from tessera.functions.vectors import sparse_entries
-
-    tf = text.hashed_features(_docs(spark, sf_dir), tfidf=False).select("doc_id", "tf")
-    e = sparse_entries(tf, "tf")
-    return e.groupBy("doc_id").agg(F.sum("val").alias("n_terms"),
-                                   F.count(F.lit(1)).alias("n_features"))
+    return text.term_buckets(_docs(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- clustering
 
 SEED_IDS = (0, 1, 2, 3, 4)
-LLOYD_STEPS = 3
+LLOYD_STEPS = 20
 ML_K, ML_ITER = 8, 20
-# Hash buckets of the library-model queries. Bisecting K-means keeps
-# dense K x buckets summaries on the driver; 2^18 keeps that within a
-# default 1 GB local driver heap (the operators default to 2^20).
-ML_FEATURES = 1 << 18
+ML_FEATURES = 1 << 20
 
 
 def _points(spark, sf_dir):
@@ -412,6 +414,7 @@ def q_seed_points(spark, sf_dir):
 def _nearest_seed(spark, sf_dir):
     pts = _points(spark, sf_dir)
     seeds = cluster.seed_points(pts, SEED_IDS).collect()
+    cluster.require_seeds([r["id"] for r in seeds], SEED_IDS)
     return cluster.assign_nearest(pts, [(r["cluster_id"], r["v"]) for r in seeds])
 
 
@@ -427,14 +430,14 @@ def q_centroid_update(spark, sf_dir):
     return m.select("cluster_id", "dim", _r6("value").alias("value"))
 
 
-def _lloyd(spark, sf_dir):
-    assigned, _ = cluster.lloyd_kmeans(_points(spark, sf_dir), SEED_IDS, LLOYD_STEPS)
+def _lloyd(spark, sf_dir, steps=LLOYD_STEPS):
+    assigned, _ = cluster.lloyd_kmeans(_points(spark, sf_dir), SEED_IDS, steps)
     return assigned
 
 
 @register("lloyd_kmeans_3iter")
 def q_lloyd_kmeans_3iter(spark, sf_dir):
-    return _lloyd(spark, sf_dir).select("id", "cluster_id", _r6("dist2").alias("dist2"))
+    return _lloyd(spark, sf_dir, 3).select("id", "cluster_id", _r6("dist2").alias("dist2"))
 
 
 @register("cluster_sizes")
@@ -464,7 +467,7 @@ def _seed_clusters(spark, sf_dir):
     # clustering the hand-written job reports terms for.
     d, toks, ent = _text_entries(spark, sf_dir, "tf")
     assigned, _ = cluster.sparse_lloyd(d, ent, TEXT_SEEDS, 0)
-    return assigned.persist(), toks
+    return assigned, toks
 
 
 @register("cluster_top_terms")
@@ -481,7 +484,7 @@ def q_cluster_rare_terms(spark, sf_dir):
 
 def _library(spark, sf_dir, algorithm):
     d = _docs(spark, sf_dir)
-    tf = text.hashed_tf(d, ML_FEATURES).persist()  # read by the IDF fit and transform
+    tf = text.hashed_tf(d, ML_FEATURES).checkpoint()  # read by the IDF fit and transform
     feats = text.idf_transform(tf).select("doc_id", "words", "features")
     model, pred = cluster.library_clusters(feats.select("doc_id", "features"), algorithm,
                                            ML_K, ML_ITER, seed=42)
@@ -489,9 +492,7 @@ def _library(spark, sf_dir, algorithm):
     rep = cluster.library_report(pred, model.clusterCenters(), text.tokens_from_words(feats),
                                  ML_K, descending=False)
     out = rep.select("cluster_id", "size", "error", F.array_join("terms", ",").alias("terms"))
-    out = out.checkpoint()
-    tf.unpersist()
-    return out
+    return out.checkpoint()
 
 
 @register("kmeans_ml")
@@ -507,7 +508,7 @@ def q_bisecting_kmeans_ml(spark, sf_dir):
 # ------------------------------------------------ text K-means (sparse)
 
 TEXT_SEEDS = (0, 1, 2, 3, 4)
-TEXT_STEPS = 3
+TEXT_STEPS = 20
 
 
 def _r3(c):
@@ -516,8 +517,8 @@ def _r3(c):
 
 def _text_entries(spark, sf_dir, weighting):
     d = _docs(spark, sf_dir)
-    toks = text.doc_tokens(d).persist()
-    ent = text.term_vectors(toks, text.doc_count(d), weighting).persist()
+    toks = text.doc_tokens(d).checkpoint()
+    ent = text.term_vectors(toks, text.doc_count(d), weighting).checkpoint()
     return d, toks, ent
 
 
@@ -533,7 +534,7 @@ def q_text_seed_assign_tf(spark, sf_dir):
 def _text_kmeans(spark, sf_dir):
     d, toks, ent = _text_entries(spark, sf_dir, "tfidf")
     assigned, _ = cluster.sparse_lloyd(d, ent, TEXT_SEEDS, TEXT_STEPS)
-    return assigned.persist(), toks
+    return assigned, toks
 
 
 @register("text_kmeans_tfidf")
@@ -542,6 +543,22 @@ def q_text_kmeans_tfidf(spark, sf_dir):
     return assigned.select("doc_id", "cluster_id", _r3("dist2").alias("dist2"))
 
 
+HASHED_FEATURES = 15_000   # the reference's feature count
+
+
+def _hashed_kmeans(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    ent = text.term_buckets(d).select(
+        "doc_id", F.pmod("bucket", F.lit(HASHED_FEATURES)).alias("idx"), "n").groupBy("doc_id", "idx").agg(
+        F.sum("n").cast("double").alias("val")).checkpoint()
+    return cluster.sparse_lloyd(d, ent, TEXT_SEEDS, TEXT_STEPS, dim="idx")[0]
+
+
+@register("text_kmeans_hashed")
+def q_text_kmeans_hashed(spark, sf_dir):
+    return _hashed_kmeans(spark, sf_dir).select("doc_id", "cluster_id", _r3("dist2").alias("dist2"))
+
+
 @register("text_cluster_report")
 def q_text_cluster_report(spark, sf_dir):
     assigned, toks = _text_kmeans(spark, sf_dir)

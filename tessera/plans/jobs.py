@@ -21,16 +21,8 @@ def survey_counts(spark: SparkSession, csv_path: str, out_path: str) -> None:
     configure(spark)
     clean = survey.clean_salary_rows(files.read_survey_csv(spark, csv_path))
     counts = survey.country_counts_with_total(clean)
-    counts.coalesce(1).write.mode("overwrite").option("header", False).csv(out_path)
-
-
-def survey_skew(spark: SparkSession, csv_path: str, out_path: str, partitions: int = 2) -> None:
-    """Rows per partition: round-robin vs hash on Country."""
-    configure(spark)
-    clean = survey.clean_salary_rows(files.read_survey_csv(spark, csv_path))
-    sizes = survey.partition_skew(clean, partitions, "Country")
-    report = sizes.groupBy("strategy").pivot("partition", list(range(partitions))).agg(F.first("rows"))
-    sinks.write_csv_report(report, out_path, sort_cols=[F.col("strategy").desc()])
+    total_first = F.col("Country") != "Total"
+    sinks.write_csv_report(counts, out_path, sort_cols=[total_first, "Country"])
 
 
 def survey_summary(spark: SparkSession, csv_path: str, out_path: str, compat: bool = True) -> None:
@@ -44,13 +36,12 @@ def frequent_itemsets(spark: SparkSession, lines_path: str, support: int, out_pa
                       method: str = "fpgrowth") -> None:
     """All itemsets with absolute support >= ``support``, as text."""
     configure(spark)
-    bi = itemsets.clean_basket_items(files.read_basket_lines(spark, lines_path)).persist()
+    bi = itemsets.clean_basket_items(files.read_basket_lines(spark, lines_path)).checkpoint()
     if method == "fpgrowth":
-        found = itemsets.fpgrowth_itemsets(bi, support, itemsets.basket_count(bi))
+        found = itemsets.fpgrowth_itemsets(bi, support)
     else:
         found = itemsets.level_wise_itemsets(bi, support)
     sinks.write_itemset_report(itemsets.itemset_report_lines(found), out_path)
-    bi.unpersist()
 
 
 def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: int,
@@ -68,9 +59,9 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
     exact vocabulary.
     """
     configure(spark)
-    docs = files.read_document_lines(spark, text_path).persist()
+    docs = files.read_document_lines(spark, text_path).checkpoint()
     if algorithm in ("K", "B"):
-        tf = text.hashed_tf(docs, num_features).persist()
+        tf = text.hashed_tf(docs, num_features).checkpoint()
         feats = text.idf_transform(tf).select("doc_id", "words", "features")
         model, pred = cluster.library_clusters(
             feats.select("doc_id", "features"), "kmeans" if algorithm == "K" else "bisecting",
@@ -79,18 +70,17 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
                                      descending=False)
         name = "K-Means" if algorithm == "K" else "Bisecting K-Means"
     else:
-        toks = text.doc_tokens(docs).persist()
+        toks = text.doc_tokens(docs).checkpoint()
         seeds = list(seed_ids) if seed_ids is not None else cluster.pick_seeds(docs, "doc_id", k, seed)
         if hashed_features:
             from tessera.functions.vectors import sparse_entries
 
             feats = text.hashed_features(docs, hashed_features, tfidf=algorithm == "T")
             ent = sparse_entries(feats.select("doc_id", "features"), "features")
-            assigned, _ = cluster.sparse_lloyd(docs, ent.persist(), seeds, iterations, dim="idx")
+            assigned, _ = cluster.sparse_lloyd(docs, ent.checkpoint(), seeds, iterations, dim="idx")
         else:
             ent = text.term_vectors(toks, text.doc_count(docs), "tfidf" if algorithm == "T" else "tf")
-            assigned, _ = cluster.sparse_lloyd(docs, ent.persist(), seeds, iterations)
-        assigned = assigned.persist()
+            assigned, _ = cluster.sparse_lloyd(docs, ent.checkpoint(), seeds, iterations)
         errs = cluster.cluster_errors(assigned, k)
         terms = cluster.cluster_terms(assigned, toks, 10, descending=True).groupBy("cluster_id").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
@@ -101,7 +91,7 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
 
 
 def user_based_cf(spark: SparkSession, train_path: str, test_path: str, out_path: str,
-                  metrics_path: str, include_test: bool = False, train_rows: int | None = None,
+                  metrics_path: str, include_test: bool = False,
                   clamp: str = "reference") -> None:
     """User-based Pearson CF predictions and metrics for a test file."""
     configure(spark)
@@ -114,15 +104,12 @@ def user_based_cf(spark: SparkSession, train_path: str, test_path: str, out_path
             F.col("user_id").alias("user"), F.col("item_id").alias("item"), "rating")
 
     train, test = encode(raw_train).checkpoint(), encode(raw_test).checkpoint()
-    if train_rows is not None:
-        train = recommend.train_cap(train, train_rows)
     train = recommend.with_test(train, test, include_test)
     hot = recommend.hot_items(train)
     nbrs = recommend.neighbours(train, test, hot)
     stats = recommend.pair_stats(recommend.corated_sums(train, test, hot, nbrs.select("u", "v").distinct()))
     ustats = recommend.user_rating_stats(train)
-    scored = recommend.cf_complete_from_offsets(test, recommend.cf_offsets(nbrs, stats), ustats,
-                                                clamp).persist()
+    scored = recommend.cf_complete(test, recommend.cf_offsets(nbrs, stats), ustats, clamp).checkpoint()
     decoded = (
         scored.join(users.withColumnRenamed("user", "user_name"), scored.user == users.user_id)
         .join(items.withColumnRenamed("item", "item_name"), scored.item == items.item_id)
@@ -143,6 +130,6 @@ def als_cf(spark: SparkSession, train_path: str, test_path: str, out_path: str,
     test = raw_test.join(users, "user").join(items, "item")
     model = recommend.als_fit(train, rank, iterations, reg, seed)
     scored = model.transform(test).select("user", "item", "rating",
-                                          F.col("prediction").cast("double")).persist()
+                                          F.col("prediction").cast("double")).checkpoint()
     sinks.write_predictions(scored, out_path, metrics_path)
     train.unpersist()

@@ -20,7 +20,8 @@ def to_int32(s: str) -> str:
 
 
 def round_half_up(x: str, k: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,9)), {k}) AS DOUBLE)"
+    return (f"CASE WHEN abs({x}) < 9007199254740992 "
+            f"THEN CAST(round(TRY_CAST({x} AS DECIMAL(38,9)), {k}) AS DOUBLE) ELSE {x} END")
 
 
 def wrap_int32(x: str) -> str:
@@ -32,7 +33,9 @@ def wrap_int32(x: str) -> str:
 
 SALARY_ROWS = """salary_rows AS (
   SELECT o_orderkey AS resp_id, n_name AS Country,
-    CASE WHEN o_orderkey % 23 = 0 THEN 'NA'
+    CASE WHEN o_orderkey = 5 THEN '1E78' WHEN o_orderkey = 6 THEN '1E39'
+         WHEN o_orderkey = 10 THEN 'NaN' WHEN o_orderkey = 11 THEN 'Infinity'
+         WHEN o_orderkey % 23 = 0 THEN 'NA'
          WHEN o_orderkey % 29 = 0 THEN '0'
          WHEN o_orderkey % 31 = 0 THEN '0.0'
          WHEN o_orderkey % 37 = 0 THEN '240,000,000'
@@ -53,7 +56,7 @@ CLEAN = """clean AS (
 ANNUAL = f"""parsed AS (
   SELECT resp_id, Country, SalaryType,
          CAST({to_int32('Salary')} AS BIGINT) AS i,
-         try_cast(Salary AS DOUBLE) AS d
+         CASE WHEN isfinite(try_cast(Salary AS DOUBLE)) THEN try_cast(Salary AS DOUBLE) END AS d
   FROM clean),
 annual AS (
   SELECT resp_id, Country, SalaryType,
@@ -106,11 +109,11 @@ FROM annual2 GROUP BY Country"""
 # ---------------------------------------------------------------- itemsets
 
 BASKET_ITEMS = """bi AS (
-  SELECT DISTINCT l_orderkey AS basket_id, trim(p_type) AS item
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE trim(p_type) <> '')"""
+  SELECT DISTINCT doc_id AS basket_id, trim(replace(replace(word, '.', ''), ',', '')) AS item
+  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) w
+  WHERE trim(replace(replace(word, '.', ''), ',', '')) <> '')"""
 
-SUPPORT = """sup AS (SELECT count(DISTINCT basket_id) * 11 // 100 AS s FROM bi)"""
+SUPPORT = """sup AS (SELECT count(DISTINCT basket_id) * 40 // 100 AS s FROM bi)"""
 
 
 def _itemsets_sql(support_expr: str) -> str:
@@ -145,18 +148,18 @@ ORACLE["frequent_pairs"] = _FI + "SELECT size, items, support FROM fi WHERE size
 ORACLE["frequent_triples"] = _FI + "SELECT size, items, support FROM fi WHERE size = 3"
 ORACLE["frequent_itemsets"] = _FI + "SELECT size, items, support FROM fi"
 ORACLE["frequent_itemsets_levelwise"] = ORACLE["frequent_itemsets"]
-ORACLE["candidate_support"] = (_itemsets_sql("SELECT s // 2 FROM sup")
-                               + "SELECT size, items, support FROM fi")
+ORACLE["candidate_support"] = _FI + """
+SELECT size, items, support FROM fi WHERE size <= 3
+UNION ALL SELECT CAST(size + 1 AS INTEGER), items || ',~absent~', 0 FROM fi WHERE size < 3"""
 ORACLE["itemset_report_lines"] = _FI + """
-SELECT size, string_agg('(' || items || ')', ', ' ORDER BY key) AS line
-FROM fi GROUP BY size"""
+SELECT row_number() OVER (ORDER BY size, key) - 1 AS position, size, '(' || items || ')' AS text FROM fi"""
 
 
 # ---------------------------------------------------------------- ratings
 
 RATINGS = """ratings AS (
   SELECT o_custkey AS "user", l_partkey AS item,
-         max(1 + CAST(floor((l_quantity - 1) / 10) AS INTEGER)) AS rating
+         max(0.5::DOUBLE + 0.5::DOUBLE * floor((l_quantity - 1) / 5)) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   GROUP BY o_custkey, l_partkey),
 train AS (SELECT * FROM ratings WHERE NOT (("user" * 31 + item) % 5 = 0)),
@@ -181,13 +184,18 @@ SELECT CAST(dense_rank() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id,
        rating, ("user" * 31 + item) % 5 = 0 AS is_test
 FROM ratings"""
 
-ORACLE["train_cap"] = R + """
-SELECT "user", item, rating FROM train ORDER BY "user", item LIMIT 10000"""
-
 ORACLE["user_rating_stats"] = R + """
-SELECT "user", count(*) AS n, CAST(sum(rating) AS BIGINT) AS total, avg(rating) AS mean
+SELECT "user", count(*) AS n, sum(rating) AS total, avg(rating) AS mean
 FROM train GROUP BY 1"""
 
+ORACLE["user_rating_stats_with_test"] = R + """
+SELECT "user", count(*) AS n, sum(rating) AS total, avg(rating) AS mean
+FROM ratings GROUP BY 1"""
+
+_KNOWN = """ "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)"""
+ORACLE["als_predicted_pairs"] = R + """SELECT "user", item, rating FROM test WHERE""" + _KNOWN
+ORACLE["als_unpredicted"] = R + """SELECT "user", item, rating FROM test WHERE NOT (""" + _KNOWN + ")"
+
 # Pearson weights in the two-pass form of the definition: centre each
 # user's ratings on the mean over the common items, then correlate.
 CF = _with(RATINGS, """co AS (
@@ -227,10 +235,12 @@ scored AS (
         FROM test t LEFT JOIN preds p ON t."user" = p."user" AND t.item = p.item
                     LEFT JOIN umean um ON t."user" = um."user") t)""")
 
-ORACLE["corated_pairs"] = CF + "SELECT u, v, n FROM means"
+# only pairs that a test row needs: its user and a rater of its item
+_NEEDED = " WHERE (u, v) IN (SELECT u, v FROM nbrs)"
+ORACLE["corated_pairs"] = CF + "SELECT u, v, n FROM means" + _NEEDED
 ORACLE["pair_means"] = CF + f"""
-SELECT u, v, n, {round_half_up('mean1', 6)} AS mean1, {round_half_up('mean2', 6)} AS mean2 FROM means"""
-ORACLE["pearson_weights"] = CF + f"SELECT u, v, {round_half_up('w', 6)} AS w FROM weights"
+SELECT u, v, n, {round_half_up('mean1', 6)} AS mean1, {round_half_up('mean2', 6)} AS mean2 FROM means""" + _NEEDED
+ORACLE["pearson_weights"] = CF + f"SELECT u, v, {round_half_up('w', 6)} AS w FROM weights" + _NEEDED
 ORACLE["cf_neighbours"] = CF + "SELECT u, item, v, r FROM nbrs"
 ORACLE["cf_offsets"] = CF + f"""
 SELECT "user", item, {round_half_up('num', 6)} AS num, {round_half_up('den', 6)} AS den FROM offs"""
@@ -253,11 +263,15 @@ LEFT JOIN (SELECT CAST(least(floor(abs(rating - prediction)), 4) AS INTEGER) AS
            FROM scored GROUP BY 1) c ON b.bucket = c.bucket"""
 
 
+ORACLE["cf_metrics_lines"] = f"""SELECT bucket AS pos, label || ': ' || CAST(n AS VARCHAR) AS value
+FROM ({ORACLE["cf_error_histogram"]})"""
+
+
 # ---------------------------------------------------------------- text
 
 TOKENS = """tokens AS (
   SELECT doc_id, token, count(*) AS n
-  FROM (SELECT doc_id, unnest(string_split(rtrim(text), ' ')) AS token FROM documents) t
+  FROM (SELECT doc_id, unnest(string_split(rtrim(text, ' '), ' ')) AS token FROM documents) t
   WHERE token <> '' GROUP BY doc_id, token),
 m AS (SELECT count(*) AS m FROM documents),
 dfs AS (SELECT token, count(*) AS df FROM tokens GROUP BY token)"""
@@ -274,6 +288,13 @@ SELECT t.doc_id, t.token, t.n,
   {round_half_up('CASE WHEN d.df >= 2 THEN t.n * ln((m.m + 1.0) / (d.df + 1.0)) ELSE 0.0 END', 6)} AS tfidf
 FROM tokens t JOIN dfs d ON t.token = d.token, m"""
 
+# a blank line has no token, an empty one has one empty token
+ORACLE["hashed_tf"] = """
+SELECT doc_id, CAST(('0x' || substr(md5(token), 1, 5)) AS INTEGER) AS bucket, count(*) AS n
+FROM (SELECT doc_id, unnest(CASE WHEN text <> '' AND rtrim(text, ' ') = '' THEN []
+                                 ELSE string_split(rtrim(text, ' '), ' ') END) AS token FROM documents) t
+GROUP BY 1, 2"""
+
 # ---------------------------------------------------------------- clustering
 
 def _sqdist(a: str, b: str) -> str:
@@ -290,7 +311,7 @@ c0 AS (
 
 
 def _assign(step: int, cents: str) -> str:
-    return f"""a{step} AS (
+    return f"""a{step} AS MATERIALIZED (
   SELECT id, cluster_id, dist2 FROM (
     SELECT p.id, c.cluster_id, {_sqdist('p.v', 'c.v')} AS dist2,
            row_number() OVER (PARTITION BY p.id
@@ -300,7 +321,7 @@ def _assign(step: int, cents: str) -> str:
 
 
 def _update(step: int, assign: str, prev: str) -> str:
-    return f"""c{step} AS (
+    return f"""c{step} AS MATERIALIZED (
   SELECT cluster_id, list(value ORDER BY dim) AS v FROM (
     SELECT a.cluster_id, u.dim, avg(u.x) AS value
     FROM {assign} a JOIN (SELECT id, unnest(v) AS x, unnest(range(len(v))) AS dim FROM pts) u
@@ -316,12 +337,11 @@ def _lloyd_sql(steps: int) -> str:
     for t in range(1, steps + 1):
         ctes.append(_assign(t, f"c{t - 1}"))
         ctes.append(_update(t, f"a{t}", f"c{t - 1}"))
-    ctes.append(_assign(steps + 1, f"c{steps}").replace(f"a{steps + 1} AS", "final AS"))
+    ctes.append(_assign(steps + 1, f"c{steps}").replace(f"a{steps + 1} AS", "final AS", 1))
     return _with(*ctes)
 
 
 _SEED = _with(POINTS, _assign(1, "c0"), _update(1, "a1", "c0"))
-ORACLE["seed_points"] = _with(POINTS) + "SELECT cluster_id, 0 AS x FROM c0"
 ORACLE["seed_points"] = _with(POINTS) + """
 SELECT CAST(array_position([0, 1, 2, 3, 4], id) AS INTEGER) AS cluster_id, id
 FROM pts WHERE id IN (0, 1, 2, 3, 4)"""
@@ -336,16 +356,17 @@ _L3 = _lloyd_sql(3)
 _K = "(SELECT CAST(range + 1 AS INTEGER) AS cluster_id FROM range(5))"
 ORACLE["lloyd_kmeans_3iter"] = _L3 + f"""
 SELECT id, cluster_id, {round_half_up('dist2', 6)} AS dist2 FROM final"""
-ORACLE["cluster_sizes"] = _L3 + f"""
+_L20 = _lloyd_sql(20)
+ORACLE["cluster_sizes"] = _L20 + f"""
 SELECT k.cluster_id, coalesce(s.size, 0) AS size
 FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size FROM final GROUP BY 1) s
   ON k.cluster_id = s.cluster_id"""
-ORACLE["cluster_errors"] = _L3 + f"""
+ORACLE["cluster_errors"] = _L20 + f"""
 SELECT k.cluster_id, {round_half_up('sqrt(coalesce(s.sse, 0.0))', 6)} AS error
 FROM {_K} k LEFT JOIN (SELECT cluster_id, sum(dist2) AS sse FROM final GROUP BY 1) s
   ON k.cluster_id = s.cluster_id"""
-ORACLE["cluster_wsse"] = _L3 + f"SELECT {round_half_up('sum(dist2)', 6)} AS wsse FROM final"
-ORACLE["cluster_report"] = _L3 + f"""
+ORACLE["cluster_wsse"] = _L20 + f"SELECT {round_half_up('sum(dist2)', 6)} AS wsse FROM final"
+ORACLE["cluster_report"] = _L20 + f"""
 SELECT k.cluster_id, coalesce(s.size, 0) AS size, {round_half_up('sqrt(coalesce(s.sse, 0.0))', 6)} AS error
 FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size, sum(dist2) AS sse FROM final GROUP BY 1) s
   ON k.cluster_id = s.cluster_id"""
@@ -354,6 +375,9 @@ FROM {_K} k LEFT JOIN (SELECT cluster_id, count(*) AS size, sum(dist2) AS sse FR
 # ------------------------------------------------ text K-means (sparse)
 
 def _text_entries_sql(weighting: str) -> str:
+    if weighting == "hashed":   # 15,000 features
+        return f"""hashed AS ({ORACLE["hashed_tf"]}),
+ent AS (SELECT doc_id, bucket % 15000 AS term, CAST(sum(n) AS DOUBLE) AS val FROM hashed GROUP BY 1, 2)"""
     if weighting == "tf":
         return "ent AS (SELECT doc_id, token AS term, CAST(n AS DOUBLE) AS val FROM tokens)"
     return """ent AS (SELECT t.doc_id, t.token AS term, t.n * ln((m.m + 1.0) / (d.df + 1.0)) AS val
@@ -361,7 +385,7 @@ def _text_entries_sql(weighting: str) -> str:
 
 
 def _sparse_assign_sql(step: int, cents: str) -> str:
-    return f"""a{step} AS (
+    return f"""a{step} AS MATERIALIZED (
   SELECT doc_id, cluster_id, greatest(raw, 0.0) AS dist2 FROM (
     SELECT d.doc_id, k.cluster_id,
            coalesce(x.xx, 0.0) + coalesce(cn.cn, 0.0) - 2 * coalesce(dt.xc, 0.0) AS raw,
@@ -380,7 +404,7 @@ def _sparse_assign_sql(step: int, cents: str) -> str:
 
 
 def _sparse_update_sql(step: int, assign: str, prev: str) -> str:
-    return f"""c{step} AS (
+    return f"""c{step} AS MATERIALIZED (
   SELECT s.cluster_id, s.term, s.s / z.size AS c
   FROM (SELECT a.cluster_id, e.term, sum(e.val) AS s
         FROM ent e JOIN {assign} a ON e.doc_id = a.doc_id GROUP BY 1, 2) s
@@ -403,7 +427,10 @@ def _sparse_lloyd_sql(weighting: str, steps: int) -> str:
 
 ORACLE["text_seed_assign_tf"] = _sparse_lloyd_sql("tf", 0) + "SELECT doc_id, cluster_id, dist2 FROM final"
 
-_TK = _sparse_lloyd_sql("tfidf", 3)
+ORACLE["text_kmeans_hashed"] = _sparse_lloyd_sql("hashed", 20) + f"""
+SELECT doc_id, cluster_id, {round_half_up('dist2', 3)} AS dist2 FROM final"""
+
+_TK = _sparse_lloyd_sql("tfidf", 20)
 ORACLE["text_kmeans_tfidf"] = _TK + f"""
 SELECT doc_id, cluster_id, {round_half_up('dist2', 3)} AS dist2 FROM final"""
 ORACLE["text_cluster_report"] = _TK + f""",

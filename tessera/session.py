@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. They are only applied when the
@@ -72,9 +69,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared file-system
-    folder and is used as is.  Only a local session without one (tests)
-    gets a private scratch folder.
+    ``spark.checkpoint.dir`` names a shared file-system folder and is used
+    as is. Only where it is unset, as in tests, a folder below the
+    session's warehouse takes its place.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -82,8 +79,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import to_double
 from tessera.operators.dictionary import row_index
 
 
@@ -32,12 +33,16 @@ def read_survey_csv(spark: SparkSession, path: str, columns=("Country", "Salary"
 
 
 def read_basket_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """``(basket_id, item)`` from ``id,item`` lines; short lines dropped."""
-    df = (
-        spark.read.schema("basket_id string, item string").option("mode", "PERMISSIVE").csv(path)
-        .filter(F.col("basket_id").isNotNull() & F.col("item").isNotNull())
-    )
-    return _spread(df, min_partitions)
+    """``(basket_id, item)`` from ``id,item`` lines, cut at each comma (quotes
+    have no meaning). Lines without a comma are rejected, see
+    :func:`count_rejected_baskets`."""
+    parts = spark.read.text(path).select(F.split("value", ",").alias("p")).filter(F.size("p") > 1)
+    return _spread(parts.select(F.col("p")[0].alias("basket_id"), F.col("p")[1].alias("item")), min_partitions)
+
+
+def count_rejected_baskets(spark: SparkSession, path: str) -> int:
+    """Lines that :func:`read_basket_lines` leaves out."""
+    return spark.read.text(path).filter(F.instr("value", ",") == 0).count()
 
 
 def read_document_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -46,10 +51,20 @@ def read_document_lines(spark: SparkSession, path: str) -> DataFrame:
     return row_index(spark.read.text(path), "doc_id").select("doc_id", F.col("value").alias("text"))
 
 
-def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(user, item, rating)`` from a ratings CSV with a header; ids
-    stay strings (encode them with :func:`tessera.operators.dictionary.dense_ids`)."""
+def _ratings(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.option("header", True).csv(path)
     u, i, r = df.columns[:3]
-    return df.select(F.col(u).alias("user"), F.col(i).alias("item"),
-                     F.col(r).try_cast("double").alias("rating")).filter(F.col("rating").isNotNull())
+    return df.select(F.col(u).alias("user"), F.col(i).alias("item"), to_double(F.col(r)).alias("rating"))
+
+
+def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``(user, item, rating)`` from a ratings CSV with a header; ids
+    stay strings (encode them with :func:`tessera.operators.dictionary.dense_ids`).
+    Rows without a number as rating are rejected, see
+    :func:`count_rejected_ratings`."""
+    return _ratings(spark, path).filter(F.col("rating").isNotNull())
+
+
+def count_rejected_ratings(spark: SparkSession, path: str) -> int:
+    """Rows that :func:`read_ratings_csv` leaves out."""
+    return _ratings(spark, path).filter(F.col("rating").isNull()).count()

@@ -17,14 +17,19 @@ def salary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey responses ``(resp_id, Country, Salary, SalaryType)``.
 
     Salary is free text with thousands separators and the missing,
-    zero, overflow, garbage and decimal spellings of the survey data.
+    zero, overflow, garbage, decimal and very large spellings of the survey
+    data.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("o_orderkey")
     salary = (
-        F.when(k % 23 == 0, F.lit("NA"))
+        F.when(k == 5, F.lit("1E78"))
+        .when(k == 6, F.lit("1E39"))
+        .when(k == 10, F.lit("NaN"))
+        .when(k == 11, F.lit("Infinity"))
+        .when(k % 23 == 0, F.lit("NA"))
         .when(k % 29 == 0, F.lit("0"))
         .when(k % 31 == 0, F.lit("0.0"))
         .when(k % 37 == 0, F.lit("240,000,000"))
@@ -65,6 +70,15 @@ def basket_items(spark: SparkSession, sf_dir: str, item_col: str = "p_type") ->
     )
 
 
+def document_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(basket_id, item)`` lines: a document is a basket of its words
+    (single-space split, full stops and commas removed)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    word = F.explode(F.split("text", " "))
+    return docs.select(F.col("doc_id").alias("basket_id"), word.alias("item")).select(
+        "basket_id", F.regexp_replace("item", "[.,]", "").alias("item"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -84,14 +98,14 @@ def is_test_rating(user: Column, item: Column) -> Column:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Explicit ratings ``(user, item, rating)`` with integer stars 1..5.
+    """Explicit ratings ``(user, item, rating)`` in half stars 0.5..5.
 
     A customer's rating of a part is derived from the largest quantity
     they ordered of it.
     """
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    stars = (F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10).cast("int"))
+    stars = F.lit(0.5) + F.lit(0.5) * F.floor((F.col("l_quantity") - 1) / 5)
     return (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))

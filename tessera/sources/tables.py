@@ -19,9 +19,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temporary view for ``spark.sql``."""
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -42,8 +42,8 @@ def test_level_wise_and_fpgrowth_match_brute_force(spark):
     bi = itemsets.clean_basket_items(spark.createDataFrame(rows, "basket_id long, item string"))
     expected = _brute(rows, s)
     assert _as_dict(itemsets.level_wise_itemsets(bi, s)) == expected
-    n = itemsets.basket_count(bi)
-    assert _as_dict(itemsets.fpgrowth_itemsets(bi, s, n)) == expected
+    lone = bi.union(spark.createDataFrame([(10_000 + i, f"lone{i}") for i in range(200)], bi.schema))
+    assert _as_dict(itemsets.fpgrowth_itemsets(lone, s)) == expected   # baskets without a frequent item
 
 
 def test_result_independent_of_partitioning(spark):
@@ -67,8 +67,13 @@ def test_candidate_support_counts_containment(spark):
 def test_report_lines_format(spark):
     fi = spark.createDataFrame([(1, "b", 5), (1, "a", 6), (2, "a,c", 3), (2, "a,b", 4)],
                                "size int, items string, support long")
-    lines = {r["size"]: r["line"] for r in itemsets.itemset_report_lines(fi).collect()}
-    assert lines == {1: "(a), (b)", 2: "(a,b), (a,c)"}
+    lines = [tuple(r) for r in itemsets.itemset_report_lines(fi).orderBy("position").collect()]
+    assert lines == [(0, 1, "(a)"), (1, 1, "(b)"), (2, 2, "(a,b)"), (3, 2, "(a,c)")]
+
+
+def test_candidates_with_an_infrequent_subset_are_dropped(spark):
+    pairs = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["b", "c"],), (["b", "d"],)], "items array<string>")
+    assert [r[0] for r in itemsets.level_candidates(pairs, 3).collect()] == [["a", "b", "c"]]
 
 
 def test_downward_closure(spark):

@@ -41,10 +41,6 @@ def test_survey_jobs(spark, tmp_path):
     jobs.survey_summary(spark, csv, str(tmp_path / "summary"))
     summary = _read_parts(str(tmp_path / "summary")).splitlines()
     assert summary[0].startswith("Iran,2,-1414967296,1000,")
-    jobs.survey_skew(spark, csv, str(tmp_path / "skew"))
-    rows = [line.split(",") for line in _read_parts(str(tmp_path / "skew")).splitlines()]
-    assert [r[0] for r in rows] == ["standard", "partition"]
-    assert all(sum(int(x) for x in r[1:]) == 6 for r in rows)
 
 
 def test_itemset_job_text_format(spark, tmp_path):
@@ -54,7 +50,8 @@ def test_itemset_job_text_format(spark, tmp_path):
     for method in ("fpgrowth", "levelwise"):
         out = str(tmp_path / f"fi_{method}")
         jobs.frequent_itemsets(spark, path, 3, out, method=method)
-        assert _read_parts(out) == "(a), (b), (c)\n\n(a,b), (a,c), (b,c)\n"
+        assert _read_parts(out + "/size=1") == "(a)\n(b)\n(c)\n"
+        assert _read_parts(out + "/size=2") == "(a,b)\n(a,c)\n(b,c)\n"
 
 
 def test_document_lines_ids_in_order(spark, tmp_path):
@@ -101,12 +98,14 @@ def test_recommender_jobs(spark, tmp_path):
 
 
 def test_reader_edge_cases(spark, tmp_path):
-    baskets = _write(tmp_path, "b.txt", "1,apple\n1,pear,extra,fields\nshortline\n2, pear \n")
+    baskets = _write(tmp_path, "b.txt", "1,apple\n1,pear,extra,fields\nshortline\n2, pear \n3,\"hello\n4,\"x, y\"\n")
     rows = sorted(tuple(r) for r in files.read_basket_lines(spark, baskets).collect())
-    assert rows == [("1", "apple"), ("1", "pear"), ("2", " pear ")]   # trimmed later, short line dropped
+    assert rows == [("1", "apple"), ("1", "pear"), ("2", " pear "), ("3", '"hello'), ("4", '"x')]   # trimmed later
+    assert files.count_rejected_baskets(spark, baskets) == 1
     ratings = _write(tmp_path, "r.csv", "user_id,business_id,stars,text\nu1,b1,4.0,good\nu2,b2,abc,bad\nu3,b3,2,x\n")
     got = sorted(tuple(r) for r in files.read_ratings_csv(spark, ratings).collect())
-    assert got == [("u1", "b1", 4.0), ("u3", "b3", 2.0)]              # unparseable rating dropped
+    assert got == [("u1", "b1", 4.0), ("u3", "b3", 2.0)]
+    assert files.count_rejected_ratings(spark, ratings) == 1
     survey_csv = _write(tmp_path, "s.csv", 'Country,Salary,SalaryType\n"Korea, South","1,000",Monthly\n')
     r = files.read_survey_csv(spark, survey_csv).first()
     assert (r["Country"], r["Salary"], r["SalaryType"]) == ("Korea, South", "1,000", "Monthly")

@@ -26,7 +26,15 @@ def test_round_half_up_and_safe_div(spark):
 
 
 def test_single_space_split(spark):
-    df = spark.createDataFrame([("a  b  ",), ("   ",)], "t string")
+    df = spark.createDataFrame([("a  b  ",), ("   ",), ("",)], "t string")
     rows = df.select(split_spaces("t").alias("s"), nonempty_tokens("t").alias("n")).collect()
     assert rows[0]["s"] == ["a", "", "b"] and rows[0]["n"] == ["a", "b"]
     assert rows[1]["n"] == []
+    assert rows[1]["s"] == [] and rows[2]["s"] == [""]
+
+
+def test_round_half_up_keeps_what_has_no_decimals(spark):
+    vals = [1e29, -5.54e74, float("inf"), float("nan"), 2.0 ** 53, 2.5]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = [r[0] for r in df.orderBy("i").select(round_half_up("x", 0)).collect()]
+    assert got[:3] == vals[:3] and got[3] != got[3] and got[4:] == [2.0 ** 53, 3.0]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessera.operators import evaluate, recommend
 from tessera.operators.dictionary import dense_ids
 
-SCHEMA = "user long, item long, rating int"
+SCHEMA = "user long, item long, rating double"
 
 
 def _brute_cf(train, test):
@@ -43,7 +43,7 @@ def _brute_cf(train, test):
 
 def test_cf_predictions_match_brute_force(spark):
     rnd = random.Random(11)
-    rows = {(u, i): rnd.randint(1, 5) for u in range(25) for i in range(30) if rnd.random() < 0.35}
+    rows = {(u, i): rnd.randint(1, 10) / 2 for u in range(25) for i in range(30) if rnd.random() < 0.35}
     data = [(u, i, r) for (u, i), r in rows.items()]
     test = [t for t in data if (t[0] * 31 + t[1]) % 5 == 0]
     train = [t for t in data if (t[0] * 31 + t[1]) % 5 != 0]
@@ -60,8 +60,8 @@ def test_cf_predictions_match_brute_force(spark):
 
 
 def test_zero_variance_weight_is_zero_and_bounded(spark):
-    tr = spark.createDataFrame([(1, 1, 3), (1, 2, 3), (2, 1, 4), (2, 2, 5), (3, 1, 1), (3, 2, 5)], SCHEMA)
-    te = spark.createDataFrame([(1, 9, 1), (2, 9, 1)], SCHEMA)
+    tr = spark.createDataFrame([(1, 1, 3.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 5.0), (3, 1, 1.0), (3, 2, 5.0)], SCHEMA)
+    te = spark.createDataFrame([(1, 9, 1.0), (2, 9, 1.0)], SCHEMA)
     w = {(r["u"], r["v"]): r["w"] for r in recommend.pair_stats(recommend.corated_sums(tr, te)).collect()}
     assert w[(1, 2)] == 0.0 and w[(1, 3)] == 0.0
     assert abs(w[(2, 3)] - 1.0) < 1e-12
@@ -82,12 +82,12 @@ def test_error_histogram_edges(spark):
 
 
 def test_cf_complete_keeps_every_test_row(spark):
-    tr = spark.createDataFrame([(1, 1, 4), (2, 1, 2), (2, 2, 3)], SCHEMA)
-    te = spark.createDataFrame([(1, 2, 5), (9, 1, 3)], SCHEMA)  # user 9 is cold
+    tr = spark.createDataFrame([(1, 1, 4.0), (2, 1, 2.0), (2, 2, 3.0)], SCHEMA)
+    te = spark.createDataFrame([(1, 2, 5.0), (9, 1, 3.0)], SCHEMA)  # user 9 is cold
     us = recommend.user_rating_stats(tr)
-    preds = spark.createDataFrame([], "user long, item long, prediction double")
+    offsets = spark.createDataFrame([], "user long, item long, num double, den double")
     out = {(r["user"], r["item"]): r["prediction"]
-           for r in recommend.cf_complete(te, preds, us).collect()}
+           for r in recommend.cf_complete(te, offsets, us).collect()}
     assert abs(out[(1, 2)] - (4 - 0.79)) < 1e-9          # user mean
     assert abs(out[(9, 1)] - (3 - 0.79)) < 1e-9          # global mean 9/3
 
@@ -95,7 +95,7 @@ def test_cf_complete_keeps_every_test_row(spark):
 def test_dense_ids_contiguous_sorted(spark):
     vals = random.Random(5).sample(range(10_000), 500)
     df = spark.createDataFrame([(v,) for v in vals] + [(vals[0],)], "k long").repartition(7)
-    ids = dense_ids(df, "k", "kid", partitions=5).collect()
+    ids = dense_ids(df, "k", "kid").collect()
     got = sorted((r["k"], r["kid"]) for r in ids)
     assert [g[1] for g in got] == list(range(len(vals)))
 
@@ -114,25 +114,25 @@ def test_salted_join_equals_plain_join(spark):
     assert got == want
 
 
-def test_complete_from_offsets_equals_two_step(spark):
-    rnd = random.Random(8)
-    rows = {(u, i): rnd.randint(1, 5) for u in range(20) for i in range(25) if rnd.random() < 0.3}
-    data = [(u, i, r) for (u, i), r in rows.items()] + [(99, 3, 4)]   # 99: cold test user
-    r = spark.createDataFrame(data, SCHEMA)
-    flag = ((F.col("user") * 31 + F.col("item")) % 5 == 0) | (F.col("user") == 99)
-    train, test = r.filter(~flag), r.filter(flag)
-    stats = recommend.pair_stats(recommend.corated_sums(train, test, None))
-    offs = recommend.cf_offsets(recommend.neighbours(train, test, None), stats)
-    us = recommend.user_rating_stats(train)
-    a = sorted(map(tuple, recommend.cf_complete(test, recommend.cf_predictions(offs, us), us).collect()))
-    b = sorted(map(tuple, recommend.cf_complete_from_offsets(test, offs, us).collect()))
-    assert a == b and len(a) == test.count()
+def test_ratings_with_halves_are_exact(spark):
+    tr = spark.createDataFrame([(1, 1, 3.5), (1, 2, 4.0), (1, 3, 1.5), (2, 1, 2.5), (2, 2, 4.5), (2, 3, 1.0),
+                                (2, 4, 4.5)], SCHEMA)
+    te = spark.createDataFrame([(1, 4, 5.0)], SCHEMA)
+    r = recommend.pair_stats(recommend.corated_sums(tr, te)).first()
+    assert r["mean1"] == 3.0 and abs(r["w"] - 0.914811) < 1e-5
+    assert {x["user"]: x["total"] for x in recommend.user_rating_stats(tr).collect()} == {1: 9.0, 2: 12.5}
+
+
+def test_training_with_test_ratings(spark):
+    tr, te = spark.createDataFrame([(1, 1, 3.5)], SCHEMA), spark.createDataFrame([(1, 2, 4.5)], SCHEMA)
+    rows = recommend.user_rating_stats(recommend.with_test(tr, te, True)).collect()
+    assert [(r["n"], r["total"], r["mean"]) for r in rows] == [(2, 8.0, 4.0)]
 
 
 def test_pearson_bounded_and_symmetric(spark):
     for seed in range(3):
         rnd = random.Random(100 + seed)
-        data = [(u, i, rnd.randint(1, 5)) for u in range(15) for i in range(12) if rnd.random() < 0.5]
+        data = [(u, i, rnd.randint(1, 10) / 2) for u in range(15) for i in range(12) if rnd.random() < 0.5]
         r = spark.createDataFrame(data, SCHEMA)
         # every user is a test user, so both (u, v) and (v, u) are computed
         w = {(x["u"], x["v"]): x["w"]

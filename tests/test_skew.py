@@ -6,18 +6,18 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import recommend, text
-from tessera.operators.skew import broadcast_if_small, hot_keys
+from tessera.operators.skew import broadcast_if_small, grid_join, hot_keys
 
-SCHEMA = "user long, item long, rating int"
+SCHEMA = "user long, item long, rating double"
 
 
 def _skewed_ratings(spark):
     rnd = random.Random(4)
     rows = {}
     for u in range(60):
-        rows[(u, 0)] = rnd.randint(1, 5)            # item 0: every user (hot)
+        rows[(u, 0)] = rnd.randint(1, 10) / 2            # item 0: every user (hot)
         for i in rnd.sample(range(1, 40), 3):
-            rows[(u, i)] = rnd.randint(1, 5)
+            rows[(u, i)] = rnd.randint(1, 10) / 2
     data = [(u, i, r) for (u, i), r in rows.items()]
     assert sum(1 for d in data if d[1] == 0) * 4 >= len(data)   # about a third
     return spark.createDataFrame(data, SCHEMA)
@@ -52,14 +52,21 @@ def test_tfidf_with_hot_token_matches(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_hot_keys_bounded_and_none_when_cold(spark):
+def test_hot_keys_and_size_checked_broadcast(spark):
     df = spark.createDataFrame([(i % 50,) for i in range(1000)] + [(7,)] * 2000, "k long")
-    hot = hot_keys(df, "k", threshold=100, limit=1)
-    rows = hot.collect()
+    rows = hot_keys(df, "k", threshold=100).collect()
     assert [r["k"] for r in rows] == [7] and rows[0]["_buckets"] == 21
     assert hot_keys(df, "k", threshold=10_000) is None
     small = spark.range(10)
-    assert broadcast_if_small(small, max_rows=5) is small
+    assert broadcast_if_small(small, max_bytes=5) is small
+
+
+def test_grid_join_bounds_the_pairs_of_a_task(spark):
+    left = spark.createDataFrame([(0, i) for i in range(300)] + [(1, 5)], "k long, u long")
+    right = spark.createDataFrame([(0, -i) for i in range(300)] + [(2, 5)], "k long, v long")
+    hot = hot_keys(right, "k", threshold=50)
+    joined = grid_join(left, right, "k", hot)
+    assert joined.select("u", "v").distinct().count() == joined.count() == 300 * 300
 
 
 def test_baskets_with_hot_basket(spark):

@@ -82,3 +82,13 @@ def test_pick_seeds_distinct_and_stable(spark):
     a = cluster.pick_seeds(df, "doc_id", 5, seed=1)
     b = cluster.pick_seeds(df.repartition(3), "doc_id", 5, seed=1)
     assert a == b and len(set(a)) == 5 and cluster.pick_seeds(df, "doc_id", 5, seed=2) != a
+
+
+def test_absent_seeds_raise(spark):
+    import pytest
+    docs = spark.createDataFrame([(0, "a b"), (1, "b c")], "doc_id long, text string")
+    entries = text.term_vectors(text.doc_tokens(docs))
+    with pytest.raises(ValueError, match="99"):
+        cluster.sparse_lloyd(docs, entries, [0, 99], 1)
+    with pytest.raises(ValueError, match="7"):
+        cluster.lloyd_kmeans(_points(spark, [[0.0], [1.0]]), [0, 7], 1)
