@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_THRESHOLD = 50_000   # rows per key a single task should take
 PAIR_THRESHOLD = 4_000       # rows a side whose pairs a single task should take

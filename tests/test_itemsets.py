@@ -1,7 +1,6 @@
 import itertools
 import random
 
-from pyspark.sql import functions as F
 
 from tessera.operators import itemsets
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tessera.functions.numeric import round_half_up, safe_div, to_int32, wrap_int32
 from tessera.functions.text import nonempty_tokens, split_spaces
 

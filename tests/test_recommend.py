@@ -1,8 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from tessera.operators import evaluate, recommend
 from tessera.operators.dictionary import dense_ids
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tessera.operators import survey
 
 ROWS = [

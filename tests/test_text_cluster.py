@@ -1,7 +1,4 @@
-import math
-
 import numpy as np
-from pyspark.sql import functions as F
 
 from tessera.operators import cluster, text
 
