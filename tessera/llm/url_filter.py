@@ -93,19 +93,18 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
     domains = hosts.groupBy("_domain", "_suffix").agg(*count)
     suffixes = domains.groupBy("_suffix").agg(*count)
 
-    def shrunk(level: DataFrame, prior: Column) -> Column:
+    def shrunk(prior: Column) -> Column:
         return (F.col("_bad") + F.col("_k") * prior) / (F.col("_n") + F.col("_k"))
 
-    # prior_strength has one row, a bound that broadcasting may rely on
     everything = suffixes.agg((F.sum("_bad") + 0.5).alias("_b"), (F.sum("_n") + 1).alias("_a")) \
         .select((F.col("_b") / F.col("_a")).alias("_all"))
-    suffixes = (suffixes.crossJoin(F.broadcast(prior_strength(suffixes))).crossJoin(F.broadcast(everything))
-                .withColumn("_suffix_mean", shrunk(suffixes, F.col("_all"))).select("_suffix", "_suffix_mean"))
-    domains = (domains.crossJoin(F.broadcast(prior_strength(domains))).join(suffixes, "_suffix")
-               .withColumn("_domain_mean", shrunk(domains, F.col("_suffix_mean"))).select("_domain", "_domain_mean"))
-    joined = hosts.crossJoin(F.broadcast(prior_strength(hosts))).join(domains, "_domain")
+    suffixes = (suffixes.withColumn("_k", prior_strength(suffixes).scalar())
+                .withColumn("_suffix_mean", shrunk(everything.scalar())).select("_suffix", "_suffix_mean"))
+    domains = (domains.withColumn("_k", prior_strength(domains).scalar()).join(suffixes, "_suffix")
+               .withColumn("_domain_mean", shrunk(F.col("_suffix_mean"))).select("_domain", "_domain_mean"))
+    joined = hosts.withColumn("_k", prior_strength(hosts).scalar()).join(domains, "_domain")
     size = F.col("_n") + F.col("_k")
-    mean = shrunk(hosts, F.col("_domain_mean"))
+    mean = shrunk(F.col("_domain_mean"))
     return (joined.withColumn("mean", mean)
             .withColumn("bound", F.col("mean") - F.lit(Z) * F.sqrt(
                 F.col("mean") * (1 - F.col("mean")) / (size + 1)))
