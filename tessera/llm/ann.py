@@ -16,7 +16,7 @@ fills every vector up to the largest norm), so the index can prune by distance.
   border, in up to ``COPIES`` lists whose centroids are less than
   ``BORDER`` times as far and are not closer to one already taken.
 * A query searches the lists of its ``PROBES`` nearest centroids whose distance
-  is at most ``RATIO`` times the smallest.
+  is at most ``RATIO`` times the smallest, and at least ``LEAST_LISTS``.
 
 Lists and queries are packed in blocks of bounded size and joined by list, so a
 large list is several pieces of work. Equal vectors are collapsed: of each only
@@ -47,6 +47,7 @@ COPIES = 4
 BORDER = 1.15             # of squared distances: about 7 % farther
 PROBES = 64
 RATIO = 1.6               # of squared distances to the nearest centroid
+LEAST_LISTS = 16          # searched whatever their distance
 LINKS = 16
 BLOCK = 512
 SEED = 4
@@ -216,7 +217,8 @@ def search(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> Dat
             for i in range(0, len(x), 256):
                 y = np.column_stack([x[i:i + 256], np.zeros(len(x[i:i + 256]))])
                 ids, dist = search_graph(y, c, graph, probes)
-                use = np.isfinite(dist) & (dist <= RATIO * dist[:, :1] + 1e-12)
+                use = np.isfinite(dist) & ((dist <= RATIO * dist[:, :1] + 1e-12)
+                                           | (np.arange(dist.shape[1]) < LEAST_LISTS))
                 at = np.repeat(np.arange(i, i + len(y)), use.sum(axis=1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[use]), b.column("vec_id").take(pa.array(at)), b.column("v").take(pa.array(at))],
