@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -56,6 +57,27 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def pack(text: bytes) -> bytes:
+    """Compressed text behind its length; texts cross the network packed."""
+    return len(text).to_bytes(8, "little") + pa.Codec("zstd").compress(text, asbytes=True)
+
+
+def unpack(packed: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+
+
+def with_packed_text(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``packed`` (null text: the empty text) in place of their
+    last column, a text."""
+    def run(batches):
+        for b in batches:
+            texts = b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()
+            packed = pa.array([pack(t or b"") for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], packed], [*b.schema.names[:-1], "packed"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("packed", T.BinaryType())]))
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tessera.llm.common import unpack
 from tessera.llm.repeats import Grain, cover_of, find_cover, join_cover
 from tessera.llm.suffix_array import rank_order
 
@@ -137,8 +138,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
             rows = []
-            for text, lists in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-                words, spans = (text or b"").split(), cover_of(lists)
+            for text, lists in zip(map(unpack, b.column(1).to_pylist()), b.column(2).to_pylist()):
+                words, spans = text.split(), cover_of(lists)
                 kept, at = [], 0
                 for lo, hi in spans.tolist():
                     kept += words[at:lo]

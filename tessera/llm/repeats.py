@@ -6,7 +6,7 @@ window is the smallest hash among its ``gram``-symbol grams: equal windows
 have equal anchors, and neighbouring windows mostly share theirs, so a text
 falls into few runs of windows with one anchor each.
 
-1. :func:`anchor_rows` hashes every text. Per batch, an anchor that one
+1. :func:`anchor_rows` hashes every text. Per batch of texts, an anchor that one
    document holds is sent once with that document, one that several hold once
    without; the documents of the latter know already that it is shared.
 2. :func:`shared_anchors` finds the anchors of several documents, one hash
@@ -20,7 +20,7 @@ falls into few runs of windows with one anchor each.
    (:func:`covered_intervals`), and :func:`join_cover` brings the covered
    intervals back to the texts.
 
-All exchanged rows are packed arrays of bounded size. Comparisons go by
+All exchanged rows are packed arrays of bounded size, texts compressed. Comparisons go by
 ``doc_id`` (null counts as larger than all); rows are told apart by a hash of
 id and text, so identical rows count as one and rows that merely share an id
 do not cover each other.
@@ -35,11 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (checkpointed, maybe_broadcast, mix, prefix_hash, small_batches, span_hash,
-                                text_slices, word_spans)
+from tessera.llm.common import (checkpointed, maybe_broadcast, mix, pack, prefix_hash, small_batches, span_hash,
+                                text_slices, with_packed_text, word_spans)
+from tessera.llm.common import unpack as unpack_text
 
 HOT = 20_000                # batches holding an anchor beyond which its runs are split up
 PIECE = 64                  # windows in a run at most
+ANCHOR_BITS = 48            # of an anchor's hash; a chance hit only costs work
+BATCH_ANCHORS = 1 << 20     # anchors gathered before they are sent
+BATCH_TEXTS = 60_000
+BATCH_BYTES = 8 << 20       # run content gathered before it is sent
 PART_BYTES = 24 << 20       # text per hash range of anchors
 SHARD_BYTES = 6 << 20       # text per shard (a fraction of it is shared)
 LARGEST_ID = (1 << 63) - 1
@@ -99,11 +104,12 @@ def anchor_runs(grain: Grain, s: Symbols) -> tuple[np.ndarray, np.ndarray, np.nd
     run = np.repeat(np.arange(len(first)), pieces)
     step = np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     start = first[run] + step * PIECE
-    return least[start], start, np.minimum(stop[run] - start, PIECE), doc[start]
+    anchor = least[start] & np.uint64((1 << ANCHOR_BITS) - 1)
+    return anchor, start, np.minimum(stop[run] - start, PIECE), doc[start]
 
 
 def row_key(docs: DataFrame) -> DataFrame:
-    """``(_key, _doc, text)``: identity, place in the order, text."""
+    """``(_key, _doc, text)``: identity, place in the order of ids, text."""
     return docs.select(F.xxhash64("doc_id", "text").alias("_key"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(LARGEST_ID)).alias("_doc"),
                        F.col("text").cast("string").alias("text"))
@@ -113,41 +119,77 @@ def _binary(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
+def pack_anchors(anchor: np.ndarray) -> bytes:
+    return _binary(anchor.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ANCHOR_BITS // 8])
+
+
+def unpack_anchors(packed: list[bytes]) -> np.ndarray:
+    short = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, ANCHOR_BITS // 8)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, :ANCHOR_BITS // 8] = short
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def by_bucket(owner: np.ndarray, anchor: np.ndarray, buckets: int):
+    """Yield ``(bucket, keys, counts, anchors)``: documents' anchors, packed by
+    a hash range of the documents."""
+    bucket = owner % buckets
+    order = np.lexsort((owner, bucket))
+    owner, anchor, bucket = owner[order], anchor[order], bucket[order]
+    for k, lo, hi in _groups(bucket):
+        keys, count = np.unique(owner[lo:hi], return_counts=True)
+        yield k, _binary(keys), _binary(count.astype(np.int32)), pack_anchors(anchor[lo:hi])
+
+
 def anchor_rows(rows: DataFrame, grain: Grain, parts: int) -> DataFrame:
-    """``(part, _key, anchors, owners)``: with a null key the anchors of a hash
-    range, each with the key of its only document or 0; with a key, anchors
-    that this document shares with others of its batch."""
-    out = "part long, _key long, anchors binary, owners binary"
+    """``(part, keys, counts, anchors, owners)``. ``part`` from 0: the anchors of
+    a hash range, each with the place in ``keys``, from 1, of its only document,
+    or 0. Below 0: anchors that documents of a range share with others of
+    their batch."""
+    out = "part long, keys binary, counts binary, anchors binary, owners binary"
 
     def run(batches):
+        held, anchors, texts = [], 0, 0
         for b in batches:
             keys = b.column(0).to_numpy()
-            anchor, owner = [], []
-            for i, j, data, off in text_slices(b.column(2)):
+            for i, j, data, off in text_slices(b.column(1)):
                 a, _, _, doc = anchor_runs(grain, symbols(grain, data, off))
-                anchor.append(a)
-                owner.append(keys[i + doc])
-            if not anchor or not sum(map(len, anchor)):
-                continue
-            anchor, owner = np.concatenate(anchor), np.concatenate(owner)
-            order = np.lexsort((owner, anchor))
-            anchor, owner = anchor[order], owner[order]
-            new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]))
-            anchor, owner = anchor[new], owner[new]
-            head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            several = np.diff(np.append(head, len(anchor))) > 1
-            table = [(None, int(k), a, None) for k, a in _by_key(
-                owner, anchor, np.repeat(several, np.diff(np.append(head, len(anchor)))))]
-            anchor, owner = anchor[head], np.where(several, 0, owner[head])
-            part = (anchor % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            anchor, owner, part = anchor[order], owner[order], part[order]
-            for p, lo, hi in _groups(part):
-                table.append((p, None, _binary(anchor[lo:hi]), _binary(owner[lo:hi])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*table), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["part", "_key", "anchors", "owners"])
-
-    return rows.select("_key", "_doc", "text").mapInArrow(run, out)
+                held.append((a, keys[i + doc]))
+                anchors, texts = anchors + len(a), texts + j - i
+                if anchors > BATCH_ANCHORS or texts > BATCH_TEXTS:
+                    yield from send(held)
+                    held, anchors, texts = [], 0, 0
+        yield from send(held)
+
+    def send(held):
+        anchor = np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in held)])
+        owner = np.concatenate([np.zeros(0, np.int64), *(o for _, o in held)])
+        if not len(anchor):
+            return
+        keys, owner = np.unique(owner, return_inverse=True)
+        order = np.lexsort((owner, anchor))
+        anchor, owner = anchor[order], owner[order]
+        new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]))
+        anchor, owner = anchor[new], owner[new]
+        head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        several = np.diff(np.append(head, len(anchor))) > 1
+        known = np.repeat(several, np.diff(np.append(head, len(anchor))))
+        table = [(-1 - k, *rest, None) for k, *rest in by_bucket(keys[owner[known]], anchor[known], parts)]
+        anchor, owner = anchor[head], np.where(several, -1, owner[head])
+        part = (anchor % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((owner, part))     # documents together: their places compress well
+        anchor, owner, part = anchor[order], owner[order], part[order]
+        for p, lo, hi in _groups(part):
+            own, place = np.unique(owner[lo:hi], return_inverse=True)
+            place = place + (own[0] >= 0)     # 0 stands for several
+            table.append((p, _binary(keys[own[own >= 0]]), None, pack_anchors(anchor[lo:hi]),
+                          _binary(place.astype(np.uint16))))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        for at in range(0, len(table), 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*table[at:at + 4096]), kinds)],
+                                             ["part", "keys", "counts", "anchors", "owners"])
+
+    return rows.select("_key", "text").mapInArrow(run, out)
 
 
 def _groups(sorted_values: np.ndarray):
@@ -159,73 +201,89 @@ def _groups(sorted_values: np.ndarray):
         yield int(sorted_values[lo]), lo, hi
 
 
-def _by_key(owner, anchor, chosen):
-    owner, anchor = owner[chosen], anchor[chosen]
-    order = np.argsort(owner, kind="stable")
-    owner, anchor = owner[order], anchor[order]
-    for k, lo, hi in _groups(owner):
-        yield k, _binary(anchor[lo:hi])
-
-
-def shared_anchors(found: DataFrame) -> DataFrame:
+def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
     """``(_key, anchors, hot)``: for each document the anchors that others hold
     too; ``hot`` those of them that very many batches hold."""
-    out = "_key long, anchors binary"
+    layout = "bucket long, keys binary, counts binary, anchors binary"
+    names = ["bucket", "keys", "counts", "anchors"]
 
     def reduce(table: pa.Table) -> pa.Table:
-        if table.column("part")[0].as_py() < 0:      # what documents know already
-            return table.select(["_key", "anchors"])
-        anchor = np.frombuffer(b"".join(table.column("anchors").to_pylist()), np.uint64)
-        owner = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
+        part = table.column("part")[0].as_py()
+        if part < 0:      # what documents know already
+            return table.select(["part", "keys", "counts", "anchors"]).rename_columns(names).set_column(
+                0, "bucket", pa.array([-1 - part] * len(table), pa.int64()))
+        anchor = unpack_anchors(table.column("anchors").to_pylist())
+        owner = np.concatenate([
+            np.append(0, np.frombuffer(keys, np.int64))[np.frombuffer(place, np.uint16)]
+            for place, keys in zip(table.column("owners").to_pylist(), table.column("keys").to_pylist())])
         order = np.argsort(anchor, kind="stable")
         anchor, owner = anchor[order], owner[order]
         head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         size = np.diff(np.append(head, len(anchor)))
-        rows = [(None, _binary(anchor[head[size > HOT]]))]
-        rows += _by_key(owner, anchor, np.repeat(size > 1, size) & (owner != 0))
+        told = np.repeat(size > 1, size) & (owner != 0)
+        rows = [(None, b"", b"", pack_anchors(anchor[head[size > HOT]])), *by_bucket(owner[told], anchor[told], parts)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 3))], names=names)
+
+    def entries(table) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.int64)
+        count = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
+        return np.repeat(keys, count), unpack_anchors(table.column("anchors").to_pylist())
+
+    def gather(table: pa.Table) -> pa.Table:
+        owner, anchor = entries(table)
+        order = np.argsort(owner, kind="stable")
+        owner, anchor = owner[order], anchor[order]
+        rows = [(k, pack_anchors(anchor[lo:hi])) for k, lo, hi in _groups(owner)]
         return pa.table({"_key": pa.array([k for k, _ in rows], pa.int64()),
                          "anchors": pa.array([a for _, a in rows], pa.binary())})
 
-    def unpack_anchors(batches):
+    def single_anchors(batches):
         for b in batches:
-            packed = b.column(1).to_pylist()
-            key = np.repeat(np.arange(len(packed)), [len(a) // 8 for a in packed])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(key)), pa.array(
-                np.frombuffer(b"".join(packed), np.int64))], ["_key", "anchor"])
-
-    spread = F.lit(-1) - F.pmod(F.col("_key"), F.lit(1021).cast("long"))
-    keyed = found.withColumn("part", F.coalesce("part", spread))
-    told = checkpointed(keyed.groupBy("part").applyInArrow(reduce, out))
-    single = told.mapInArrow(unpack_anchors, "_key long, anchor long")
-    hot = checkpointed(single.filter(F.col("_key").isNull()).select("anchor"))
-    lists = told.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.collect_list("anchors").alias("anchors"))
+            owner, anchor = entries(b)
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(anchor.astype(np.int64))], ["_key", "anchor"])
+
+    def hot_anchors(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(unpack_anchors(b.column("anchors").to_pylist()).astype(np.int64))], ["anchor"])
+
+    told = checkpointed(found.groupBy("part").applyInArrow(reduce, layout))
+    mine = told.filter(F.col("bucket").isNotNull())
+    lists = mine.groupBy("bucket").applyInArrow(gather, "_key long, anchors binary")
+    hot = checkpointed(told.filter(F.col("bucket").isNull()).mapInArrow(hot_anchors, "anchor long"))
     if hot.isEmpty():
         return lists.withColumn("hot", F.array().cast("array<long>"))
-    own = (single.filter(F.col("_key").isNotNull()).join(maybe_broadcast(hot), "anchor")
+    own = (mine.mapInArrow(single_anchors, "_key long, anchor long").join(maybe_broadcast(hot), "anchor")
            .groupBy("_key").agg(F.collect_set("anchor").alias("hot")))
     return lists.join(own, "_key", "left")
 
 
 def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> DataFrame:
-    """``(shard, docs, keys, starts, sizes, content, _key, cover)``: packed runs
-    for shards, or (``shard`` below 0) covered intervals of one document."""
-    out = ("shard long, docs binary, keys binary, starts binary, sizes binary, content binary, "
-           "_key long, cover binary")
+    """``(shard, docs, keys, starts, sizes, content, cover)``: packed runs for
+    shards, or (``shard`` below 0) covered intervals of a range of documents."""
+    out = "shard long, docs binary, keys binary, starts binary, sizes binary, content binary, cover binary"
 
     def run(batches):
+        parts, size = [], 0
         for b in batches:
-            yield from pack(b)
-
-    def pack(b):
+            for part in cut(b):
+                parts.append(part)
+                size += int((part[7] - part[6]).sum())
+                if size > BATCH_BYTES:
+                    yield from send(parts)
+                    parts, size = [], 0
+        yield from send(parts)
+
+    def cut(b):
         keys, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
         lists, hots = b.column(3).to_pylist(), b.column(4).to_pylist()
-        parts = []
-        for i, j, data, off in text_slices(b.column(2)):
+        texts = pa.array([unpack_text(t) for t in b.column(2).to_pylist()], pa.binary())
+        for i, j, data, off in text_slices(texts):
             s = symbols(grain, data, off)
             anchor, start, size, doc = anchor_runs(grain, s)
             chosen, single = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
             for d, lo, hi in _groups(doc):
-                chosen[lo:hi] = np.isin(anchor[lo:hi], np.frombuffer(b"".join(lists[i + d]), np.uint64))
+                chosen[lo:hi] = np.isin(anchor[lo:hi], unpack_anchors([lists[i + d]]))
                 if hots[i + d]:
                     single[lo:hi] = np.isin(anchor[lo:hi], np.array(hots[i + d], np.int64).view(np.uint64))
             single &= chosen
@@ -238,14 +296,16 @@ def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> Dat
             last = first + count + grain.window - 1
             content = span_hash(s.sums, first, last)
             goes = np.where(single[run_of], content, mix(anchor[run_of]))
-            parts.append((keys[i + doc[run_of]], ids[i + doc[run_of]], first - s.text[doc[run_of]], count,
-                          content, goes, s.begin[first], s.end[last - 1], data))
+            yield (keys[i + doc[run_of]], ids[i + doc[run_of]], first - s.text[doc[run_of]], count,
+                   content, goes, s.begin[first], s.end[last - 1], data)
+
+    def send(parts):
         table = emit(parts)
-        if table:
-            yield pa.RecordBatch.from_pylist(table, schema=schema)
+        for at in range(0, len(table), 1024):
+            yield pa.RecordBatch.from_pylist(table[at:at + 1024], schema=schema)
 
     schema = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in (
-        "docs", "keys", "starts", "sizes", "content")), ("_key", pa.int64()), ("cover", pa.binary())])
+        "docs", "keys", "starts", "sizes", "content", "cover"))])
 
     def emit(parts) -> list[dict]:
         if not sum(len(p[0]) for p in parts):
@@ -259,12 +319,8 @@ def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> Dat
         head = np.append(True, (content[order][1:] != content[order][:-1]) | (goes[order][1:] != goes[order][:-1]))
         least = doc[order][np.flatnonzero(head)][np.cumsum(head) - 1]
         behind = order[doc[order] > least]     # equal to a run of a smaller document here
-        table = []
-        by_key = behind[np.lexsort((first[behind], key[behind]))]
-        for k, a, z in _groups(key[by_key]):
-            own = by_key[a:z]
-            span = np.stack([first[own], first[own] + count[own] + grain.window - 1], axis=1)
-            table.append({"shard": -1 - k % 1021, "_key": k, "cover": _binary(span.astype(np.int64))})
+        spans = np.stack([key[behind], first[behind], first[behind] + count[behind] + grain.window - 1], axis=1)
+        table = [{"shard": -1 - k, "cover": c} for k, c in spans_by_bucket(spans, shards)]
         ahead = order[doc[order] == least]
         shard = (goes[ahead] % np.uint64(shards)).astype(np.int64)
         ahead, shard = ahead[np.argsort(shard, kind="stable")], np.sort(shard)
@@ -274,10 +330,10 @@ def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> Dat
             at = np.repeat(lo[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             table.append({"shard": p, "docs": _binary(doc[own]), "keys": _binary(key[own]),
                           "starts": _binary(first[own]), "sizes": _binary(size.astype(np.int32)),
-                          "content": _binary(data[at])})
+                          "content": pack(_binary(data[at]))})
         return table
 
-    joined = rows.join(told, "_key").select("_key", "_doc", "text", "anchors", "hot")
+    joined = with_packed_text(rows).join(told, "_key").select("_key", "_doc", "packed", "anchors", "hot")
     return joined.mapInArrow(run, out)
 
 
@@ -294,10 +350,11 @@ class Runs:
     start: np.ndarray
 
 
-def unpack(table: pa.Table) -> Runs:
+def unpack_runs(table: pa.Table) -> Runs:
     def array(name, kind):
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    size, data = array("sizes", np.int32), b"".join(table.column("content").to_pylist())
+    size = array("sizes", np.int32)
+    data = b"".join(unpack_text(c) for c in table.column("content").to_pylist())
     end = np.cumsum(size.astype(np.int64))
     number: dict[bytes, int] = {}
     run = np.fromiter((number.setdefault(data[z - n:z], len(number)) for z, n in zip(end.tolist(), size.tolist())),
@@ -308,25 +365,31 @@ def unpack(table: pa.Table) -> Runs:
     return Runs(list(number), least, run, doc, array("keys", np.int64), array("starts", np.int64))
 
 
-def covered_intervals(runs: DataFrame, grain: Grain, smallest_holder) -> DataFrame:
+def spans_by_bucket(spans: np.ndarray, buckets: int):
+    """Yield ``(bucket, packed)``: rows ``(key, start, end)`` by a hash range of
+    the keys, the intervals of a key merged."""
+    bucket = spans[:, 0] % buckets
+    order = np.lexsort((spans[:, 1], spans[:, 0], bucket))
+    spans, bucket = spans[order], bucket[order]
+    for k, lo, hi in _groups(bucket):
+        yield k, pack(_binary(merge(spans[lo:hi])))
+
+
+def covered_intervals(runs: DataFrame, grain: Grain, buckets: int, smallest_holder) -> DataFrame:
     """``(_key, cover)``: intervals of symbols covered by windows that a smaller
     document holds. ``smallest_holder(content, least)`` gives, by the operator's
-    method, for each run's windows the smallest document holding the window:
-    ``(run, window, document)`` arrays of those below the run's own."""
-    out = "_key long, cover binary"
-
+    method, ``(run, window)`` of those windows of the runs which a document
+    below the run's own holds."""
     def compare(table: pa.Table) -> pa.Table:
-        if table.column("shard")[0].as_py() < 0:
-            return table.select(["_key", "cover"])
-        r = unpack(table)
+        shard = table.column("shard")[0].as_py()
+        if shard < 0:
+            return pa.table({"bucket": pa.array([-1 - shard] * len(table), pa.int64()), "cover": table.column("cover")})
+        r = unpack_runs(table)
         run, window = smallest_holder(r.content, r.least)
         # rows behind the run's first document are covered whole, those of it
         # where a smaller document holds the window
         behind = np.flatnonzero(r.doc > r.least[r.run])
-        if grain.words:
-            length = np.array([len(c.split()) for c in r.content], np.int64)
-        else:
-            length = np.array([len(c) for c in r.content], np.int64)
+        length = np.array([len(c.split()) if grain.words else len(c) for c in r.content], np.int64)
         spans = [np.stack([r.key[behind], r.start[behind], r.start[behind] + length[r.run[behind]]], axis=1)]
         ahead = np.flatnonzero(r.doc == r.least[r.run])
         ahead = ahead[np.argsort(r.run[ahead], kind="stable")]
@@ -335,30 +398,37 @@ def covered_intervals(runs: DataFrame, grain: Grain, smallest_holder) -> DataFra
         at = ahead[np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())]
         start = r.start[at] + np.repeat(window, times)
         spans.append(np.stack([r.key[at], start, start + grain.window], axis=1))
-        spans = np.concatenate(spans)
-        spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-        rows = [(k, _binary(merge(spans[a:z, 1:]))) for k, a, z in _groups(spans[:, 0])]
+        rows = list(spans_by_bucket(np.concatenate(spans), buckets))
+        return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int64()),
+                         "cover": pa.array([c for _, c in rows], pa.binary())})
+
+    def gather(table: pa.Table) -> pa.Table:
+        spans = np.frombuffer(b"".join(map(unpack_text, table.column("cover").to_pylist())), np.int64).reshape(-1, 3)
+        spans = merge(spans[np.lexsort((spans[:, 1], spans[:, 0]))])
+        rows = [(k, _binary(spans[lo:hi, 1:])) for k, lo, hi in _groups(spans[:, 0])]
         return pa.table({"_key": pa.array([k for k, _ in rows], pa.int64()),
                          "cover": pa.array([c for _, c in rows], pa.binary())})
 
-    covered = runs.groupBy("shard").applyInArrow(compare, out)
-    return covered.groupBy("_key").agg(F.collect_list("cover").alias("cover"))
+    covered = runs.groupBy("shard").applyInArrow(compare, "bucket long, cover binary")
+    return covered.groupBy("bucket").applyInArrow(gather, "_key long, cover binary")
 
 
 def merge(spans: np.ndarray) -> np.ndarray:
-    """Union of ``[start, end)`` intervals, in order; touching ones join."""
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(spans[:, 1])
-    new = np.append(True, spans[1:, 0] > reach[:-1])
-    head = np.flatnonzero(new)
-    return np.stack([spans[head, 0], reach[np.append(head[1:] - 1, len(spans) - 1)]], axis=1)
+    """Union of the intervals of rows ``(key, start, end)`` in order of key and
+    start; touching ones join."""
+    if not len(spans):
+        return spans
+    number = np.cumsum(np.append(False, spans[1:, 0] != spans[:-1, 0]))
+    far = np.int64(1) << 40       # longer than any text: keys do not reach into each other
+    reach = np.maximum.accumulate(spans[:, 2] + number * far)
+    head = np.flatnonzero(np.append(True, spans[1:, 1] + number[1:] * far > reach[:-1]))
+    last = np.append(head[1:] - 1, len(spans) - 1)
+    return np.stack([spans[head, 0], spans[head, 1], reach[last] - number[last] * far], axis=1)
 
 
-def cover_of(lists: list[bytes] | None) -> np.ndarray:
-    """Merged intervals of a document from its packed lists."""
-    if not lists:
-        return np.zeros((0, 2), np.int64)
-    return merge(np.frombuffer(b"".join(lists), np.int64).reshape(-1, 2))
+def cover_of(packed: bytes | None) -> np.ndarray:
+    """Merged intervals of a document."""
+    return np.frombuffer(packed or b"", np.int64).reshape(-1, 2)
 
 
 def find_cover(docs: DataFrame, grain: Grain, smallest_holder) -> DataFrame:
@@ -366,14 +436,16 @@ def find_cover(docs: DataFrame, grain: Grain, smallest_holder) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = row_key(docs)
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    told = shared_anchors(anchor_rows(rows, grain, max(8, -(-total // PART_BYTES))))
-    runs = run_rows(rows, told, grain, max(8, -(-total // SHARD_BYTES)))
-    return checkpointed(covered_intervals(runs, grain, smallest_holder))
+    parts, shards = max(8, -(-total // PART_BYTES)), max(8, -(-total // SHARD_BYTES))
+    told = shared_anchors(anchor_rows(rows, grain, parts), parts)
+    runs = run_rows(rows, told, grain, shards)
+    return checkpointed(covered_intervals(runs, grain, shards, smallest_holder))
 
 
 def join_cover(docs: DataFrame, cover: DataFrame, run, kept: list[str], schema: str) -> DataFrame:
-    """Apply ``run`` to batches of ``kept`` columns, ``text`` and ``cover`` of
-    every row of ``docs``."""
-    rows = docs.select(*[F.col(c) for c in kept], F.col("text").cast("string").alias("text"),
-                       F.xxhash64("doc_id", "text").alias("_key"))
-    return rows.join(cover, "_key", "left").select(*kept, "text", "cover").mapInArrow(run, schema)
+    """Apply ``run`` to batches of ``kept`` columns, ``packed`` text and
+    ``cover`` of every row of ``docs``."""
+    rows = docs.select(*[F.col(c) for c in kept], F.xxhash64("doc_id", "text").alias("_key"),
+                       F.col("text").cast("string").alias("text"))
+    return (with_packed_text(rows).join(cover, "_key", "left").select(*kept, "packed", "cover")
+            .mapInArrow(run, schema))

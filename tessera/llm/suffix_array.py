@@ -24,8 +24,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tessera.llm.common import unpack
 from tessera.llm.repeats import Grain, cover_of, find_cover, join_cover
 
 WINDOW = 50
@@ -214,8 +214,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
             rows = []
-            for text, lists in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-                text, spans = text or b"", cover_of(lists)
+            for text, lists in zip(map(unpack, b.column(1).to_pylist()), b.column(2).to_pylist()):
+                spans = cover_of(lists)
                 kept, at = hashlib.sha256(), 0
                 for lo, hi in spans.tolist():
                     kept.update(text[at:lo])
