@@ -41,13 +41,13 @@ from tessera.llm.common import checkpointed
 
 SAMPLE = 20_000
 CENTROIDS = 4096
-LIST_SIZE = 64            # vectors per centroid aimed at
+LIST_SIZE = 512           # vectors per centroid aimed at
 SLACK = 2.0
 COPIES = 4
 BORDER = 1.15             # of squared distances: about 7 % farther
 PROBES = 64
 RATIO = 1.6               # of squared distances to the nearest centroid
-LEAST_LISTS = 16          # searched whatever their distance
+LEAST_LISTS = 64          # searched whatever their distance
 LINKS = 16
 BLOCK = 512
 SEED = 4
