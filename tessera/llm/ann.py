@@ -15,8 +15,12 @@ fills every vector up to the largest norm), so the index can prune by distance.
 * Every vector is entered in the list of its nearest centroid and, near a
   border, in up to ``COPIES`` lists whose centroids are less than
   ``BORDER`` times as far and are not closer to one already taken.
-* A query searches the lists of its ``PROBES`` nearest centroids whose distance
-  is at most ``RATIO`` times the smallest, and at least ``LEAST_LISTS``.
+* A query searches the lists of its nearest centroids whose distance is at most
+  a ratio times the smallest, at least ``LEAST_LISTS`` of them and as many as
+  hold ``k`` other vectors. The ratio is fitted in the run: of ``MEASURED``
+  queries, the first by a hash of their values, the exact neighbours among all
+  vectors are found on the executors, and it is the least with which these
+  queries reach ``RECALL``, if the nearest ``PROBES`` centroids allow that.
 
 Lists and queries are packed in blocks of bounded size and joined by list, so a
 large list is several pieces of work. Equal vectors are collapsed: of each only
@@ -45,9 +49,11 @@ LIST_SIZE = 512           # vectors per centroid aimed at
 SLACK = 2.0
 COPIES = 4
 BORDER = 1.15             # of squared distances: about 7 % farther
-PROBES = 64
-RATIO = 1.6               # of squared distances to the nearest centroid
-LEAST_LISTS = 64          # searched whatever their distance
+PROBES = 64               # nearest centroids looked at
+LEAST_LISTS = 4           # searched whatever their distance
+MEASURED = 128            # queries whose exact neighbours are found
+RECALL = 0.97             # of their neighbours, to be reached
+FOUND_ROWS = 1 << 19      # neighbours that a task gathers before it keeps each query's best
 LINKS = 16
 BLOCK = 512
 SEED = 4
@@ -169,10 +175,86 @@ def lists_of(ids: np.ndarray, dist: np.ndarray, c: np.ndarray) -> list[np.ndarra
     return out
 
 
+def searched(ids: np.ndarray, dist: np.ndarray, ratio: float, sizes: np.ndarray, enough: int) -> np.ndarray:
+    """Which of a row's lists, nearest first, are searched: the first
+    ``LEAST_LISTS``, those within the ratio, and those before which there are
+    not ``enough`` vectors."""
+    size = sizes[ids]
+    return np.isfinite(dist) & ((dist <= ratio * dist[:, :1] + 1e-12) | (np.arange(dist.shape[1]) < LEAST_LISTS)
+                                | (np.cumsum(size, axis=1) - size < enough))
+
+
+def fitted(x: np.ndarray, row: np.ndarray, held: list, c: np.ndarray, graph: np.ndarray, probes: int) -> tuple[int, float]:
+    """``(centroids to look at, ratio)`` with which the rows of ``x`` reach
+    ``RECALL`` of their neighbours: neighbour ``j`` belongs to row ``row[j]``
+    and is in the lists ``held[j]``."""
+    width = min(probes, len(c))
+    ids, dist = search_graph(x, c, graph, width)
+    ratio = (dist + 1e-12) / (dist[:, :1] + 1e-12)
+    ratio[:, :LEAST_LISTS] = 1
+    need = np.array([np.min(ratio[r, np.isin(ids[r], lists)], initial=np.inf) for r, lists in zip(row, held)])
+    least = int(np.ceil(RECALL * len(need)))
+    return width, float(np.sort(need)[least - 1] if least else 1.0) * (1 + 1e-9)
+
+
 def packed(column) -> np.ndarray:
     return np.stack(column.to_numpy(zero_copy_only=False)) if len(column) else np.zeros((0, 0))
 
 
+def best_found(parts: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``(query, vector, score)`` each query's ``k`` best, a vector once: the
+    others cannot be among its ``k`` nearest."""
+    query, vector, score = (np.concatenate([p[j] for p in parts]) for j in range(3))
+    order = np.lexsort((score, vector, query))          # of a vector's scores the largest comes last
+    query, vector, score = query[order], vector[order], score[order]
+    last = np.append((query[1:] != query[:-1]) | (vector[1:] != vector[:-1]), True)[:len(query)]
+    query, vector, score = query[last], vector[last], score[last]
+    order = np.lexsort((vector, -score, query))
+    query, vector, score = query[order], vector[order], score[order]
+    head = np.flatnonzero(np.append(True, query[1:] != query[:-1])[:len(query)])
+    rank = np.arange(len(query)) - np.repeat(head, np.diff(np.append(head, len(query))))
+    return query[rank < k], vector[rank < k], score[rank < k]
+
+
+def measured_neighbours(lists: DataFrame, asking: np.ndarray, own: list[int], k: int) -> tuple[np.ndarray, list]:
+    """``(row, lists)`` of the exact ``k`` neighbours among all vectors of each
+    row of ``asking``, whose ids are ``own``: the row, and the lists that hold
+    the neighbour. A task keeps the best of each row only."""
+    most = (k + 1) * COPIES       # entries of k + 1 vectors
+
+    def compare(batches):
+        best = None
+        for b in batches:
+            members, at, v = packed(b.column("v")), b.column("list").to_numpy(), b.column("ids").to_pylist()
+            for i in range(0, len(members), 4096):
+                x = members[i:i + 4096]
+                score = np.einsum("qd,xd->qx", asking, x)
+                rep = np.array([ids[0] for ids in v[i:i + 4096]], np.int64)
+                ids = np.empty(len(x), object)
+                ids[:] = v[i:i + 4096]
+                new = [(score[q], rep, at[i:i + 4096], ids) for q in range(len(asking))]
+                best = [smallest(o, n) for o, n in zip(best or [None] * len(new), new)]
+        for q, (score, _, at, ids) in enumerate(best or []):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(score), q)), pa.array(score), pa.array(at),
+                 pa.array(list(ids), pa.list_(pa.int64()))], ["row", "score", "list", "ids"])
+
+    def smallest(old, new):
+        if old is not None:
+            new = tuple(np.concatenate(pair) for pair in zip(old, new))
+        keep = np.lexsort((new[2], new[1], -new[0]))[:most]
+        return tuple(x[keep] for x in new)
+
+    found = lists.mapInArrow(compare, "row long, score double, list long, ids array<long>")
+    near = found.select("row", "score", "list", F.explode("ids").alias("vec_id"))
+    owner = F.element_at(F.array(*[F.lit(i) for i in own]), (F.col("row") + 1).cast("int"))
+    once = near.filter(F.col("vec_id") != owner).groupBy("row", "vec_id").agg(
+        F.max("score").alias("score"), F.collect_set("list").alias("lists"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id"))
+    top = once.withColumn("_n", rank).filter(F.col("_n") <= k).select("row", "lists").collect()
+    return np.array([r.row for r in top], np.int64), [r.lists for r in top]
+
+
 def search(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: of each row that ``is_query`` (a
     condition on ``vec_id``) selects the ``k`` nearest other rows found."""
@@ -210,27 +292,37 @@ def search(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> Dat
                     [pa.array(np.concatenate(lists)), b.column("ids").take(pa.array(at)), b.column("v").take(pa.array(at))],
                     ["list", "ids", "v"])
 
+    lists = checkpointed(distinct.select("ids", "v", "square").mapInArrow(
+        enter, "list long, ids array<long>, v array<double>"))
+    queries = checkpointed(rows.filter(is_query).select("vec_id", "v").distinct())
+    first = queries.orderBy(F.xxhash64("v"), "vec_id").limit(MEASURED).collect()
+    if not first:
+        return spark.createDataFrame([], empty)
+    sizes = np.zeros(len(c), np.int64)
+    for r in lists.groupBy("list").count().collect():                 # bounded by CENTROIDS
+        sizes[r["list"]] = r["count"]
+    asking = np.array([r.v for r in first])
+    row, held = measured_neighbours(lists, asking, [r.vec_id for r in first], k)
+    width, ratio = fitted(np.column_stack([asking, np.zeros(len(asking))]), row, held, *shared.value, probes)
+    enough = (k + 1) * COPIES                                         # entries: k + 1 vectors or more
+
     def ask(batches):
         c, graph = shared.value
         for b in batches:
             x = packed(b.column("v"))
             for i in range(0, len(x), 256):
                 y = np.column_stack([x[i:i + 256], np.zeros(len(x[i:i + 256]))])
-                ids, dist = search_graph(y, c, graph, probes)
-                use = np.isfinite(dist) & ((dist <= RATIO * dist[:, :1] + 1e-12)
-                                           | (np.arange(dist.shape[1]) < LEAST_LISTS))
+                ids, dist = search_graph(y, c, graph, width)
+                use = searched(ids, dist, ratio, sizes, enough)
                 at = np.repeat(np.arange(i, i + len(y)), use.sum(axis=1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[use]), b.column("vec_id").take(pa.array(at)), b.column("v").take(pa.array(at))],
                     ["list", "query_id", "v"])
 
-    lists = distinct.select("ids", "v", "square").mapInArrow(enter, "list long, ids array<long>, v array<double>")
-    queries = rows.filter(is_query).select("vec_id", "v").distinct()
-    asked = queries.mapInArrow(ask, "list long, query_id long, v array<double>")
+    asked = checkpointed(queries.mapInArrow(ask, "list long, query_id long, v array<double>"))
 
     def blocks(df, ident, values):
         """Rows of one list in blocks of about ``BLOCK``."""
-        df = checkpointed(df)
         size = df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_b"))
         return (df.join(size, "list").withColumn("_block", F.pmod(F.xxhash64(ident), F.col("_b")))
                 .groupBy("list", "_block").agg(F.collect_list(F.struct(ident, "v")).alias(values)))
@@ -238,9 +330,19 @@ def search(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> Dat
     pairs = blocks(lists, "ids", "members").join(blocks(asked, "query_id", "asking"), "list").select("members", "asking")
 
     def compare(batches):
+        held, size = [], 0
         for b in batches:
             for r in range(len(b)):
-                yield from nearest_in(b.column(0)[r], b.column(1)[r])
+                held.append(nearest_in(b.column(0)[r], b.column(1)[r]))
+                size += len(held[-1][0])
+                if size > FOUND_ROWS:
+                    held = [best_found(held, k)]
+                    size = len(held[0][0])
+                    if size > FOUND_ROWS // 2:      # many queries: nothing to be gained by waiting
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["query_id", "vec_id", "score"])
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best_found(held, k)], ["query_id", "vec_id", "score"])
 
     def nearest_in(members, asking):
         members, asking = members.values, asking.values
@@ -257,8 +359,7 @@ def search(table: DataFrame, is_query, k: int = 20, probes: int = PROBES) -> Dat
                 at += [query[j]] * len(own)
                 found += own
                 value += [score[j, m]] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found, pa.int64()),
-                                          pa.array(value, pa.float64())], ["query_id", "vec_id", "score"])
+        return np.array(at, np.int64), np.array(found, np.int64), np.array(value, np.float64)
 
     found = pairs.mapInArrow(compare, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -91,6 +91,21 @@ def test_neighbours_recall(spark):
     assert hit / total >= 0.95
 
 
+def test_distance_ratio_prunes_lists():
+    from tessera.llm import ann
+    rng = np.random.default_rng(8)
+    c = np.repeat(rng.normal(size=(20, 8)) * 9, 10, axis=0) + rng.normal(size=(200, 8))
+    x = c[::7] + rng.normal(size=(29, 8)) / 9
+    graph = ann.centroid_graph(c)
+    near = ann.nearest(x, c)
+    width, ratio = ann.fitted(x, np.arange(29), [[j] for j in near], c, graph, ann.PROBES)
+    ids, dist = ann.search_graph(x, c, graph, width)
+    use = ann.searched(ids, dist, ratio, np.full(200, 50), 84)
+    assert use.sum() < 29 * ann.PROBES / 2 and all(j in i[u] for j, i, u in zip(near, ids, use))
+    few = ann.searched(ids, dist, ratio, np.full(200, 1), 84)       # small lists: enough of them are read
+    assert (few.sum(axis=1) >= min(84, width)).all()
+
+
 def grams_of(text):
     w = (text or "").lower().split()
     return w, [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
