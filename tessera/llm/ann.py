@@ -17,10 +17,11 @@ fills every vector up to the largest norm), so the index can prune by distance.
   ``BORDER`` times as far and are not closer to one already taken.
 * A query searches the lists of its nearest centroids whose distance is at most
   a ratio times the smallest, at least ``LEAST_LISTS`` of them and as many as
-  hold ``k`` other vectors. The ratio is fitted in the run: of ``MEASURED``
-  queries, the first by a hash of their values, the exact neighbours among all
-  vectors are found on the executors, and it is the least with which these
-  queries reach ``RECALL``, if the nearest ``PROBES`` centroids allow that.
+  hold ``k`` other vectors. The ratio and the number of centroids looked at are
+  fitted in the run: of ``MEASURED`` queries, the first by a hash of their
+  values, the exact neighbours among all vectors are found on the executors,
+  and both are the least with which these queries reach ``RECALL``. With all
+  lists every neighbour is found, so the fit always ends.
 
 Lists and queries are packed in blocks of bounded size and joined by list, so a
 large list is several pieces of work. Equal vectors are collapsed: of each only
@@ -49,10 +50,11 @@ LIST_SIZE = 512           # vectors per centroid aimed at
 SLACK = 2.0
 COPIES = 4
 BORDER = 1.15             # of squared distances: about 7 % farther
-PROBES = 64               # nearest centroids looked at
+PROBES = 64               # nearest centroids looked at, at least
 LEAST_LISTS = 4           # searched whatever their distance
 MEASURED = 128            # queries whose exact neighbours are found
 RECALL = 0.97             # of their neighbours, to be reached
+DIRECT = 8                # centroids per one looked for, up to which all are compared
 FOUND_ROWS = 1 << 19      # neighbours that a task gathers before it keeps each query's best
 LINKS = 16
 BLOCK = 512
@@ -131,7 +133,8 @@ def search_graph(x: np.ndarray, c: np.ndarray, graph: np.ndarray, width: int) ->
     neighbours of every unvisited one of the best are visited together."""
     width = min(width, len(c))
     square = (c * c).sum(axis=1)
-    entry = np.linspace(0, len(c) - 1, min(len(c), 2 * width)).astype(np.int64)
+    entries = len(c) if len(c) <= DIRECT * width else 2 * width
+    entry = np.linspace(0, len(c) - 1, entries).astype(np.int64)
     ids = np.broadcast_to(entry, (len(x), len(entry)))
     dist = square[ids] - 2 * x @ c[entry].T
     keep = np.argsort(dist, axis=1, kind="stable")[:, :width]
@@ -139,8 +142,7 @@ def search_graph(x: np.ndarray, c: np.ndarray, graph: np.ndarray, width: int) ->
     seen = np.zeros((len(x), len(c)), bool)
     np.put_along_axis(seen, np.broadcast_to(entry, (len(x), len(entry))), True, 1)
     opened = np.zeros((len(x), len(c)), bool)
-    row = np.arange(len(x))
-    while True:
+    while entries < len(c):       # else all are compared already
         fresh = ~np.take_along_axis(opened, ids, 1)
         active = np.flatnonzero(fresh.any(axis=1))
         if not len(active):
@@ -187,14 +189,20 @@ def searched(ids: np.ndarray, dist: np.ndarray, ratio: float, sizes: np.ndarray,
 def fitted(x: np.ndarray, row: np.ndarray, held: list, c: np.ndarray, graph: np.ndarray, probes: int) -> tuple[int, float]:
     """``(centroids to look at, ratio)`` with which the rows of ``x`` reach
     ``RECALL`` of their neighbours: neighbour ``j`` belongs to row ``row[j]``
-    and is in the lists ``held[j]``."""
-    width = min(probes, len(c))
-    ids, dist = search_graph(x, c, graph, width)
-    ratio = (dist + 1e-12) / (dist[:, :1] + 1e-12)
-    ratio[:, :LEAST_LISTS] = 1
-    need = np.array([np.min(ratio[r, np.isin(ids[r], lists)], initial=np.inf) for r, lists in zip(row, held)])
-    least = int(np.ceil(RECALL * len(need)))
-    return width, float(np.sort(need)[least - 1] if least else 1.0) * (1 + 1e-9)
+    and is in the lists ``held[j]``. Twice as many centroids as the recall
+    needs are looked at, so that the ratio decides."""
+    width, met = probes, False
+    while True:
+        width = min(width, len(c))
+        ids, dist = search_graph(x, c, graph, width)
+        ratio = (dist + 1e-12) / (dist[:, :1] + 1e-12)
+        ratio[:, :LEAST_LISTS] = 1
+        need = np.array([np.min(ratio[r, np.isin(ids[r], lists)], initial=np.inf) for r, lists in zip(row, held)])
+        least = int(np.ceil(RECALL * len(need)))
+        reached = np.sort(need)[least - 1] if least else 1.0
+        if width == len(c) or met and np.isfinite(reached):
+            return width, float(reached) * (1 + 1e-9)
+        width, met = 2 * width, bool(np.isfinite(reached))
 
 
 def packed(column) -> np.ndarray:

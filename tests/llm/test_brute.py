@@ -91,6 +91,21 @@ def test_neighbours_recall(spark):
     assert hit / total >= 0.95
 
 
+def test_neighbours_recall_when_a_query_searches_few_of_the_lists(spark, monkeypatch):
+    from tessera.llm import ann
+    monkeypatch.setattr(ann, "LIST_SIZE", 8)
+    v = np.random.default_rng(7).normal(size=(4000, 24))
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, 20).collect():
+        got[r.query_id].add(r.vec_id)
+    assert all(len(got[q]) == 20 for q in range(0, 4000, 20))
+    score = v[::20] @ v.T
+    score[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    assert np.mean([len(set(b) & got[20 * q]) / 20 for q, b in enumerate(best)]) >= 0.9
+
+
 def test_distance_ratio_prunes_lists():
     from tessera.llm import ann
     rng = np.random.default_rng(8)
