@@ -8,13 +8,14 @@ falls into few runs of windows with one anchor each.
 
 1. :func:`anchor_rows` hashes every text. Per batch of texts, an anchor that one
    document holds is sent once with that document, one that several hold once
-   without; the documents of the latter know already that it is shared.
+   without; the documents of the latter know already that it is shared. The
+   bytes of an anchor's distinct runs go along, unless they are few.
 2. :func:`shared_anchors` finds the anchors of several documents, one hash
    range at a time, and tells their documents which those are.
 3. :func:`run_rows` joins that to the texts, cuts out the runs with a shared
    anchor and sends each to the shard of its anchor. Runs equal to one of a
    smaller document in the same batch are covered and stay behind. An anchor
-   with more than ``HOT`` holders is split further: its runs become single
+   whose runs have more than ``HOT`` bytes is split further: they become single
    windows, dealt to shards by the windows' own hash.
 4. The operator compares the runs of a shard by its method
    (:func:`covered_intervals`), and :func:`join_cover` brings the covered
@@ -39,7 +40,6 @@ from tessera.llm.common import (checkpointed, maybe_broadcast, mix, pack, prefix
                                 text_slices, with_packed_text, word_spans)
 from tessera.llm.common import unpack as unpack_text
 
-HOT = 20_000                # batches holding an anchor beyond which its runs are split up
 PIECE = 64                  # windows in a run at most
 ANCHOR_BITS = 48            # of an anchor's hash; a chance hit only costs work
 BATCH_ANCHORS = 1 << 20     # anchors gathered before they are sent
@@ -47,6 +47,8 @@ BATCH_TEXTS = 60_000
 BATCH_BYTES = 8 << 20       # run content gathered before it is sent
 PART_BYTES = 24 << 20       # text per hash range of anchors
 SHARD_BYTES = 6 << 20       # text per shard (a fraction of it is shared)
+HOT = SHARD_BYTES           # of an anchor's runs, summed over batches, beyond which they are split up
+FEW_BYTES = 256             # of an anchor's runs in a batch, up to which they count as this
 LARGEST_ID = (1 << 63) - 1
 
 
@@ -130,6 +132,27 @@ def unpack_anchors(packed: list[bytes]) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def distinct_bytes(anchor: np.ndarray, content: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bytes of the distinct runs of each anchor, in order of anchors."""
+    order = np.lexsort((content, anchor))
+    anchor, content = anchor[order], content[order]
+    other = np.append(True, anchor[1:] != anchor[:-1])
+    new = other | np.append(True, content[1:] != content[:-1])
+    return np.add.reduceat(np.where(new, size[order], 0), np.flatnonzero(other))
+
+
+def pack_sizes(size: np.ndarray) -> bytes:
+    at = np.flatnonzero(size > FEW_BYTES)
+    return _binary(np.stack([at, np.minimum(size[at], (1 << 32) - 1)], axis=1).astype(np.uint32))
+
+
+def unpack_sizes(packed: bytes, count: int) -> np.ndarray:
+    out = np.full(count, FEW_BYTES, np.int64)
+    at, size = np.frombuffer(packed, np.uint32).reshape(-1, 2).T
+    out[at] = size
+    return out
+
+
 def by_bucket(owner: np.ndarray, anchor: np.ndarray, buckets: int):
     """Yield ``(bucket, keys, counts, anchors)``: documents' anchors, packed by
     a hash range of the documents."""
@@ -142,19 +165,23 @@ def by_bucket(owner: np.ndarray, anchor: np.ndarray, buckets: int):
 
 
 def anchor_rows(rows: DataFrame, grain: Grain, parts: int) -> DataFrame:
-    """``(part, keys, counts, anchors, owners)``. ``part`` from 0: the anchors of
-    a hash range, each with the place in ``keys``, from 1, of its only document,
-    or 0. Below 0: anchors that documents of a range share with others of
-    their batch."""
-    out = "part long, keys binary, counts binary, anchors binary, owners binary"
+    """``(part, keys, counts, anchors, owners, sizes)``. ``part`` from 0: the
+    anchors of a hash range, each with the place in ``keys``, from 1, of its only
+    document, or 0; ``sizes`` are places of anchors and the bytes of their
+    distinct runs, where these are more than ``FEW_BYTES``. Below 0: anchors that
+    documents of a range share with others of their batch."""
+    out = "part long, keys binary, counts binary, anchors binary, owners binary, sizes binary"
 
     def run(batches):
         held, anchors, texts = [], 0, 0
         for b in batches:
             keys = b.column(0).to_numpy()
             for i, j, data, off in text_slices(b.column(1)):
-                a, _, _, doc = anchor_runs(grain, symbols(grain, data, off))
-                held.append((a, keys[i + doc]))
+                s = symbols(grain, data, off)
+                a, first, count, doc = anchor_runs(grain, s)
+                last = first + count + grain.window - 1
+                size = s.end[last - 1] - s.begin[first] if len(a) else first
+                held.append((a, keys[i + doc], span_hash(s.sums, first, last), size))
                 anchors, texts = anchors + len(a), texts + j - i
                 if anchors > BATCH_ANCHORS or texts > BATCH_TEXTS:
                     yield from send(held)
@@ -162,10 +189,11 @@ def anchor_rows(rows: DataFrame, grain: Grain, parts: int) -> DataFrame:
         yield from send(held)
 
     def send(held):
-        anchor = np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in held)])
-        owner = np.concatenate([np.zeros(0, np.int64), *(o for _, o in held)])
+        anchor, owner, content, size = (np.concatenate([np.zeros(0, t), *(h[k] for h in held)])
+                                        for k, t in enumerate((np.uint64, np.int64, np.uint64, np.int64)))
         if not len(anchor):
             return
+        weight = distinct_bytes(anchor, content, size)
         keys, owner = np.unique(owner, return_inverse=True)
         order = np.lexsort((owner, anchor))
         anchor, owner = anchor[order], owner[order]
@@ -174,20 +202,20 @@ def anchor_rows(rows: DataFrame, grain: Grain, parts: int) -> DataFrame:
         head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         several = np.diff(np.append(head, len(anchor))) > 1
         known = np.repeat(several, np.diff(np.append(head, len(anchor))))
-        table = [(-1 - k, *rest, None) for k, *rest in by_bucket(keys[owner[known]], anchor[known], parts)]
+        table = [(-1 - k, *rest, None, None) for k, *rest in by_bucket(keys[owner[known]], anchor[known], parts)]
         anchor, owner = anchor[head], np.where(several, -1, owner[head])
         part = (anchor % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((owner, part))     # documents together: their places compress well
-        anchor, owner, part = anchor[order], owner[order], part[order]
+        anchor, owner, part, weight = anchor[order], owner[order], part[order], weight[order]
         for p, lo, hi in _groups(part):
             own, place = np.unique(owner[lo:hi], return_inverse=True)
             place = place + (own[0] >= 0)     # 0 stands for several
             table.append((p, _binary(keys[own[own >= 0]]), None, pack_anchors(anchor[lo:hi]),
-                          _binary(place.astype(np.uint16))))
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                          _binary(place.astype(np.uint16)), pack_sizes(weight[lo:hi])))
+        kinds = (pa.int64(), *[pa.binary()] * 5)
         for at in range(0, len(table), 4096):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*table[at:at + 4096]), kinds)],
-                                             ["part", "keys", "counts", "anchors", "owners"])
+                                             ["part", "keys", "counts", "anchors", "owners", "sizes"])
 
     return rows.select("_key", "text").mapInArrow(run, out)
 
@@ -203,7 +231,7 @@ def _groups(sorted_values: np.ndarray):
 
 def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
     """``(_key, anchors, hot)``: for each document the anchors that others hold
-    too; ``hot`` those of them that very many batches hold."""
+    too; ``hot`` those of them whose runs have very many bytes."""
     layout = "bucket long, keys binary, counts binary, anchors binary"
     names = ["bucket", "keys", "counts", "anchors"]
 
@@ -216,12 +244,16 @@ def shared_anchors(found: DataFrame, parts: int) -> DataFrame:
         owner = np.concatenate([
             np.append(0, np.frombuffer(keys, np.int64))[np.frombuffer(place, np.uint16)]
             for place, keys in zip(table.column("owners").to_pylist(), table.column("keys").to_pylist())])
+        weight = np.concatenate([unpack_sizes(sizes, len(place) // 2) for place, sizes in zip(
+            table.column("owners").to_pylist(), table.column("sizes").to_pylist())])
         order = np.argsort(anchor, kind="stable")
-        anchor, owner = anchor[order], owner[order]
+        anchor, owner, weight = anchor[order], owner[order], weight[order]
         head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         size = np.diff(np.append(head, len(anchor)))
         told = np.repeat(size > 1, size) & (owner != 0)
-        rows = [(None, b"", b"", pack_anchors(anchor[head[size > HOT]])), *by_bucket(owner[told], anchor[told], parts)]
+        shared = (size > 1) | np.logical_or.reduceat(owner == 0, head)
+        hot = shared & (np.add.reduceat(weight, head) > HOT)
+        rows = [(None, b"", b"", pack_anchors(anchor[head[hot]])), *by_bucket(owner[told], anchor[told], parts)]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 3))], names=names)
 
     def entries(table) -> tuple[np.ndarray, np.ndarray]:

@@ -75,6 +75,22 @@ def test_hot_anchors_are_split_without_loss(spark, monkeypatch):
     assert collections.Counter(tuple(r)[:5] for r in suffix_array.dedup(docs.repartition(4)).collect()) == plain
 
 
+def test_anchors_of_many_run_bytes_are_split_in_few_batches(spark, monkeypatch):
+    from tessera.llm import repeats
+    rng = np.random.default_rng(3)
+
+    def noise():
+        return "".join(map(chr, rng.integers(97, 123, 70)))
+    phrase = noise()
+    docs = spark.createDataFrame([(i, noise() + phrase + noise()) for i in range(300)], "doc_id long, text string").repartition(2)
+    plain = collections.Counter(tuple(r)[:5] for r in suffix_array.dedup(docs).collect())
+    monkeypatch.setattr(repeats, "HOT", 5000)       # 300 runs of about 100 bytes, from two batches
+    grain = repeats.Grain(False, 50, 20)
+    told = repeats.shared_anchors(repeats.anchor_rows(repeats.row_key(docs), grain, 8), 8).collect()
+    assert len(told) == 300 and all(r.hot for r in told)
+    assert collections.Counter(tuple(r)[:5] for r in suffix_array.dedup(docs).collect()) == plain
+
+
 def test_neighbours_recall(spark):
     rows = common.table(spark, SF, "embeddings").collect()
     ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
