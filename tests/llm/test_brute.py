@@ -168,6 +168,16 @@ def test_decontamination(spark):
     assert want and got == want
 
 
+def test_short_items_are_found(spark):
+    docs = spark.createDataFrame([(1, "The answer is  FORTY two today"), (2, "forty"), (3, "the answer"), (4, None), (5, "")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "forty Two"), (2, "is forty two today"), (3, "forty"), (4, "answer the"), (5, "")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start, r.n_words) for r in decontamination.find_contamination(docs, items).collect()}
+    assert got == {(1, 1): (1.0, 3, 2), (1, 2): (1.0, 2, 4), (1, 3): (1.0, 3, 1), (2, 3): (1.0, 0, 1)}
+    assert sorted(r.doc_id for r in decontamination.drop_contaminated(docs, items).collect()) == [3, 4, 5]
+
+
 def test_near_duplicates(spark):
     docs = common.table(spark, SF, "documents")
     prints = {}
