@@ -168,6 +168,13 @@ def test_decontamination(spark):
     assert want and got == want
 
 
+def test_radius_is_all_that_the_index_guarantees(spark):
+    assert decontamination.RADIUS == 23
+    empty = spark.createDataFrame([], "doc_id long, item_id long, text string")
+    with pytest.raises(ValueError):
+        decontamination.contaminated_windows(empty, empty, radius=decontamination.RADIUS + 1)
+
+
 def test_short_items_are_found(spark):
     docs = spark.createDataFrame([(1, "The answer is  FORTY two today"), (2, "forty"), (3, "the answer"), (4, None), (5, "")],
                                  "doc_id long, text string")
