@@ -143,9 +143,9 @@ def q_frequent_itemsets_levelwise(spark, sf_dir):
 
 @register("candidate_support")
 def q_candidate_support(spark, sf_dir):
-    # SON pass 2: candidates are recounted exactly over every basket: the
-    # pairs of frequent items of different languages among them occur in
-    # none or few, and one item of each extended candidate in none at all.
+    # SON pass 2: candidates are recounted exactly over every basket. They are
+    # frequent sets of up to three items, and sets of up to two with an item
+    # that no basket holds; none lies between 0 and the support.
     bi = _basket_items(spark, sf_dir)
     s = _support(bi)
     found = itemsets.level_wise_itemsets(bi, s, max_size=3)
