@@ -77,3 +77,39 @@ SELECT page_id, host, path, rule,
                               THEN 'block' ELSE 'allow' END) AS verdict
 FROM v JOIN hm USING (host)
 """
+
+# crc32 bit by bit over the UTF-8 bytes; near words share the rest after deleting
+# one code point at the same place, or one of them is the other's rest.
+ORACLE["op13_spelling_variants"] = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+held AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY 1, 2),
+coded AS (SELECT run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM held),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, s: xor(y >> 1, 3988292384 * (y & 1))))) AS h
+  FROM coded),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k
+    FROM hashed) w
+  GROUP BY word HAVING length(word) >= 7 AND sum(k) >= 2),
+cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words) w),
+near AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT p.word, a.n, count(*) AS n_near, max(b.n) AS most, arg_min(p.near, (-b.n, p.near)) AS near
+  FROM near p JOIN words a ON p.word = a.word JOIN words b ON p.near = b.word GROUP BY 1, 2),
+forms AS (SELECT word, near AS form, most AS form_n FROM best WHERE most >= 10 * n),
+chain AS (SELECT word, form, 1 AS step FROM forms
+          UNION ALL SELECT c.word, f.form, c.step + 1 FROM chain c JOIN forms f ON c.form = f.word)
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN best b ON w.word = b.word LEFT JOIN forms f ON w.word = f.word
+LEFT JOIN (SELECT word, arg_max(form, step) AS root FROM chain GROUP BY 1) r ON w.word = r.word
+"""

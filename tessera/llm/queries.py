@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (ann, decontamination, fm_index, mixing, quality, sharding, simhash_dedup,
-                         suffix_array, toxicity, url_filter)
+from tessera.llm import (ann, decontamination, fm_index, langid, mixing, quality, sharding, simhash_dedup,
+                         spelling, suffix_array, token_alignment, toxicity, url_filter)
 from tessera.llm.common import table
 
 
@@ -65,8 +65,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, grouped and linked."""
+    return token_alignment.align_tokenizers(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language."""
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its near words' most frequent form."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_passage_dedup, op4_nearest_neighbours,
                              op5_decontamination, op6_simhash_dedup, op7_url_filter, op8_mixing,
-                             op9_quality, op10_toxicity)
+                             op9_quality, op10_toxicity, op11_token_alignment, op12_language_id,
+                             op13_spelling_variants)
 }
