@@ -48,11 +48,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed, mix, pack, small_batches, text_buffers, unpack
 
-BATCH_BYTES = 12 << 20      # of text whose pieces are encoded together
+BATCH_BYTES = 4 << 20       # of text whose pieces are encoded together
 BATCH_ROWS = 1 << 16
 SEGMENT_BYTES = 4096        # of pieces given to a tokenizer in one string
 PART_BYTES = 256 << 20      # of text for each hash range of pairs
-BLOCK = 1 << 22             # links, or words of documents, expanded at once
+BLOCK = 1 << 20             # links, or pairs of documents, expanded at once
 
 
 def tokenizer_path(name: str) -> str:
@@ -82,7 +82,10 @@ class Tokenizers:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.vocabulary = self._vocabulary()
+        self.vocabulary = v = self._vocabulary()
+        # an A id inside and at the end of a group's A tokens, a B id likewise
+        self.written = pa.array([f"{i}{x}" for n, ends in ((len(v.a), ",|"), (len(v.b), ",;")) for x in ends for i in range(n)],
+                                pa.large_string())
 
     def _vocabulary(self) -> Vocabulary:
         byte_of = {c: k for k, c in enumerate(byte_characters())}
@@ -274,7 +277,7 @@ def align_pieces(tokenizers: Tokenizers, data: bytes, start: np.ndarray, stop: n
         return out
 
     return Pieces(ok, per_piece(p), per_piece(q), per_piece(np.ones(len(ends), np.int64)), per_piece(p * q),
-                  written_groups(v, a, group_a, b, group_b, p, q, of, n), regular, irregular, keys)
+                  written_groups(tokenizers, a, group_a, b, group_b, p, q, of, n), regular, irregular, keys)
 
 
 def blocks(size: np.ndarray, limit: int):
@@ -298,10 +301,9 @@ def unique_rows(x: np.ndarray, y: np.ndarray, times: np.ndarray, width: int) ->
     return np.stack([code[head] // width, code[head] % width, np.add.reduceat(times[order], head)], axis=1)
 
 
-def written_groups(v: Vocabulary, a, group_a, b, group_b, p, q, of, n: int) -> pa.Array:
+def written_groups(tokenizers: Tokenizers, a, group_a, b, group_b, p, q, of, n: int) -> pa.Array:
     """Per piece ``a1,a2|b1;a3|b2,b3;``: the decimal ids of its groups."""
-    words = ([f"{i}," for i in range(len(v.a))] + [f"{i}|" for i in range(len(v.a))]
-             + [f"{i}," for i in range(len(v.b))] + [f"{i};" for i in range(len(v.b))])
+    v = tokenizers.vocabulary
     last_a, last_b = np.cumsum(p) - 1, np.cumsum(q) - 1
     code = np.empty(len(a) + len(b), np.int64)
     is_last = np.zeros(len(a), bool)
@@ -312,7 +314,7 @@ def written_groups(v: Vocabulary, a, group_a, b, group_b, p, q, of, n: int) -> p
     is_last[last_b] = True
     after_a = np.cumsum(p)
     code[np.arange(len(b)) + after_a[group_b]] = 2 * len(v.a) + b + np.where(is_last, len(v.b), 0)
-    text = pa.array(words, pa.large_string()).take(pa.array(code))
+    text = tokenizers.written.take(pa.array(code))
     data, off = text_buffers(text)
     tokens = np.zeros(n, np.int64)
     np.add.at(tokens, of, p + q)
@@ -362,7 +364,7 @@ def align_batch(tokenizers: Tokenizers, ids: pa.Array, texts: pa.Array) -> Batch
         sums.append(pa.array(out))
     digests = np.full(n, "", object)
     length = np.diff(text_buffers(pieces.text)[1])
-    for lo, hi in blocks(length[code], 16 * BLOCK):      # whole documents, or a part of a long one
+    for lo, hi in blocks(length[code], 4 * BLOCK):      # whole documents, or a part of a long one
         part, own = pieces.text.take(pa.array(code[lo:hi])), doc[lo:hi]
         text, stop = text_buffers(part)
         head = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
@@ -392,6 +394,12 @@ def expand(used: np.ndarray, rows: np.ndarray, begin: np.ndarray) -> tuple[np.nd
     return np.repeat(used[:, 0], times), rows[at, 1]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted without repeats (faster here than by hashing)."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def count_documents(batch: Batch, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """``(vector over A's ids, counts of the batch's keys)``: how many documents
     hold each identity pair in a regular group, and each irregular pair, identity
@@ -403,13 +411,13 @@ def count_documents(batch: Batch, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     image = vocabulary.identity[own] == p.keys % width
     head = np.flatnonzero(np.append(True, batch.used[1:, 0] != batch.used[:-1, 0])) if len(batch.used) else []
     size = np.diff(np.append(head, len(batch.used))).astype(np.int64)
-    for x, y in blocks(size, BLOCK // 8):        # whole documents
+    for x, y in blocks(size, BLOCK // 4):        # whole documents
         used = batch.used[head[x]:head[y] if y < len(head) else len(batch.used)]
         doc, a = expand(used, p.regular, regular)
-        held = np.unique(doc * len(vector) + a)
+        held = distinct(doc * len(vector) + a)
         vector += np.bincount(held % len(vector), minlength=len(vector))
         doc, place = expand(used, p.irregular, irregular)
-        pair = np.unique(doc * max(len(counts), 1) + place)
+        pair = distinct(doc * max(len(counts), 1) + place)
         doc, place = pair // max(len(counts), 1), pair % max(len(counts), 1)
         twice = image[place]
         twice[twice] = np.isin(doc[twice] * len(vector) + own[place[twice]], held)
