@@ -294,50 +294,123 @@ def sparse_assign(docs: DataFrame, entries: DataFrame, centers: DataFrame, k: in
     )
 
 
-def sparse_means(entries: DataFrame, assigned: DataFrame, previous: DataFrame,
-                 dim: str = "term") -> DataFrame:
-    """New centers: the mean vector of each cluster's documents; a
-    cluster that lost all documents keeps its previous center."""
-    sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
-    sums = (
-        entries.join(assigned.select("doc_id", "cluster_id"), "doc_id")
-        .groupBy("cluster_id", dim).agg(F.sum("val").alias("s"))
-    )
-    moved = sums.join(sizes, "cluster_id").select("cluster_id", dim, (F.col("s") / F.col("size")).alias("c"))
-    kept = previous.join(sizes, "cluster_id", "left_anti")
-    return moved.unionByName(kept)
-
-
 def sparse_seed_centers(entries: DataFrame, seed_ids: Sequence[int], dim: str = "term") -> DataFrame:
     pos = F.array_position(F.array(*[F.lit(i) for i in seed_ids]), F.col("doc_id")).cast("int")
     return entries.filter(F.col("doc_id").isin(list(seed_ids))).select(
         pos.alias("cluster_id"), dim, F.col("val").alias("c"))
 
 
+def _wide(centers: DataFrame, k: int, dim: str) -> DataFrame:
+    """Centers as one row per dimension with the columns ``_c1`` to ``_ck``."""
+    return centers.groupBy(dim).agg(*[
+        F.sum(F.when(F.col("cluster_id") == cid, F.col("c"))).alias(f"_c{cid}") for cid in range(1, k + 1)])
+
+
+def two_nearest(norms: DataFrame, entries: DataFrame, centers: DataFrame, cnorm: dict[int, float], rows: int, k: int,
+                dim: str) -> DataFrame:
+    """``(doc_id, cluster_id, upper, lower)`` of the documents of ``norms``
+    (``doc_id, xx``): the nearest center (lowest cluster id on ties), its distance
+    and that of the second nearest (infinite if there is none)."""
+    mine = entries.join(norms.select("doc_id"), "doc_id", "left_semi")
+    dots = _join_centers(mine, _wide(centers, k, dim), dim, rows).groupBy("doc_id").agg(*[
+        F.sum(F.col("val") * F.coalesce(F.col(f"_c{cid}"), F.lit(0.0))).alias(f"_xc{cid}") for cid in range(1, k + 1)])
+    cand = F.array_sort(F.array(*[F.struct(
+        (F.col("xx") + F.lit(float(cnorm.get(cid, 0.0))) - 2 * F.coalesce(F.col(f"_xc{cid}"), F.lit(0.0))).alias("d"),
+        F.lit(cid).alias("cid")) for cid in range(1, k + 1)]))
+    far = F.lit(float("inf"))
+    root = lambda i: F.sqrt(F.greatest(F.get("_b", F.lit(i))["d"], F.lit(0.0)))
+    return norms.join(dots, "doc_id", "left").select("doc_id", cand.alias("_b")).select(
+        "doc_id", F.col("_b")[0]["cid"].alias("cluster_id"), root(0).alias("upper"),
+        root(1).alias("lower") if k > 1 else far.alias("lower"))
+
+
+def center_changes(entries: DataFrame, moved: DataFrame, dim: str) -> DataFrame:
+    """``(cluster_id, dim, ds, dm)``: what the moved documents (``doc_id, before,
+    cluster_id``; ``before`` null at first) take from the sums and counts of their
+    former clusters and bring to their new ones."""
+    rows = entries.join(moved, "doc_id")
+    gone = F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("cid"), F.lit(-1).alias("sign")))
+    here = F.struct(F.col("cluster_id").alias("cid"), F.lit(1).alias("sign"))
+    both = rows.select(dim, "val", F.explode(F.array_compact(F.array(gone, here))).alias("_to"))
+    return both.groupBy(F.col("_to.cid").alias("cluster_id"), dim).agg(
+        F.sum(F.col("val") * F.col("_to.sign")).alias("ds"), F.sum(F.col("_to.sign")).alias("dm"))
+
+
+#: Distances closer than this, relative to the document's length, are decided by the
+#: centers themselves and not by bounds: rounding may be as large.
+BOUND_MARGIN = 1e-6
+
+
 def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], iterations: int,
-                 dim: str = "term"):
+                 dim: str = "term", trace: list | None = None):
     """Lloyd's algorithm on long-form sparse vectors from explicit seed
     documents. ``iterations=0`` gives the nearest-seed assignment.
-    Centers are checkpointed every step (short lineage, survives
-    executor loss); once no document moves the remaining steps would change
-    nothing and are left out. Seed ids that are not in the data raise.
-    Returns ``(assignment, centers)``."""
+
+    Every document carries an upper bound of the distance to its center and a
+    lower bound of that to any other. When the centers move, the bounds give way
+    by as much as those did (triangle inequality); a document whose bounds still
+    decide stays where it is and meets no center. Cluster sums are kept: only
+    moved documents change them. The result is that of full steps; ``trace``,
+    when given, receives ``(documents compared, documents moved)`` of each step.
+
+    The entries are laid out by document once. State and centers are
+    checkpointed every step (short lineage, survives executor loss); once no
+    document moves the remaining steps would change nothing and are left out.
+    A cluster that lost all documents keeps its center. Seed ids that are not in
+    the data raise. Returns ``(assignment, centers)``."""
     k = len(seed_ids)
     found = docs.filter(F.col("doc_id").isin(list(seed_ids))).select("doc_id").distinct().collect()
     require_seeds([r[0] for r in found], seed_ids)
+    spark = docs.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    if iterations:
+        entries = entries.repartition(tasks, "doc_id").persist()
     norms = doc_norms(docs, entries).persist()
-    centers = sparse_seed_centers(entries, seed_ids, dim).checkpoint()
-    before = None
+    # sums s and counts m of each center; seeds are no cluster's sums yet
+    model = sparse_seed_centers(entries, seed_ids, dim).select(
+        "cluster_id", dim, "c", F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("m")).checkpoint()
+    state = norms.select("doc_id", "xx", F.lit(None).cast("int").alias("cluster_id"),
+                         F.lit(float("inf")).alias("upper"), F.lit(0.0).alias("lower"))
     for _ in range(iterations):
-        assigned = sparse_assign(docs, entries, centers, k, dim, norms).persist()
-        # the sum of the rows' hashes tells whether any document moved
-        now = assigned.agg(F.sum(F.xxhash64("doc_id", "cluster_id").cast("decimal(38,0)"))).first()[0]
-        if now == before:
-            assigned.unpersist()
+        cnorm, rows = _center_stats(model)
+        sure = F.col("upper") + BOUND_MARGIN * (1 + F.sqrt("xx")) < F.col("lower")
+        near = two_nearest(state.filter(~sure).select("doc_id", "xx"), entries, model.select("cluster_id", dim, "c"),
+                           cnorm, rows, k, dim).select(
+            "doc_id", F.col("cluster_id").alias("_cid"), F.col("upper").alias("_u"), F.col("lower").alias("_l"))
+        state = state.join(near, "doc_id", "left").select(
+            "doc_id", "xx", F.col("cluster_id").alias("before"), F.coalesce("_cid", "cluster_id").alias("cluster_id"),
+            F.coalesce("_u", "upper").alias("upper"), F.coalesce("_l", "lower").alias("lower"),
+            F.col("_cid").isNotNull().alias("_seen")).checkpoint()
+        moved = ~F.col("before").eqNullSafe(F.col("cluster_id"))
+        sizes = state.groupBy("cluster_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("_seen").cast("int")).alias("seen"),
+            F.sum(moved.cast("int")).alias("moved")).collect()
+        if trace is not None:
+            trace.append((sum(r["seen"] for r in sizes), sum(r["moved"] for r in sizes)))
+        if not any(r["moved"] for r in sizes):
             break
-        before = now
-        centers = sparse_means(entries, assigned, centers, dim).checkpoint()
-        assigned.unpersist()
+        size = F.create_map(*[F.lit(x) for r in sizes for x in (r["cluster_id"], r["n"])])[F.col("cluster_id")]
+        change = center_changes(entries, state.filter(moved).select("doc_id", "before", "cluster_id"), dim)
+        after = model.join(change, ["cluster_id", dim], "full").select(
+            "cluster_id", dim, F.coalesce("c", F.lit(0.0)).alias("_old"),
+            (F.coalesce("m", F.lit(0)) + F.coalesce("dm", F.lit(0))).alias("m"),
+            (F.coalesce("s", F.lit(0.0)) + F.coalesce("ds", F.lit(0.0))).alias("s"))
+        # without documents of its own a dimension's sum is 0, whatever rounding has left; an
+        # empty cluster keeps its center
+        s = F.when(F.col("m") > 0, F.col("s")).otherwise(F.lit(0.0))
+        after = after.select("cluster_id", dim, "_old", "m", s.alias("s"),
+                             F.when(size.isNull(), F.col("_old")).otherwise(s / size).alias("c")).checkpoint()
+        drift = {r["cluster_id"]: r["d"] for r in after.groupBy("cluster_id").agg(
+            F.sqrt(F.sum((F.col("c") - F.col("_old")) ** 2)).alias("d")).collect()}
+        model = after.select("cluster_id", dim, "c", "s", "m").filter("c <> 0 or m > 0")
+        by = {cid: drift.get(cid, 0.0) * (1 + 1e-9) for cid in range(1, k + 1)}
+        own = F.create_map(*[F.lit(x) for item in by.items() for x in item])[F.col("cluster_id")]
+        other = F.create_map(*[F.lit(x) for cid in by for x in (
+            cid, max([d for c, d in by.items() if c != cid], default=0.0))])[F.col("cluster_id")]
+        state = state.select("doc_id", "xx", "cluster_id", (F.col("upper") + own).alias("upper"),
+                             (F.col("lower") - other).alias("lower"))
+    centers = model.select("cluster_id", dim, "c").filter("c <> 0").checkpoint()
     out = sparse_assign(docs, entries, centers, k, dim, norms).checkpoint()
     norms.unpersist()
+    entries.unpersist()
     return out, centers

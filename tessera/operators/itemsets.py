@@ -12,9 +12,12 @@ counts over all baskets, so results do not depend on partitioning.
   baskets (distributed FP-growth); must agree with the level-wise
   result.
 * :func:`candidate_support` - exact support of a given candidate set
-  (the second pass of SON): candidate items are joined to basket items
-  on ``item`` and a basket supports a candidate when it holds all of
-  its items.
+  (the second pass of SON), counted over a prefix tree: the candidates'
+  items, rarest first, are the edges of a trie, and baskets walk down it one
+  level at a time, so a basket that misses a prefix leaves early.
+
+An itemset is an array of its items in ascending order; items may hold any
+characters. Items are joined to text only in the report.
 """
 
 from __future__ import annotations
@@ -68,11 +71,16 @@ def frequent_singles(basket_items: DataFrame, support: int) -> DataFrame:
 def _as_itemsets(df: DataFrame, items_col: str = "items") -> DataFrame:
     return df.select(
         F.size(items_col).alias("size"),
-        F.array_join(items_col, ",").alias("items"),
+        F.col(items_col).alias("items"),
         F.col("support").cast("bigint").alias("support"),
     )
 
 
+def itemsets_as_text(df: DataFrame) -> DataFrame:
+    """``df`` with ``items`` joined with ``,``."""
+    return df.withColumn("items", F.array_join("items", ","))
+
+
 def level_candidates(frequent: DataFrame, k: int) -> DataFrame:
     """``(items)``: k-sets whose (k-1)-subsets are all in ``frequent``
     (``items``: sorted arrays of k - 1)."""
@@ -94,8 +102,7 @@ def level_candidates(frequent: DataFrame, k: int) -> DataFrame:
 def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | None = None) -> DataFrame:
     """All itemsets with support >= ``support``.
 
-    Returns ``(size, items, support)``; ``items`` are sorted and joined
-    with ``,``. Iterates until a level finds nothing (or ``max_size``):
+    Returns ``(size, items, support)``; ``items`` is a sorted array. Iterates until a level finds nothing (or ``max_size``):
     the driver loop runs once per itemset size. Each level's frequent sets
     are written to the checkpoint folder, its per-basket sets are kept until
     the next level has been counted.
@@ -167,52 +174,97 @@ def fpgrowth_itemsets(basket_items: DataFrame, support: int) -> DataFrame:
     return _as_itemsets(fi)
 
 
-def candidate_support(basket_items: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Exact support of every candidate itemset.
-
-    ``candidates``: ``(items)`` with ``items`` a ``,``-joined string.
-    A candidate meets the baskets through its rarest item (equi-join on that
-    item), and its other items are looked up among the basket's rows: a
-    basket supports it when as many rows match as it has items. Candidates
-    held by no basket get support 0. An item found in very many baskets is
-    spread over several tasks in the join.
+def son_candidates(basket_items: DataFrame, frequent: DataFrame, singles: int) -> DataFrame:
+    """``(items)``: candidates as SON's first pass hands them on, with real ones
+    below the support: items of at least ``singles`` baskets, and every k-set
+    whose (k-1)-subsets are all among ``frequent`` (``size``, ``items``)."""
+    out = frequent_singles(basket_items, singles).select(F.array("item").alias("items"))
+    sizes = [r["size"] for r in frequent.select("size").distinct().orderBy("size").collect()]
+    for k in sizes:
+        out = out.unionByName(level_candidates(frequent.filter(F.col("size") == k).select("items"), k + 1))
+    return out
+
+
+def candidate_trie(candidates: DataFrame, counts: DataFrame) -> list[DataFrame]:
+    """The prefix tree of ``candidates`` (``items``: arrays), one written table of
+    edges a level: ``(parent, item, node, items, size)``. The items of a candidate are taken
+    rarest first (``counts``: ``item``, ``n``; ties by item), which keeps the
+    baskets on a level few. ``items`` and ``size`` are set where a candidate ends."""
+    listed = candidates.select(F.array_sort(F.array_distinct("items")).alias("items")).filter(
+        F.size("items") > 0).distinct()
+    placed = listed.select("items", F.explode("items").alias("item")).join(counts, "item", "left")
+    paths = placed.groupBy("items").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item"))),
+                    lambda x: x["item"]).alias("_path")).checkpoint()
+    depth = paths.agg(F.max(F.size("_path"))).first()[0] or 0
+    levels, above = [], None
+    for k in range(1, depth + 1):
+        node = paths.filter(F.size("_path") >= k).groupBy(F.slice("_path", 1, k).alias("_prefix")).agg(
+            F.max(F.when(F.size("_path") == k, F.struct("items"))).alias("_end"))
+        node = node.withColumn("node", F.monotonically_increasing_id()).checkpoint()    # ids fixed by the written layout
+        edge = node.select("_prefix", F.col("_prefix")[k - 1].alias("item"), "node", F.col("_end.items").alias("items"),
+                           F.slice("_prefix", 1, k - 1).alias("_above"))
+        if above is None:
+            edge = edge.withColumn("parent", F.lit(0).cast("bigint"))
+        else:
+            edge = edge.join(above.select(F.col("_prefix").alias("_above"), F.col("node").alias("parent")), "_above")
+        levels.append(edge.select("parent", "item", "node", "items").checkpoint())
+        above = node
+    return levels
+
+
+def candidate_support(basket_items: DataFrame, candidates: DataFrame, trace: list | None = None) -> DataFrame:
+    """``(size, items, support)``: exact support of every candidate itemset.
+
+    ``candidates``: ``(items)``, arrays of any size (repetitions and order within
+    one do not matter). Level by level the baskets that hold a prefix meet its
+    edges (an equi-join on the node) and go on with the edges whose item they
+    hold, too (an equi-join on basket and item). Candidates held by no basket
+    get support 0; the empty set is none. Hot items and nodes are spread over
+    tasks. ``trace``, when given, receives the (basket, prefix) rows of each level.
     """
-    from tessera.operators.skew import hot_keys_from_counts, salted_join
+    from tessera.operators.skew import hot_keys, hot_keys_from_counts, salted_join
 
-    cand = candidates.select("items").distinct().select(
-        "items", F.array_distinct(F.split("items", ",")).alias("arr"))
-    cand = cand.select("items", F.size("arr").alias("size"), "arr").checkpoint()
-    parts = cand.select("items", F.explode("arr").alias("item"))
-    relevant = parts.select("item").distinct().checkpoint()
-    kept = basket_items.join(broadcast_if_small(relevant), "item", "left_semi").persist()
+    parts = candidates.select(F.explode("items").alias("item")).distinct().checkpoint()
+    kept = basket_items.join(broadcast_if_small(parts), "item", "left_semi").select("basket_id", "item").persist()
     counts = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    hot = hot_keys_from_counts(counts, "item", "n")
-    rarest = parts.join(counts, "item", "left").groupBy("items").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item")).alias("_r")).select(
-        "items", F.col("_r.item").alias("item"))
-    rest = salted_join(rarest, kept, "item", hot).select("items", "basket_id", F.col("item").alias("_first"))
-    others = rest.join(cand, "items").select("items", "size", "basket_id", F.explode("arr").alias("item"))
-    hits = (
-        others.join(kept, ["basket_id", "item"])
-        .groupBy("items", "size", "basket_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.col("size"))
-        .groupBy("items").agg(F.count(F.lit(1)).alias("support")).checkpoint()
-    )
-    kept.unpersist()
-    return (
-        cand.select("items", "size")
-        .join(hits, "items", "left")
-        .select("size", "items", F.coalesce("support", F.lit(0)).cast("bigint").alias("support"))
-    )
+    levels = candidate_trie(candidates, counts)
+    found, held = [], []
+    for k, edges in enumerate(levels):
+        if k == 0:
+            front = salted_join(edges.select("item", "node"), kept, "item", hot_keys_from_counts(counts, "item", "n"))
+        else:
+            ahead = salted_join(edges.select(F.col("parent").alias("node"), "item", F.col("node").alias("_next")),
+                                held[-1], "node", hot_keys(held[-1], "node"))
+            front = ahead.join(kept, ["basket_id", "item"]).withColumnRenamed("_next", "_node").drop("node") \
+                .withColumnRenamed("_node", "node")
+        held.append(front.select("basket_id", "node").persist())
+        sums = held[-1].groupBy("node").agg(F.count(F.lit(1)).alias("support"))
+        level = edges.filter(F.col("items").isNotNull()).join(sums, "node", "left").select(
+            "items", F.coalesce("support", F.lit(0)).alias("support")).checkpoint()
+        found.append(level)
+        if trace is not None:
+            trace.append(held[-1].count())
+        if k:
+            held[-2].unpersist()
+    for frame in (kept, *held[-1:]):
+        frame.unpersist()
+    if not found:
+        return _as_itemsets(candidates.select("items", F.lit(0).alias("support")).limit(0))
+    out = found[0]
+    for level in found[1:]:
+        out = out.unionByName(level)
+    return _as_itemsets(out)
 
 
 def itemset_report_lines(itemsets: DataFrame) -> DataFrame:
-    """``(position, size, text)``: one row per itemset, ``text`` its items as
-    ``(a,b)``. Positions count from 0 in the order of the text report: by
+    """``(position, size, text)``: one row per itemset (``items``: arrays), ``text``
+    its items as ``(a,b)``. Positions count from 0 in the order of the text report: by
     size, then by the items in lexicographic order. The rows are sorted by
     range, so no task holds a whole size."""
     from tessera.operators.dictionary import row_index
 
-    ordered = itemsets.select("size", "items").withColumn("_key", F.split("items", ",")) \
-        .repartitionByRange("size", "_key").sortWithinPartitions("size", "_key").checkpoint()
+    ordered = itemsets.select("size", "items").repartitionByRange("size", "items") \
+        .sortWithinPartitions("size", "items").checkpoint()
     return row_index(ordered, "position").select(
-        "position", "size", F.concat(F.lit("("), F.col("items"), F.lit(")")).alias("text"))
+        "position", "size", F.concat(F.lit("("), F.array_join("items", ","), F.lit(")")).alias("text"))

@@ -16,11 +16,12 @@ to the global training mean.
 
 Scale notes: pair statistics come from one item self-join restricted
 on the left to users that occur in the test set, aggregated straight
-into six sums per pair (count, sums, sums of squares, cross sum), so
+into a few moments per pair (count, means, central sums), so
 each pair is one row after a single shuffle. For predictions only the
 pairs that meet as neighbours are kept before aggregating. The
-correlation is taken from sums of scaled integers, which makes zero variance
-an exact test. A hot item multiplies its raters: both item-keyed joins
+correlation is merged from central moments; zero variance is tested by smallest =
+largest rating, and a weight below ``ZERO_WEIGHT``, all that rounding can leave of an
+exact zero, is zero. Ratings may be any finite doubles. A hot item multiplies its raters: both item-keyed joins
 spread hot items over several tasks (:mod:`tessera.operators.skew`).
 """
 
@@ -34,21 +35,14 @@ from tessera.operators.skew import PAIR_THRESHOLD, grid_join, hot_keys
 
 ZERO_WEIGHT_OFFSET = 0.01
 
-#: Sums are taken over ratings in units of 1/SCALE star, as integers, so that
-#: they are exact for ratings of up to four decimals.
-SCALE = 10_000
-
-
-def scaled(rating) -> F.Column:
-    return F.round(F.col(rating) * SCALE).cast("bigint")
+#: A correlation this small is rounding error of one that is zero.
+ZERO_WEIGHT = 1e-12
 
 
 def user_rating_stats(train: DataFrame) -> DataFrame:
     """``(user, n, total, mean)`` over the training ratings."""
     return train.groupBy("user").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(scaled("rating")).alias("_sum"),
-    ).select("user", "n", (F.col("_sum") / SCALE).alias("total"),
-             (F.col("_sum") / (F.col("n") * SCALE)).alias("mean"))
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"), F.avg("rating").alias("mean"))
 
 
 def with_test(train: DataFrame, test: DataFrame, include_test: bool) -> DataFrame:
@@ -65,11 +59,13 @@ def hot_items(train: DataFrame, threshold: int | None = None) -> DataFrame | Non
 
 def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
                  pairs: DataFrame | None = None) -> DataFrame:
-    """Per pair (u, v), u a test user and v != u: the sums over the
+    """Per pair (u, v), u a test user and v != u: moments over the
     items both rated.
 
-    ``(u, v, n, s1, s2, s11, s22, s12)`` with 1 = u's ratings and
-    2 = v's ratings on the common items. Raters of a hot item are
+    ``(u, v, n, mean1, mean2, cov, var1, var2, flat)`` over the common items of
+    1 = u's and 2 = v's ratings: means, covariance and variances (central moments,
+    updated and merged as such, so large equal parts cost no digits), and ``flat`` where
+    either user's ratings on them are all equal. Raters of a hot item are
     spread over several tasks (:mod:`tessera.operators.skew`).
     ``pairs`` (``u, v``), when given, keeps only those pairs: a
     prediction needs weights only for pairs that meet as neighbours.
@@ -82,7 +78,6 @@ def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
         .join(test_users, "u", "left_semi")
     )
     right = train.select(F.col("user").alias("v"), "item", F.col("rating").alias("r2"))
-    r1, r2 = scaled("r1"), scaled("r2")
     co = grid_join(left, right, "item", hot).filter(F.col("u") != F.col("v"))
     if pairs is not None:
         co = co.join(pairs.select("u", "v"), ["u", "v"], "left_semi")
@@ -90,32 +85,23 @@ def corated_sums(train: DataFrame, test: DataFrame, hot="auto",
         co.groupBy("u", "v")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(r1).alias("s1"),
-            F.sum(r2).alias("s2"),
-            F.sum(r1 * r1).alias("s11"),
-            F.sum(r2 * r2).alias("s22"),
-            F.sum(r1 * r2).alias("s12"),
+            F.avg("r1").alias("mean1"),
+            F.avg("r2").alias("mean2"),
+            F.covar_pop("r1", "r2").alias("cov"),
+            F.var_pop("r1").alias("var1"),
+            F.var_pop("r2").alias("var2"),
+            ((F.min("r1") == F.max("r1")) | (F.min("r2") == F.max("r2"))).alias("flat"),
         )
     )
 
 
 def pair_stats(sums: DataFrame) -> DataFrame:
-    """Add co-rated means and the Pearson weight to :func:`corated_sums`.
-
-    w = (n*s12 - s1*s2) / sqrt((n*s11 - s1^2) * (n*s22 - s2^2)); 0 when
-    either user's ratings on the common items are constant.
-    """
-    n, s1, s2, s11, s22, s12 = (F.col(c).cast("decimal(19,0)") for c in ("n", "s1", "s2", "s11", "s22", "s12"))
-    cov = n * s12 - s1 * s2
-    var1 = n * s11 - s1 * s1
-    var2 = n * s22 - s2 * s2
-    den = F.sqrt(var1.cast("double")) * F.sqrt(var2.cast("double"))
-    return sums.select(
-        "u", "v", "n",
-        (F.col("s1") / (F.col("n") * SCALE)).alias("mean1"),
-        (F.col("s2") / (F.col("n") * SCALE)).alias("mean2"),
-        F.when((var1 == 0) | (var2 == 0), F.lit(0.0)).otherwise(cov.cast("double") / den).alias("w"),
-    )
+    """``(u, v, n, mean1, mean2, w)``: :func:`corated_sums` with the Pearson
+    weight, which is 0 when either user's ratings on the common items are constant."""
+    none = F.col("flat") | (F.col("var1") <= 0) | (F.col("var2") <= 0)
+    w = F.when(none, F.lit(0.0)).otherwise(F.col("cov") / (F.sqrt("var1") * F.sqrt("var2")))
+    return sums.select("u", "v", "n", "mean1", "mean2",
+                       F.when(F.abs(w) < ZERO_WEIGHT, F.lit(0.0)).otherwise(w).alias("w"))
 
 
 def neighbours(train: DataFrame, test: DataFrame, hot="auto") -> DataFrame:

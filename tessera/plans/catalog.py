@@ -110,7 +110,7 @@ def q_baskets(spark, sf_dir):
 def _level(spark, sf_dir, k):
     bi = _basket_items(spark, sf_dir)
     s = _support(bi)
-    return itemsets.level_wise_itemsets(bi, s, max_size=k).filter(F.col("size") == k)
+    return itemsets.itemsets_as_text(itemsets.level_wise_itemsets(bi, s, max_size=k).filter(F.col("size") == k))
 
 
 @register("frequent_items")
@@ -131,26 +131,24 @@ def q_frequent_triples(spark, sf_dir):
 @register("frequent_itemsets")
 def q_frequent_itemsets(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
-    return itemsets.fpgrowth_itemsets(bi, _support(bi))
+    return itemsets.itemsets_as_text(itemsets.fpgrowth_itemsets(bi, _support(bi)))
 
 
 @register("frequent_itemsets_levelwise")
 def q_frequent_itemsets_levelwise(spark, sf_dir):
     bi = _basket_items(spark, sf_dir)
     s = _support(bi)
-    return itemsets.level_wise_itemsets(bi, s)
+    return itemsets.itemsets_as_text(itemsets.level_wise_itemsets(bi, s))
 
 
 @register("candidate_support")
 def q_candidate_support(spark, sf_dir):
-    # SON pass 2: candidates are recounted exactly over every basket. They are
-    # frequent sets of up to three items, and sets of up to two with an item
-    # that no basket holds; none lies between 0 and the support.
+    # SON pass 2: candidates of all sizes, many of them below the support, are
+    # counted exactly over every basket
     bi = _basket_items(spark, sf_dir)
     s = _support(bi)
-    found = itemsets.level_wise_itemsets(bi, s, max_size=3)
-    missing = found.filter("size < 3").select(F.concat("items", F.lit(",~absent~")).alias("items"))
-    return itemsets.candidate_support(bi, found.select("items").unionByName(missing))
+    candidates = itemsets.son_candidates(bi, itemsets.level_wise_itemsets(bi, s), s // 2)
+    return itemsets.itemsets_as_text(itemsets.candidate_support(bi, candidates))
 
 
 @register("itemset_report_lines")

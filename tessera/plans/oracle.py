@@ -148,9 +148,19 @@ ORACLE["frequent_pairs"] = _FI + "SELECT size, items, support FROM fi WHERE size
 ORACLE["frequent_triples"] = _FI + "SELECT size, items, support FROM fi WHERE size = 3"
 ORACLE["frequent_itemsets"] = _FI + "SELECT size, items, support FROM fi"
 ORACLE["frequent_itemsets_levelwise"] = ORACLE["frequent_itemsets"]
-ORACLE["candidate_support"] = _FI + """
-SELECT size, items, support FROM fi WHERE size <= 3
-UNION ALL SELECT CAST(size + 1 AS INTEGER), items || ',~absent~', 0 FROM fi WHERE size < 3"""
+# items of half the support, and the sets all of whose subsets with one item less are frequent
+ORACLE["candidate_support"] = _FI + """,
+joined AS (
+  SELECT list_append(a.key, b.key[b.size]) AS items
+  FROM fi a JOIN fi b ON a.size = b.size AND a.key[1:a.size - 1] = b.key[1:b.size - 1] AND a.key[a.size] < b.key[b.size]),
+subsets AS (SELECT items, unnest(list_transform(range(1, len(items) + 1), lambda i: items[1:i - 1] || items[i + 1:])) AS sub FROM joined),
+cand AS (
+  SELECT s.items FROM subsets s JOIN fi ON s.sub = fi.key GROUP BY s.items HAVING count(*) = len(s.items)),
+counted AS (SELECT items, count(*) AS n FROM ext GROUP BY items)
+SELECT CAST(len(c.items) AS INTEGER) AS size, array_to_string(c.items, ',') AS items, coalesce(k.n, 0) AS support
+FROM cand c LEFT JOIN counted k ON c.items = k.items
+UNION ALL
+SELECT CAST(1 AS INTEGER), item, count(*) FROM bi GROUP BY item HAVING count(*) >= (SELECT s // 2 FROM sup)"""
 ORACLE["itemset_report_lines"] = _FI + """
 SELECT row_number() OVER (ORDER BY size, key) - 1 AS position, size, '(' || items || ')' AS text FROM fi"""
 

@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 from tessera.operators import evaluate, recommend
 from tessera.operators.dictionary import dense_ids
@@ -31,11 +32,11 @@ def _brute_cf(train, test):
             cov = sum((by_user[u][j] - m1) * (dv[j] - m2) for j in common)
             v1 = sum((by_user[u][j] - m1) ** 2 for j in common)
             v2 = sum((dv[j] - m2) ** 2 for j in common)
-            w = 0.0 if v1 == 0 or v2 == 0 else cov / (math.sqrt(v1) * math.sqrt(v2))
-            num += w * (dv[i] - m2)
+            w = 0.0 if v1 == 0 or v2 == 0 else float(cov) / (math.sqrt(v1) * math.sqrt(v2))
+            num += w * float(dv[i] - m2)
             den += abs(w)
         if found:
-            out[(u, i)] = means[u] + (num / den if den != 0 else 0.01)
+            out[(u, i)] = float(means[u]) + (num / den if den != 0 else 0.01)
     return out
 
 
@@ -65,6 +66,30 @@ def test_zero_variance_weight_is_zero_and_bounded(spark):
     assert abs(w[(2, 3)] - 1.0) < 1e-12
 
 
+def test_fine_ratings_are_not_rounded(spark):
+    step = [(1, i, 1.0 + 1e-5 * i) for i in (1, 2, 3)] + [(2, i, 2.0 + 1e-5 * i) for i in (1, 2, 3)] + [
+        (3, i, (4 - i) / 3) for i in (1, 2, 3)] + [(4, i, 1 / 3) for i in (1, 2, 3)] + [(5, 1, 0.1), (5, 2, 0.3), (5, 3, 0.1)]
+    tr = spark.createDataFrame(step, SCHEMA)
+    te = spark.createDataFrame([(u, 9, 1.0) for u in range(1, 6)], SCHEMA)
+    rows = {(r["u"], r["v"]): r for r in recommend.pair_stats(recommend.corated_sums(tr, te)).collect()}
+    assert abs(rows[1, 2]["w"] - 1) < 1e-9 and abs(rows[1, 3]["w"] + 1) < 1e-9 and rows[1, 4]["w"] == 0.0
+    assert rows[5, 3]["w"] == 0.0                                  # an exact zero stays zero
+    assert abs(rows[1, 2]["mean1"] - 1.00002) < 1e-12 and abs(rows[4, 1]["mean1"] - 1 / 3) < 1e-15
+
+
+def test_cf_matches_brute_force_for_any_doubles(spark):
+    rnd = random.Random(3)
+    data = [(u, i, rnd.choice([1 / 3, 2 / 7, 1e-5, 4.99999, 1e6 + rnd.random(), rnd.random()])) for u in range(15) for i in range(20)
+            if rnd.random() < 0.5]
+    test = [t for t in data if (t[0] * 31 + t[1]) % 5 == 0]
+    train = [t for t in data if (t[0] * 31 + t[1]) % 5 != 0]
+    tr, te = spark.createDataFrame(train, SCHEMA), spark.createDataFrame(test, SCHEMA)
+    offs = recommend.cf_offsets(recommend.neighbours(tr, te), recommend.pair_stats(recommend.corated_sums(tr, te)))
+    got = {(r["user"], r["item"]): r["prediction"] for r in recommend.cf_predictions(offs, recommend.user_rating_stats(tr)).collect()}
+    want = _brute_cf([(u, i, Fraction(r)) for u, i, r in train], test)       # exact sums
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 * max(1, abs(want[k])) for k in want)
+
+
 def test_reference_clamp_edges(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (0.5,), (4.99,), (5.0,)], "x double")
     got = [round(r[0], 6) for r in df.select(recommend.clamp_reference("x")).collect()]

@@ -89,3 +89,44 @@ def test_absent_seeds_raise(spark):
         cluster.sparse_lloyd(docs, entries, [0, 99], 1)
     with pytest.raises(ValueError, match="7"):
         cluster.lloyd_kmeans(_points(spark, [[0.0], [1.0]]), [0, 7], 1)
+
+
+def _full_steps(x, seeds, steps):
+    """Lloyd's steps with every distance."""
+    c = x[seeds].copy()
+    for _ in range(steps):
+        lab = ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(1)
+        c = np.vstack([x[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(len(seeds))])
+    return ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(1), c
+
+
+def test_sparse_lloyd_with_bounds_matches_full_steps(spark):
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(m, 1.0, size=(60, 8)) * (rng.random((60, 8)) < 0.6) for m in (0, 3, 6, 3)])
+    x[5] = 0                                     # a document without terms
+    rows = [(i, f"t{j}", float(x[i, j])) for i in range(len(x)) for j in range(8) if x[i, j]]
+    entries = spark.createDataFrame(rows, "doc_id long, term string, val double")
+    docs = spark.range(len(x)).withColumnRenamed("id", "doc_id")
+    seeds, trace = [0, 70, 130, 131], []
+    for steps in (1, 3, 25):
+        trace.clear()
+        got, centers = cluster.sparse_lloyd(docs, entries, seeds, steps, trace=trace)
+        lab, c = _full_steps(x, seeds, steps)
+        assert {r["doc_id"]: r["cluster_id"] - 1 for r in got.collect()} == dict(enumerate(lab.tolist()))
+        dense = np.zeros_like(c)
+        for r in centers.collect():
+            dense[r["cluster_id"] - 1, int(r["term"][1:])] = r["c"]
+        assert np.abs(dense - c).max() < 1e-9
+    assert trace[0][0] == len(x) and trace[-1][0] < len(x) / 3 and trace[-1][1] == 0
+
+
+def test_sparse_lloyd_empty_cluster_keeps_its_center(spark):
+    # the third seed equals the second: ties go to the lower id, so it gets no document at first
+    table = [(0, "a", 1.0), (1, "b", 2.0), (2, "b", 2.0), (3, "a", 1.2), (4, "b", 2.5)]
+    docs = spark.range(5).withColumnRenamed("id", "doc_id")
+    entries = spark.createDataFrame(table, "doc_id long, term string, val double")
+    got, centers = cluster.sparse_lloyd(docs, entries, [0, 1, 2], 5)
+    lab, c = _full_steps(np.array([[1, 0], [0, 2], [0, 2], [1.2, 0], [0, 2.5]]), [0, 1, 2], 5)
+    assert [r["cluster_id"] - 1 for r in got.orderBy("doc_id").collect()] == lab.tolist()
+    assert {(r["cluster_id"], r["term"]): round(r["c"], 9) for r in centers.collect()} == {
+        (j + 1, t): round(float(c[j, d]), 9) for j in range(3) for d, t in enumerate("ab") if c[j, d]}
