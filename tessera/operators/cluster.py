@@ -243,13 +243,14 @@ def _center_stats(centers: DataFrame) -> tuple[dict[int, float], int]:
     return {r["cluster_id"]: float(r["cn"]) for r in rows}, sum(r["m"] for r in rows)
 
 
-def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, n_center_rows: int) -> DataFrame:
+def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, n_center_rows: int, hot="auto") -> DataFrame:
+    """``hot``: the hot dimensions where they are known, of these entries or more."""
     from tessera.operators.skew import BROADCAST_MAX_BYTES, hot_keys, salted_join
 
     # a pivoted row holds its term and K doubles
     if n_center_rows * (64 + 8 * (len(centers.columns) - 1)) <= BROADCAST_MAX_BYTES:
         return entries.join(F.broadcast(centers), dim)
-    return salted_join(centers, entries, dim, hot_keys(entries, dim))
+    return salted_join(centers, entries, dim, hot_keys(entries, dim) if isinstance(hot, str) else hot)
 
 
 def doc_norms(docs: DataFrame, entries: DataFrame) -> DataFrame:
@@ -307,12 +308,12 @@ def _wide(centers: DataFrame, k: int, dim: str) -> DataFrame:
 
 
 def two_nearest(norms: DataFrame, entries: DataFrame, centers: DataFrame, cnorm: dict[int, float], rows: int, k: int,
-                dim: str) -> DataFrame:
+                dim: str, hot="auto") -> DataFrame:
     """``(doc_id, cluster_id, upper, lower)`` of the documents of ``norms``
     (``doc_id, xx``): the nearest center (lowest cluster id on ties), its distance
     and that of the second nearest (infinite if there is none)."""
     mine = entries.join(norms.select("doc_id"), "doc_id", "left_semi")
-    dots = _join_centers(mine, _wide(centers, k, dim), dim, rows).groupBy("doc_id").agg(*[
+    dots = _join_centers(mine, _wide(centers, k, dim), dim, rows, hot).groupBy("doc_id").agg(*[
         F.sum(F.col("val") * F.coalesce(F.col(f"_c{cid}"), F.lit(0.0))).alias(f"_xc{cid}") for cid in range(1, k + 1)])
     cand = F.array_sort(F.array(*[F.struct(
         (F.col("xx") + F.lit(float(cnorm.get(cid, 0.0))) - 2 * F.coalesce(F.col(f"_xc{cid}"), F.lit(0.0))).alias("d"),
@@ -341,6 +342,10 @@ def center_changes(entries: DataFrame, moved: DataFrame, dim: str) -> DataFrame:
 BOUND_MARGIN = 1e-6
 
 
+#: Entries in a partition of their layout by document.
+LAYOUT_ROWS = 2_000_000
+
+
 def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], iterations: int,
                  dim: str = "term", trace: list | None = None):
     """Lloyd's algorithm on long-form sparse vectors from explicit seed
@@ -358,24 +363,27 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
     document moves the remaining steps would change nothing and are left out.
     A cluster that lost all documents keeps its center. Seed ids that are not in
     the data raise. Returns ``(assignment, centers)``."""
+    from tessera.operators.skew import hot_keys
+
     k = len(seed_ids)
     found = docs.filter(F.col("doc_id").isin(list(seed_ids))).select("doc_id").distinct().collect()
     require_seeds([r[0] for r in found], seed_ids)
-    spark = docs.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     if iterations:
-        entries = entries.repartition(tasks, "doc_id").persist()
+        # in order of the documents, so that no step sends or sorts them again
+        tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-entries.count() // LAYOUT_ROWS))
+        entries = entries.repartition(tasks, "doc_id").sortWithinPartitions("doc_id").persist()
+        hot = hot_keys(entries, dim)
     norms = doc_norms(docs, entries).persist()
     # sums s and counts m of each center; seeds are no cluster's sums yet
     model = sparse_seed_centers(entries, seed_ids, dim).select(
         "cluster_id", dim, "c", F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("m")).checkpoint()
     state = norms.select("doc_id", "xx", F.lit(None).cast("int").alias("cluster_id"),
                          F.lit(float("inf")).alias("upper"), F.lit(0.0).alias("lower"))
+    cnorm, rows = _center_stats(model) if iterations else ({}, 0)
     for _ in range(iterations):
-        cnorm, rows = _center_stats(model)
         sure = F.col("upper") + BOUND_MARGIN * (1 + F.sqrt("xx")) < F.col("lower")
         near = two_nearest(state.filter(~sure).select("doc_id", "xx"), entries, model.select("cluster_id", dim, "c"),
-                           cnorm, rows, k, dim).select(
+                           cnorm, rows, k, dim, hot).select(
             "doc_id", F.col("cluster_id").alias("_cid"), F.col("upper").alias("_u"), F.col("lower").alias("_l"))
         state = state.join(near, "doc_id", "left").select(
             "doc_id", "xx", F.col("cluster_id").alias("before"), F.coalesce("_cid", "cluster_id").alias("cluster_id"),
@@ -400,8 +408,11 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
         s = F.when(F.col("m") > 0, F.col("s")).otherwise(F.lit(0.0))
         after = after.select("cluster_id", dim, "_old", "m", s.alias("s"),
                              F.when(size.isNull(), F.col("_old")).otherwise(s / size).alias("c")).checkpoint()
-        drift = {r["cluster_id"]: r["d"] for r in after.groupBy("cluster_id").agg(
-            F.sqrt(F.sum((F.col("c") - F.col("_old")) ** 2)).alias("d")).collect()}
+        stats = after.groupBy("cluster_id").agg(
+            F.sqrt(F.sum((F.col("c") - F.col("_old")) ** 2)).alias("d"), F.sum(F.col("c") * F.col("c")).alias("cn"),
+            F.count(F.lit(1)).alias("rows")).collect()
+        drift = {r["cluster_id"]: r["d"] for r in stats}
+        cnorm, rows = {r["cluster_id"]: r["cn"] for r in stats}, sum(r["rows"] for r in stats)
         model = after.select("cluster_id", dim, "c", "s", "m").filter("c <> 0 or m > 0")
         by = {cid: drift.get(cid, 0.0) * (1 + 1e-9) for cid in range(1, k + 1)}
         own = F.create_map(*[F.lit(x) for item in by.items() for x in item])[F.col("cluster_id")]
