@@ -13,8 +13,8 @@ falls into few runs of windows with one anchor each.
 2. :func:`shared_anchors` finds the anchors of several documents, one hash
    range at a time, and tells their documents which those are.
 3. :func:`run_rows` joins that to the texts, cuts out the runs with a shared
-   anchor and sends each to the shard of its anchor. Runs equal to one of a
-   smaller document in the same batch are covered and stay behind. An anchor
+   anchor and sends each to the shard of its anchor. Runs equal, byte for byte,
+   to one of a smaller document in the same batch are covered and stay behind. An anchor
    whose runs have more than ``HOT`` bytes is split further: they become single
    windows, dealt to shards by the windows' own hash.
 4. The operator compares the runs of a shard by its method
@@ -349,6 +349,11 @@ def run_rows(rows: DataFrame, told: DataFrame, grain: Grain, shards: int) -> Dat
         data = np.concatenate([p[8] for p in parts])
         order = np.lexsort((doc, content, goes))
         head = np.append(True, (content[order][1:] != content[order][:-1]) | (goes[order][1:] != goes[order][:-1]))
+        # equal hashes are no proof: a run counts as a repetition only if its bytes are those of the one before it
+        raw, again = data.tobytes(), np.flatnonzero(~head)
+        one, two = order[again - 1], order[again]
+        head[again] = [raw[a:z] != raw[b:y] for a, z, b, y in zip(
+            lo[one].tolist(), hi[one].tolist(), lo[two].tolist(), hi[two].tolist())]
         least = doc[order][np.flatnonzero(head)][np.cumsum(head) - 1]
         behind = order[doc[order] > least]     # equal to a run of a smaller document here
         spans = np.stack([key[behind], first[behind], first[behind] + count[behind] + grain.window - 1], axis=1)

@@ -164,37 +164,45 @@ def same_substrings(s: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndar
     return same
 
 
-def permuted_prefixes(s: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
+def permuted_prefixes(data: np.ndarray, room: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     """For every suffix, in text order, its common prefix with the suffix before
-    it in the array, counted up to ``limit`` (0 for the first)."""
-    n = len(s)
+    it in the array, counted up to ``limit`` (0 for the first) and no farther than
+    ``room`` bytes, where its run ends. Eight bytes are compared at a time."""
+    n = len(sa)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([s, np.full(limit + 8, 0xFFFF, s.dtype)])
-    out = np.zeros(n, np.int32)
+    padded = np.concatenate([data, np.zeros(limit + 16, np.uint8)])
+    eight = np.ndarray((n + limit + 8,), np.dtype("<u8"), padded, strides=(1,)).copy()
+    most = np.minimum(room, limit)
     rows = np.flatnonzero(before >= 0)
     other = before[rows]
-    for k in range(limit):
-        equal = padded[rows + k] == padded[other + k]
-        equal &= np.maximum(rows, other) + k < n
-        rows, other = rows[equal], other[equal]
-        if not len(rows):
-            break
-        out[rows] = k + 1
+    most[rows] = np.minimum(most[rows], room[other])
+    out = np.where(before >= 0, most, 0).astype(np.int32)
+    for k in range(0, limit, 8):
+        going = out[rows] > k
+        rows, other = rows[going], other[going]
+        differ = eight[rows + k] ^ eight[other + k]
+        stops = differ != 0
+        at, differ = rows[stops], differ[stops]
+        # the lowest set bit lies in the first byte that differs
+        low = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) // 8
+        out[at] = np.minimum(out[at], k + low)
+        rows, other = rows[~stops], other[~stops]
     return out
 
 
 def smallest_holder(content: list[bytes], least: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """``(run, window)`` of the windows that a document below the run's own holds."""
     sizes = np.array([len(c) for c in content], np.int64)
-    joined = np.frombuffer(b"\0".join(content), np.uint8).astype(np.uint16) + 1
+    data = np.frombuffer(b"\0".join(content), np.uint8)
+    joined = data.astype(np.uint16) + 1
     begin = np.cumsum(sizes + 1) - sizes - 1
     separators = begin[1:] - 1
     joined[separators] = 0
     sa = suffix_array(joined)
-    prefix = permuted_prefixes(joined, sa, window)
     run = np.repeat(np.arange(len(content)), sizes + 1)[:len(joined)]
     at = np.arange(len(joined)) - begin[run]
+    prefix = permuted_prefixes(data, sizes[run] - at, sa, window)
     whole = at + window <= sizes[run]
     new = prefix[sa] < window
     group = np.cumsum(new) - 1
