@@ -4,9 +4,11 @@ A document is contaminated by a benchmark item if one of its windows of as
 many words as the item has is similar to it: SimHash fingerprints of the
 five-word shingles within ``RADIUS`` bits, and then an exact weighted Jaccard
 similarity of the shingles (weight: how often each occurs) of ``MIN_SIMILARITY``
-or more. A window that shares no shingle with an item has similarity 0, so
-windows are laid only where a shingle of the document is one of an item's, at
-the item's offset; a document shorter than the item is one window.
+or more. Windows may start at every word. To be as similar as that, a window
+of w shingles must share ``MIN_SIMILARITY * (m + w) / (1 + MIN_SIMILARITY)`` with
+an item of m, so windows are laid at all starts, and only those, where at least
+so many of the window's shingles are the item's (runs of consecutive hits that
+fit into a window give them); a document shorter than the item is one window.
 
 Fingerprints are compared through a multi-index: eight blocks of eight bits,
 of which any two fingerprints within 23 bits agree in one up to two bits. The
@@ -99,19 +101,44 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
         simhash(F.col("item_grams")).alias("item_print")))
 
 
-def document_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+def window_starts(min_similarity: float) -> tuple[Column, Column]:
+    """``(needed, starts)`` of a document of ``_size`` shingles and an item of ``_m``:
+    how many shingles a window must share with it, and the starts of the windows
+    that hold so many of the ascending places ``_hits``. Every ``needed``
+    consecutive hits that fit into a window admit an interval of starts."""
+    share = min_similarity / (1 + min_similarity)
+    needed = f"greatest(1, cast(ceil({share!r}D * (_m + least(_size, _m)) - 1e-9D) as int))"
+    starts = """array_distinct(flatten(transform(
+        filter(transform(sequence(0, size(_hits) - _needed), j -> struct(
+                   greatest(_hits[j + _needed - 1] - least(_size, _m) + 1, 0) as lo,
+                   least(_hits[j], greatest(_size - _m, 0)) as hi)),
+               x -> x.lo <= x.hi),
+        x -> sequence(x.lo, x.hi))))"""
+    return F.expr(needed), F.expr(starts)
+
+
+def document_windows(docs: DataFrame, items: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """``(doc_id, _hash, n, start, grams)``: the windows to be compared."""
-    seeds = checkpointed(items.select("n", F.posexplode("item_grams").alias("_offset", "gram")).distinct())
-    grams = docs.select("doc_id", F.xxhash64("text").alias("_hash"), shingles(F.col("text")).alias("grams"))
-    hits = (grams.select("doc_id", "_hash", F.size("grams").alias("_size"), F.posexplode("grams").alias("_at", "gram"))
-            .join(maybe_broadcast(seeds), "gram"))
-    last = F.greatest(F.lit(0), F.col("_size") + WORDS - 1 - F.col("n"))
-    start = F.least(F.greatest(F.col("_at") - F.col("_offset"), F.lit(0)), last)
-    found = checkpointed(hits.select("doc_id", "_hash", "n", start.alias("start")).distinct())
-    # one row for each document with windows, so that its text is cut up once more only there
-    per_doc = found.groupBy("doc_id", "_hash").agg(F.collect_set(F.struct("n", "start")).alias("_windows"))
-    joined = grams.alias("g").join(per_doc.alias("d"), F.col("g.doc_id").eqNullSafe(F.col("d.doc_id"))
-                                 & (F.col("g._hash") == F.col("d._hash")))
+    seeds = checkpointed(items.select(F.xxhash64("n", "item_grams").alias("_item"), F.size("item_grams").alias("_m"),
+                                      F.explode("item_grams").alias("gram")).distinct())
+
+    def grams(rows: DataFrame) -> DataFrame:
+        return rows.select("doc_id", F.xxhash64("text").alias("_hash"), shingles(F.col("text")).alias("grams"))
+
+    needed, starts = window_starts(min_similarity)
+    hits = (grams(docs).select("doc_id", "_hash", F.size("grams").alias("_size"), F.posexplode("grams").alias("_at", "gram"))
+            .join(maybe_broadcast(seeds), "gram")
+            .groupBy("doc_id", "_hash", "_size", "_item", "_m").agg(F.sort_array(F.collect_set("_at")).alias("_hits"))
+            .withColumn("_needed", needed).filter(F.size("_hits") >= F.col("_needed")))
+    found = checkpointed(hits.select("doc_id", "_hash", (F.col("_m") + WORDS - 1).alias("n"), F.explode(starts).alias("start"))
+                         .distinct())
+    # the texts with windows are cut up once more; no other text is sent
+    per_doc = checkpointed(found.groupBy("doc_id", "_hash").agg(F.collect_set(F.struct("n", "start")).alias("_windows")))
+    keys = maybe_broadcast(checkpointed(per_doc.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_own"))))
+    held = docs.select("doc_id", "text").join(
+        keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_own")), "left_semi")
+    joined = grams(held).alias("g").join(per_doc.alias("d"), F.col("g.doc_id").eqNullSafe(F.col("d.doc_id"))
+                                         & (F.col("g._hash") == F.col("d._hash")))
     cut = joined.select("g.doc_id", "g._hash", "g.grams", F.explode("d._windows").alias("w"))
     return cut.select("doc_id", "_hash", "w.n", "w.start",
                       F.expr(f"slice(grams, w.start + 1, w.n - {WORDS - 1})").alias("grams"))
@@ -176,7 +203,7 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, radius: int = RA
     if radius >= BLOCKS * (BLOCK_RADIUS + 1):
         raise ValueError(f"the index guarantees a radius below {BLOCKS * (BLOCK_RADIUS + 1)}")
     items = benchmark_items(benchmark)
-    windows = checkpointed(document_windows(docs, items))
+    windows = checkpointed(document_windows(docs, items, min_similarity))
     found = similar_windows(windows.select("n", "grams").distinct(), items, radius, min_similarity)
     found = windows.join(found, ["n", "grams"]).select(
         "doc_id", "_hash", "item_id", "start", "n", "similarity", "distance")

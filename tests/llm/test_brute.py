@@ -67,6 +67,35 @@ def test_suffix_array_and_prefixes():
         assert sa.tolist() == sorted(range(len(s)), key=lambda i: tuple(s[i:]))
 
 
+def test_permuted_prefixes_against_a_plain_loop():
+    rng = np.random.default_rng(2)
+    for limit in (1, 7, 8, 9, 50):
+        content = [bytes(rng.integers(0, 2, rng.integers(1, 90)).astype(np.uint8) * 255) for _ in range(9)]
+        sizes = np.array([len(c) for c in content])
+        data = np.frombuffer(b"\0".join(content), np.uint8)
+        room = np.concatenate([np.append(np.arange(n, 0, -1), 0) for n in sizes])[:-1]
+        sa = suffix_array.suffix_array(np.where(room == 0, 0, data.astype(np.uint16) + 1).astype(np.uint16))
+        got = suffix_array.permuted_prefixes(data, room, sa, limit)
+        for j, i in zip(sa[:-1], sa[1:]):
+            a, b = data[i:i + room[i]], data[j:j + room[j]]
+            n = min(len(a), len(b), limit)
+            same = (a[:n] == b[:n])
+            assert got[i] == (n if same.all() else same.argmin())
+        assert got[sa[0]] == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 2])
+def test_runs_of_equal_hash_are_told_apart_by_their_bytes(spark, partitions):
+    """Two words whose hashes are equal for every odd base: the Thue-Morse string and its complement."""
+    from tessera.llm import fm_index
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    same = " ".join(["same"] * 12)
+    docs = spark.createDataFrame([(1, f"{same} {one}"), (2, f"{same} {two}"), (3, f"{same} {two}")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in fm_index.dedup(docs.repartition(partitions)).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}
+
+
 def test_hot_anchors_are_split_without_loss(spark, monkeypatch):
     from tessera.llm import repeats
     docs = common.table(spark, SF, "documents").filter("doc_id < 150")
@@ -168,6 +197,32 @@ def test_decontamination(spark):
     assert want and got == want
 
 
+def test_every_start_of_a_window_counts(spark):
+    """An item A B, a text with B A: only a window at neither's own offset is similar."""
+    a, b, x, y = ([f"{c}{k}" for k in range(n)] for c, n in (("a", 50), ("b", 50), ("x", 60), ("y", 60)))
+    docs = spark.createDataFrame([(1, " ".join(x + b + a + y)), (2, " ".join(b + a)), (3, " ".join(x + b + y)),
+                                  (4, " ".join(x + b[:40] + ["new"] + b[40:] + a + y)), (5, " ".join(b + a) + " z" * 300)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(a + b))], "item_id long, text string")
+    got = {r.doc_id: (round(r.similarity, 2), r.start) for r in decontamination.find_contamination(docs, items).collect()}
+    assert got[1] == (0.92, 60) and got[2] == (0.92, 0) and got[5] == (0.92, 0) and 3 not in got and got[4][0] >= 0.8
+
+
+def test_starts_of_windows_against_a_plain_loop(spark):
+    rng = np.random.default_rng(4)
+    cases = []
+    for k in range(200):
+        size, m = int(rng.integers(1, 40)), int(rng.integers(1, 20))
+        cases.append((k, size, m, sorted(rng.choice(size, rng.integers(1, size + 1), replace=False).tolist())))
+    needed, starts = decontamination.window_starts(0.5)
+    table = spark.createDataFrame(cases, "k int, _size int, _m int, _hits array<int>").withColumn("_needed", needed)
+    got = {r.k: sorted(r.s) for r in table.filter(F.size("_hits") >= F.col("_needed")).select("k", starts.alias("s")).collect()}
+    for k, size, m, hits in cases:
+        w = min(size, m)
+        want = [x for x in range(size - w + 1) if (s := sum(x <= h < x + w for h in hits)) and s / (m + w - s) >= 0.5 - 1e-9]
+        assert got.get(k, []) == want
+
+
 def test_radius_is_all_that_the_index_guarantees(spark):
     assert decontamination.RADIUS == 23
     empty = spark.createDataFrame([], "doc_id long, item_id long, text string")
