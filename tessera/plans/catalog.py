@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
 from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
+from tessera.operators.bisecting import bisecting_kmeans
 from tessera.operators.dictionary import dense_ids
 from tessera.sources import fixtures, sinks
 
@@ -541,6 +542,18 @@ def q_text_kmeans_tfidf(spark, sf_dir):
     return assigned.select("doc_id", "cluster_id", _r3("dist2").alias("dist2"))
 
 
+BISECT_K, BISECT_STEPS = 5, 10
+
+
+@register("text_bisecting_tfidf")
+def q_text_bisecting_tfidf(spark, sf_dir):
+    # Checked form of the library model: documents by repeated splits under
+    # stated seeds and tie rules, TF-IDF over the exact vocabulary.
+    d, _, ent = _text_entries(spark, sf_dir, "tfidf")
+    assigned, _ = bisecting_kmeans(d, ent, BISECT_K, BISECT_STEPS)
+    return assigned.select("doc_id", "node", "cluster_id", _r3("dist2").alias("dist2"))
+
+
 HASHED_FEATURES = 15_000   # the reference's feature count
 
 

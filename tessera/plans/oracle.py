@@ -455,6 +455,85 @@ SELECT k.cluster_id, coalesce(a.size, 0) AS size,
 FROM (SELECT CAST(range AS INTEGER) AS cluster_id FROM range(1, 6)) k
 LEFT JOIN agg a ON a.cluster_id = k.cluster_id"""
 
+# ---------------------------------------------- bisecting K-means (sparse)
+
+def _dist2_sql(name: str, members: str, cents: str) -> str:
+    """Squared distance of each member ``(doc_id, node)`` to each center
+    ``(node, side, term, c)`` of its node."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT m.doc_id, m.node, cn.side, greatest(coalesce(x.xx, 0.0) + cn.cn - 2 * coalesce(dt.xc, 0.0), 0.0) AS d,
+         coalesce(x.xx, 0.0) - 2 * coalesce(dt.xc, 0.0) + cn.cn AS raw, coalesce(x.xx, 0.0) AS xx
+  FROM {members} m
+  JOIN (SELECT k.node, k.side, coalesce(sum(c * c), 0.0) AS cn
+        FROM {cents}_keys k LEFT JOIN {cents} c ON c.node = k.node AND c.side = k.side GROUP BY 1, 2) cn
+    ON cn.node = m.node
+  LEFT JOIN xx x ON x.doc_id = m.doc_id
+  LEFT JOIN (SELECT e.doc_id, c.side, sum(e.val * c.c) AS xc
+             FROM ent e JOIN {members} m ON m.doc_id = e.doc_id
+             JOIN {cents} c ON c.node = m.node AND c.term = e.term GROUP BY 1, 2) dt
+    ON dt.doc_id = m.doc_id AND dt.side = cn.side)"""
+
+
+def _seed_centers_sql(name: str, seeds: str) -> list[str]:
+    """Centers from ``seeds`` (``node, side, doc_id``)."""
+    return [f"{name}_keys AS (SELECT node, side FROM {seeds})",
+            f"{name} AS MATERIALIZED (SELECT s.node, s.side, e.term, e.val AS c "
+            f"FROM {seeds} s JOIN ent e ON e.doc_id = s.doc_id)"]
+
+
+def _mean_centers_sql(name: str, members: str) -> list[str]:
+    """Means of ``members`` (``doc_id, node, side``)."""
+    return [f"{name}_keys AS (SELECT DISTINCT node, side FROM {members})",
+            f"""{name} AS MATERIALIZED (
+  SELECT s.node, s.side, s.term, s.s / z.size AS c
+  FROM (SELECT m.node, m.side, e.term, sum(e.val) AS s
+        FROM ent e JOIN {members} m ON m.doc_id = e.doc_id GROUP BY 1, 2, 3) s
+  JOIN (SELECT node, side, count(*) AS size FROM {members} GROUP BY 1, 2) z
+    ON z.node = s.node AND z.side = s.side)"""]
+
+
+def _bisecting_sql(k: int, steps: int) -> str:
+    ctes = [TOKENS, _text_entries_sql("tfidf"), "xx AS (SELECT doc_id, sum(val * val) AS xx FROM ent GROUP BY 1)",
+            "n0 AS MATERIALIZED (SELECT doc_id, CAST(1 AS BIGINT) AS node FROM documents)"]
+    for v in range(k - 1):       # a level splits one leaf at least, or nothing any more
+        ctes.append(f"f{v} AS MATERIALIZED (SELECT node, 0 AS side, min(doc_id) AS doc_id, count(*) AS size "
+                    f"FROM n{v} GROUP BY node)")
+        ctes += _seed_centers_sql(f"p{v}", f"f{v}")
+        ctes.append(_dist2_sql(f"q{v}", f"n{v}", f"p{v}"))
+        ctes.append(f"""r{v} AS MATERIALIZED (
+  SELECT node, first, far FROM (
+    SELECT f.node, f.doc_id AS first, q.doc_id AS far, row_number() OVER (ORDER BY f.size DESC, f.node) AS place
+    FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY d DESC, doc_id) AS rn FROM q{v}) q
+    JOIN f{v} f ON f.node = q.node JOIN q{v} own ON own.doc_id = f.doc_id
+    WHERE q.rn = 1 AND q.d > 1e-9 * (q.xx + own.xx)) s
+  WHERE place <= {k} - (SELECT count(*) FROM f{v}))""")
+        ctes.append(f"m{v} AS MATERIALIZED (SELECT n.doc_id, n.node FROM n{v} n JOIN r{v} r ON r.node = n.node)")
+        ctes.append(f"g{v} AS (SELECT node, 0 AS side, first AS doc_id FROM r{v} "
+                    f"UNION ALL SELECT node, 1, far FROM r{v})")
+        ctes += _seed_centers_sql(f"c{v}_0", f"g{v}")
+        for t in range(steps):
+            if t:
+                ctes += _mean_centers_sql(f"c{v}_{t}", f"a{v}_{t - 1}")
+            ctes.append(_dist2_sql(f"d{v}_{t}", f"m{v}", f"c{v}_{t}"))
+            ctes.append(f"""a{v}_{t} AS MATERIALIZED (
+  SELECT l.doc_id, l.node, CASE WHEN r.raw < l.raw THEN 1 ELSE 0 END AS side
+  FROM d{v}_{t} l JOIN d{v}_{t} r ON r.doc_id = l.doc_id WHERE l.side = 0 AND r.side = 1)""")
+        ctes.append(f"""n{v + 1} AS MATERIALIZED (
+  SELECT n.doc_id, coalesce(2 * n.node + a.side, n.node) AS node
+  FROM n{v} n LEFT JOIN a{v}_{steps - 1} a ON a.doc_id = n.doc_id)""")
+    ctes.append(f"z AS MATERIALIZED (SELECT doc_id, node, 0 AS side FROM n{k - 1})")
+    ctes += _mean_centers_sql("zc", "z")
+    ctes.append(_dist2_sql("zd", "z", "zc"))
+    # leaves from left to right: node numbers brought to the length of the longest possible one
+    ctes.append(f"""leaf AS (SELECT node, CAST(row_number() OVER (
+  ORDER BY node * (1 << ({k} - length(bin(node))))) AS INTEGER) AS cluster_id FROM (SELECT DISTINCT node FROM z) s)""")
+    return _with(*ctes)
+
+
+ORACLE["text_bisecting_tfidf"] = _bisecting_sql(5, 10) + f"""
+SELECT zd.doc_id, zd.node, leaf.cluster_id, {round_half_up('zd.d', 3)} AS dist2
+FROM zd JOIN leaf ON leaf.node = zd.node"""
+
 _SEED_TERMS = _sparse_lloyd_sql("tf", 0) + """,
 counts AS (SELECT f.cluster_id, t.token AS term, sum(t.n) AS cnt
            FROM tokens t JOIN final f ON t.doc_id = f.doc_id GROUP BY 1, 2)
