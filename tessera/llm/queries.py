@@ -60,9 +60,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's toxicity score."""
-    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    """Every document's toxicity score and the byte offsets of its toxic spans."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
