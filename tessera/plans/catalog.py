@@ -23,6 +23,7 @@ from tessera.functions.numeric import round_half_up
 from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
 from tessera.operators.bisecting import bisecting_kmeans
 from tessera.operators.dictionary import dense_ids
+from tessera.operators.seeding import parallel_seeds
 from tessera.sources import fixtures, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -542,6 +543,19 @@ def q_text_kmeans_tfidf(spark, sf_dir):
     return assigned.select("doc_id", "cluster_id", _r3("dist2").alias("dist2"))
 
 
+SEEDED_K, SEEDING_ROUNDS, SEEDING_FACTOR = 5, 3, 2
+
+
+@register("text_seeded_tfidf")
+def q_text_seeded_tfidf(spark, sf_dir):
+    # Seeds drawn in parallel rounds by distance, every document on its nearest one.
+    d, _, ent = _text_entries(spark, sf_dir, "tfidf")
+    seeds = parallel_seeds(d, ent, SEEDED_K, SEEDING_ROUNDS, SEEDING_FACTOR)
+    assigned, _ = cluster.sparse_lloyd(d, ent, seeds, 0)
+    seed = F.get(F.array(*[F.lit(i) for i in seeds]), F.col("cluster_id") - 1)
+    return assigned.select("doc_id", "cluster_id", seed.cast("bigint").alias("seed_id"), _r3("dist2").alias("dist2"))
+
+
 BISECT_K, BISECT_STEPS = 5, 10
 
 

@@ -546,3 +546,67 @@ ORACLE["cluster_rare_terms"] = _SEED_TERMS + """
 SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, CAST(cnt AS BIGINT) AS cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt ASC, term) AS rank FROM counts)
 WHERE rank <= 10"""
+
+
+# ---------------------------------------------- parallel seeding (sparse)
+
+def _draw_sql(turn: str, col: str) -> str:
+    key = f"'42:' || {turn} || ':' || CAST({col} AS VARCHAR)"
+    return f"((CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
+def _units_sql(name: str, left: str, right: str) -> str:
+    """Squared distances in units of every document of ``left`` to every one of ``right``."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT l.doc_id AS a, r.doc_id AS b,
+         CAST(floor(greatest(lx.xx + rx.xx - 2 * coalesce(dt.x, 0.0), 0.0) / (SELECT u FROM unit) + 0.5) AS BIGINT) AS q
+  FROM {left} l CROSS JOIN {right} r
+  JOIN norms lx ON lx.doc_id = l.doc_id JOIN norms rx ON rx.doc_id = r.doc_id
+  LEFT JOIN (SELECT e.doc_id AS a, f.doc_id AS b, sum(e.val * f.val) AS x
+             FROM ent e JOIN ent f ON f.term = e.term
+             WHERE e.doc_id IN (SELECT doc_id FROM {left}) AND f.doc_id IN (SELECT doc_id FROM {right}) GROUP BY 1, 2) dt
+    ON dt.a = l.doc_id AND dt.b = r.doc_id)"""
+
+
+def _seeded_sql(k: int, rounds: int, factor: int) -> str:
+    ctes = [TOKENS, _text_entries_sql("tfidf"),
+            "norms AS MATERIALIZED (SELECT d.doc_id, coalesce(sum(val * val), 0.0) AS xx "
+            "FROM documents d LEFT JOIN ent e ON e.doc_id = d.doc_id GROUP BY 1)",
+            "unit AS (SELECT pow(2.0, ceil(log2(max(xx))) - 36) AS u FROM norms)",
+            f"c0 AS MATERIALIZED (SELECT doc_id FROM documents ORDER BY {_draw_sql(chr(39) + '0' + chr(39), 'doc_id')}, doc_id LIMIT 1)"]
+    for t in range(rounds + 1):
+        ctes.append(_units_sql(f"q{t}", "documents", f"c{t}"))
+        # distance, round and id of the nearest candidate
+        ctes.append(f"s{t} AS MATERIALIZED (SELECT a AS doc_id, min([q, {t}, b]) AS n FROM q{t} GROUP BY 1)" if t == 0 else
+                    f"""s{t} AS MATERIALIZED (SELECT doc_id, min(n) AS n FROM (
+  SELECT * FROM s{t - 1} UNION ALL SELECT a, min([q, {t}, b]) FROM q{t} GROUP BY 1) z GROUP BY 1)""")
+        if t < rounds:
+            ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT doc_id FROM s{t}
+  WHERE {_draw_sql(f"'{t + 1}'", 'doc_id')} * (SELECT CAST(sum(n[1]) AS DOUBLE) FROM s{t}) < {factor * k}.0 * n[1])""")
+    ctes.append(f"w AS MATERIALIZED (SELECT n[3] AS doc_id, n[2] AS turn, count(*) AS w FROM s{rounds} GROUP BY 1, 2)")
+    ctes.append(_units_sql("pq", "w", "w"))
+    for j in range(1, k + 1):
+        rate = "w.w" if j == 1 else "w.w * f.q"
+        far = "" if j == 1 else (f"JOIN (SELECT a, min(q) AS q FROM pq WHERE b IN ("
+                                 + " UNION ALL ".join(f"SELECT doc_id FROM h{i}" for i in range(1, j))
+                                 + ") GROUP BY a) f ON f.a = w.doc_id AND f.q > 0")
+        draw = _draw_sql(f"'-{j}'", "w.doc_id")
+        ctes.append(f"h{j} AS MATERIALIZED (SELECT w.doc_id FROM w {far} "
+                    f"ORDER BY -ln({draw}) / ({rate}), w.turn, w.doc_id LIMIT 1)")
+    ctes.append("seeds AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT doc_id, {j} AS cluster_id FROM h{j}" for j in range(1, k + 1)) + ")")
+    ctes.append("""near AS (
+  SELECT d.doc_id, s.cluster_id, s.doc_id AS seed_id,
+         greatest(dx.xx + sx.xx - 2 * coalesce(dt.x, 0.0), 0.0) AS d, dx.xx + sx.xx - 2 * coalesce(dt.x, 0.0) AS raw
+  FROM documents d CROSS JOIN seeds s
+  JOIN norms dx ON dx.doc_id = d.doc_id JOIN norms sx ON sx.doc_id = s.doc_id
+  LEFT JOIN (SELECT e.doc_id AS a, f.doc_id AS b, sum(e.val * f.val) AS x
+             FROM ent e JOIN ent f ON f.term = e.term WHERE f.doc_id IN (SELECT doc_id FROM seeds) GROUP BY 1, 2) dt
+    ON dt.a = d.doc_id AND dt.b = s.doc_id)""")
+    return _with(*ctes)
+
+
+ORACLE["text_seeded_tfidf"] = _seeded_sql(5, 3, 2) + f"""
+SELECT doc_id, cluster_id, seed_id, {round_half_up("d", 3)} AS dist2
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw, cluster_id) AS rn FROM near) z WHERE rn = 1
+"""
