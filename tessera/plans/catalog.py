@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
 from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
+from tessera.operators.als import als_factors, als_predict
 from tessera.operators.bisecting import bisecting_kmeans
 from tessera.operators.dictionary import dense_ids
 from tessera.operators.seeding import parallel_seeds
@@ -332,6 +333,17 @@ def q_als_predictions(spark, sf_dir):
     return preds
 
 
+ALS_RANK, ALS_STEPS = 8, 5
+
+
+@register("als_normal_predictions")
+def q_als_normal_predictions(spark, sf_dir):
+    # Checked form of the library model: normal equations from stated starting factors.
+    train, test = (df.checkpoint() for df in _split(spark, sf_dir))
+    users, items = als_factors(train, ALS_RANK, ALS_STEPS)
+    return als_predict(test, users, items).select("user", "item", "rating", _r6("prediction").alias("prediction"))
+
+
 @register("als_unpredicted")
 def q_als_unpredicted(spark, sf_dir):
     test, preds = _als(spark, sf_dir)
