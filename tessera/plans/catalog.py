@@ -23,9 +23,10 @@ from tessera.functions.numeric import round_half_up
 from tessera.operators import cluster, evaluate, itemsets, recommend, survey, text
 from tessera.operators.als import als_factors, als_predict
 from tessera.operators.bisecting import bisecting_kmeans
-from tessera.operators.dictionary import dense_ids
+from tessera.operators.dictionary import dense_ids, grow_ids
 from tessera.operators.seeding import parallel_seeds
 from tessera.sources import fixtures, sinks
+from tessera.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -197,6 +198,26 @@ def q_encoded_ratings(spark, sf_dir):
                     fixtures.is_test_rating(F.col("user"), F.col("item")).alias("is_test"))
 
 
+#: Ends of the periods by which the customer dictionary grows.
+PERIODS = ("1995-07-01", "1997-01-01", None)
+
+
+@register("grown_customer_ids")
+def q_grown_customer_ids(spark, sf_dir):
+    # Customers in the order of their first orders, period after period.
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    known, start = None, None
+    for end in PERIODS:
+        period = orders
+        if start:
+            period = period.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp"))
+        if end:
+            period = period.filter(F.col("o_orderdate") < F.lit(end).cast("timestamp"))
+        known = grow_ids(known, period, "o_custkey", "cust_id", F.col("o_orderkey")).checkpoint()
+        start = end
+    return known
+
+
 @register("user_rating_stats")
 def q_user_rating_stats(spark, sf_dir):
     train, _ = _split(spark, sf_dir)

@@ -194,6 +194,14 @@ SELECT CAST(dense_rank() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id,
        rating, ("user" * 31 + item) % 5 = 0 AS is_test
 FROM ratings"""
 
+ORACLE["grown_customer_ids"] = """
+SELECT o_custkey, CAST(row_number() OVER (ORDER BY period, pos) - 1 AS BIGINT) AS cust_id FROM (
+  SELECT o_custkey, min(p) AS period, min(o_orderkey) FILTER (WHERE p = lowest) AS pos FROM (
+    SELECT *, min(p) OVER (PARTITION BY o_custkey) AS lowest FROM (
+      SELECT o_custkey, o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1995-07-01' THEN 0
+                                         WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 1 ELSE 2 END AS p
+      FROM orders WHERE o_custkey IS NOT NULL) a) b GROUP BY 1) c"""
+
 ORACLE["user_rating_stats"] = R + """
 SELECT "user", count(*) AS n, sum(rating) AS total, avg(rating) AS mean
 FROM train GROUP BY 1"""
