@@ -24,6 +24,7 @@ from tessera.operators import cluster, evaluate, itemsets, recommend, survey, te
 from tessera.operators.als import als_factors, als_predict
 from tessera.operators.bisecting import bisecting_kmeans
 from tessera.operators.dictionary import dense_ids, grow_ids
+from tessera.operators.exactsum import exact_sums
 from tessera.operators.seeding import parallel_seeds
 from tessera.sources import fixtures, sinks
 from tessera.sources.tables import table
@@ -198,6 +199,15 @@ def q_encoded_ratings(spark, sf_dir):
                     fixtures.is_test_rating(F.col("user"), F.col("item")).alias("is_test"))
 
 
+@register("exact_price_sums")
+def q_exact_price_sums(spark, sf_dir):
+    # correctly rounded sums: the same bits under any partitioning
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    sums = exact_sums(rows, ["l_returnflag", "l_linestatus"], "l_extendedprice").checkpoint()
+    return sums.select("l_returnflag", "l_linestatus", "n", round_half_up("sum", 2).alias("price_sum"),
+                       _r6("mean").alias("price_mean"))
+
+
 #: Ends of the periods by which the customer dictionary grows.
 PERIODS = ("1995-07-01", "1997-01-01", None)
 

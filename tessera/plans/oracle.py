@@ -194,6 +194,11 @@ SELECT CAST(dense_rank() OVER (ORDER BY "user") - 1 AS INTEGER) AS user_id,
        rating, ("user" * 31 + item) % 5 = 0 AS is_test
 FROM ratings"""
 
+ORACLE["exact_price_sums"] = f"""
+SELECT l_returnflag, l_linestatus, n, {round_half_up("s", 2)} AS price_sum, {round_half_up("s / n", 6)} AS price_mean
+FROM (SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, fsum(l_extendedprice) AS s
+      FROM lineitem GROUP BY 1, 2) t"""
+
 ORACLE["grown_customer_ids"] = """
 SELECT o_custkey, CAST(row_number() OVER (ORDER BY period, pos) - 1 AS BIGINT) AS cust_id FROM (
   SELECT o_custkey, min(p) AS period, min(o_orderkey) FILTER (WHERE p = lowest) AS pos FROM (
