@@ -129,7 +129,7 @@ def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | N
             .filter(F.col("next") > F.col("last"))
             .select("basket_id", F.concat("items", F.array("next")).alias("items"),
                     F.col("next").alias("last"))
-            .join(broadcast_if_small(candidates, 32 * k), "items", "left_semi")
+            .join(broadcast_if_small(candidates), "items", "left_semi")
         ).persist()
         fk = (
             ext.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
@@ -141,7 +141,7 @@ def level_wise_itemsets(basket_items: DataFrame, support: int, max_size: int | N
         if fk.isEmpty():
             break
         levels.append(fk)
-        prev = ext.join(broadcast_if_small(fk.select("items"), 32 * k), "items", "left_semi")
+        prev = ext.join(broadcast_if_small(fk.select("items")), "items", "left_semi")
     held.unpersist()
     e1.unpersist()
     out = levels[0]

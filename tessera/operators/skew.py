@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 DEFAULT_THRESHOLD = 50_000   # rows per key a single task should take
 PAIR_THRESHOLD = 4_000       # rows a side whose pairs a single task should take
@@ -87,9 +88,28 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None
 BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int = 64, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it: at most
-    ``max_bytes`` (at ``row_bytes`` a row) go to every task; a larger table is
-    left to a shuffle join. ``df`` should be persisted or checkpointed, as
-    the count runs it once."""
-    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+def _width(value, kind) -> F.Column:
+    """Bytes of a value: those of its text or elements, 16 for anything of fixed size."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint") + 16
+    if isinstance(kind, ArrayType):
+        each = F.aggregate(value, F.lit(0).cast("bigint"), lambda s, x: s + _width(x, kind.elementType))
+        return F.coalesce(each, F.lit(0)) + 16
+    if isinstance(kind, (MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)).cast("bigint") + 16
+    return F.lit(16).cast("bigint")
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of ``df`` as measured: 32 a row and the width of every value."""
+    row = F.lit(32).cast("bigint")
+    for field in df.schema:
+        row = row + _width(F.col(f"`{field.name}`"), field.dataType)
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if its measured bytes (:func:`table_bytes`) are at
+    most ``max_bytes``; a larger table is left to a shuffle join. ``df`` should be
+    persisted or checkpointed, as the measuring runs it once."""
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df

@@ -70,8 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     ``spark.checkpoint.dir`` names a shared file-system folder and is used
-    as is. Only where it is unset, as in tests, a folder below the
-    session's warehouse takes its place.
+    as is. Only where it is unset and the session is local, as in tests, a
+    folder below its warehouse takes its place; on a cluster an unset folder
+    raises, as the warehouse may be a folder of one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

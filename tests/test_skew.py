@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import recommend, text
-from tessera.operators.skew import broadcast_if_small, grid_join, hot_keys
+from tessera.operators.skew import broadcast_if_small, grid_join, hot_keys, table_bytes
 
 SCHEMA = "user long, item long, rating double"
 
@@ -62,6 +62,16 @@ def test_hot_keys_and_size_checked_broadcast(spark):
     assert broadcast_if_small(small, max_bytes=5) is small
 
 
+def test_broadcasts_are_measured_in_bytes(spark):
+    long = spark.createDataFrame([("x" * 5000, ["a" * 700, None], None), (None, None, 3)],
+                                 "word string, items array<string>, n int")
+    assert 5700 < table_bytes(long) < 6100
+    assert broadcast_if_small(long, max_bytes=5000) is long and broadcast_if_small(long) is not long
+    assert table_bytes(long.limit(0)) == 0
+    nested = long.select("n", "word").withColumn("s", F.struct("word", "n"))     # text within a struct counts
+    assert table_bytes(nested) > 10_000
+
+
 def test_grid_join_bounds_the_pairs_of_a_task(spark):
     left = spark.createDataFrame([(0, i) for i in range(300)] + [(1, 5)], "k long, u long")
     right = spark.createDataFrame([(0, -i) for i in range(300)] + [(2, 5)], "k long, v long")
