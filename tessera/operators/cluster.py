@@ -232,23 +232,32 @@ def report_json(report: DataFrame, algorithm: str) -> DataFrame:
 # Documents as long-form vectors ``(doc_id, term, val)`` over the exact
 # vocabulary. Centers are long-form too ``(cluster_id, term, c)``: the
 # vocabulary grows with the data, so centers stay distributed; they are
-# broadcast only after a row-count check, otherwise joined with hot terms
+# broadcast only after their bytes were summed, otherwise joined with hot terms
 # salted.
 
-def _center_stats(centers: DataFrame) -> tuple[dict[int, float], int]:
-    """Squared norm of each center and the total number of center rows
-    (one small aggregate, K rows to the driver)."""
+#: Bytes of a row of centers beside its term and values.
+CENTER_ROW = 64
+
+
+def _row_bytes(dim: str) -> F.Column:
+    return F.sum(F.lit(CENTER_ROW) + F.octet_length(F.col(dim).cast("string"))).cast("bigint")
+
+
+def _center_stats(centers: DataFrame, dim: str) -> tuple[dict[int, float], int]:
+    """Squared norm of each center and the bytes of all center rows without their
+    values (one small aggregate, K rows to the driver)."""
     rows = centers.groupBy("cluster_id").agg(
-        F.sum(F.col("c") * F.col("c")).alias("cn"), F.count(F.lit(1)).alias("m")).collect()
+        F.sum(F.col("c") * F.col("c")).alias("cn"), _row_bytes(dim).alias("m")).collect()
     return {r["cluster_id"]: float(r["cn"]) for r in rows}, sum(r["m"] for r in rows)
 
 
-def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, n_center_rows: int, hot="auto") -> DataFrame:
-    """``hot``: the hot dimensions where they are known, of these entries or more."""
+def _join_centers(entries: DataFrame, centers: DataFrame, dim: str, size: int, hot="auto") -> DataFrame:
+    """``size``: bytes of the centers by :func:`_center_stats`; ``hot``: the hot
+    dimensions where they are known, of these entries or more."""
     from tessera.operators.skew import BROADCAST_MAX_BYTES, hot_keys, salted_join
 
-    # a pivoted row holds its term and K doubles
-    if n_center_rows * (64 + 8 * (len(centers.columns) - 1)) <= BROADCAST_MAX_BYTES:
+    # a pivoted row holds its term and K doubles; there are at most size / CENTER_ROW rows
+    if size + size // CENTER_ROW * 8 * (len(centers.columns) - 1) <= BROADCAST_MAX_BYTES:
         return entries.join(F.broadcast(centers), dim)
     return salted_join(centers, entries, dim, hot_keys(entries, dim) if isinstance(hot, str) else hot)
 
@@ -272,14 +281,14 @@ def sparse_assign(docs: DataFrame, entries: DataFrame, centers: DataFrame, k: in
     parameter), so each document entry meets one center row and yields
     all K products at once.
     """
-    cn, n_rows = _center_stats(centers)
+    cn, size = _center_stats(centers, dim)
     cnorm = [float(cn.get(cid, 0.0)) for cid in range(1, k + 1)]
     if norms is None:
         norms = doc_norms(docs, entries)
     ids = list(range(1, k + 1))
     wide = centers.groupBy(dim).pivot("cluster_id", ids).agg(F.first("c"))
     wide = wide.select(dim, *[F.col(str(cid)).alias(f"_c{cid}") for cid in ids])
-    dots = _join_centers(entries, wide, dim, n_rows).groupBy("doc_id").agg(
+    dots = _join_centers(entries, wide, dim, size).groupBy("doc_id").agg(
         *[F.sum(F.col("val") * F.coalesce(F.col(f"_c{cid}"), F.lit(0.0))).alias(f"_xc{cid}")
           for cid in ids])
     cand = F.array(*[
@@ -307,13 +316,13 @@ def _wide(centers: DataFrame, k: int, dim: str) -> DataFrame:
         F.sum(F.when(F.col("cluster_id") == cid, F.col("c"))).alias(f"_c{cid}") for cid in range(1, k + 1)])
 
 
-def two_nearest(norms: DataFrame, entries: DataFrame, centers: DataFrame, cnorm: dict[int, float], rows: int, k: int,
+def two_nearest(norms: DataFrame, entries: DataFrame, centers: DataFrame, cnorm: dict[int, float], size: int, k: int,
                 dim: str, hot="auto") -> DataFrame:
     """``(doc_id, cluster_id, upper, lower)`` of the documents of ``norms``
     (``doc_id, xx``): the nearest center (lowest cluster id on ties), its distance
     and that of the second nearest (infinite if there is none)."""
     mine = entries.join(norms.select("doc_id"), "doc_id", "left_semi")
-    dots = _join_centers(mine, _wide(centers, k, dim), dim, rows, hot).groupBy("doc_id").agg(*[
+    dots = _join_centers(mine, _wide(centers, k, dim), dim, size, hot).groupBy("doc_id").agg(*[
         F.sum(F.col("val") * F.coalesce(F.col(f"_c{cid}"), F.lit(0.0))).alias(f"_xc{cid}") for cid in range(1, k + 1)])
     cand = F.array_sort(F.array(*[F.struct(
         (F.col("xx") + F.lit(float(cnorm.get(cid, 0.0))) - 2 * F.coalesce(F.col(f"_xc{cid}"), F.lit(0.0))).alias("d"),
@@ -379,11 +388,11 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
         "cluster_id", dim, "c", F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("m")).checkpoint()
     state = norms.select("doc_id", "xx", F.lit(None).cast("int").alias("cluster_id"),
                          F.lit(float("inf")).alias("upper"), F.lit(0.0).alias("lower"))
-    cnorm, rows = _center_stats(model) if iterations else ({}, 0)
+    cnorm, held = _center_stats(model, dim) if iterations else ({}, 0)
     for _ in range(iterations):
         sure = F.col("upper") + BOUND_MARGIN * (1 + F.sqrt("xx")) < F.col("lower")
         near = two_nearest(state.filter(~sure).select("doc_id", "xx"), entries, model.select("cluster_id", dim, "c"),
-                           cnorm, rows, k, dim, hot).select(
+                           cnorm, held, k, dim, hot).select(
             "doc_id", F.col("cluster_id").alias("_cid"), F.col("upper").alias("_u"), F.col("lower").alias("_l"))
         state = state.join(near, "doc_id", "left").select(
             "doc_id", "xx", F.col("cluster_id").alias("before"), F.coalesce("_cid", "cluster_id").alias("cluster_id"),
@@ -410,9 +419,9 @@ def sparse_lloyd(docs: DataFrame, entries: DataFrame, seed_ids: Sequence[int], i
                              F.when(size.isNull(), F.col("_old")).otherwise(s / size).alias("c")).checkpoint()
         stats = after.groupBy("cluster_id").agg(
             F.sqrt(F.sum((F.col("c") - F.col("_old")) ** 2)).alias("d"), F.sum(F.col("c") * F.col("c")).alias("cn"),
-            F.count(F.lit(1)).alias("rows")).collect()
+            _row_bytes(dim).alias("held")).collect()
         drift = {r["cluster_id"]: r["d"] for r in stats}
-        cnorm, rows = {r["cluster_id"]: r["cn"] for r in stats}, sum(r["rows"] for r in stats)
+        cnorm, held = {r["cluster_id"]: r["cn"] for r in stats}, sum(r["held"] for r in stats)
         model = after.select("cluster_id", dim, "c", "s", "m").filter("c <> 0 or m > 0")
         by = {cid: drift.get(cid, 0.0) * (1 + 1e-9) for cid in range(1, k + 1)}
         own = F.create_map(*[F.lit(x) for item in by.items() for x in item])[F.col("cluster_id")]

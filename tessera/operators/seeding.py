@@ -49,10 +49,10 @@ def _near(rest: DataFrame, entries: DataFrame, ids: list, unit: float, dim: str,
     """``(doc_id, new, at)`` for the documents of ``rest`` (``doc_id, xx``): the squared
     distance to the nearest of the documents ``ids``, in units, and its place among them."""
     centers = sparse_seed_centers(entries, ids, dim).checkpoint()
-    norm, rows = _center_stats(centers)
+    norm, size = _center_stats(centers, dim)
     places = range(1, len(ids) + 1)
     mine = entries.join(rest.select("doc_id"), "doc_id", "left_semi")
-    dots = _join_centers(mine, _wide(centers, len(ids), dim), dim, rows, hot).groupBy("doc_id").agg(*[
+    dots = _join_centers(mine, _wide(centers, len(ids), dim), dim, size, hot).groupBy("doc_id").agg(*[
         F.sum(F.col("val") * F.coalesce(F.col(f"_c{i}"), F.lit(0.0))).alias(f"_x{i}") for i in places])
     best = F.array_min(F.array(*[F.struct(
         _units(F.col("xx") + F.lit(float(norm.get(i, 0.0))) - 2 * F.coalesce(F.col(f"_x{i}"), F.lit(0.0)), unit).alias("q"),
@@ -98,7 +98,7 @@ def candidates(docs: DataFrame, entries: DataFrame, k: int, rounds: int = 3, fac
 def _between(entries: DataFrame, ids: list, unit: float, dim: str) -> dict[tuple[int, int], int]:
     """Squared distances, in units, of the documents ``ids`` by their places (i < j)."""
     rows = sparse_seed_centers(entries, ids, dim).checkpoint()
-    norm, _ = _center_stats(rows)
+    norm, _ = _center_stats(rows, dim)
     other = rows.select(F.col("cluster_id").alias("_j"), dim, F.col("c").alias("_d"))
     dots = rows.join(other, dim).filter(F.col("cluster_id") < F.col("_j")).groupBy("cluster_id", "_j").agg(
         F.sum(F.col("c") * F.col("_d")).alias("x")).collect()
