@@ -113,10 +113,12 @@ def rank_order(names: np.ndarray) -> np.ndarray:
             return order
         rows = order[place]
         second = rank[np.minimum(rows + h, n)]
-        again = np.lexsort((second, rank[rows]))
+        # both ranks as one number: one sort instead of two
+        key = rank[rows] * (n + 1) + second + 1
+        again = np.argsort(key)
         order[place] = rows[again]
-        key, second = rank[rows][again], second[again]
-        new = np.append(True, (key[1:] != key[:-1]) | (second[1:] != second[:-1]))
+        key = key[again]
+        new = np.append(True, key[1:] != key[:-1])
         head[place] = new
         rank[order[place]] = place[np.flatnonzero(new)][np.cumsum(new) - 1]
         h *= 2
