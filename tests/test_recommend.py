@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from fractions import Fraction
 
 from tessera.operators import evaluate, recommend
@@ -162,3 +163,47 @@ def test_pearson_bounded_and_symmetric(spark):
              for x in recommend.pair_stats(recommend.corated_sums(r, r, None)).collect()}
         assert w and all(-1 - 1e-9 <= v <= 1 + 1e-9 for v in w.values())
         assert all(abs(w[(u, v)] - w[(v, u)]) < 1e-12 for (u, v) in w)
+
+
+def test_pairs_are_made_in_blocks_and_heavy_users_are_cut(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(u, i, rnd.choice([0.5, 1 / 3, 4.0, None])) for u in range(20) for i in range(25) if u == 3 or rnd.random() < 0.3]
+    rows += rows[:40]                                              # rated twice
+    r = spark.createDataFrame(rows + [(None, 1, 2.0), (4, None, 2.0)], SCHEMA)
+    want = {}
+    for u, i, a in rows:
+        for v, j, b in rows:
+            if i == j and u != v:
+                want.setdefault((u, v), []).append((a, b))
+    pairs = spark.createDataFrame([p for p in want if sum(p) % 3] * 2 + [(3, 99), (None, 3)], "u long, v long")
+
+    def check(pairs, keys):
+        sums = recommend.corated_sums(r, r, None, pairs)
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Join \[u#\d+L?, v#", plan)                # pairs are not rows of a join
+        got = {(x["u"], x["v"]): x for x in sums.collect()}
+        assert got.keys() == keys
+        for k, x in got.items():
+            a, b = ([z for z in side if z is not None] for side in zip(*want[k]))
+            both = [(y, z) for y, z in want[k] if y is not None and z is not None]
+            assert x["n"] == len(want[k])
+            for name, side in (("1", a), ("2", b)):
+                mean = sum(side) / len(side) if side else None
+                assert (x["mean" + name] is None) == (not side)
+                if side:
+                    assert abs(x["mean" + name] - mean) < 1e-12
+                    assert abs(x["var" + name] - sum((z - mean) ** 2 for z in side) / len(side)) < 1e-12
+            if both:
+                m1, m2 = (sum(s) / len(both) for s in zip(*both))
+                assert abs(x["cov"] - sum((y - m1) * (z - m2) for y, z in both) / len(both)) < 1e-12
+            else:
+                assert x["cov"] is None
+
+    wanted = {k for k in want if sum(k) % 3}
+    check(None, set(want))
+    check(pairs, wanted)
+    monkeypatch.setattr(recommend, "BLOCK_PAIRS", 40)              # every user is heavy, most of all user 3
+    n, heavy = recommend._pair_blocks(r)
+    assert n > 20 and {x["u"]: x["_buckets"] for x in heavy.collect()}[3] > 3
+    check(None, set(want))
+    check(pairs, wanted)
