@@ -22,6 +22,7 @@ than ``k`` give fewer seeds; an empty table gives none.
 from __future__ import annotations
 
 import math
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,12 +48,14 @@ def distance_unit(norms: DataFrame) -> float:
 
 def _near(rest: DataFrame, entries: DataFrame, ids: list, unit: float, dim: str, hot) -> DataFrame:
     """``(doc_id, new, at)`` for the documents of ``rest`` (``doc_id, xx``): the squared
-    distance to the nearest of the documents ``ids``, in units, and its place among them."""
+    distance to the nearest of the documents ``ids``, in units, and its place among them.
+
+    The centers go to the entries, and only sums are sent by document; entries of
+    documents outside ``rest`` are summed too, as picking them out would send them all."""
     centers = sparse_seed_centers(entries, ids, dim).checkpoint()
     norm, size = _center_stats(centers, dim)
     places = range(1, len(ids) + 1)
-    mine = entries.join(rest.select("doc_id"), "doc_id", "left_semi")
-    dots = _join_centers(mine, _wide(centers, len(ids), dim), dim, size, hot).groupBy("doc_id").agg(*[
+    dots = _join_centers(entries, _wide(centers, len(ids), dim), dim, size, hot).groupBy("doc_id").agg(*[
         F.sum(F.col("val") * F.coalesce(F.col(f"_c{i}"), F.lit(0.0))).alias(f"_x{i}") for i in places])
     best = F.array_min(F.array(*[F.struct(
         _units(F.col("xx") + F.lit(float(norm.get(i, 0.0))) - 2 * F.coalesce(F.col(f"_x{i}"), F.lit(0.0)), unit).alias("q"),
@@ -74,7 +77,7 @@ def candidates(docs: DataFrame, entries: DataFrame, k: int, rounds: int = 3, fac
     first = norms.orderBy(draw("doc_id", seed, 0), "doc_id").select("doc_id").first()
     if first is None:
         return [], norms.select("doc_id", F.lit(0).cast("bigint").alias("q"), F.lit(0).alias("cand")), 1.0
-    unit, hot = distance_unit(norms), hot_keys(entries, dim)
+    unit, hot = distance_unit(norms), cache(lambda: hot_keys(entries, dim))
     found, fresh = [], [first[0]]
     state = norms.select("doc_id", "xx", F.lit(None).cast("bigint").alias("q"), F.lit(None).cast("int").alias("cand"))
     turn = 0
