@@ -66,8 +66,8 @@ def cluster_documents(spark: SparkSession, text_path: str, algorithm: str, k: in
         model, pred = cluster.library_clusters(
             feats.select("doc_id", "features"), "kmeans" if algorithm == "K" else "bisecting",
             k, iterations)
-        rep = cluster.library_report(pred, model.clusterCenters(), text.tokens_from_words(feats), k,
-                                     descending=False)
+        toks = text.tokens_from_words(cluster.library_assign(model, feats), beside=["cluster_id"])
+        rep = cluster.library_report(pred, model.clusterCenters(), toks, k, descending=False)
         name = "K-Means" if algorithm == "K" else "Bisecting K-Means"
     else:
         toks = text.doc_tokens(docs).checkpoint()
