@@ -207,3 +207,18 @@ def test_pairs_are_made_in_blocks_and_heavy_users_are_cut(spark, monkeypatch):
     assert n > 20 and {x["u"]: x["_buckets"] for x in heavy.collect()}[3] > 3
     check(None, set(want))
     check(pairs, wanted)
+
+
+def test_pair_means_has_every_pair_with_a_common_item(spark, tmp_path):
+    from tessera.plans.catalog import QUERIES
+
+    # user * 31 + item: a multiple of 5 is a test rating. Users 5 and 10 have a test item that no other rates, user 15 none.
+    ratings = {(5, 1): 3, (5, 2): 8, (5, 5): 1, (10, 1): 12, (10, 2): 20, (10, 10): 1, (15, 2): 30, (20, 3): 1}
+    orders = [(100 + n, u) for n, (u, _) in enumerate(ratings)]
+    lines = [(100 + n, i, float(q)) for n, ((_, i), q) in enumerate(ratings.items())]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    got = {tuple(r) for r in QUERIES["pair_means"](spark, str(tmp_path)).collect()}
+    half = {(5, 10): (2, 0.75, 1.75), (5, 15): (1, 1.0, 3.0), (10, 15): (1, 2.0, 3.0)}
+    assert got == {(*k, *x) for k, x in half.items()} | {(v, u, n, b, a) for (u, v), (n, a, b) in half.items()}
