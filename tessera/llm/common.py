@@ -148,10 +148,11 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the output."""
     h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xFF51AFD7ED558CCD)
-    h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+    h *= np.uint64(0xFF51AFD7ED558CCD)     # the first line made a new array
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    h ^= h >> np.uint64(33)
+    return h
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
@@ -166,6 +167,11 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * powers(len(sums), inverse=True)[starts])
 
 
+def gram_hash(sums: np.ndarray, gram: int) -> np.ndarray:
+    """:func:`span_hash` of every span of ``gram`` symbols."""
+    return mix((sums[gram:] - sums[:-gram]) * powers(len(sums), inverse=True)[:len(sums) - gram])
+
+
 def words_of(column: pa.Array, lower: bool = False):
     """Yield ``(first row, last row + 1, word hashes, text index, starts,
     ends, bytes, offsets)`` over slices of a text column."""

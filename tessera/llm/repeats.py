@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (checkpointed, maybe_broadcast, mix, pack, prefix_hash, small_batches, span_hash,
+from tessera.llm.common import (checkpointed, gram_hash, maybe_broadcast, mix, pack, prefix_hash, small_batches, span_hash,
                                 text_slices, with_packed_text, word_spans)
 from tessera.llm.common import unpack as unpack_text
 
@@ -89,16 +89,15 @@ def anchor_runs(grain: Grain, s: Symbols) -> tuple[np.ndarray, np.ndarray, np.nd
     none = np.zeros(0, np.int64)
     if n < grain.window:
         return none.astype(np.uint64), none, none, none
-    at = np.arange(n - grain.gram + 1)
-    least, have = span_hash(s.sums, at, at + grain.gram), 1
+    least, have = gram_hash(s.sums, grain.gram), 1
     while have * 2 <= span:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
-    doc = np.repeat(np.arange(len(s.text) - 1), np.diff(s.text))[:len(least)]
-    inside = np.arange(len(least)) + grain.window <= s.text[doc + 1]
+    end = np.repeat(s.text[1:], np.diff(s.text))[:len(least)]     # of a window's text
+    inside = np.arange(grain.window, len(least) + grain.window) <= end
     new = inside.copy()
-    new[1:] &= (least[1:] != least[:-1]) | ~inside[:-1] | (doc[1:] != doc[:-1])
+    new[1:] &= (least[1:] != least[:-1]) | ~inside[:-1] | (end[1:] != end[:-1])
     first = np.flatnonzero(new)
     border = np.flatnonzero(new | ~inside)
     stop = np.append(border, len(least))[np.searchsorted(border, first, "right")]
@@ -107,7 +106,7 @@ def anchor_runs(grain: Grain, s: Symbols) -> tuple[np.ndarray, np.ndarray, np.nd
     step = np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     start = first[run] + step * PIECE
     anchor = least[start] & np.uint64((1 << ANCHOR_BITS) - 1)
-    return anchor, start, np.minimum(stop[run] - start, PIECE), doc[start]
+    return anchor, start, np.minimum(stop[run] - start, PIECE), np.searchsorted(s.text, start, "right") - 1
 
 
 def row_key(docs: DataFrame) -> DataFrame:

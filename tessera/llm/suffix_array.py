@@ -44,20 +44,26 @@ def suffix_types(s: np.ndarray) -> np.ndarray:
     return step[following] > 0
 
 
-def _append(sa, heads, s, rows, sign):
-    """Put ``rows`` into their buckets, in order, from the front (or the back)."""
-    symbol = s[rows]
+def _append(sa, heads, code, rows, kind, sign):
+    """Put those of ``rows`` that have the type ``kind`` (0: L, 1: S) into their buckets,
+    in order, from the front (or the back). ``code``: twice the symbol, plus the type."""
+    symbol = code.take(rows)
+    mine = symbol & 1 == kind
+    rows, symbol = rows[mine], symbol[mine] >> 1
+    if not len(rows):
+        return
     order = np.argsort(symbol, kind="stable")
-    symbol = symbol[order]
     count = np.bincount(symbol, minlength=len(heads))
-    place = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
-    sa[heads[symbol] + sign * place] = rows[order]
+    # of the n-th row in order: the bucket's head and the rows of the bucket before it
+    first = heads - sign * (np.cumsum(count) - count)
+    sa[np.repeat(first, count) + sign * np.arange(len(rows))] = rows.take(order)
     heads += sign * count
 
 
 def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Suffix array from LMS suffixes in the given order (within buckets)."""
     n, sigma = len(s), len(count)
+    code = s.astype(np.uint16 if sigma <= 1 << 15 else np.int64) * 2 + small
     start = np.cumsum(count) - count
     stop = start + count
     sa = np.full(n, -1, np.int64)
@@ -68,17 +74,16 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, count: np.ndarray)
     heads = start.copy()
     sa[heads[s[n - 1]]] = n - 1
     heads[s[n - 1]] += 1
-    large = ~small
     for c in np.flatnonzero(count):
         done = start[c]
         while done < heads[c]:          # waves: what this bucket puts into itself
             upto = heads[c]
             rows = sa[done:upto] - 1
             rows = rows[rows >= 0]
-            _append(sa, heads, s, rows[large[rows]], 1)
+            _append(sa, heads, code, rows, 0, 1)
             done = upto
         rows = by_symbol[lms_start[c]:lms_start[c] + lms_count[c]] - 1
-        _append(sa, heads, s, rows[large[rows]], 1)
+        _append(sa, heads, code, rows, 0, 1)
     tails = stop - 1
     large_stop = heads
     for c in np.flatnonzero(count)[::-1]:
@@ -87,19 +92,20 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, count: np.ndarray)
             upto = tails[c]
             rows = sa[upto + 1:done + 1][::-1] - 1
             rows = rows[rows >= 0]
-            _append(sa, tails, s, rows[small[rows]], -1)
+            _append(sa, tails, code, rows, 1, -1)
             done = upto
         rows = sa[start[c]:large_stop[c]][::-1] - 1
         rows = rows[rows >= 0]
-        _append(sa, tails, s, rows[small[rows]], -1)
+        _append(sa, tails, code, rows, 1, -1)
     return sa
 
 
-def rank_order(names: np.ndarray) -> np.ndarray:
+def rank_order(names: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
     """Order of the suffixes of a string of integers, by rank doubling; only
-    groups that are still tied are sorted again."""
+    groups that are still tied are sorted again. ``order``: places in order of
+    names, if known."""
     n = len(names)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names, kind="stable") if order is None else order.copy()
     ordered = names[order]
     head = np.append(True, ordered[1:] != ordered[:-1])
     rank = np.empty(n + 1, np.int64)
@@ -111,10 +117,10 @@ def rank_order(names: np.ndarray) -> np.ndarray:
         place = np.flatnonzero(tied)
         if not len(place):
             return order
-        rows = order[place]
-        second = rank[np.minimum(rows + h, n)]
+        rows = order.take(place)
+        second = rank.take(np.minimum(rows + h, n))
         # both ranks as one number: one sort instead of two
-        key = rank[rows] * (n + 1) + second + 1
+        key = rank.take(rows) * (n + 1) + second + 1
         again = np.argsort(key)
         order[place] = rows[again]
         key = key[again]
@@ -138,7 +144,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if not len(lms):
         return induce(s, small, lms, count)
     sa = induce(s, small, lms, count)
-    ordered = sa[is_lms[sa]]                      # LMS substrings in order
+    ordered = sa[is_lms.take(sa)]                 # LMS substrings in order
     size = np.diff(np.append(lms, n))
     length = np.zeros(n, np.int64)
     length[lms] = size + 1                        # each ends with the next one's first symbol
@@ -149,50 +155,67 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if name[-1] + 1 == len(lms):
         in_order = ordered
     else:
-        in_order = lms[rank_order(reduced)]
+        in_order = lms[rank_order(reduced, (np.cumsum(is_lms) - 1).take(ordered))]
     return induce(s, small, in_order, count)
 
 
 def same_substrings(s: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Whether the substrings of the given lengths at ``a`` and ``b`` are equal;
     one that runs over the end equals no other."""
-    same = (length[a] == length[b]) & (a + length[a] <= len(s)) & (b + length[b] <= len(s))
+    size, other = length.take(a), length.take(b)
+    same = (size == other) & (a + size <= len(s)) & (b + size <= len(s))
     rows, k = np.flatnonzero(same), 0
+    a, b, size = a[rows], b[rows], size[rows]
+    if len(s) and s.max() < 1 << 16:      # four symbols at a time
+        four = np.ndarray((len(s),), np.dtype("<u8"), np.append(s, [0, 0, 0]).astype("<u2"), strides=(2,)).copy()
+        while len(rows):
+            ahead = np.uint64(16) * np.maximum(4 - (size - k), 0).astype(np.uint64)     # bits beyond the end
+            equal = (four.take(a + k) ^ four.take(b + k)) << ahead == 0
+            same[rows[~equal]] = False
+            k += 4
+            going = equal & (k < size)
+            rows, a, b, size = rows[going], a[going], b[going], size[going]
+        return same
     while len(rows):
-        equal = s[a[rows] + k] == s[b[rows] + k]
+        equal = s[a + k] == s[b + k]
         same[rows[~equal]] = False
         k += 1
-        rows = rows[equal & (k < length[a[rows]])]
+        going = equal & (k < size)
+        rows, a, b, size = rows[going], a[going], b[going], size[going]
     return same
 
 
 def permuted_prefixes(data: np.ndarray, room: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     """For every suffix, in text order, its common prefix with the suffix before
     it in the array, counted up to ``limit`` (0 for the first) and no farther than
-    ``room`` bytes, where its run ends. Eight bytes are compared at a time."""
+    ``room`` bytes, where its run ends. Eight bytes are compared at a time. Bytes
+    outside the runs (``room`` 0) are zero."""
     n = len(sa)
-    before = np.full(n, -1, np.int64)
+    before = np.zeros(n, np.int64)
     before[sa[1:]] = sa[:-1]
     padded = np.concatenate([data, np.zeros(limit + 16, np.uint8)])
     eight = np.ndarray((n + limit + 8,), np.dtype("<u8"), padded, strides=(1,)).copy()
     most = np.minimum(room, limit)
-    rows = np.flatnonzero(before >= 0)
-    other = before[rows]
-    most[rows] = np.minimum(most[rows], room[other])
-    out = np.where(before >= 0, most, 0).astype(np.int32)
-    for k in range(0, limit, 8):
-        going = out[rows] > k
-        rows, other = rows[going], other[going]
-        differ = eight[rows + k] ^ eight[other + k]
-        stops = differ != 0
-        at, differ = rows[stops], differ[stops]
-        # the lowest set bit lies in the first byte that differs
-        low = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) // 8
-        out[at] = np.minimum(out[at], k + low)
-        rows, other = rows[~stops], other[~stops]
+    if ((data == 0) & (room > 0)).any():      # else the end of the other run differs from this one's bytes
+        most = np.minimum(most, room.take(before))
+    differ = eight[:n] ^ eight.take(before)
+    out = np.minimum(most, _equal_bytes(differ)).astype(np.int32)
+    rows = np.flatnonzero((differ == 0) & (most > 8))
+    other, most = before.take(rows), most.take(rows)
+    for k in range(8, limit, 8):
+        differ = eight.take(rows + k) ^ eight.take(other + k)
+        out[rows] = np.minimum(most, k + _equal_bytes(differ))
+        going = (differ == 0) & (most > k + 8)
+        rows, other, most = rows[going], other[going], most[going]
+    out[sa[:1]] = 0
     return out
 
 
+def _equal_bytes(differ: np.ndarray) -> np.ndarray:
+    """Bytes before the first that differs: the lowest set bit lies in it, 8 if none is set."""
+    return np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.int64) >> 3
+
+
 def smallest_holder(content: list[bytes], least: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """``(run, window)`` of the windows that a document below the run's own holds."""
     sizes = np.array([len(c) for c in content], np.int64)
@@ -205,12 +228,15 @@ def smallest_holder(content: list[bytes], least: np.ndarray, window: int = WINDO
     run = np.repeat(np.arange(len(content)), sizes + 1)[:len(joined)]
     at = np.arange(len(joined)) - begin[run]
     prefix = permuted_prefixes(data, sizes[run] - at, sa, window)
-    whole = at + window <= sizes[run]
-    new = prefix[sa] < window
-    group = np.cumsum(new) - 1
-    owner = np.where(whole[sa], least[run[sa]], np.iinfo(np.int64).max)
-    smallest = np.minimum.reduceat(owner, np.flatnonzero(new))[group]
-    found = sa[whole[sa] & (smallest < owner)]
+    new = (prefix < window).take(sa)
+    # a window equals the one before it only if both are whole: others are classes of their own
+    rows = np.flatnonzero(~(new & np.append(new[1:], True)))
+    if not len(rows):
+        return run[:0], at[:0]
+    member, new = sa.take(rows), new.take(rows)
+    owner = least.take(run.take(member))
+    smallest = np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
+    found = member[smallest < owner]
     return run[found], at[found]
 
 

@@ -320,3 +320,29 @@ def test_spans_are_byte_offsets():
     _, spans = toxicity.tag_texts(texts, model)
     cut = [texts[0].as_py().encode()[s["start"]:s["end"]] for s in spans[0]]
     assert cut == [b"idiot"] and spans[1:] == [[], []]
+
+
+def test_suffix_classes_by_words_of_symbols():
+    # several symbols at a time, grams as slices: the same as symbol by symbol, also with NUL bytes and one symbol
+    import numpy as np
+    from tessera.llm import common, suffix_array as sx
+
+    rng = np.random.default_rng(5)
+    for t in range(60):
+        kinds = (1, 2, 4)[t % 3]
+        content = list(dict.fromkeys(bytes(rng.integers(0, kinds, rng.integers(1, 40)).astype(np.uint8)) for _ in range(6)))
+        least = rng.integers(0, 4, len(content))
+        window = int(rng.choice([1, 3, 8, 9, 17]))
+        held = {}
+        for c, d in zip(content, least.tolist()):
+            for at in range(len(c) - window + 1):
+                held[c[at:at + window]] = min(d, held.get(c[at:at + window], d))
+        want = {(k, at) for k, c in enumerate(content) for at in range(len(c) - window + 1)
+                if held[c[at:at + window]] < least[k]}
+        run, at = sx.smallest_holder(content, least, window)
+        assert sorted(zip(run.tolist(), at.tolist())) == sorted(want)
+        sums = common.prefix_hash(np.frombuffer(b"".join(content), np.uint8))
+        at = np.arange(len(sums) - window)
+        assert (common.gram_hash(sums, window) == common.span_hash(sums, at, at + window)).all()
+        wide = rng.integers(0, 100_000, 30)          # symbols of more than 16 bits
+        assert sx.suffix_array(wide).tolist() == sorted(range(30), key=lambda i: wide[i:].tolist())
