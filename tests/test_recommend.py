@@ -222,3 +222,11 @@ def test_pair_means_has_every_pair_with_a_common_item(spark, tmp_path):
     got = {tuple(r) for r in QUERIES["pair_means"](spark, str(tmp_path)).collect()}
     half = {(5, 10): (2, 0.75, 1.75), (5, 15): (1, 1.0, 3.0), (10, 15): (1, 2.0, 3.0)}
     assert got == {(*k, *x) for k, x in half.items()} | {(v, u, n, b, a) for (u, v), (n, a, b) in half.items()}
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "ALS_BLOCK_ROWS", 20)
+    rows = spark.createDataFrame([(u, i, float((u + i) % 5)) for u in range(20) for i in range(8)],
+                                 "user_id int, item_id int, rating double")
+    model = recommend.als_fit(rows, rank=2, max_iter=2)
+    assert model.userFactors.rdd.getNumPartitions() == 8 and model.transform(rows).count() == 160
