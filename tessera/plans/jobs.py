@@ -109,7 +109,7 @@ def user_based_cf(spark: SparkSession, train_path: str, test_path: str, out_path
     lists = recommend.neighbour_lists(train, test, hot)
     stats = recommend.pair_stats(recommend.corated_sums(train, test, hot, lists.select("u", "raters")))
     ustats = recommend.user_rating_stats(train)
-    scored = recommend.cf_complete(test, recommend.cf_offsets(recommend.listed_neighbours(lists), stats), ustats, clamp).checkpoint()
+    scored = recommend.cf_complete(test, recommend.cf_offsets(recommend.listed_neighbours(lists, packed=True), stats), ustats, clamp).checkpoint()
     decoded = (
         scored.join(users.withColumnRenamed("user", "user_name"), scored.user == users.user_id)
         .join(items.withColumnRenamed("item", "item_name"), scored.item == items.item_id)

@@ -224,6 +224,46 @@ def test_pair_means_has_every_pair_with_a_common_item(spark, tmp_path):
     assert got == {(*k, *x) for k, x in half.items()} | {(v, u, n, b, a) for (u, v), (n, a, b) in half.items()}
 
 
+def test_offsets_are_made_in_blocks(spark, monkeypatch):
+    rnd = random.Random(4)
+    data = [(u, i, rnd.choice([0.5, 2.5, 4.0, None])) for u in range(14) for i in range(12) if rnd.random() < 0.6]
+    train = spark.createDataFrame(data, SCHEMA)
+    test = spark.createDataFrame([(u, i, 1.0) for u in range(16) for i in range(13)] + [(1, 1, 3.0), (2, None, 1.0)], SCHEMA)
+    lists = recommend.neighbour_lists(train, test, None)
+    nbrs = recommend.listed_neighbours(lists)
+    stats = recommend.pair_stats(recommend.corated_sums(train, test, None, lists.select("u", "raters"))).checkpoint()
+    want = {}
+    weights = {(r["u"], r["v"]): r for r in stats.collect()}
+    for x in nbrs.collect():
+        if (x["u"], x["v"]) in weights:
+            r = weights[x["u"], x["v"]]
+            sums = want.setdefault((x["u"], x["item"]), [None, None])
+            for k, parts in enumerate(((r["w"], x["r"], r["mean2"]), (r["w"],))):
+                if None not in parts:
+                    sums[k] = (sums[k] or 0.0) + (r["w"] * (x["r"] - r["mean2"]) if k == 0 else abs(r["w"]))
+    for pairs, form in ((2_000_000, nbrs), (2_000_000, recommend.listed_neighbours(lists, packed=True)),
+                        (10, recommend.listed_neighbours(lists, packed=True))):
+        monkeypatch.setattr(recommend, "BLOCK_PAIRS", pairs)       # every user is heavy in the last round
+        offsets = recommend.cf_offsets(form, stats)
+        plan = offsets._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Join \[u#\d+L?, v#", plan)                # no neighbour is a row of a join
+        got = {(r["user"], r["item"]): (r["num"], r["den"]) for r in offsets.collect()}
+        assert got.keys() == want.keys()
+        for k, sums in want.items():
+            for a, b in zip(got[k], sums):
+                assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9)
+
+
+def test_packed_rows_are_opened_as_they_were(spark):
+    rows = [(k % 3, f"u{k}", [f"v{j}" if j else None for j in range(k)], [float(j) for j in range(k)]) for k in range(7)]
+    for kind, rows in (("string", rows), ("long", [(b, len(v), [j - 3 for j in range(len(v))], r) for b, _, v, r in rows])):
+        df = spark.createDataFrame(rows, f"block int, u {kind}, v array<{kind}>, r array<double>")
+        shipped, opened = recommend._shipped(df)
+        got = [(b, *(x[c] for c in "uvr")) for t in [shipped.toArrow()] for b, one in zip(t["block"].to_pylist(), t["rows"])
+               for x in opened(t.slice(0, 0).from_pydict({"rows": [one.as_py()]})).to_pylist()]
+        assert sorted(got, key=str) == sorted(rows, key=str)
+
+
 def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ALS_BLOCK_ROWS", 20)
     rows = spark.createDataFrame([(u, i, float((u + i) % 5)) for u in range(20) for i in range(8)],
